@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import filters, rolling, windows
+from ..operators import filters, pairs, rolling, windows
 from ..sources.tables import job_events, task_events
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,10 +39,30 @@ def job_event_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rolling.job_event_count(job_events(spark, sf_dir))
 
 
+def job_scheduling_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pairs.job_scheduling_latency(job_events(spark, sf_dir), repeat="latest")
+
+
+def job_scheduling_latency_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pairs.job_scheduling_latency(job_events(spark, sf_dir), repeat="first")
+
+
+def max_task_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pairs.max_task_completion(task_events(spark, sf_dir))
+
+
+def max_task_completion_running(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pairs.max_task_completion(task_events(spark, sf_dir), running=True)
+
+
 QUERIES: dict[str, Query] = {
     "task_statistics_per_machine": task_statistics_per_machine,
     "task_statistics_global": task_statistics_global,
     "filter_task_events": filter_task_events,
     "busy_machines": busy_machines,
     "job_event_count": job_event_count,
+    "job_scheduling_latency": job_scheduling_latency,
+    "job_scheduling_latency_first": job_scheduling_latency_first,
+    "max_task_completion": max_task_completion,
+    "max_task_completion_running": max_task_completion_running,
 }

@@ -74,3 +74,66 @@ SELECT job_id, "timestamp", event_seq,
                       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS event_count
 FROM t
 """
+
+
+def _pairs(name: str, keys: list[str], ta: int, tb: int, repeat: str, carry: list[str]) -> str:
+    """Recursive CTE that walks each key's events one by one with the slot
+    (type, ts, seq) as carried state; ``<name>`` holds the emitted pairs."""
+    k = ", ".join(keys)
+    on = " AND ".join(f"e.{c} = w.{c}" for c in keys)
+    ek = ", ".join(f"e.{c}" for c in keys)
+    cr = "".join(f", {c}" for c in carry)
+    ecr = "".join(f", e.{c}" for c in carry)
+    keep_ts, keep_seq = (('e."timestamp"', "e.event_seq") if repeat == "latest"
+                         else ("w.s_ts", "w.s_seq"))
+    return f"""
+{name}_e AS (
+  SELECT {k}, "timestamp", event_seq, event_type{cr},
+         row_number() OVER (PARTITION BY {k} ORDER BY "timestamp", event_seq) AS rn
+  FROM t WHERE event_type IN ({ta}, {tb})
+),
+{name}_walk AS (
+  SELECT {k}, rn, event_type AS s_type, "timestamp" AS s_ts, event_seq AS s_seq,
+         false AS emit, "timestamp", event_seq{cr}, NULL::BIGINT AS p_ts
+  FROM {name}_e WHERE rn = 1
+  UNION ALL
+  SELECT {ek}, e.rn,
+         CASE WHEN w.s_type IS NULL OR w.s_type = e.event_type THEN e.event_type END,
+         CASE WHEN w.s_type IS NULL THEN e."timestamp"
+              WHEN w.s_type = e.event_type THEN {keep_ts} END,
+         CASE WHEN w.s_type IS NULL THEN e.event_seq
+              WHEN w.s_type = e.event_type THEN {keep_seq} END,
+         w.s_type IS NOT NULL AND w.s_type <> e.event_type,
+         e."timestamp", e.event_seq{ecr}, w.s_ts
+  FROM {name}_walk w JOIN {name}_e e ON {on} AND e.rn = w.rn + 1
+),
+{name} AS (
+  SELECT {k}, "timestamp", event_seq{cr}, abs("timestamp" - p_ts) AS duration
+  FROM {name}_walk WHERE emit
+)"""
+
+
+# In "latest" mode a repeated type refreshes the slot with the new event, in
+# "first" mode the slot keeps what it holds.
+ORACLE["job_scheduling_latency"] = "WITH RECURSIVE " + T.strip() + "," + _pairs(
+    "p", ["job_id"], 0, 1, "latest", []) + """
+SELECT job_id, "timestamp", event_seq, duration AS latency FROM p
+"""
+
+ORACLE["job_scheduling_latency_first"] = "WITH RECURSIVE " + T.strip() + "," + _pairs(
+    "p", ["job_id"], 0, 1, "first", []) + """
+SELECT job_id, "timestamp", event_seq, duration AS latency FROM p
+"""
+
+ORACLE["max_task_completion"] = "WITH RECURSIVE " + T.strip() + "," + _pairs(
+    "p", ["job_id", "task_index"], 0, 4, "latest", ["priority"]) + """
+SELECT priority, max(duration) AS max_duration FROM p GROUP BY priority
+"""
+
+ORACLE["max_task_completion_running"] = "WITH RECURSIVE " + T.strip() + "," + _pairs(
+    "p", ["job_id", "task_index"], 0, 4, "latest", ["priority"]) + """
+SELECT priority, "timestamp", event_seq,
+       max(duration) OVER (PARTITION BY priority ORDER BY "timestamp", event_seq
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS max_duration
+FROM p
+"""
