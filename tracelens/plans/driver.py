@@ -9,8 +9,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators import filters, pairs, rolling, windows
+from ..operators import anomaly, filters, pairs, patterns, rolling, sessions, windows
 from ..sources.tables import job_events, task_events
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +56,35 @@ def max_task_completion_running(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.max_task_completion(task_events(spark, sf_dir), running=True)
 
 
+def longest_session_per_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sessions.longest_session_per_job(task_events(spark, sf_dir), job_events(spark, sf_dir),
+                                            gap="3 days")
+
+
+RULE = dict(e1=0, e2=1, e3=5, limit="5 days")
+
+
+def rule_anomaly_single(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = patterns.rule_anomaly(task_events(spark, sf_dir), **RULE)
+    return r.select("job_id", "task_index",
+                    *[F.col(f"{s}.{c}").alias(f"{s}_{c.replace('event_', '')}")
+                      for s in ("first", "second", "third") for c in ("timestamp", "event_seq")])
+
+
+TRAINING_END = "2024-01-15"
+
+
+def invariant_anomaly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return anomaly.invariant_anomaly(task_events(spark, sf_dir), TRAINING_END)
+
+
+def time_series_anomaly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = anomaly.time_series_anomaly(task_events(spark, sf_dir), length="3 days", slide="1 day",
+                                    windows=3, diff=0.3)
+    return r.select("machine_id", "window_end", F.round("current_avg", 6).alias("current_avg"),
+                    F.round("moving_avg", 6).alias("moving_avg"))
+
+
 QUERIES: dict[str, Query] = {
     "task_statistics_per_machine": task_statistics_per_machine,
     "task_statistics_global": task_statistics_global,
@@ -65,4 +95,8 @@ QUERIES: dict[str, Query] = {
     "job_scheduling_latency_first": job_scheduling_latency_first,
     "max_task_completion": max_task_completion,
     "max_task_completion_running": max_task_completion_running,
+    "longest_session_per_job": longest_session_per_job,
+    "rule_anomaly_single": rule_anomaly_single,
+    "invariant_anomaly": invariant_anomaly,
+    "time_series_anomaly": time_series_anomaly,
 }

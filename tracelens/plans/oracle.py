@@ -137,3 +137,71 @@ SELECT priority, "timestamp", event_seq,
                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS max_duration
 FROM p
 """
+
+ORACLE["longest_session_per_job"] = _with(T, f"""
+s AS (
+  SELECT job_id, "timestamp", event_seq,
+         CASE WHEN "timestamp" - lag("timestamp") OVER (PARTITION BY job_id ORDER BY "timestamp", event_seq)
+                   > {3 * DAY} THEN 1 ELSE 0 END AS brk
+  FROM t WHERE event_type = 0
+)""", """
+s2 AS (
+  SELECT job_id, sum(brk) OVER (PARTITION BY job_id ORDER BY "timestamp", event_seq
+                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid
+  FROM s
+)""", """
+c AS (SELECT job_id, sid, count(*) AS n FROM s2 GROUP BY job_id, sid)""") + """
+SELECT job_id, max(n) AS session_events FROM c
+WHERE job_id IN (SELECT job_id FROM t WHERE event_type = 4)
+GROUP BY job_id
+"""
+
+ORACLE["rule_anomaly_single"] = _with(T, """
+f AS (
+  SELECT job_id, task_index, event_type, "timestamp", event_seq,
+         row_number() OVER (PARTITION BY job_id, task_index, event_type
+                            ORDER BY "timestamp", event_seq) AS rn
+  FROM t WHERE event_type IN (0, 1, 5)
+)""") + f"""
+SELECT a.job_id, a.task_index,
+       a."timestamp" AS first_timestamp, a.event_seq AS first_seq,
+       b."timestamp" AS second_timestamp, b.event_seq AS second_seq,
+       c."timestamp" AS third_timestamp, c.event_seq AS third_seq
+FROM f a
+JOIN f b ON b.job_id = a.job_id AND b.task_index = a.task_index AND b.event_type = 1 AND b.rn = 1
+JOIN f c ON c.job_id = a.job_id AND c.task_index = a.task_index AND c.event_type = 5 AND c.rn = 1
+WHERE a.event_type = 0 AND a.rn = 1
+  AND a."timestamp" < b."timestamp" AND b."timestamp" < c."timestamp"
+  AND c."timestamp" - a."timestamp" <= {5 * DAY}
+"""
+
+TRAINING_END_US = 1_705_276_800_000_000  # 2024-01-15 00:00:00 UTC
+
+ORACLE["invariant_anomaly"] = "WITH RECURSIVE " + T.strip() + "," + _pairs(
+    "p", ["job_id", "task_index"], 0, 1, "latest", ["priority"]) + f""",
+b AS (
+  SELECT priority, min(duration) AS mn, max(duration) AS mx
+  FROM p WHERE "timestamp" <= {TRAINING_END_US} GROUP BY priority
+)
+SELECT p.priority, p.job_id, p.task_index, p."timestamp", p.event_seq, p.duration
+FROM p JOIN b ON b.priority = p.priority
+WHERE p."timestamp" > {TRAINING_END_US} AND (p.duration > b.mx OR p.duration < b.mn)
+"""
+
+ORACLE["time_series_anomaly"] = _with(T, f"""
+a AS (
+  SELECT machine_id, ("timestamp" // {DAY}) * {DAY} + o.k * {DAY} AS window_end,
+         avg(max_cpu) AS cur
+  FROM t, (SELECT range AS k FROM range(1, 4)) o
+  WHERE event_type = 1 AND max_cpu > 0
+  GROUP BY 1, 2
+)""", f"""
+m AS (
+  SELECT x.machine_id, x.window_end, x.cur, (z.cur + y.cur + x.cur) / 3 AS mov
+  FROM a x
+  JOIN a y ON y.machine_id = x.machine_id AND y.window_end = x.window_end - {DAY}
+  JOIN a z ON z.machine_id = x.machine_id AND z.window_end = x.window_end - {2 * DAY}
+)""") + """
+SELECT machine_id, window_end, round(cur, 6) AS current_avg, round(mov, 6) AS moving_avg
+FROM m WHERE 2 * abs(cur - mov) / (cur + mov) > 0.3
+"""
