@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import anomaly, filters, pairs, patterns, rolling, sessions, windows
+from ..functions import codec
 from ..sources.tables import job_events, task_events
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,6 +86,26 @@ def time_series_anomaly(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.round("moving_avg", 6).alias("moving_avg"))
 
 
+WIRE_COLUMNS = ["event_seq", "timestamp", "missing_info", "job_id", "task_index", "machine_id",
+                "event_type", "username", "scheduling_class", "priority", "max_cpu", "max_ram",
+                "max_disk", "different_machine"]
+
+
+def _roundtrip(spark: SparkSession, sf_dir: str, fmt: str) -> DataFrame:
+    tasks = task_events(spark, sf_dir)
+    value = codec.to_json_value(tasks) if fmt == "json" else codec.to_text_value(tasks)
+    wire = tasks.select("event_seq", value.alias("value"))
+    return codec.decode(wire, fmt, keep=("event_seq",)).select(*WIRE_COLUMNS)
+
+
+def task_event_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _roundtrip(spark, sf_dir, "json")
+
+
+def task_event_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _roundtrip(spark, sf_dir, "text")
+
+
 QUERIES: dict[str, Query] = {
     "task_statistics_per_machine": task_statistics_per_machine,
     "task_statistics_global": task_statistics_global,
@@ -99,4 +120,6 @@ QUERIES: dict[str, Query] = {
     "rule_anomaly_single": rule_anomaly_single,
     "invariant_anomaly": invariant_anomaly,
     "time_series_anomaly": time_series_anomaly,
+    "task_event_json": task_event_json,
+    "task_event_text": task_event_text,
 }

@@ -205,3 +205,12 @@ m AS (
 SELECT machine_id, window_end, round(cur, 6) AS current_avg, round(mov, 6) AS moving_avg
 FROM m WHERE 2 * abs(cur - mov) / (cur + mov) > 0.3
 """
+
+_WIRE = _with(T) + """
+SELECT event_seq, "timestamp", '' AS missing_info, job_id, task_index, machine_id, event_type,
+       '' AS username, scheduling_class, priority, max_cpu,
+       CAST(0 AS DOUBLE) AS max_ram, CAST(0 AS DOUBLE) AS max_disk, false AS different_machine
+FROM t
+"""
+ORACLE["task_event_json"] = _WIRE
+ORACLE["task_event_text"] = _WIRE
