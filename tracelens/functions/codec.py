@@ -63,10 +63,17 @@ def to_json_value(df: DataFrame) -> Column:
     return F.to_json(F.struct(*fields))
 
 
-def from_json_value(value: Column | str) -> list[Column]:
-    """JSON string -> task columns (in ``TASK_COLUMNS`` order)."""
+def parse_json(value: Column | str) -> Column:
+    """JSON string -> one struct of the record's fields (parse once, then
+    pick fields with ``json_fields``; picking fields straight off
+    ``from_json`` makes Spark parse the text once per field)."""
     value = F.col(value) if isinstance(value, str) else value
-    s = F.from_json(value.cast("string"), JSON_SCHEMA)
+    return F.from_json(value.cast("string"), JSON_SCHEMA)
+
+
+def json_fields(parsed: Column | str) -> list[Column]:
+    """Struct from ``parse_json`` -> task columns (in ``TASK_COLUMNS`` order)."""
+    s = F.col(parsed) if isinstance(parsed, str) else parsed
     by_col = {c: s.getField(name) for c, name in JSON_FIELDS.items()}
     by_col["event_type"] = event_type_code(by_col["event_type"])
     by_col["machine_id"] = F.coalesce(by_col["machine_id"], F.lit(-1).cast("long"))
@@ -132,5 +139,7 @@ def encode(df: DataFrame, fmt: str = "json", key: str | None = "job_id") -> Data
 def decode(df: DataFrame, fmt: str = "json", value: str = "value",
            keep: tuple[str, ...] = ()) -> DataFrame:
     """(value) strings -> task events; ``keep`` columns are passed through."""
-    cols = from_json_value(value) if fmt == "json" else from_text_value(value)
-    return df.select(*keep, *cols)
+    if fmt == "json":
+        parsed = df.select(*keep, parse_json(value).alias("_rec"))
+        return parsed.select(*keep, *json_fields("_rec"))
+    return df.select(*keep, *from_text_value(value))

@@ -42,13 +42,19 @@ def duration_bounds(pairs: DataFrame, by: str = "priority") -> DataFrame:
 
 def invariant_anomaly(tasks: DataFrame, training_end, keys: Sequence[str] = ("job_id", "task_index"),
                       type_a: int = SUBMIT, type_b: int = SCHEDULE,
-                      max_broadcast: int = MAX_BROADCAST_BOUNDS) -> DataFrame:
+                      max_broadcast: int = MAX_BROADCAST_BOUNDS,
+                      training_tasks: DataFrame | None = None) -> DataFrame:
     """J11.  Output: priority, job_id, task_index, timestamp, event_seq,
     duration -- one row per detection-period pair outside its priority's
-    training bounds.  Priorities without training pairs give no row."""
+    training bounds.  Priorities without training pairs give no row.
+
+    ``training_tasks`` may name a source already cut at ``training_end``
+    (e.g. a scan with the time bound pushed down); by default ``tasks`` is
+    filtered."""
     end = instant_micros(training_end)
     keys = list(keys)
-    train = pair_events(tasks.where(F.col("timestamp") <= F.lit(end)), keys, type_a, type_b,
+    source = tasks if training_tasks is None else training_tasks
+    train = pair_events(source.where(F.col("timestamp") <= F.lit(end)), keys, type_a, type_b,
                         carry=["priority"])
     bounds = duration_bounds(train)
     detect = (pair_events(tasks, keys, type_a, type_b, carry=["priority"])

@@ -13,27 +13,32 @@ from pyspark.sql import functions as F
 
 from ..operators import anomaly, filters, pairs, patterns, rolling, sessions, windows
 from ..functions import codec
+from ..schema import FAIL, FINISH, KILL, SCHEDULE, SUBMIT
 from ..sources.tables import job_events, task_events
 
+TERMINAL = (FAIL, FINISH, KILL)
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def task_statistics_per_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return windows.task_statistics(task_events(spark, sf_dir), window="1 day", by="machine_id")
+    return windows.task_statistics(task_events(spark, sf_dir, types=TERMINAL), window="1 day",
+                                   by="machine_id")
 
 
 def task_statistics_global(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return windows.task_statistics(task_events(spark, sf_dir), window="1 day")
+    return windows.task_statistics(task_events(spark, sf_dir, types=TERMINAL), window="1 day")
 
 
 def filter_task_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return filters.filter_task_events(task_events(spark, sf_dir)).select(
+    return filters.filter_task_events(task_events(spark, sf_dir, types=(SUBMIT, FINISH))).select(
         "timestamp", "job_id", "task_index", "machine_id", "event_type", "priority",
         "scheduling_class", "max_cpu", "event_seq")
 
 
 def busy_machines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return windows.busy_machines(task_events(spark, sf_dir), length="3 days", slide="1 day",
+    return windows.busy_machines(task_events(spark, sf_dir, types=(SCHEDULE,)), length="3 days",
+                                 slide="1 day",
                                  threshold=10)
 
 
@@ -42,31 +47,34 @@ def job_event_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def job_scheduling_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pairs.job_scheduling_latency(job_events(spark, sf_dir), repeat="latest")
+    return pairs.job_scheduling_latency(job_events(spark, sf_dir, types=(SUBMIT, SCHEDULE)),
+                                        repeat="latest")
 
 
 def job_scheduling_latency_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pairs.job_scheduling_latency(job_events(spark, sf_dir), repeat="first")
+    return pairs.job_scheduling_latency(job_events(spark, sf_dir, types=(SUBMIT, SCHEDULE)),
+                                        repeat="first")
 
 
 def max_task_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pairs.max_task_completion(task_events(spark, sf_dir))
+    return pairs.max_task_completion(task_events(spark, sf_dir, types=(SUBMIT, FINISH)))
 
 
 def max_task_completion_running(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pairs.max_task_completion(task_events(spark, sf_dir), running=True)
+    return pairs.max_task_completion(task_events(spark, sf_dir, types=(SUBMIT, FINISH)), running=True)
 
 
 def longest_session_per_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sessions.longest_session_per_job(task_events(spark, sf_dir), job_events(spark, sf_dir),
-                                            gap="3 days")
+    return sessions.longest_session_per_job(task_events(spark, sf_dir, types=(SUBMIT,)),
+                                            job_events(spark, sf_dir, types=(FINISH,)), gap="3 days")
 
 
-RULE = dict(e1=0, e2=1, e3=5, limit="5 days")
+RULE = dict(e1=SUBMIT, e2=SCHEDULE, e3=KILL, limit="5 days")
+RULE_TYPES = (SUBMIT, SCHEDULE, KILL)
 
 
 def rule_anomaly_single(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = patterns.rule_anomaly(task_events(spark, sf_dir), **RULE)
+    r = patterns.rule_anomaly(task_events(spark, sf_dir, types=RULE_TYPES), **RULE)
     return r.select("job_id", "task_index",
                     *[F.col(f"{s}.{c}").alias(f"{s}_{c.replace('event_', '')}")
                       for s in ("first", "second", "third") for c in ("timestamp", "event_seq")])
@@ -76,11 +84,15 @@ TRAINING_END = "2024-01-15"
 
 
 def invariant_anomaly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return anomaly.invariant_anomaly(task_events(spark, sf_dir), TRAINING_END)
+    types = (SUBMIT, SCHEDULE)
+    return anomaly.invariant_anomaly(
+        task_events(spark, sf_dir, types=types), TRAINING_END,
+        training_tasks=task_events(spark, sf_dir, types=types, until=TRAINING_END))
 
 
 def time_series_anomaly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = anomaly.time_series_anomaly(task_events(spark, sf_dir), length="3 days", slide="1 day",
+    r = anomaly.time_series_anomaly(task_events(spark, sf_dir, types=(SCHEDULE,)), length="3 days",
+                                    slide="1 day",
                                     windows=3, diff=0.3)
     return r.select("machine_id", "window_end", F.round("current_avg", 6).alias("current_avg"),
                     F.round("moving_avg", 6).alias("moving_avg"))

@@ -96,11 +96,40 @@ def job_events_from_events(spark: SparkSession, events: DataFrame,
     return df
 
 
-def task_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Task events projected from ``{sf_dir}/events.parquet``."""
-    return task_events_from_events(spark, read_table(spark, sf_dir, "events"))
-
-
-def job_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Job events projected from ``{sf_dir}/events.parquet``."""
-    return job_events_from_events(spark, read_table(spark, sf_dir, "events"))
+def restrict(events: DataFrame, types=None, until=None, since=None) -> DataFrame:
+    """Filter the raw table before the projection, so the predicates reach
+    the Parquet scan (``PushedFilters``): event codes become the raw names,
+    an instant bound (microseconds, datetime or ISO string, inclusive)
+    becomes a bound on ``ts``."""
+    from ..functions.time import instant_micros
+
+    if types is not None:
+        names = [n for n, c in DRIVER_EVENT_CODES.items() if c in set(types)]
+        events = events.where(F.col("event_type").isin(*names)) if names else events.where(F.lit(False))
+    for bound, op in ((until, "<="), (since, ">=")):
+        if bound is None:
+            continue
+        # compare wall clock with wall clock: a TIMESTAMP_NTZ literal
+        lit = F.lit(_ntz_literal(instant_micros(bound))).cast("timestamp_ntz")
+        events = events.where(F.col("ts") <= lit if op == "<=" else F.col("ts") >= lit)
+    return events
+
+
+def _ntz_literal(micros: int) -> str:
+    import datetime as dt
+
+    t = dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=micros)
+    return t.isoformat(sep=" ")
+
+
+def task_events(spark: SparkSession, sf_dir: str, types=None, until=None, since=None) -> DataFrame:
+    """Task events projected from ``{sf_dir}/events.parquet``; ``types``,
+    ``until`` and ``since`` are pushed into the scan."""
+    raw = restrict(read_table(spark, sf_dir, "events"), types, until, since)
+    return task_events_from_events(spark, raw)
+
+
+def job_events(spark: SparkSession, sf_dir: str, types=None, until=None, since=None) -> DataFrame:
+    """Job events projected from ``{sf_dir}/events.parquet`` (same pushdown)."""
+    raw = restrict(read_table(spark, sf_dir, "events"), types, until, since)
+    return job_events_from_events(spark, raw)
