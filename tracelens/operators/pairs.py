@@ -29,16 +29,22 @@ from pyspark.sql import functions as F
 
 from ..schema import FINISH, SCHEDULE, SUBMIT, ensure_seq
 from .filters import keep_types
+from .skew import CHUNK, CHUNK_ROWS, HOT_KEY_ROWS, add_chunks, running_max
 
 
 def pair_events(df: DataFrame, keys: Sequence[str], type_a: int, type_b: int,
                 repeat: str = "latest", directed: bool = False,
-                carry: Sequence[str] = ()) -> DataFrame:
+                carry: Sequence[str] = (), hot_key_rows: int | None = HOT_KEY_ROWS,
+                chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Match alternating ``type_a`` / ``type_b`` events per key.
 
     Output: keys, timestamp, event_seq, event_type (of the closing event),
     carry columns (of the closing event), partner_timestamp, partner_seq,
     duration (``abs`` of the time difference, microseconds).
+
+    Keys with more than ``hot_key_rows`` events are split into time chunks
+    (``skew.add_chunks``) in the default mode (``latest``, undirected);
+    ``hot_key_rows=None`` turns splitting off.
     """
     if repeat not in ("latest", "first"):
         raise ValueError("repeat must be 'latest' or 'first'")
@@ -46,11 +52,25 @@ def pair_events(df: DataFrame, keys: Sequence[str], type_a: int, type_b: int,
     carry = [c for c in carry if c not in keys]
     d = keep_types(ensure_seq(df), type_a, type_b).select(
         *keys, "timestamp", "event_seq", "event_type", *carry)
+    if repeat == "latest" and not directed:
+        out = _pairs_latest(d, keys, hot_key_rows, chunk_rows)
+    else:
+        out = _pairs_plain(d, keys, type_a, type_b, repeat, directed)
+    return out.select(*keys, "timestamp", "event_seq", "event_type", *carry,
+                      F.col("_partner.ts").alias("partner_timestamp"),
+                      F.col("_partner.seq").alias("partner_seq"),
+                      F.abs(F.col("timestamp") - F.col("_partner.ts")).alias("duration"))
+
 
+def _here():
+    return F.struct(F.col("timestamp").alias("ts"), F.col("event_seq").alias("seq"))
+
+
+def _pairs_plain(d: DataFrame, keys, type_a, type_b, repeat, directed) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy("timestamp", "event_seq")
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
-    here = F.struct(F.col("timestamp").alias("ts"), F.col("event_seq").alias("seq"))
+    here = _here()
 
     d = (d.withColumn("_pt", F.lag("event_type").over(w))
           .withColumn("_prev", F.lag(here).over(w)))
@@ -61,50 +81,103 @@ def pair_events(df: DataFrame, keys: Sequence[str], type_a: int, type_b: int,
     if directed:
         emit = F.col("_chg") & (F.col("event_type") == type_b) & (F.col("_pt") == type_a)
         partner = F.col("_prev") if repeat == "latest" else F.lag("_rfirst").over(w)
-        d = d.withColumn("_partner", partner).where(emit)
+        return d.withColumn("_partner", partner).where(emit)
+    d = d.withColumn("_run", F.sum(F.col("_chg").cast("long")).over(upto))
+    d = d.withColumn("_long", F.max(F.when(~F.col("_chg"), F.col("_run"))).over(before))
+    d = d.withColumn("_open", ((F.col("_run") - 1 - F.coalesce(F.col("_long"), F.lit(-1))) % 2) == 0)
+    if repeat == "latest":
+        d = d.withColumn("_partner", F.col("_prev"))
+    else:
+        # run r-1 entered open: its first row closed a pair, its second row
+        # filled the slot; entered closed: its first row filled the slot.
+        d = (d.withColumn("_pchg", F.lag("_chg").over(w))
+              .withColumn("_rsecond", F.last(F.when(~F.col("_chg") & F.col("_pchg"), here),
+                                             ignorenulls=True).over(upto))
+              .withColumn("_ropen", F.last(F.when(F.col("_chg"), F.col("_open")),
+                                           ignorenulls=True).over(upto)))
+        d = d.withColumn("_partner", F.when(F.lag("_ropen").over(w), F.lag("_rsecond").over(w))
+                         .otherwise(F.lag("_rfirst").over(w)))
+    return d.where(F.col("_chg") & F.col("_open"))
+
+
+def _pairs_latest(d: DataFrame, keys, hot_key_rows, chunk_rows) -> DataFrame:
+    """``latest`` mode, per (key, chunk), stitched across chunk borders.
+
+    Local (per chunk) values: run number ``_run``, ``_long`` (largest run
+    number of a non-first row before this row), ``_chg`` (row starts a run).
+    A chunk summary gives, from the chunks before it: ``_cont`` (the chunk's
+    first row continues the previous chunk's last run), ``_roff`` (run
+    number offset), ``_jb`` (largest run number of a non-first row in all
+    earlier chunks) and the previous chunk's last event.  For chunk 0 (all
+    keys that were not split) the summary is empty and the formulas reduce
+    to the single-partition ones.
+    """
+    d, hot = add_chunks(d, keys, hot_key_rows=hot_key_rows, chunk_rows=chunk_rows)
+    w = Window.partitionBy(*keys, CHUNK).orderBy("timestamp", "event_seq")
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    d = (d.withColumn("_pt", F.lag("event_type").over(w))
+          .withColumn("_prev", F.lag(_here()).over(w)))
+    d = d.withColumn("_chg", F.col("_pt").isNull() | (F.col("_pt") != F.col("event_type")))
+    d = d.withColumn("_run", F.sum(F.col("_chg").cast("long")).over(upto))
+    d = d.withColumn("_long", F.max(F.when(~F.col("_chg"), F.col("_run"))).over(before))
+    first = F.col("_pt").isNull()
+
+    if hot:
+        d = d.withColumn("_rn", F.row_number().over(w))
+        summ = (d.where(F.col(CHUNK) > 0).groupBy(*keys, CHUNK).agg(
+            F.max(F.when(F.col("_pt").isNull(), F.col("event_type"))).alias("_tf"),
+            F.max_by("event_type", "_rn").alias("_tl"),
+            F.max_by("timestamp", "_rn").alias("_lts"),
+            F.max_by("event_seq", "_rn").alias("_lseq"),
+            F.max("_run").alias("_nchg"),
+            F.max(F.when(~F.col("_chg"), F.col("_run"))).alias("_mx")))
+        cw = Window.partitionBy(*keys).orderBy(CHUNK)
+        summ = (summ.withColumn("_plts", F.lag("_lts").over(cw))
+                    .withColumn("_plseq", F.lag("_lseq").over(cw))
+                    .withColumn("_cont", F.coalesce(F.lag("_tl").over(cw) == F.col("_tf"), F.lit(False))))
+        summ = summ.withColumn("_inc", F.col("_nchg") - F.col("_cont").cast("long"))
+        summ = summ.withColumn("_rend", F.sum("_inc").over(
+            cw.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        summ = summ.withColumn("_roff", F.col("_rend") - F.col("_inc") - F.col("_cont").cast("long"))
+        summ = summ.withColumn("_jc", F.greatest(F.col("_roff") + F.col("_mx"),
+                                                 F.when(F.col("_cont"), F.col("_roff") + 1)))
+        summ = summ.withColumn("_jb", F.max("_jc").over(cw.rowsBetween(Window.unboundedPreceding, -1)))
+        summ = summ.select(*keys, CHUNK, "_cont", "_roff", "_jb", "_plts", "_plseq")
+        # one row per hot chunk: bounded by add_chunks' chunk budget
+        d = d.join(F.broadcast(summ), keys + [CHUNK], "left")
+        cont = F.coalesce(F.col("_cont"), F.lit(False))
+        roff = F.coalesce(F.col("_roff"), F.lit(0).cast("long"))
+        g_chg = F.when(first, ~cont).otherwise(F.col("_chg"))
+        g_run = roff + F.col("_run")
+        g_long = F.greatest(F.col("_jb"), F.when(~first & cont, roff + 1), roff + F.col("_long"))
+        partner = F.when(first, F.struct(F.col("_plts").alias("ts"), F.col("_plseq").alias("seq"))) \
+            .otherwise(F.col("_prev"))
     else:
-        d = d.withColumn("_run", F.sum(F.col("_chg").cast("long")).over(upto))
-        d = d.withColumn("_long", F.max(F.when(~F.col("_chg"), F.col("_run"))).over(before))
-        d = d.withColumn("_open", ((F.col("_run") - 1 - F.coalesce(F.col("_long"), F.lit(-1))) % 2) == 0)
-        if repeat == "latest":
-            d = d.withColumn("_partner", F.col("_prev"))
-        else:
-            # run r-1 entered open: its first row closed a pair, its second row
-            # filled the slot; entered closed: its first row filled the slot.
-            d = (d.withColumn("_pchg", F.lag("_chg").over(w))
-                  .withColumn("_rsecond", F.last(F.when(~F.col("_chg") & F.col("_pchg"), here),
-                                                 ignorenulls=True).over(upto))
-                  .withColumn("_ropen", F.last(F.when(F.col("_chg"), F.col("_open")),
-                                               ignorenulls=True).over(upto)))
-            d = d.withColumn("_partner", F.when(F.lag("_ropen").over(w), F.lag("_rsecond").over(w))
-                             .otherwise(F.lag("_rfirst").over(w)))
-        d = d.where(F.col("_chg") & F.col("_open"))
-
-    return d.select(*keys, "timestamp", "event_seq", "event_type", *carry,
-                    F.col("_partner.ts").alias("partner_timestamp"),
-                    F.col("_partner.seq").alias("partner_seq"),
-                    F.abs(F.col("timestamp") - F.col("_partner.ts")).alias("duration"))
+        g_chg, g_run, g_long, partner = F.col("_chg"), F.col("_run"), F.col("_long"), F.col("_prev")
+    is_open = ((g_run - 1 - F.coalesce(g_long, F.lit(-1))) % 2) == 0
+    return d.where(g_chg & is_open).withColumn("_partner", partner)
 
 
 def job_scheduling_latency(jobs: DataFrame, repeat: str = "latest",
-                           directed: bool = False) -> DataFrame:
+                           directed: bool = False, **split) -> DataFrame:
     """Submit-to-schedule latency per job.
 
     Output: job_id, timestamp, event_seq (of the closing event), latency.
     """
-    p = pair_events(jobs, ["job_id"], SUBMIT, SCHEDULE, repeat=repeat, directed=directed)
+    p = pair_events(jobs, ["job_id"], SUBMIT, SCHEDULE, repeat=repeat, directed=directed, **split)
     return p.select("job_id", "timestamp", "event_seq", F.col("duration").alias("latency"))
 
 
 def task_durations(tasks: DataFrame, type_a: int = SUBMIT, type_b: int = FINISH,
-                   repeat: str = "latest") -> DataFrame:
+                   repeat: str = "latest", **split) -> DataFrame:
     """Durations of (job, task) pairs; the closing event supplies the priority."""
     return pair_events(tasks, ["job_id", "task_index"], type_a, type_b, repeat=repeat,
-                       carry=["priority"])
+                       carry=["priority"], **split)
 
 
 def max_task_completion(tasks: DataFrame, running: bool = False,
-                        repeat: str = "latest") -> DataFrame:
+                        repeat: str = "latest", **split) -> DataFrame:
     """Longest submit-to-finish duration per priority.
 
     ``running=False`` (default, scales with any number of priorities): one
@@ -112,10 +185,10 @@ def max_task_completion(tasks: DataFrame, running: bool = False,
     reference's rolling form, one row per completed task in event-time order,
     ``priority, timestamp, event_seq, max_duration``.
     """
-    d = task_durations(tasks, SUBMIT, FINISH, repeat=repeat)
+    d = task_durations(tasks, SUBMIT, FINISH, repeat=repeat, **split)
     if not running:
         return d.groupBy("priority").agg(F.max("duration").alias("max_duration"))
-    w = (Window.partitionBy("priority").orderBy("timestamp", "event_seq")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return d.select("priority", "timestamp", "event_seq",
-                    F.max("duration").over(w).alias("max_duration"))
+    # few priorities, so every priority is a hot key at scale: split by time
+    r = running_max(d.select("priority", "timestamp", "event_seq", "duration"), ["priority"],
+                    "duration", "max_duration", **split)
+    return r.select("priority", "timestamp", "event_seq", "max_duration")

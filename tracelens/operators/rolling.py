@@ -6,18 +6,18 @@ key and one sort, then a streaming pass; nothing is buffered per key.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from ..schema import ensure_seq
+from .skew import running_count
 
 
-def job_event_count(jobs: DataFrame, key: str = "job_id") -> DataFrame:
+def job_event_count(jobs: DataFrame, key: str = "job_id", **split) -> DataFrame:
     """Running number of events per job, one row per input event.
+    Jobs with very many events are split by time (``skew.running_count``).
 
     Output: job_id, timestamp, event_seq, event_count.
     """
-    jobs = ensure_seq(jobs)
-    w = Window.partitionBy(key).orderBy("timestamp", "event_seq")
-    return jobs.select(key, "timestamp", "event_seq",
-                       F.row_number().over(w).cast("long").alias("event_count"))
+    jobs = ensure_seq(jobs).select(key, "timestamp", "event_seq")
+    return running_count(jobs, [key], "event_count", **split).select(
+        key, "timestamp", "event_seq", "event_count")
