@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 
 from ..functions.time import instant_micros, interval_micros, interval_string
 from ..schema import EVENT_TIME, SCHEDULE, SUBMIT
-from .filters import schedule_with_cpu
+from .filters import keep_types, schedule_with_cpu
 from .pairs import pair_events
+from .skew import plan_chunks
 
 # Largest bounds table that is broadcast; above it the join shuffles.
 MAX_BROADCAST_BOUNDS = 100_000
@@ -43,7 +44,7 @@ def duration_bounds(pairs: DataFrame, by: str = "priority") -> DataFrame:
 def invariant_anomaly(tasks: DataFrame, training_end, keys: Sequence[str] = ("job_id", "task_index"),
                       type_a: int = SUBMIT, type_b: int = SCHEDULE,
                       max_broadcast: int = MAX_BROADCAST_BOUNDS,
-                      training_tasks: DataFrame | None = None) -> DataFrame:
+                      training_tasks: DataFrame | None = None, **split) -> DataFrame:
     """J11.  Output: priority, job_id, task_index, timestamp, event_seq,
     duration -- one row per detection-period pair outside its priority's
     training bounds.  Priorities without training pairs give no row.
@@ -54,10 +55,12 @@ def invariant_anomaly(tasks: DataFrame, training_end, keys: Sequence[str] = ("jo
     end = instant_micros(training_end)
     keys = list(keys)
     source = tasks if training_tasks is None else training_tasks
+    # one hot-key plan for both passes (training is a time slice of the same keys)
+    plan = plan_chunks(keep_types(tasks, type_a, type_b), keys, **split)
     train = pair_events(source.where(F.col("timestamp") <= F.lit(end)), keys, type_a, type_b,
-                        carry=["priority"])
+                        carry=["priority"], chunk_plan=plan)
     bounds = duration_bounds(train)
-    detect = (pair_events(tasks, keys, type_a, type_b, carry=["priority"])
+    detect = (pair_events(tasks, keys, type_a, type_b, carry=["priority"], chunk_plan=plan)
               .where(F.col("timestamp") > F.lit(end)))
     rows = _small_or_none(bounds, max_broadcast)
     if rows is not None:

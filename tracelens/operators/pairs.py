@@ -35,7 +35,7 @@ from .skew import CHUNK, CHUNK_ROWS, HOT_KEY_ROWS, add_chunks, running_max
 def pair_events(df: DataFrame, keys: Sequence[str], type_a: int, type_b: int,
                 repeat: str = "latest", directed: bool = False,
                 carry: Sequence[str] = (), hot_key_rows: int | None = HOT_KEY_ROWS,
-                chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+                chunk_rows: int = CHUNK_ROWS, chunk_plan=None) -> DataFrame:
     """Match alternating ``type_a`` / ``type_b`` events per key.
 
     Output: keys, timestamp, event_seq, event_type (of the closing event),
@@ -44,7 +44,8 @@ def pair_events(df: DataFrame, keys: Sequence[str], type_a: int, type_b: int,
 
     Keys with more than ``hot_key_rows`` events are split into time chunks
     (``skew.add_chunks``) in the default mode (``latest``, undirected);
-    ``hot_key_rows=None`` turns splitting off.
+    ``hot_key_rows=None`` turns splitting off; ``chunk_plan`` reuses a plan
+    from ``skew.plan_chunks``.
     """
     if repeat not in ("latest", "first"):
         raise ValueError("repeat must be 'latest' or 'first'")
@@ -53,7 +54,7 @@ def pair_events(df: DataFrame, keys: Sequence[str], type_a: int, type_b: int,
     d = keep_types(ensure_seq(df), type_a, type_b).select(
         *keys, "timestamp", "event_seq", "event_type", *carry)
     if repeat == "latest" and not directed:
-        out = _pairs_latest(d, keys, hot_key_rows, chunk_rows)
+        out = _pairs_latest(d, keys, hot_key_rows, chunk_rows, chunk_plan)
     else:
         out = _pairs_plain(d, keys, type_a, type_b, repeat, directed)
     return out.select(*keys, "timestamp", "event_seq", "event_type", *carry,
@@ -100,7 +101,7 @@ def _pairs_plain(d: DataFrame, keys, type_a, type_b, repeat, directed) -> DataFr
     return d.where(F.col("_chg") & F.col("_open"))
 
 
-def _pairs_latest(d: DataFrame, keys, hot_key_rows, chunk_rows) -> DataFrame:
+def _pairs_latest(d: DataFrame, keys, hot_key_rows, chunk_rows, chunk_plan=None) -> DataFrame:
     """``latest`` mode, per (key, chunk), stitched across chunk borders.
 
     Local (per chunk) values: run number ``_run``, ``_long`` (largest run
@@ -112,7 +113,7 @@ def _pairs_latest(d: DataFrame, keys, hot_key_rows, chunk_rows) -> DataFrame:
     keys that were not split) the summary is empty and the formulas reduce
     to the single-partition ones.
     """
-    d, hot = add_chunks(d, keys, hot_key_rows=hot_key_rows, chunk_rows=chunk_rows)
+    d, hot = add_chunks(d, keys, hot_key_rows=hot_key_rows, chunk_rows=chunk_rows, plan=chunk_plan)
     w = Window.partitionBy(*keys, CHUNK).orderBy("timestamp", "event_seq")
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
@@ -188,7 +189,9 @@ def max_task_completion(tasks: DataFrame, running: bool = False,
     d = task_durations(tasks, SUBMIT, FINISH, repeat=repeat, **split)
     if not running:
         return d.groupBy("priority").agg(F.max("duration").alias("max_duration"))
-    # few priorities, so every priority is a hot key at scale: split by time
+    # Few priorities, so at scale every priority is a hot key: split by time.
+    # The chunk plan comes from the FINISH events (about one per pair), a
+    # plain scan, instead of running the pair matcher twice.
     r = running_max(d.select("priority", "timestamp", "event_seq", "duration"), ["priority"],
-                    "duration", "max_duration", **split)
+                    "duration", "max_duration", plan_from=keep_types(tasks, FINISH), **split)
     return r.select("priority", "timestamp", "event_seq", "max_duration")

@@ -38,13 +38,23 @@ MAX_CHUNKS = 100_000
 CHUNK = "_chunk"
 
 
-def add_chunks(df: DataFrame, keys: Sequence[str], hot_key_rows: int | None = HOT_KEY_ROWS,
-               chunk_rows: int = CHUNK_ROWS, max_chunks: int = MAX_CHUNKS,
-               ts: str = "timestamp") -> tuple[DataFrame, int]:
-    """Add ``_chunk``; return (frame, number of hot chunks)."""
+class ChunkPlan:
+    """Hot keys with their first time and bucket width (a small local
+    relation, broadcast when applied) and the number of hot chunks."""
+
+    def __init__(self, keys, frame: DataFrame | None, chunks: int):
+        self.keys, self.frame, self.chunks = list(keys), frame, chunks
+
+
+def plan_chunks(df: DataFrame, keys: Sequence[str], hot_key_rows: int | None = HOT_KEY_ROWS,
+                chunk_rows: int = CHUNK_ROWS, max_chunks: int = MAX_CHUNKS,
+                ts: str = "timestamp") -> ChunkPlan:
+    """Find hot keys of ``df`` (any frame with the keys and ``ts``; it may be
+    a cheaper stand-in for the rows that will be split -- the plan only
+    steers where work runs, never what it computes)."""
     keys = list(keys)
     if hot_key_rows is None:
-        return df.withColumn(CHUNK, F.lit(0).cast("long")), 0
+        return ChunkPlan(keys, None, 0)
     stats = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(ts).alias("_lo"),
                                    F.max(ts).alias("_hi"))
              .where(F.col("_n") > hot_key_rows))
@@ -60,14 +70,30 @@ def add_chunks(df: DataFrame, keys: Sequence[str], hot_key_rows: int | None = HO
         width = max(1, -(-(r["_hi"] - r["_lo"] + 1) // n_chunks))
         rows.append(tuple(r[k] for k in keys) + (r["_lo"], width))
     if not rows:
-        return df.withColumn(CHUNK, F.lit(0).cast("long")), 0
+        return ChunkPlan(keys, None, 0)
     schema = T.StructType([df.schema[k] for k in keys] + [
         T.StructField("_lo", T.LongType()), T.StructField("_width", T.LongType())])
-    hot = F.broadcast(df.sparkSession.createDataFrame(rows, schema))
-    out = df.join(hot, keys, "left")
+    return ChunkPlan(keys, df.sparkSession.createDataFrame(rows, schema), max_chunks - budget)
+
+
+def apply_chunks(df: DataFrame, plan: ChunkPlan, ts: str = "timestamp") -> DataFrame:
+    if plan.frame is None:
+        return df.withColumn(CHUNK, F.lit(0).cast("long"))
+    out = df.join(F.broadcast(plan.frame), plan.keys, "left")
     chunk = F.when(F.col("_width").isNull(), F.lit(0).cast("long")).otherwise(
-        F.floor((F.col(ts) - F.col("_lo")) / F.col("_width")).cast("long") + 1)
-    return out.withColumn(CHUNK, chunk).drop("_lo", "_width"), max_chunks - budget
+        F.greatest(F.floor((F.col(ts) - F.col("_lo")) / F.col("_width")).cast("long") + 1, F.lit(1)))
+    return out.withColumn(CHUNK, chunk).drop("_lo", "_width")
+
+
+def add_chunks(df: DataFrame, keys: Sequence[str], hot_key_rows: int | None = HOT_KEY_ROWS,
+               chunk_rows: int = CHUNK_ROWS, max_chunks: int = MAX_CHUNKS,
+               ts: str = "timestamp", plan: ChunkPlan | None = None,
+               plan_from: DataFrame | None = None) -> tuple[DataFrame, int]:
+    """Add ``_chunk``; return (frame, number of hot chunks)."""
+    if plan is None:
+        plan = plan_chunks(df if plan_from is None else plan_from, keys, hot_key_rows,
+                           chunk_rows, max_chunks, ts)
+    return apply_chunks(df, plan, ts), plan.chunks
 
 
 def _prefix_window(keys):
@@ -76,7 +102,8 @@ def _prefix_window(keys):
 
 def running_count(df: DataFrame, keys: Sequence[str], out: str, order=("timestamp", "event_seq"),
                   **split) -> DataFrame:
-    """Running number of rows per key in ``order``; hot keys split."""
+    """Running number of rows per key in ``order``; hot keys split.
+    ``split``: arguments of ``add_chunks``."""
     keys = list(keys)
     d, hot = add_chunks(df, keys, **split)
     w = Window.partitionBy(*keys, CHUNK).orderBy(*order)
@@ -95,7 +122,8 @@ def running_count(df: DataFrame, keys: Sequence[str], out: str, order=("timestam
 
 def running_max(df: DataFrame, keys: Sequence[str], value: str, out: str,
                 order=("timestamp", "event_seq"), **split) -> DataFrame:
-    """Running maximum of ``value`` per key in ``order``; hot keys split."""
+    """Running maximum of ``value`` per key in ``order``; hot keys split.
+    ``split``: arguments of ``add_chunks``."""
     keys = list(keys)
     d, hot = add_chunks(df, keys, **split)
     w = (Window.partitionBy(*keys, CHUNK).orderBy(*order)
