@@ -97,3 +97,17 @@ def test_restart_from_checkpoint(spark):
     assert once and once == twice
     assert set(once) == {(k, a * 1000, b * 1000, c * 1000)
                          for k, a, b, c in rule_state_machine(ev, SUBMIT, SCHEDULE, KILL, LIMIT)}
+
+
+def test_batch_repeat_epochs_match_state_machine(spark):
+    from conftest import make_tasks
+
+    from tracelens.operators.patterns import rule_anomaly
+
+    for seed in (11, 12):
+        ev = _random_events(seed)
+        tasks = make_tasks(spark, [dict(job=k, task=0, etype=e, ts=t) for k, t, e in ev], ms=False)
+        out = rule_anomaly(tasks, SUBMIT, SCHEDULE, KILL, LIMIT, epoch="repeat").collect()
+        got = {(r.job_id, r.first.timestamp, r.second.timestamp, r.third.timestamp) for r in out}
+        want = rule_state_machine(ev, SUBMIT, SCHEDULE, KILL, LIMIT)
+        assert want and got == want

@@ -8,13 +8,25 @@ final watermark fires every timer at the end, so each key has one epoch):
 the slots are three ``min_by`` aggregates with a FILTER, a declarative
 aggregate that Spark combines map-side, so a hot key costs one partial row
 per map task.
+
+``epoch="repeat"`` is the event-time semantics of the stream: the first e1
+after the previous epoch opens an epoch that ends at t(e1) + limit; the
+slots are the first event of each type inside the epoch.  The epoch starts
+form a forward chain over the e1 events (``next(i)`` = first e1 later than
+``t_i + limit``).  Chain membership is found by pointer doubling: round k
+joins the members found so far with the 2^k-step pointers, so
+``ceil(log2(max e1 per key))`` rounds of joins find the whole chain, each
+round's result checkpointed to cut lineage.  Events are then assigned to
+the epoch whose end is the first one at or after them (a running minimum
+over a descending sort), and the single-epoch slot aggregation runs per
+(key, epoch).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import ensure_seq
@@ -32,14 +44,20 @@ def _limit_micros(limit) -> int:
 
 
 def rule_anomaly(tasks: DataFrame, e1: int, e2: int, e3: int, limit,
-                 keys: Sequence[str] = DEFAULT_KEYS) -> DataFrame:
-    """J9 (single epoch).  ``limit`` is microseconds or an interval string.
+                 keys: Sequence[str] = DEFAULT_KEYS, epoch: str = "single") -> DataFrame:
+    """J9.  ``limit`` is microseconds or an interval string; ``epoch`` is
+    ``"single"`` or ``"repeat"`` (see the module doc).
 
     Output: keys, first, second, third -- structs of the whole events.
     """
     keys = list(keys)
     lim = _limit_micros(limit)
     t = keep_types(ensure_seq(tasks), e1, e2, e3)
+    if epoch == "repeat":
+        t = _assign_epochs(t, keys, e1, lim)
+        keys = keys + ["_epoch"]
+    elif epoch != "single":
+        raise ValueError("epoch must be 'single' or 'repeat'")
     payload = [c for c in t.columns if c not in ("event_time",)]
     row = F.struct(*[F.col(c) for c in payload])
     order = F.struct("timestamp", "event_seq")
@@ -50,4 +68,63 @@ def rule_anomaly(tasks: DataFrame, e1: int, e2: int, e3: int, limit,
         F.min_by(F.when(et == e3, row), F.when(et == e3, order)).alias("third"),
     )
     t1, t2, t3 = (F.col(f"{s}.timestamp") for s in ("first", "second", "third"))
-    return slots.where((t1 < t2) & (t2 < t3) & (t3 - t1 <= F.lit(lim)))
+    out = slots.where((t1 < t2) & (t2 < t3) & (t3 - t1 <= F.lit(lim)))
+    return out.drop("_epoch") if epoch == "repeat" else out
+
+
+def _epoch_starts(starts: DataFrame, keys: list[str], lim: int) -> DataFrame:
+    """e1 events (keys, timestamp, event_seq) -> the chain of epoch starts:
+    (keys, _idx, timestamp) of the e1 events that open an epoch."""
+    from .skew import running_count
+
+    from ..session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(starts.sparkSession)  # the shared folder; set only when missing
+    e = running_count(starts, keys, "_idx")  # 1, 2, ... per key in time order
+    # next(i): first e1 later than t_i + limit (as-of lookup, descending sort)
+    probes = e.select(*keys, (F.col("timestamp") + F.lit(lim)).alias("timestamp"),
+                      F.lit(1).alias("_kind"), F.col("_idx").alias("_src"),
+                      F.lit(None).cast("long").alias("_idx"))
+    items = e.select(*keys, "timestamp", F.lit(0).alias("_kind"),
+                     F.lit(None).cast("long").alias("_src"), "_idx")
+    desc = (Window.partitionBy(*keys).orderBy(F.desc("timestamp"), F.desc("_kind"))
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    nxt = (probes.unionByName(items)
+           .withColumn("_next", F.min("_idx").over(desc))
+           .where(F.col("_kind") == 1)
+           .select(*keys, F.col("_src").alias("_idx"), "_next"))
+    jump = nxt.checkpoint()
+    rounds = jump.groupBy(*keys).agg(F.max("_idx").alias("n")).agg(F.max("n")).first()[0] or 0
+    members = jump.where(F.col("_idx") == 1).select(*keys, "_idx")
+    step = 1
+    while step < rounds:
+        found = (members.join(jump, keys + ["_idx"]).where(F.col("_next").isNotNull())
+                 .select(*keys, F.col("_next").alias("_idx")))
+        members = members.unionByName(found).checkpoint()
+        if step * 2 >= rounds:
+            break  # the doubled pointers would not be used
+        jump = (jump.alias("a").join(jump.alias("b"), [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys]
+                                     + [F.col("a._next") == F.col("b._idx")], "left")
+                .select(*[F.col(f"a.{k}") for k in keys], F.col("a._idx"),
+                        F.col("b._next").alias("_next"))).checkpoint()
+        step *= 2
+    return members.join(e.select(*keys, "_idx", "timestamp"), keys + ["_idx"])
+
+
+def _assign_epochs(t: DataFrame, keys: list[str], e1: int, lim: int) -> DataFrame:
+    """Add ``_epoch`` (the start index of the epoch) to every event that lies
+    in a closed epoch; events after the last epoch end are dropped."""
+    starts = _epoch_starts(t.where(F.col("event_type") == e1).select(*keys, "timestamp", "event_seq"),
+                           keys, lim)
+    ends = starts.select(*keys, (F.col("timestamp") + F.lit(lim)).alias("_at"),
+                         F.lit(1).alias("_kind"), F.col("_idx").alias("_end_idx"))
+    ev = t.withColumn("_at", F.col("timestamp")).withColumn("_kind", F.lit(0)) \
+          .withColumn("_end_idx", F.lit(None).cast("long"))
+    both = ev.unionByName(ends, allowMissingColumns=True)
+    # ascending: an event at exactly an epoch end belongs to that epoch, so
+    # at equal times events sort before ends; descending reverses both
+    desc = (Window.partitionBy(*keys).orderBy(F.desc("_at"), F.desc("_kind"))
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    tagged = both.withColumn("_epoch", F.min("_end_idx").over(desc))
+    return (tagged.where((F.col("_kind") == 0) & F.col("_epoch").isNotNull())
+            .drop("_at", "_kind", "_end_idx"))

@@ -80,6 +80,13 @@ def rule_anomaly_single(spark: SparkSession, sf_dir: str) -> DataFrame:
                       for s in ("first", "second", "third") for c in ("timestamp", "event_seq")])
 
 
+def rule_anomaly_repeat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = patterns.rule_anomaly(task_events(spark, sf_dir, types=RULE_TYPES), epoch="repeat", **RULE)
+    return r.select("job_id", "task_index",
+                    *[F.col(f"{s}.{c}").alias(f"{s}_{c.replace('event_', '')}")
+                      for s in ("first", "second", "third") for c in ("timestamp", "event_seq")])
+
+
 TRAINING_END = "2024-01-15"
 
 
@@ -130,6 +137,7 @@ QUERIES: dict[str, Query] = {
     "max_task_completion_running": max_task_completion_running,
     "longest_session_per_job": longest_session_per_job,
     "rule_anomaly_single": rule_anomaly_single,
+    "rule_anomaly_repeat": rule_anomaly_repeat,
     "invariant_anomaly": invariant_anomaly,
     "time_series_anomaly": time_series_anomaly,
     "task_event_json": task_event_json,

@@ -214,3 +214,44 @@ FROM t
 """
 ORACLE["task_event_json"] = _WIRE
 ORACLE["task_event_text"] = _WIRE
+
+ORACLE["rule_anomaly_repeat"] = "WITH RECURSIVE " + T.strip() + f""",
+e AS (SELECT job_id, task_index, "timestamp", event_seq, event_type FROM t WHERE event_type IN (0, 1, 5)),
+s1 AS (SELECT job_id, task_index, "timestamp" AS ts FROM e WHERE event_type = 0),
+nx AS (
+  SELECT a.job_id, a.task_index, a.ts, min(b.ts) AS nts
+  FROM s1 a LEFT JOIN s1 b
+    ON b.job_id = a.job_id AND b.task_index = a.task_index AND b.ts > a.ts + {5 * DAY}
+  GROUP BY a.job_id, a.task_index, a.ts
+),
+chain AS (
+  SELECT job_id, task_index, min(ts) AS ts FROM s1 GROUP BY job_id, task_index
+  UNION ALL
+  SELECT c.job_id, c.task_index, nx.nts
+  FROM chain c JOIN nx ON nx.job_id = c.job_id AND nx.task_index = c.task_index AND nx.ts = c.ts
+  WHERE nx.nts IS NOT NULL
+),
+ep AS (
+  SELECT e.job_id, e.task_index, e."timestamp", e.event_seq, e.event_type, min(c.ts) AS epoch
+  FROM e JOIN chain c
+    ON c.job_id = e.job_id AND c.task_index = e.task_index AND c.ts + {5 * DAY} >= e."timestamp"
+  GROUP BY e.job_id, e.task_index, e."timestamp", e.event_seq, e.event_type
+),
+f AS (
+  SELECT *, row_number() OVER (PARTITION BY job_id, task_index, epoch, event_type
+                               ORDER BY "timestamp", event_seq) AS rn
+  FROM ep
+)
+SELECT a.job_id, a.task_index,
+       a."timestamp" AS first_timestamp, a.event_seq AS first_seq,
+       b."timestamp" AS second_timestamp, b.event_seq AS second_seq,
+       c."timestamp" AS third_timestamp, c.event_seq AS third_seq
+FROM f a
+JOIN f b ON b.job_id = a.job_id AND b.task_index = a.task_index AND b.epoch = a.epoch
+        AND b.event_type = 1 AND b.rn = 1
+JOIN f c ON c.job_id = a.job_id AND c.task_index = a.task_index AND c.epoch = a.epoch
+        AND c.event_type = 5 AND c.rn = 1
+WHERE a.event_type = 0 AND a.rn = 1
+  AND a."timestamp" < b."timestamp" AND b."timestamp" < c."timestamp"
+  AND c."timestamp" - a."timestamp" <= {5 * DAY}
+"""
