@@ -65,3 +65,31 @@ def test_running_max_split(spark):
     plain = max_task_completion(tasks, running=True, hot_key_rows=None)
     rows = lambda df: sorted(tuple(r) for r in df.collect())
     assert rows(split) == rows(plain) and len(rows(plain)) > 50
+
+
+def test_sessions_split(spark):
+    from conftest import make_jobs
+
+    from tracelens.operators.sessions import longest_session_per_job, session_ids
+
+    rnd = random.Random(9)
+    rows, t = [], 0
+    for _ in range(700):
+        t += rnd.choice((1, 2, 3, 40))  # gap 10: some steps break sessions
+        rows.append(dict(job=0 if rnd.random() < 0.4 else rnd.randrange(1, 8), ts=t, etype=0))
+    tasks = make_tasks(spark, rows, ms=False)
+    a = sorted(tuple(r) for r in session_ids(tasks.select("job_id", "timestamp", "event_seq"),
+                                             ["job_id"], 10, **SPLIT).collect())
+    b = sorted(tuple(r) for r in session_ids(tasks.select("job_id", "timestamp", "event_seq"),
+                                             ["job_id"], 10, hot_key_rows=None).collect())
+    assert a == b
+    jobs = make_jobs(spark, [dict(job=j, ts=0, etype=4) for j in range(8)])
+    x = sorted(tuple(r) for r in longest_session_per_job(tasks, jobs, 10, **SPLIT).collect())
+    # brute force
+    best, last, cur = {}, {}, {}
+    for r in rows:
+        j = r["job"]
+        cur[j] = cur.get(j, 0) + 1 if j in last and r["ts"] - last[j] <= 10 else 1
+        last[j] = r["ts"]
+        best[j] = max(best.get(j, 0), cur[j])
+    assert x == sorted(best.items())

@@ -1,18 +1,28 @@
 """The longest task session of every finished job.
 
-Sessions are Spark's ``session_window`` over SUBMIT task events per job
-(an event exactly one gap after the previous one joins its session).
-"Longest" means most events.  Only jobs with a FINISH job event give a row;
-the finished-job side is a semi join, so no job-event column is carried.
+A session is a maximal run of a job's SUBMIT task events in which each
+event follows the previous one by at most ``gap`` (an event exactly one gap
+later joins the session, like Spark's ``session_window``).  "Longest" means
+most events.  Only jobs with a FINISH job event give a row; the finished-job
+side is a semi join, so no job-event column is carried.
+
+``job_sessions`` uses ``session_window`` (session bounds included).  The
+longest-session job numbers sessions with a gap flag and a running sum per
+(job, chunk), so a job with a large share of the events is split over many
+tasks (``skew.add_chunks``); chunk borders are stitched by a prefix over a
+one-row-per-hot-chunk summary, and the events per session are counted with
+map-side partial aggregation.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..schema import EVENT_TIME, FINISH, SUBMIT
+from ..functions.time import interval_micros
+from ..schema import EVENT_TIME, FINISH, SUBMIT, ensure_seq
 from .filters import keep_types
+from .skew import CHUNK, add_chunks
 
 
 def _time(df: DataFrame) -> DataFrame:
@@ -36,11 +46,41 @@ def job_sessions(tasks: DataFrame, gap: str = "10 minutes") -> DataFrame:
                     "session_events")
 
 
+def session_ids(df: DataFrame, keys, gap_us: int, **split) -> DataFrame:
+    """Add ``_sid``: the number of the event's session within its key
+    (1, 2, ... in time order).  ``split``: arguments of ``add_chunks``."""
+    keys = list(keys)
+    d, hot = add_chunks(df, keys, **split)
+    w = Window.partitionBy(*keys, CHUNK).orderBy("timestamp", "event_seq")
+    d = d.withColumn("_pts", F.lag("timestamp").over(w))
+    new = F.col("_pts").isNull() | (F.col("timestamp") - F.col("_pts") > F.lit(gap_us))
+    d = d.withColumn("_lsid", F.sum(new.cast("long")).over(
+        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    if not hot:
+        return d.withColumn("_sid", F.col("_lsid")).drop("_pts", "_lsid", CHUNK)
+    summ = (d.where(F.col(CHUNK) > 0).groupBy(*keys, CHUNK)
+            .agg(F.min("timestamp").alias("_first"), F.max("timestamp").alias("_last"),
+                 F.max("_lsid").alias("_n")))
+    cw = Window.partitionBy(*keys).orderBy(CHUNK)
+    summ = summ.withColumn("_cont", F.coalesce(
+        F.col("_first") - F.lag("_last").over(cw) <= F.lit(gap_us), F.lit(False)))
+    summ = summ.withColumn("_inc", F.col("_n") - F.col("_cont").cast("long"))
+    summ = summ.withColumn("_end", F.sum("_inc").over(
+        cw.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    summ = summ.select(*keys, CHUNK, (F.col("_end") - F.col("_n")).alias("_off"))
+    # one row per hot chunk: bounded by the chunk budget
+    d = d.join(F.broadcast(summ), keys + [CHUNK], "left")
+    return (d.withColumn("_sid", F.col("_lsid") + F.coalesce(F.col("_off"), F.lit(0)))
+            .drop("_pts", "_lsid", "_off", CHUNK))
+
+
 def longest_session_per_job(tasks: DataFrame, jobs: DataFrame,
-                            gap: str = "10 minutes") -> DataFrame:
+                            gap: str = "10 minutes", **split) -> DataFrame:
     """(job_id, session_events) of the session with most events, for
     every job that has a FINISH event and at least one SUBMIT session."""
-    longest = (job_sessions(tasks, gap).groupBy("job_id")
-               .agg(F.max("session_events").alias("session_events")))
+    t = ensure_seq(keep_types(tasks, SUBMIT)).select("job_id", "timestamp", "event_seq")
+    ids = session_ids(t, ["job_id"], interval_micros(gap), **split)
+    per_session = ids.groupBy("job_id", "_sid").agg(F.count(F.lit(1)).alias("n"))
+    longest = per_session.groupBy("job_id").agg(F.max("n").alias("session_events"))
     finished = keep_types(jobs, FINISH).select("job_id")
     return longest.join(finished, "job_id", "left_semi")
