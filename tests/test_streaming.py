@@ -124,3 +124,31 @@ def test_longest_session_stream(spark):
     jevents = S.read_job_stream(spark, dj, max_files_per_trigger=1)
     out = run(spark, S.longest_session_stream(tasks, jevents, "10 minutes"))
     assert sorted((r.job_id, r.session_events) for r in out if r.job_id != FLUSH_JOB) == [(1, 5), (2, 2), (3, 5)]
+
+
+def test_max_task_completion_stream(spark):
+    d = tempfile.mkdtemp(prefix="tl-s-")
+    ev = [(42, 0, 1, SUBMIT, 0), (42, 0, 1, FINISH, 1), (42, 0, 1, SUBMIT, 2), (42, 7, 3, SUBMIT, 3),
+          (42, 7, 3, FINISH, 6), (42, 0, 1, FINISH, 12), (42, 1, 1, SUBMIT, 13), (42, 1, 1, FINISH, 33),
+          (23, 9, 4, SUBMIT, 35), (23, 9, 4, SUBMIT, 63), (23, 9, 4, FINISH, 75)]
+    rows = [task_record(job=j, task=k, priority=p, etype=e, ts=t) for j, k, p, e, t in ev]
+    write_batches(d, _chunks(rows, 3))
+    out = run(spark, S.max_task_completion_stream(S.read_task_stream(spark, d, max_files_per_trigger=1)))
+    got = sorted((r.timestamp, r.priority, r.max_duration // MS) for r in out)
+    assert [(p, m) for _, p, m in got] == [(1, 1), (3, 3), (1, 10), (1, 20), (4, 12)]
+
+
+def test_invariant_anomaly_stream(spark):
+    d = tempfile.mkdtemp(prefix="tl-s-")
+    submit = [(1, 3000), (2, 5000), (3, 11000), (4, 12000), (5, 21000), (6, 23000), (7, 30000), (8, 37000)]
+    sched = [(2, 7000), (1, 9000), (4, 15000), (3, 19000), (6, 27000), (5, 28000), (7, 35000), (8, 38000)]
+    rows = [task_record(job=j, task=j, priority=1, etype=SUBMIT, ts=t) for j, t in submit]
+    rows += [task_record(job=j, task=j, priority=1, etype=SCHEDULE, ts=t) for j, t in sched]
+    rows.sort(key=lambda r: r["timestamp"])
+    flush = [task_record(job=FLUSH_JOB, task=0, priority=1, etype=SUBMIT, ts=FAR),
+             task_record(job=FLUSH_JOB, task=0, priority=1, etype=SCHEDULE, ts=FAR + 1)]
+    write_batches(d, _chunks(rows, 4) + [flush])
+    tasks = S.read_task_stream(spark, d, max_files_per_trigger=1)
+    out = run(spark, S.invariant_anomaly_stream(tasks, 10000 * MS))
+    got = sorted((r.timestamp, r.priority, r.duration // MS) for r in out if r.job_id != FLUSH_JOB)
+    assert [(p, x) for _, p, x in got] == [(1, 8000), (1, 7000), (1, 1000)]

@@ -82,8 +82,10 @@ def job_event_count_stream(jobs: DataFrame) -> DataFrame:
 
 
 def pair_stream(df: DataFrame, keys, type_a: int, type_b: int, repeat: str = "latest",
-                carry=()) -> DataFrame:
-    """T1 stream: alternating pairs per key (append)."""
+                carry=(), event_time: bool = False) -> DataFrame:
+    """T1 stream: alternating pairs per key (append).  ``event_time=True``
+    adds the closing event's ``event_time`` and declares it the output's
+    event-time column, so a later stateful operator keeps the watermark."""
     keys, carry = list(keys), [c for c in carry if c not in keys]
     fields = [df.schema[k] for k in keys] + [
         T.StructField("timestamp", T.LongType()), T.StructField("event_seq", T.LongType()),
@@ -91,8 +93,12 @@ def pair_stream(df: DataFrame, keys, type_a: int, type_b: int, repeat: str = "la
         T.StructField("partner_timestamp", T.LongType()), T.StructField("partner_seq", T.LongType()),
         T.StructField("duration", T.LongType())]
     src = keep_types(df, type_a, type_b).select(*keys, "timestamp", "event_seq", "event_type", *carry)
-    proc = P.PairMatcher(keys, type_a, type_b, repeat, carry)
-    return src.groupBy(*keys).transformWithStateInPandas(proc, T.StructType(fields), "Append", "None")
+    proc = P.PairMatcher(keys, type_a, type_b, repeat, carry, event_time)
+    if not event_time:
+        return src.groupBy(*keys).transformWithStateInPandas(proc, T.StructType(fields), "Append", "None")
+    fields.append(T.StructField(EVENT_TIME, T.TimestampType()))
+    return src.groupBy(*keys).transformWithStateInPandas(
+        proc, T.StructType(fields), "Append", "EventTime", eventTimeColumnName=EVENT_TIME)
 
 
 def job_scheduling_latency_stream(jobs: DataFrame, repeat: str = "latest") -> DataFrame:
@@ -104,6 +110,30 @@ def task_duration_stream(tasks: DataFrame, type_a: int = SUBMIT, type_b: int = F
     return pair_stream(tasks, ["job_id", "task_index"], type_a, type_b, carry=["priority"])
 
 
+def max_task_completion_stream(tasks: DataFrame) -> DataFrame:
+    """Running maximum duration per priority, one row per completed task."""
+    d = task_duration_stream(tasks, SUBMIT, FINISH)
+    return d.select("priority", "timestamp", "event_seq", "duration").groupBy("priority") \
+        .transformWithStateInPandas(P.RunningMax(), "priority int, timestamp long, event_seq long, "
+                                    "max_duration long", "Append", "None")
+
+
+def invariant_anomaly_stream(tasks: DataFrame, training_end) -> DataFrame:
+    """Pairs per (job, task), then train-then-detect per priority by
+    event time (detection rows are held until the watermark passes the
+    training end)."""
+    from ..functions.time import instant_micros
+
+    end = instant_micros(training_end)
+    d = pair_stream(tasks, ["job_id", "task_index"], SUBMIT, SCHEDULE, carry=["priority"],
+                    event_time=True)
+    d = d.select("priority", "job_id", "task_index", "timestamp", "event_seq", "duration", EVENT_TIME)
+    schema = ("priority int, job_id long, task_index int, timestamp long, event_seq long, "
+              "duration long")
+    return d.groupBy("priority").transformWithStateInPandas(
+        P.InvariantCheck(end), schema, "Append", "EventTime")
+
+
 # ---------------------------------------------------------------- J4-J7
 
 def filter_task_events_stream(tasks: DataFrame, types=(SUBMIT, FINISH)) -> DataFrame:

@@ -59,8 +59,10 @@ class PairMatcher(StatefulProcessor):
     ignored (``first``); the other type emits the pair and empties the slot.
     ``carry`` columns come from the closing event."""
 
-    def __init__(self, keys, type_a: int, type_b: int, repeat: str = "latest", carry=()):
+    def __init__(self, keys, type_a: int, type_b: int, repeat: str = "latest", carry=(),
+                 event_time: bool = False):
         self.keys, self.types, self.repeat, self.carry = list(keys), (type_a, type_b), repeat, list(carry)
+        self.event_time = event_time
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.slot = handle.getValueState("slot", "type int, ts long, seq long")
@@ -94,7 +96,10 @@ class PairMatcher(StatefulProcessor):
         else:
             self.slot.update(slot)
         if out:
-            yield pd.DataFrame(out)
+            res = pd.DataFrame(out)
+            if self.event_time:
+                res["event_time"] = pd.to_datetime(res["timestamp"], unit="us", utc=True)
+            yield res
 
     def close(self) -> None:
         pass
@@ -273,3 +278,87 @@ class MovingAverageCheck(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class RunningMax(StatefulProcessor):
+    """J3 stream: per priority, one row per completed task with the largest
+    duration so far (the reference's rolling max)."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.best = handle.getValueState("best", "m long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        df = _sorted(rows)
+        if df.empty:
+            return
+        start = self.best.get()[0] if self.best.exists() else None
+        run = df["duration"].cummax()
+        if start is not None:
+            run = run.clip(lower=start)
+        self.best.update((int(run.iloc[-1]),))
+        yield pd.DataFrame({"priority": df["priority"].values, "timestamp": df["timestamp"].values,
+                            "event_seq": df["event_seq"].values, "max_duration": run.values})
+
+    def close(self) -> None:
+        pass
+
+
+class InvariantCheck(StatefulProcessor):
+    """J11 stream, per priority: pairs closing at or before ``training_end``
+    update the bounds; later pairs wait until the watermark passes the
+    training end (a timer), then are checked against the bounds; after that
+    they are checked on arrival."""
+
+    OUT = ["priority", "job_id", "task_index", "timestamp", "event_seq", "duration"]
+
+    def __init__(self, training_end_us: int):
+        self.end = int(training_end_us)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.bounds = handle.getValueState("bounds", "lo long, hi long")
+        self.pending = handle.getListState(
+            "pending", "job_id long, task_index int, timestamp long, event_seq long, duration long")
+        self.armed = handle.getValueState("armed", "a boolean")
+
+    def _check(self, priority, recs):
+        if not self.bounds.exists():
+            return []
+        lo, hi = self.bounds.get()
+        return [dict(zip(self.OUT, (priority,) + tuple(r))) for r in recs if r[4] > hi or r[4] < lo]
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        df = _sorted(rows)
+        if df.empty:
+            return
+        train = df[df["timestamp"] <= self.end]
+        if len(train):
+            lo, hi = int(train["duration"].min()), int(train["duration"].max())
+            if self.bounds.exists():
+                old = self.bounds.get()
+                lo, hi = min(lo, old[0]), max(hi, old[1])
+            self.bounds.update((lo, hi))
+        det = df[df["timestamp"] > self.end]
+        recs = [(int(r.job_id), int(r.task_index), int(r.timestamp), int(r.event_seq), int(r.duration))
+                for r in det.itertuples(index=False)]
+        if not recs:
+            return
+        if timerValues.getCurrentWatermarkInMs() * 1000 > self.end:
+            out = self._check(key[0], recs)
+            if out:
+                yield pd.DataFrame(out, columns=self.OUT)
+            return
+        self.pending.appendList(recs)
+        if not self.armed.exists():
+            self.handle.registerTimer(_timer_ms(self.end))
+            self.armed.update((True,))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        recs = list(self.pending.get())
+        self.pending.clear()
+        out = self._check(key[0], recs)
+        if out:
+            yield pd.DataFrame(out, columns=self.OUT)
+
+    def close(self) -> None:
+        pass
