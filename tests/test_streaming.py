@@ -152,3 +152,27 @@ def test_invariant_anomaly_stream(spark):
     out = run(spark, S.invariant_anomaly_stream(tasks, 10000 * MS))
     got = sorted((r.timestamp, r.priority, r.duration // MS) for r in out if r.job_id != FLUSH_JOB)
     assert [(p, x) for _, p, x in got] == [(1, 8000), (1, 7000), (1, 1000)]
+
+
+def test_trace_file_stream_task_statistics(spark):
+    """S1 as a stream: gzipped trace lines arrive file by file."""
+    import gzip
+    import os
+
+    from tracelens.sources.trace_files import stream_task_events
+
+    d = tempfile.mkdtemp(prefix="tl-s-")
+    lines = [f"{t * 1000},,1,0,{m},{e},u,1,1" for m, e, t in STATS]
+    lines.append(f"{FAR * 1000},,1,0,{FLUSH_JOB},{FINISH},u,1,1")
+    for i, chunk in enumerate(_chunks(lines, 6)):
+        p = os.path.join(d, f"part-{i:05d}.csv.gz")
+        with open(p, "wb") as f:
+            f.write(gzip.compress(("\n".join(chunk) + "\n").encode()))
+        os.utime(p, (1_600_000_000 + i, 1_600_000_000 + i))
+    tasks = stream_task_events(spark, d, max_files_per_trigger=1).withWatermark("event_time", "0 seconds")
+    out = run(spark, S.task_statistics_stream(tasks, "1 minute", by="machine_id"))
+    got = sorted((r.window_start // MS, r.machine_id, r.finished, r.failed, r.killed) for r in out
+                 if r.machine_id != FLUSH_JOB)
+    assert got == sorted([(0, 1, 1, 1, 0), (0, 2, 1, 0, 0), (0, 3, 1, 2, 0), (60000, 4, 0, 0, 1),
+                          (60000, 2, 0, 0, 2), (120000, 1, 1, 1, 0), (120000, 5, 0, 1, 1),
+                          (120000, 9, 0, 0, 1), (180000, 99, 1, 0, 0)])

@@ -45,12 +45,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     Only when the session has none (local tests) a scratch folder is created
     and set; on a cluster the configured shared folder is always used.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not current:
+        # only when nothing is configured (local tests): a scratch folder
         current = tempfile.mkdtemp(prefix="tracelens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
-    return current
+        try:
+            spark.conf.set("spark.checkpoint.dir", current)
+        except Exception:  # noqa: BLE001 - core conf may be read-only at runtime
+            pass
+    sc.setCheckpointDir(current)
+    return sc.getCheckpointDir() or current
 
 
 def checkpoint_path(spark: SparkSession, name: str) -> str:

@@ -12,9 +12,11 @@ line for bad rows, NULL for good ones); ``DROPMALFORMED`` drops bad rows;
 ``FAILFAST`` raises on the first bad row.
 
 ``event_seq`` (the tie break for equal timestamps) is
-``monotonically_increasing_id()``: it follows line order within a file and
-file order within a partition.  Gzip files are not splittable, so every
-file is read by one task in order and re-execution reproduces the ids.
+``monotonically_increasing_id()`` for batch reads: it follows line order
+within a file and file order within a partition.  Gzip files are not
+splittable, so every file is read by one task in order and re-execution
+reproduces the ids.  Streams use a hash of the record instead (ids must not
+restart with every micro-batch).
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schema import EVENT_TIME, JOB_COLUMNS, TASK_COLUMNS
+from ..schema import EVENT_TIME, JOB_COLUMNS, TASK_COLUMNS, ensure_seq
 
 MODES = ("PERMISSIVE", "DROPMALFORMED", "FAILFAST")
 
@@ -149,7 +151,7 @@ def stream_task_events(spark: SparkSession, path: str, max_files_per_trigger: in
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     lines = r.load(path)
-    df = apply_mode(parse_task_lines(lines), mode)
+    df = ensure_seq(apply_mode(parse_task_lines(lines), mode))
     return df.withColumn(EVENT_TIME, F.timestamp_micros("timestamp"))
 
 
@@ -159,5 +161,5 @@ def stream_job_events(spark: SparkSession, path: str, max_files_per_trigger: int
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     lines = r.load(path)
-    df = apply_mode(parse_job_lines(lines), mode)
+    df = ensure_seq(apply_mode(parse_job_lines(lines), mode))
     return df.withColumn(EVENT_TIME, F.timestamp_micros("timestamp"))
