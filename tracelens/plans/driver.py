@@ -6,6 +6,7 @@ about ten hours between two events of one user).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,9 @@ from pyspark.sql import functions as F
 from ..operators import anomaly, filters, pairs, patterns, rolling, sessions, windows
 from ..functions import codec
 from ..schema import FAIL, FINISH, KILL, SCHEDULE, SUBMIT
-from ..sources.tables import job_events, task_events
+from ..session import checkpoint_path
+from ..sources.tables import job_events, job_events_from_events, task_events, task_events_from_events
+from ..streaming import jobs as S
 
 TERMINAL = (FAIL, FINISH, KILL)
 
@@ -125,6 +128,37 @@ def task_event_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _roundtrip(spark, sf_dir, "text")
 
 
+def _stream_to_table(spark: SparkSession, out: DataFrame, name: str) -> DataFrame:
+    """Run a streaming job over everything available (availableNow), with
+    offsets, state and output under the shared checkpoint folder, and
+    return the written table (read back distributed, not collected)."""
+    base = checkpoint_path(spark, f"driver-{name}-{uuid.uuid4().hex}")
+    q = (out.writeStream.format("parquet").option("path", f"{base}/out")
+         .option("checkpointLocation", f"{base}/ck").outputMode("append")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
+def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.read_events_stream(spark, f"{sf_dir.rstrip('/')}/events*.parquet")
+
+
+def job_event_count_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    jobs = S.with_watermark(job_events_from_events(spark, _events_stream(spark, sf_dir)))
+    return _stream_to_table(spark, S.job_event_count_stream(jobs), "job_event_count")
+
+
+def job_scheduling_latency_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    jobs = S.with_watermark(job_events_from_events(spark, _events_stream(spark, sf_dir)))
+    return _stream_to_table(spark, S.job_scheduling_latency_stream(jobs), "job_scheduling_latency")
+
+
+def max_task_completion_running_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tasks = S.with_watermark(task_events_from_events(spark, _events_stream(spark, sf_dir)))
+    return _stream_to_table(spark, S.max_task_completion_stream(tasks), "max_task_completion")
+
+
 QUERIES: dict[str, Query] = {
     "task_statistics_per_machine": task_statistics_per_machine,
     "task_statistics_global": task_statistics_global,
@@ -142,4 +176,7 @@ QUERIES: dict[str, Query] = {
     "time_series_anomaly": time_series_anomaly,
     "task_event_json": task_event_json,
     "task_event_text": task_event_text,
+    "job_event_count_stream": job_event_count_stream,
+    "job_scheduling_latency_stream": job_scheduling_latency_stream,
+    "max_task_completion_running_stream": max_task_completion_running_stream,
 }

@@ -255,3 +255,8 @@ WHERE a.event_type = 0 AND a.rn = 1
   AND a."timestamp" < b."timestamp" AND b."timestamp" < c."timestamp"
   AND c."timestamp" - a."timestamp" <= {5 * DAY}
 """
+
+# Stream forms over the whole table in one micro-batch: same results as batch.
+ORACLE["job_event_count_stream"] = ORACLE["job_event_count"]
+ORACLE["job_scheduling_latency_stream"] = ORACLE["job_scheduling_latency"]
+ORACLE["max_task_completion_running_stream"] = ORACLE["max_task_completion_running"]

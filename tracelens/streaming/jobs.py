@@ -19,6 +19,12 @@ from ..schema import EVENT_TIME, FINISH, SCHEDULE, SUBMIT, TASK_SCHEMA
 from ..sources.tables import job_events_from_events, task_events_from_events
 from . import processors as P
 
+
+def _tws(grouped, df: DataFrame, proc, schema, time_mode: str, **kw) -> DataFrame:
+    """``transformWithStateInPandas`` in append mode (processors are pickled
+    by value, see ``processors``)."""
+    return grouped.transformWithStateInPandas(proc, schema, "Append", time_mode, **kw)
+
 EVENTS_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 
 
@@ -77,8 +83,8 @@ def job_stream(spark: SparkSession, path: str, delay: str = "0 seconds",
 def job_event_count_stream(jobs: DataFrame) -> DataFrame:
     """One row per event with the job's running count (append)."""
     schema = "job_id long, timestamp long, event_seq long, event_count long"
-    return (jobs.select("job_id", "timestamp", "event_seq").groupBy("job_id")
-            .transformWithStateInPandas(P.RunningCount("job_id"), schema, "Append", "None"))
+    src = jobs.select("job_id", "timestamp", "event_seq")
+    return _tws(src.groupBy("job_id"), src, P.RunningCount("job_id"), schema, "None")
 
 
 def pair_stream(df: DataFrame, keys, type_a: int, type_b: int, repeat: str = "latest",
@@ -95,10 +101,10 @@ def pair_stream(df: DataFrame, keys, type_a: int, type_b: int, repeat: str = "la
     src = keep_types(df, type_a, type_b).select(*keys, "timestamp", "event_seq", "event_type", *carry)
     proc = P.PairMatcher(keys, type_a, type_b, repeat, carry, event_time)
     if not event_time:
-        return src.groupBy(*keys).transformWithStateInPandas(proc, T.StructType(fields), "Append", "None")
+        return _tws(src.groupBy(*keys), src, proc, T.StructType(fields), "None")
     fields.append(T.StructField(EVENT_TIME, T.TimestampType()))
-    return src.groupBy(*keys).transformWithStateInPandas(
-        proc, T.StructType(fields), "Append", "EventTime", eventTimeColumnName=EVENT_TIME)
+    return _tws(src.groupBy(*keys), src, proc, T.StructType(fields), "EventTime",
+                eventTimeColumnName=EVENT_TIME)
 
 
 def job_scheduling_latency_stream(jobs: DataFrame, repeat: str = "latest") -> DataFrame:
@@ -112,10 +118,10 @@ def task_duration_stream(tasks: DataFrame, type_a: int = SUBMIT, type_b: int = F
 
 def max_task_completion_stream(tasks: DataFrame) -> DataFrame:
     """Running maximum duration per priority, one row per completed task."""
-    d = task_duration_stream(tasks, SUBMIT, FINISH)
-    return d.select("priority", "timestamp", "event_seq", "duration").groupBy("priority") \
-        .transformWithStateInPandas(P.RunningMax(), "priority int, timestamp long, event_seq long, "
-                                    "max_duration long", "Append", "None")
+    d = task_duration_stream(tasks, SUBMIT, FINISH).select("priority", "timestamp", "event_seq",
+                                                           "duration")
+    return _tws(d.groupBy("priority"), d, P.RunningMax(),
+                "priority int, timestamp long, event_seq long, max_duration long", "None")
 
 
 def invariant_anomaly_stream(tasks: DataFrame, training_end) -> DataFrame:
@@ -130,8 +136,7 @@ def invariant_anomaly_stream(tasks: DataFrame, training_end) -> DataFrame:
     d = d.select("priority", "job_id", "task_index", "timestamp", "event_seq", "duration", EVENT_TIME)
     schema = ("priority int, job_id long, task_index int, timestamp long, event_seq long, "
               "duration long")
-    return d.groupBy("priority").transformWithStateInPandas(
-        P.InvariantCheck(end), schema, "Append", "EventTime")
+    return _tws(d.groupBy("priority"), d, P.InvariantCheck(end), schema, "EventTime")
 
 
 # ---------------------------------------------------------------- J4-J7
@@ -173,13 +178,13 @@ def longest_session_stream(tasks: DataFrame, jobs: DataFrame, gap: str = "10 min
                                           F.lit("f").alias("kind"),
                                           F.lit(None).cast("long").alias("session_events"))
     both = sessions.unionByName(fin)
-    return both.groupBy("job_id").transformWithStateInPandas(
-        P.LongestSession(), "job_id long, session_events long", "Append", "EventTime")
+    return _tws(both.groupBy("job_id"), both, P.LongestSession(), "job_id long, session_events long",
+                "EventTime")
 
 
 # ---------------------------------------------------------------- J9 / J10
 
-SLOT_SCHEMA = T.StructType(TASK_SCHEMA.fields + [T.StructField("event_seq", T.LongType())])
+SLOT_SCHEMA = P.SLOT_SCHEMA
 
 
 def rule_anomaly_stream(tasks: DataFrame, e1: int, e2: int, e3: int, limit,
@@ -191,26 +196,12 @@ def rule_anomaly_stream(tasks: DataFrame, e1: int, e2: int, e3: int, limit,
         T.StructField(f"{s}_{f.name}", f.dataType) for s in ("first", "second", "third")
         for f in SLOT_SCHEMA.fields]
     src = keep_types(tasks, e1, e2, e3).select(*dict.fromkeys(keys + cols + [EVENT_TIME]))
-    proc = _FlatRule(keys, e1, e2, e3, interval_micros(limit), cols)
-    out = src.groupBy(*keys).transformWithStateInPandas(proc, T.StructType(flat), "Append", "EventTime")
+    proc = P.FlatSequenceRule(keys, e1, e2, e3, interval_micros(limit), cols)
+    out = _tws(src.groupBy(*keys), src, proc, T.StructType(flat), "EventTime")
     return out.select(*keys, *[F.struct(*[F.col(f"{s}_{c}").alias(c) for c in cols]).alias(s)
                                for s in ("first", "second", "third")])
 
 
-class _FlatRule(P.SequenceRule):
-    """SequenceRule with the three event structs flattened for Arrow."""
-
-    def _emit(self, key, vals):
-        rec = super()._emit(key, vals)
-        if rec is None:
-            return None
-        flat = {k: rec[k] for k in self.keys}
-        for s in ("first", "second", "third"):
-            for c, v in rec[s].items():
-                flat[f"{s}_{c}"] = v
-        return flat
-
-
 def start_rule_anomaly(tasks: DataFrame, sink: str, checkpoint: str, e1: int, e2: int, e3: int,
                        limit, available_now: bool = True, trigger_interval: str = "1 second"):
     """The restartable rule job.  ``tasks`` is a watermarked task stream
@@ -240,4 +231,4 @@ def time_series_anomaly_stream(tasks: DataFrame, length="5 seconds", slide="2 se
                            T.StructField("current_avg", T.DoubleType()),
                            T.StructField("moving_avg", T.DoubleType())])
     proc = P.MovingAverageCheck(windows, interval_micros(slide), diff, by)
-    return a.groupBy(by).transformWithStateInPandas(proc, schema, "Append", "EventTime")
+    return _tws(a.groupBy(by), a, proc, schema, "EventTime")

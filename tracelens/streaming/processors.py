@@ -8,11 +8,20 @@ the data; Spark timers and watermarks are milliseconds.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from ..schema import TASK_SCHEMA
+
+# A slot of the sequence rule holds one whole task event.
+SLOT_SCHEMA = T.StructType(TASK_SCHEMA.fields + [T.StructField("event_seq", T.LongType())])
+SLOT_COLUMNS = [f.name for f in SLOT_SCHEMA.fields]
+
 
 def _sorted(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
     frames = [f for f in rows if len(f)]
@@ -123,12 +132,8 @@ class SequenceRule(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        from ..schema import TASK_SCHEMA
-        from pyspark.sql import types as T
-
-        slot_schema = T.StructType(TASK_SCHEMA.fields + [T.StructField("event_seq", T.LongType())])
-        self.slot_cols = [f.name for f in slot_schema.fields]
-        self.slots = [handle.getValueState(f"slot{i}", slot_schema) for i in range(3)]
+        self.slot_cols = SLOT_COLUMNS
+        self.slots = [handle.getValueState(f"slot{i}", SLOT_SCHEMA) for i in range(3)]
         self.deadline = handle.getValueState("deadline", "d long")
 
     def _load(self):
@@ -362,3 +367,23 @@ class InvariantCheck(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class FlatSequenceRule(SequenceRule):
+    """SequenceRule with the three event structs flattened for Arrow."""
+
+    def _emit(self, key, vals):
+        rec = super()._emit(key, vals)
+        if rec is None:
+            return None
+        flat = {k: rec[k] for k in self.keys}
+        for s in ("first", "second", "third"):
+            for c, v in rec[s].items():
+                flat[f"{s}_{c}"] = v
+        return flat
+
+
+# Processors travel to Python workers by value, so neither the executors'
+# workers nor the driver-side state-schema runner need this package on
+# their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
