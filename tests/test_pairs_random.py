@@ -71,3 +71,16 @@ def test_equal_timestamps_use_sequence(spark):
     tasks = make_tasks(spark, [dict(job=k, ts=t, etype=e) for k, t, e in ev], ms=False)
     out = pair_events(tasks, ["job_id"], 0, 1).orderBy("event_seq").collect()
     assert [(r.event_seq, r.partner_seq) for r in out] == [(1, 0), (3, 2)]
+
+
+def test_batch_result_ignores_row_order(spark):
+    ev = _events(21)
+    rows = [dict(job=k, ts=t, etype=e) for k, t, e in ev]
+    a = make_tasks(spark, rows, ms=False)
+    # same events (same event_seq), different physical order
+    from pyspark.sql import functions as F
+
+    b = a.orderBy(F.rand(7)).repartition(5)
+    ra = sorted(tuple(r) for r in pair_events(a, ["job_id"], 0, 1).collect())
+    rb = sorted(tuple(r) for r in pair_events(b, ["job_id"], 0, 1).collect())
+    assert ra == rb and len(ra) > 100

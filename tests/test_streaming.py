@@ -176,3 +176,31 @@ def test_trace_file_stream_task_statistics(spark):
     assert got == sorted([(0, 1, 1, 1, 0), (0, 2, 1, 0, 0), (0, 3, 1, 2, 0), (60000, 4, 0, 0, 1),
                           (60000, 2, 0, 0, 2), (120000, 1, 1, 1, 0), (120000, 5, 0, 1, 1),
                           (120000, 9, 0, 0, 1), (180000, 99, 1, 0, 0)])
+
+
+def test_disorder_within_delay_and_late_rows(spark):
+    """Input shuffled within the watermark delay gives the batch result;
+    a row later than the watermark is dropped and counted."""
+    import random
+
+    from tracelens.streaming.sinks import late_rows, start
+
+    d = tempfile.mkdtemp(prefix="tl-s-")
+    rows = [task_record(machine=m, etype=e, ts=t) for m, e, t in STATS]
+    rnd = random.Random(3)
+    batches = _chunks(rows, 5)
+    for b in batches:
+        rnd.shuffle(b)  # disorder inside a batch, all within the 60 s delay
+    late = [task_record(machine=7, etype=FINISH, ts=1000)]  # far behind the watermark
+    flush = [task_record(machine=FLUSH_JOB, etype=FINISH, ts=FAR)]
+    write_batches(d, batches + [late, flush])
+    tasks = S.read_task_stream(spark, d, delay="60 seconds", max_files_per_trigger=1)
+    q = start(S.task_statistics_stream(tasks, "1 minute"), "memory", name="disorder_q",
+              checkpoint=tempfile.mkdtemp(prefix="tl-ck-"))
+    q.processAllAvailable()
+    q.stop()
+    out = spark.sql("SELECT * FROM disorder_q").collect()
+    got = sorted((r.window_start // MS, r.finished, r.failed, r.killed) for r in out
+                 if r.window_start < FAR * MS - 60 * 10**6)
+    assert got == [(0, 3, 3, 0), (60000, 0, 0, 3), (120000, 1, 2, 2), (180000, 1, 0, 0)]
+    assert late_rows(q) == 1
