@@ -159,6 +159,32 @@ def max_task_completion_running_stream(spark: SparkSession, sf_dir: str) -> Data
     return _stream_to_table(spark, S.max_task_completion_stream(tasks), "max_task_completion")
 
 
+def job_scheduling_latency_directed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pairs.job_scheduling_latency(job_events(spark, sf_dir, types=(SUBMIT, SCHEDULE)),
+                                        directed=True)
+
+
+def task_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sessions.job_sessions(task_events(spark, sf_dir, types=(SUBMIT,)), gap="3 days")
+
+
+def cpu_window_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = anomaly.window_means(task_events(spark, sf_dir, types=(SCHEDULE,)), "3 days", "1 day")
+    return m.select("machine_id", "window_end", F.round("current_avg", 6).alias("current_avg"))
+
+
+def task_statistics_from_trace_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table written out as gzipped trace lines (one folder under the
+    shared checkpoint dir), read back through the trace-file reader (S1-S3),
+    then J6."""
+    from ..sources import trace_files
+
+    folder = checkpoint_path(spark, f"driver-trace-{uuid.uuid4().hex}")
+    trace_files.write_task_events(task_events(spark, sf_dir), folder)
+    tasks = trace_files.read_task_events(spark, folder, mode="FAILFAST")
+    return windows.task_statistics(tasks, window="1 day", by="machine_id")
+
+
 QUERIES: dict[str, Query] = {
     "task_statistics_per_machine": task_statistics_per_machine,
     "task_statistics_global": task_statistics_global,
@@ -176,6 +202,10 @@ QUERIES: dict[str, Query] = {
     "time_series_anomaly": time_series_anomaly,
     "task_event_json": task_event_json,
     "task_event_text": task_event_text,
+    "job_scheduling_latency_directed": job_scheduling_latency_directed,
+    "task_sessions": task_sessions,
+    "cpu_window_means": cpu_window_means,
+    "task_statistics_from_trace_files": task_statistics_from_trace_files,
     "job_event_count_stream": job_event_count_stream,
     "job_scheduling_latency_stream": job_scheduling_latency_stream,
     "max_task_completion_running_stream": max_task_completion_running_stream,

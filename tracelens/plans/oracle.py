@@ -76,9 +76,12 @@ FROM t
 """
 
 
-def _pairs(name: str, keys: list[str], ta: int, tb: int, repeat: str, carry: list[str]) -> str:
+def _pairs(name: str, keys: list[str], ta: int, tb: int, repeat: str, carry: list[str],
+           directed: bool = False) -> str:
     """Recursive CTE that walks each key's events one by one with the slot
-    (type, ts, seq) as carried state; ``<name>`` holds the emitted pairs."""
+    (type, ts, seq) as carried state; ``<name>`` holds the emitted pairs.
+    ``directed``: only ``ta`` events fill the slot, a ``tb`` without a
+    filled slot is ignored."""
     k = ", ".join(keys)
     on = " AND ".join(f"e.{c} = w.{c}" for c in keys)
     ek = ", ".join(f"e.{c}" for c in keys)
@@ -86,6 +89,23 @@ def _pairs(name: str, keys: list[str], ta: int, tb: int, repeat: str, carry: lis
     ecr = "".join(f", e.{c}" for c in carry)
     keep_ts, keep_seq = (('e."timestamp"', "e.event_seq") if repeat == "latest"
                          else ("w.s_ts", "w.s_seq"))
+    if directed:
+        s_type = f"""CASE WHEN w.s_type IS NULL THEN (CASE WHEN e.event_type = {ta} THEN e.event_type END)
+              WHEN w.s_type = e.event_type THEN e.event_type END"""
+        s_ts = f"""CASE WHEN w.s_type IS NULL THEN (CASE WHEN e.event_type = {ta} THEN e."timestamp" END)
+              WHEN w.s_type = e.event_type THEN {keep_ts} END"""
+        s_seq = f"""CASE WHEN w.s_type IS NULL THEN (CASE WHEN e.event_type = {ta} THEN e.event_seq END)
+              WHEN w.s_type = e.event_type THEN {keep_seq} END"""
+        first_type = f"CASE WHEN event_type = {ta} THEN event_type END"
+        first_ts = f'CASE WHEN event_type = {ta} THEN "timestamp" END'
+        first_seq = f"CASE WHEN event_type = {ta} THEN event_seq END"
+    else:
+        s_type = "CASE WHEN w.s_type IS NULL OR w.s_type = e.event_type THEN e.event_type END"
+        s_ts = f"""CASE WHEN w.s_type IS NULL THEN e."timestamp"
+              WHEN w.s_type = e.event_type THEN {keep_ts} END"""
+        s_seq = f"""CASE WHEN w.s_type IS NULL THEN e.event_seq
+              WHEN w.s_type = e.event_type THEN {keep_seq} END"""
+        first_type, first_ts, first_seq = "event_type", '"timestamp"', "event_seq"
     return f"""
 {name}_e AS (
   SELECT {k}, "timestamp", event_seq, event_type{cr},
@@ -93,16 +113,14 @@ def _pairs(name: str, keys: list[str], ta: int, tb: int, repeat: str, carry: lis
   FROM t WHERE event_type IN ({ta}, {tb})
 ),
 {name}_walk AS (
-  SELECT {k}, rn, event_type AS s_type, "timestamp" AS s_ts, event_seq AS s_seq,
+  SELECT {k}, rn, {first_type} AS s_type, {first_ts} AS s_ts, {first_seq} AS s_seq,
          false AS emit, "timestamp", event_seq{cr}, NULL::BIGINT AS p_ts
   FROM {name}_e WHERE rn = 1
   UNION ALL
   SELECT {ek}, e.rn,
-         CASE WHEN w.s_type IS NULL OR w.s_type = e.event_type THEN e.event_type END,
-         CASE WHEN w.s_type IS NULL THEN e."timestamp"
-              WHEN w.s_type = e.event_type THEN {keep_ts} END,
-         CASE WHEN w.s_type IS NULL THEN e.event_seq
-              WHEN w.s_type = e.event_type THEN {keep_seq} END,
+         {s_type},
+         {s_ts},
+         {s_seq},
          w.s_type IS NOT NULL AND w.s_type <> e.event_type,
          e."timestamp", e.event_seq{ecr}, w.s_ts
   FROM {name}_walk w JOIN {name}_e e ON {on} AND e.rn = w.rn + 1
@@ -260,3 +278,35 @@ WHERE a.event_type = 0 AND a.rn = 1
 ORACLE["job_event_count_stream"] = ORACLE["job_event_count"]
 ORACLE["job_scheduling_latency_stream"] = ORACLE["job_scheduling_latency"]
 ORACLE["max_task_completion_running_stream"] = ORACLE["max_task_completion_running"]
+
+ORACLE["job_scheduling_latency_directed"] = "WITH RECURSIVE " + T.strip() + "," + _pairs(
+    "p", ["job_id"], 0, 1, "latest", [], directed=True) + """
+SELECT job_id, "timestamp", event_seq, duration AS latency FROM p
+"""
+
+ORACLE["task_sessions"] = _with(T, f"""
+s AS (
+  SELECT job_id, "timestamp", event_seq,
+         CASE WHEN "timestamp" - lag("timestamp") OVER (PARTITION BY job_id ORDER BY "timestamp", event_seq)
+                   > {3 * DAY} THEN 1 ELSE 0 END AS brk
+  FROM t WHERE event_type = 0
+)""", """
+s2 AS (
+  SELECT job_id, "timestamp", sum(brk) OVER (PARTITION BY job_id ORDER BY "timestamp", event_seq
+                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid
+  FROM s
+)""") + f"""
+SELECT job_id, min("timestamp") AS session_start, max("timestamp") + {3 * DAY} AS session_end,
+       count(*) AS session_events
+FROM s2 GROUP BY job_id, sid
+"""
+
+ORACLE["cpu_window_means"] = _with(T) + f"""
+SELECT machine_id, ("timestamp" // {DAY}) * {DAY} + o.k * {DAY} AS window_end,
+       round(avg(max_cpu), 6) AS current_avg
+FROM t, (SELECT range AS k FROM range(1, 4)) o
+WHERE event_type = 1 AND max_cpu > 0
+GROUP BY 1, 2
+"""
+
+ORACLE["task_statistics_from_trace_files"] = ORACLE["task_statistics_per_machine"]

@@ -139,6 +139,26 @@ def read_job_events(spark: SparkSession, path: str, mode: str = "DROPMALFORMED",
     return _finish(apply_mode(parse_job_lines(lines), mode), with_time)
 
 
+def task_lines(tasks: DataFrame) -> DataFrame:
+    """Task events -> trace lines (file field order; machine -1 written as an
+    empty field, the flag as 0/1)."""
+    def s(c):
+        return F.coalesce(F.col(c).cast("string"), F.lit(""))
+
+    fields = [s("timestamp"), s("missing_info"), s("job_id"), s("task_index"),
+              F.when(F.col("machine_id") == -1, F.lit("")).otherwise(s("machine_id")),
+              s("event_type"), s("username"), s("scheduling_class"), s("priority"),
+              s("max_cpu"), s("max_ram"), s("max_disk"),
+              F.when(F.col("different_machine"), F.lit("1")).otherwise(F.lit("0"))]
+    return tasks.select(F.concat_ws(",", *fields).alias("value"))
+
+
+def write_task_events(tasks: DataFrame, path: str, compression: str = "gzip",
+                      mode: str = "overwrite") -> None:
+    """Write task events as trace files (one gzipped part per partition)."""
+    task_lines(tasks).write.mode(mode).option("compression", compression).text(path)
+
+
 def bad_records(parsed: DataFrame) -> DataFrame:
     """The rejected lines of a PERMISSIVE read."""
     return parsed.where(F.col("_corrupt_record").isNotNull()).select("_corrupt_record")
