@@ -29,6 +29,7 @@ TASK_LINES = [
     "5000,,7,4,13,0,bob,1,3",
     "6000,,8,0,14,0,carol,1",                        # 8 tokens: error
     "abc,,8,0,14,0,carol,1,2",                       # not a number: error
+    "7000,,9,0,15,1,dave,1,2,0.5,0.5,0.5,0,extra",   # 14 tokens: the extra one is ignored
 ]
 
 
@@ -36,7 +37,7 @@ def test_task_reader_permissive(spark):
     d = _write(TASK_LINES)
     parsed = trace_files.parse_task_lines(spark.read.text(d))
     rows = {r.timestamp: r for r in parsed.collect() if r._corrupt_record is None}
-    assert set(rows) == {1000, 2000, 3000, 4000, 5000}
+    assert set(rows) == {1000, 2000, 3000, 4000, 5000, 7000}
     assert rows[1000].max_cpu == 0.0 and rows[1000].different_machine is False
     assert rows[2000].machine_id == -1 and rows[2000].max_disk == 0.125 and rows[2000].missing_info == "x"
     assert rows[3000].different_machine is True and rows[3000].event_type == FINISH
@@ -48,7 +49,10 @@ def test_task_reader_permissive(spark):
 def test_task_reader_modes(spark):
     d = _write(TASK_LINES)
     df = trace_files.read_task_events(spark, d, mode="DROPMALFORMED")
-    assert df.count() == 5
+    assert sorted(r.timestamp for r in df.collect()) == [1000, 2000, 3000, 4000, 5000, 7000]
+    rows = {r.timestamp: r for r in df.collect()}
+    assert rows[2000].machine_id == -1 and rows[2000].max_disk == 0.125 and rows[1000].max_cpu == 0.0
+    assert rows[3000].different_machine is True and rows[4000].event_type is None
     assert set(df.columns) >= set(TASK_COLUMNS) | {"event_seq", "event_time"}
     with pytest.raises(Exception, match="Invalid event record"):
         trace_files.read_task_events(spark, d, mode="FAILFAST").collect()

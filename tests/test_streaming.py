@@ -204,3 +204,18 @@ def test_disorder_within_delay_and_late_rows(spark):
                  if r.window_start < FAR * MS - 60 * 10**6)
     assert got == [(0, 3, 3, 0), (60000, 0, 0, 3), (120000, 1, 2, 2), (180000, 1, 0, 0)]
     assert late_rows(q) == 1
+
+
+def test_longest_session_ignores_sessions_after_finish(spark):
+    """Sessions that close after the job's finish timer fired are ignored."""
+    dt, dj = tempfile.mkdtemp(prefix="tl-s-"), tempfile.mkdtemp(prefix="tl-s-"),
+    b1 = [task_record(job=1, etype=SUBMIT, ts=t) for t in (0, 1000, 2000)]
+    b2 = [task_record(job=1, etype=SUBMIT, ts=t) for t in (3_000_000, 3_001_000)]
+    b3 = [task_record(job=FLUSH_JOB, etype=SUBMIT, ts=FAR)]
+    write_batches(dt, [b1, b2, b3])
+    write_batches(dj, [[job_record(1, 100_000, FINISH)], [job_record(2, 3_100_000, SUBMIT)],
+                       [job_record(FLUSH_JOB, FAR, FINISH)]], kind="job")
+    tasks = S.read_task_stream(spark, dt, max_files_per_trigger=1)
+    jevents = S.read_job_stream(spark, dj, max_files_per_trigger=1)
+    out = run(spark, S.longest_session_stream(tasks, jevents, "10 minutes"))
+    assert sorted((r.job_id, r.session_events) for r in out if r.job_id != FLUSH_JOB) == [(1, 3)]

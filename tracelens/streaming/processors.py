@@ -211,6 +211,7 @@ class LongestSession(StatefulProcessor):
         self.done = handle.getValueState("done", "d boolean")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        yield from ()  # a generator: every path returns an (empty) iterator
         df = _sorted(rows)
         if df.empty or self.done.exists():
             return
@@ -224,7 +225,6 @@ class LongestSession(StatefulProcessor):
             t = int(f["timestamp"].iloc[0])
             self.finish.update((t,))
             self.handle.registerTimer(_timer_ms(t))
-        return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         best = self.best.get()[0] if self.best.exists() else None
@@ -252,6 +252,7 @@ class MovingAverageCheck(StatefulProcessor):
         self.pending = handle.getMapState("pending", "timer long", "frame_end long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        yield from ()
         for pdf in rows:
             for end, avg in zip(pdf["window_end"], pdf["current_avg"]):
                 self.means.updateValue((int(end),), (float(avg),))
@@ -259,7 +260,6 @@ class MovingAverageCheck(StatefulProcessor):
                 timer = -(-frame_end // 1000)  # first ms at or after the frame end
                 self.pending.updateValue((timer,), (frame_end,))
                 self.handle.registerTimer(timer)
-        return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         timer = expiredTimerInfo.getExpiryTimeInMs()
