@@ -93,3 +93,14 @@ def test_sessions_split(spark):
         last[j] = r["ts"]
         best[j] = max(best.get(j, 0), cur[j])
     assert x == sorted(best.items())
+
+
+def test_pairs_all_modes_split_equal_state_machine(spark):
+    for seed, repeat, directed in ((31, "first", False), (32, "latest", True), (33, "first", True),
+                                   (34, "first", False)):
+        ev = _skewed(seed)
+        tasks = make_tasks(spark, [dict(job=k, ts=t, etype=e) for k, t, e in ev], ms=False)
+        got = {(r.job_id, r.event_seq, r.partner_seq) for r in
+               pair_events(tasks, ["job_id"], 0, 1, repeat=repeat, directed=directed, **SPLIT).collect()}
+        want = state_machine([(k, i, e) for i, (k, t, e) in enumerate(ev)], repeat, directed)
+        assert got == want, (seed, repeat, directed)

@@ -43,9 +43,8 @@ def pair_events(df: DataFrame, keys: Sequence[str], type_a: int, type_b: int,
     duration (``abs`` of the time difference, microseconds).
 
     Keys with more than ``hot_key_rows`` events are split into time chunks
-    (``skew.add_chunks``) in the default mode (``latest``, undirected);
-    ``hot_key_rows=None`` turns splitting off; ``chunk_plan`` reuses a plan
-    from ``skew.plan_chunks``.
+    (``skew.add_chunks``); ``hot_key_rows=None`` turns splitting off and
+    ``chunk_plan`` reuses a plan from ``skew.plan_chunks``.
     """
     if repeat not in ("latest", "first"):
         raise ValueError("repeat must be 'latest' or 'first'")
@@ -53,10 +52,8 @@ def pair_events(df: DataFrame, keys: Sequence[str], type_a: int, type_b: int,
     carry = [c for c in carry if c not in keys]
     d = keep_types(ensure_seq(df), type_a, type_b).select(
         *keys, "timestamp", "event_seq", "event_type", *carry)
-    if repeat == "latest" and not directed:
-        out = _pairs_latest(d, keys, hot_key_rows, chunk_rows, chunk_plan)
-    else:
-        out = _pairs_plain(d, keys, type_a, type_b, repeat, directed)
+    d, hot = add_chunks(d, keys, hot_key_rows=hot_key_rows, chunk_rows=chunk_rows, plan=chunk_plan)
+    out = _match(d, keys, type_a, type_b, repeat, directed, hot)
     return out.select(*keys, "timestamp", "event_seq", "event_type", *carry,
                       F.col("_partner.ts").alias("partner_timestamp"),
                       F.col("_partner.seq").alias("partner_seq"),
@@ -67,75 +64,57 @@ def _here():
     return F.struct(F.col("timestamp").alias("ts"), F.col("event_seq").alias("seq"))
 
 
-def _pairs_plain(d: DataFrame, keys, type_a, type_b, repeat, directed) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy("timestamp", "event_seq")
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    here = _here()
+def _pair(ts: str, seq: str):
+    return F.struct(F.col(ts).alias("ts"), F.col(seq).alias("seq"))
 
-    d = (d.withColumn("_pt", F.lag("event_type").over(w))
-          .withColumn("_prev", F.lag(here).over(w)))
-    d = d.withColumn("_chg", F.col("_pt").isNull() | (F.col("_pt") != F.col("event_type")))
-    # first row of my run (and of the run before, through lag)
-    d = d.withColumn("_rfirst", F.last(F.when(F.col("_chg"), here), ignorenulls=True).over(upto))
 
-    if directed:
-        emit = F.col("_chg") & (F.col("event_type") == type_b) & (F.col("_pt") == type_a)
-        partner = F.col("_prev") if repeat == "latest" else F.lag("_rfirst").over(w)
-        return d.withColumn("_partner", partner).where(emit)
-    d = d.withColumn("_run", F.sum(F.col("_chg").cast("long")).over(upto))
-    d = d.withColumn("_long", F.max(F.when(~F.col("_chg"), F.col("_run"))).over(before))
-    d = d.withColumn("_open", ((F.col("_run") - 1 - F.coalesce(F.col("_long"), F.lit(-1))) % 2) == 0)
-    if repeat == "latest":
-        d = d.withColumn("_partner", F.col("_prev"))
-    else:
-        # run r-1 entered open: its first row closed a pair, its second row
-        # filled the slot; entered closed: its first row filled the slot.
-        d = (d.withColumn("_pchg", F.lag("_chg").over(w))
-              .withColumn("_rsecond", F.last(F.when(~F.col("_chg") & F.col("_pchg"), here),
-                                             ignorenulls=True).over(upto))
-              .withColumn("_ropen", F.last(F.when(F.col("_chg"), F.col("_open")),
-                                           ignorenulls=True).over(upto)))
-        d = d.withColumn("_partner", F.when(F.lag("_ropen").over(w), F.lag("_rsecond").over(w))
-                         .otherwise(F.lag("_rfirst").over(w)))
-    return d.where(F.col("_chg") & F.col("_open"))
-
-
-def _pairs_latest(d: DataFrame, keys, hot_key_rows, chunk_rows, chunk_plan=None) -> DataFrame:
-    """``latest`` mode, per (key, chunk), stitched across chunk borders.
-
-    Local (per chunk) values: run number ``_run``, ``_long`` (largest run
-    number of a non-first row before this row), ``_chg`` (row starts a run).
-    A chunk summary gives, from the chunks before it: ``_cont`` (the chunk's
-    first row continues the previous chunk's last run), ``_roff`` (run
-    number offset), ``_jb`` (largest run number of a non-first row in all
-    earlier chunks) and the previous chunk's last event.  For chunk 0 (all
-    keys that were not split) the summary is empty and the formulas reduce
-    to the single-partition ones.
+def _match(d: DataFrame, keys, type_a, type_b, repeat, directed, hot) -> DataFrame:
+    """All four variants, per (key, chunk), stitched across chunk borders.
+
+    Local (per chunk) values: ``_chg`` (row starts a run), run number
+    ``_run``, ``_long`` (largest run number of a non-first row before this
+    row).  Summary A gives each hot chunk, from the chunks before it:
+    ``_cont`` (its first row continues the previous chunk's last run),
+    ``_roff`` (run number offset), ``_jb`` (largest run number of a
+    non-first row in earlier chunks), the previous chunk's last event and
+    type.  That yields, per row, the global run start ``g_chg`` and
+    ``open`` (the slot is full when the run starts), hence the emitting
+    rows; ``latest`` pairs with the previous row.
+
+    ``first`` pairs with the last "filler" before the emitting row: the
+    event that filled the slot.  Undirected, that is the first non-emitting
+    row of a run (the first row of a run entered empty, else its second
+    row); directed, the first row of a ``type_a`` run.  "Last filler" is a
+    running last-non-null, carried across chunks by summary B.  For chunk 0
+    (every key that was not split) no summary applies and all formulas
+    reduce to plain running windows.
     """
-    d, hot = add_chunks(d, keys, hot_key_rows=hot_key_rows, chunk_rows=chunk_rows, plan=chunk_plan)
     w = Window.partitionBy(*keys, CHUNK).orderBy("timestamp", "event_seq")
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
+    cw = Window.partitionBy(*keys).orderBy(CHUNK)
+    cw_before = cw.rowsBetween(Window.unboundedPreceding, -1)
+    et = F.col("event_type")
+
     d = (d.withColumn("_pt", F.lag("event_type").over(w))
-          .withColumn("_prev", F.lag(_here()).over(w)))
-    d = d.withColumn("_chg", F.col("_pt").isNull() | (F.col("_pt") != F.col("event_type")))
+          .withColumn("_prev", F.lag(_here()).over(w))
+          .withColumn("_rn", F.row_number().over(w)))
+    d = d.withColumn("_chg", F.col("_pt").isNull() | (F.col("_pt") != et))
     d = d.withColumn("_run", F.sum(F.col("_chg").cast("long")).over(upto))
     d = d.withColumn("_long", F.max(F.when(~F.col("_chg"), F.col("_run"))).over(before))
-    first = F.col("_pt").isNull()
+    first = F.col("_rn") == 1
 
     if hot:
-        d = d.withColumn("_rn", F.row_number().over(w))
         summ = (d.where(F.col(CHUNK) > 0).groupBy(*keys, CHUNK).agg(
-            F.max(F.when(F.col("_pt").isNull(), F.col("event_type"))).alias("_tf"),
+            F.max(F.when(first, et)).alias("_tf"),
             F.max_by("event_type", "_rn").alias("_tl"),
             F.max_by("timestamp", "_rn").alias("_lts"),
             F.max_by("event_seq", "_rn").alias("_lseq"),
             F.max("_run").alias("_nchg"),
             F.max(F.when(~F.col("_chg"), F.col("_run"))).alias("_mx")))
-        cw = Window.partitionBy(*keys).orderBy(CHUNK)
         summ = (summ.withColumn("_plts", F.lag("_lts").over(cw))
                     .withColumn("_plseq", F.lag("_lseq").over(cw))
+                    .withColumn("_ptl", F.lag("_tl").over(cw))
                     .withColumn("_cont", F.coalesce(F.lag("_tl").over(cw) == F.col("_tf"), F.lit(False))))
         summ = summ.withColumn("_inc", F.col("_nchg") - F.col("_cont").cast("long"))
         summ = summ.withColumn("_rend", F.sum("_inc").over(
@@ -143,21 +122,69 @@ def _pairs_latest(d: DataFrame, keys, hot_key_rows, chunk_rows, chunk_plan=None)
         summ = summ.withColumn("_roff", F.col("_rend") - F.col("_inc") - F.col("_cont").cast("long"))
         summ = summ.withColumn("_jc", F.greatest(F.col("_roff") + F.col("_mx"),
                                                  F.when(F.col("_cont"), F.col("_roff") + 1)))
-        summ = summ.withColumn("_jb", F.max("_jc").over(cw.rowsBetween(Window.unboundedPreceding, -1)))
-        summ = summ.select(*keys, CHUNK, "_cont", "_roff", "_jb", "_plts", "_plseq")
-        # one row per hot chunk: bounded by add_chunks' chunk budget
+        summ = summ.withColumn("_jb", F.max("_jc").over(cw_before))
+        summ = summ.select(*keys, CHUNK, "_cont", "_roff", "_jb", "_plts", "_plseq", "_ptl")
+        # one row per hot chunk: bounded by the chunk budget of add_chunks
         d = d.join(F.broadcast(summ), keys + [CHUNK], "left")
-        cont = F.coalesce(F.col("_cont"), F.lit(False))
-        roff = F.coalesce(F.col("_roff"), F.lit(0).cast("long"))
-        g_chg = F.when(first, ~cont).otherwise(F.col("_chg"))
-        g_run = roff + F.col("_run")
-        g_long = F.greatest(F.col("_jb"), F.when(~first & cont, roff + 1), roff + F.col("_long"))
-        partner = F.when(first, F.struct(F.col("_plts").alias("ts"), F.col("_plseq").alias("seq"))) \
-            .otherwise(F.col("_prev"))
     else:
-        g_chg, g_run, g_long, partner = F.col("_chg"), F.col("_run"), F.col("_long"), F.col("_prev")
-    is_open = ((g_run - 1 - F.coalesce(g_long, F.lit(-1))) % 2) == 0
-    return d.where(g_chg & is_open).withColumn("_partner", partner)
+        d = (d.withColumn("_cont", F.lit(False)).withColumn("_roff", F.lit(0).cast("long"))
+              .withColumn("_jb", F.lit(None).cast("long"))
+              .withColumn("_plts", F.lit(None).cast("long")).withColumn("_plseq", F.lit(None).cast("long"))
+              .withColumn("_ptl", F.lit(None).cast("int")))
+
+    cont = F.coalesce(F.col("_cont"), F.lit(False))
+    roff = F.coalesce(F.col("_roff"), F.lit(0).cast("long"))
+    g_chg = F.when(first, ~cont).otherwise(F.col("_chg"))
+    g_pt = F.when(first, F.col("_ptl")).otherwise(F.col("_pt"))
+    g_run = roff + F.col("_run")
+    g_long = F.greatest(F.col("_jb"), F.when(~first & cont, roff + 1), roff + F.col("_long"))
+    if directed:
+        emit = g_chg & (et == type_b) & (g_pt == type_a)
+    else:
+        emit = g_chg & (((g_run - 1 - F.coalesce(g_long, F.lit(-1))) % 2) == 0)
+    d = d.withColumn("_gchg", g_chg).withColumn("_emit", F.coalesce(emit, F.lit(False)))
+
+    if repeat == "latest":
+        partner = F.when(first, _pair("_plts", "_plseq")).otherwise(F.col("_prev"))
+        return d.where(F.col("_emit")).withColumn("_partner", partner)
+
+    # ---- repeat == "first": last filler strictly before the emitting row
+    def filler(prev_emit):
+        if directed:
+            return F.col("_gchg") & (et == type_a)
+        return ~F.col("_emit") & (F.col("_gchg") | (prev_emit & ~F.col("_gchg")))
+
+    if hot:
+        d = d.withColumn("_lemit_l", F.lag("_emit").over(w))
+        rest = filler(F.coalesce(F.col("_lemit_l"), F.lit(False))) & ~first
+        summ_b = (d.where(F.col(CHUNK) > 0).groupBy(*keys, CHUNK).agg(
+            F.max_by("_emit", "_rn").alias("_lemit"),
+            F.max_by("timestamp", F.when(rest, F.col("_rn"))).alias("_rts"),
+            F.max_by("event_seq", F.when(rest, F.col("_rn"))).alias("_rseq"),
+            F.max(F.when(first, F.col("_emit"))).alias("_femit"),
+            F.max(F.when(first, F.col("_gchg"))).alias("_fchg"),
+            F.max(F.when(first, et)).alias("_ftype"),
+            F.max(F.when(first, F.col("timestamp"))).alias("_fts"),
+            F.max(F.when(first, F.col("event_seq"))).alias("_fseq")))
+        summ_b = summ_b.withColumn("_plemit", F.coalesce(F.lag("_lemit").over(cw), F.lit(False)))
+        if directed:
+            fcand = F.col("_fchg") & (F.col("_ftype") == type_a)
+        else:
+            fcand = ~F.col("_femit") & (F.col("_fchg") | (F.col("_plemit") & ~F.col("_fchg")))
+        last_in_chunk = F.when(F.col("_rts").isNotNull(), _pair("_rts", "_rseq")) \
+            .otherwise(F.when(fcand, _pair("_fts", "_fseq")))
+        summ_b = summ_b.withColumn("_clast", last_in_chunk)
+        summ_b = summ_b.select(*keys, CHUNK, "_plemit",
+                               F.last("_clast", ignorenulls=True).over(cw_before).alias("_pcand"))
+        d = d.join(F.broadcast(summ_b), keys + [CHUNK], "left")
+        prev_emit = F.when(first, F.coalesce(F.col("_plemit"), F.lit(False))) \
+            .otherwise(F.coalesce(F.col("_lemit_l"), F.lit(False)))
+    else:
+        d = d.withColumn("_pcand", F.lit(None).cast("struct<ts:bigint,seq:bigint>"))
+        prev_emit = F.coalesce(F.lag("_emit").over(w), F.lit(False))
+    d = d.withColumn("_fill", filler(prev_emit))
+    d = d.withColumn("_lf", F.last(F.when(F.col("_fill"), _here()), ignorenulls=True).over(before))
+    return d.where(F.col("_emit")).withColumn("_partner", F.coalesce(F.col("_lf"), F.col("_pcand")))
 
 
 def job_scheduling_latency(jobs: DataFrame, repeat: str = "latest",
