@@ -98,9 +98,10 @@ def test_longest_session_needs_finish(spark):
 
 def test_session_gap_tie(spark):
     tasks = make_tasks(spark, [dict(job=1, etype=SUBMIT, ts=t * 1000) for t in (0, 600, 1201)])
-    out = sessions.job_sessions(tasks, "10 minutes").orderBy("session_start").collect()
-    assert [(r.session_start // MS, r.session_end // MS, r.session_events) for r in out] == [
-        (0, 1200000, 2), (1201000, 1801000, 1)]
+    for fn in (sessions.job_sessions, sessions.job_sessions_windowed):
+        out = fn(tasks, "10 minutes").orderBy("session_start").collect()
+        assert [(r.session_start // MS, r.session_end // MS, r.session_events) for r in out] == [
+            (0, 1200000, 2), (1201000, 1801000, 1)]
 
 
 def test_rule_anomaly(spark):

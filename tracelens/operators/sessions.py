@@ -6,12 +6,12 @@ later joins the session, like Spark's ``session_window``).  "Longest" means
 most events.  Only jobs with a FINISH job event give a row; the finished-job
 side is a semi join, so no job-event column is carried.
 
-``job_sessions`` uses ``session_window`` (session bounds included).  The
-longest-session job numbers sessions with a gap flag and a running sum per
-(job, chunk), so a job with a large share of the events is split over many
-tasks (``skew.add_chunks``); chunk borders are stitched by a prefix over a
+Sessions are numbered with a gap flag and a running sum per (job, chunk),
+so a job with a large share of the events is split over many tasks
+(``skew.add_chunks``); chunk borders are stitched by a prefix over a
 one-row-per-hot-chunk summary, and the events per session are counted with
-map-side partial aggregation.
+map-side partial aggregation.  ``job_sessions_windowed`` is the same result
+through Spark's ``session_window``.
 """
 
 from __future__ import annotations
@@ -31,12 +31,27 @@ def _time(df: DataFrame) -> DataFrame:
     return df.withColumn(EVENT_TIME, F.timestamp_micros("timestamp"))
 
 
-def job_sessions(tasks: DataFrame, gap: str = "10 minutes") -> DataFrame:
-    """Sessions of SUBMIT task events per job.
+def job_sessions(tasks: DataFrame, gap: str = "10 minutes", **split) -> DataFrame:
+    """Sessions of SUBMIT task events per job (the bounds Spark's
+    ``session_window`` gives: start = first event, end = last event + gap).
 
     Output: job_id, session_start, session_end (BIGINT microseconds),
-    session_events.
+    session_events.  Numbered by ``session_ids`` (hot jobs split), then one
+    aggregation per (job, session) with map-side partial aggregation.
     """
+    g = interval_micros(gap)
+    t = ensure_seq(keep_types(tasks, SUBMIT)).select("job_id", "timestamp", "event_seq")
+    ids = session_ids(t, ["job_id"], g, **split)
+    return (ids.groupBy("job_id", "_sid")
+            .agg(F.min("timestamp").alias("session_start"),
+                 (F.max("timestamp") + F.lit(g)).alias("session_end"),
+                 F.count(F.lit(1)).alias("session_events"))
+            .drop("_sid"))
+
+
+def job_sessions_windowed(tasks: DataFrame, gap: str = "10 minutes") -> DataFrame:
+    """The same sessions through Spark's ``session_window`` (the form the
+    streaming job uses); a job's events are merged in one task."""
     t = keep_types(_time(tasks), SUBMIT)
     s = (t.groupBy("job_id", F.session_window(EVENT_TIME, gap).alias("s"))
          .agg(F.count(F.lit(1)).alias("session_events")))
