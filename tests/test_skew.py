@@ -104,3 +104,25 @@ def test_pairs_all_modes_split_equal_state_machine(spark):
                pair_events(tasks, ["job_id"], 0, 1, repeat=repeat, directed=directed, **SPLIT).collect()}
         want = state_machine([(k, i, e) for i, (k, t, e) in enumerate(ev)], repeat, directed)
         assert got == want, (seed, repeat, directed)
+
+
+def test_rule_repeat_split_equals_state_machine(spark):
+    from test_restart import rule_state_machine
+
+    from tracelens.operators.patterns import rule_anomaly
+
+    rnd = random.Random(41)
+    ev, t = [], 0
+    for _ in range(900):
+        t += rnd.randint(1, 9)
+        k = 0 if rnd.random() < 1 / 3 else rnd.randrange(1, 6)
+        ev.append((k, t, rnd.choice((0, 1, 5, 0, 2))))
+    tasks = make_tasks(spark, [dict(job=k, task=0, etype=e, ts=t) for k, t, e in ev], ms=False)
+    split = dict(hot_key_rows=40, chunk_rows=15)
+    out = rule_anomaly(tasks, 0, 1, 5, 200, epoch="repeat", **split).collect()
+    got = {(r.job_id, r.first.timestamp, r.second.timestamp, r.third.timestamp) for r in out}
+    want = rule_state_machine(ev, 0, 1, 5, 200)
+    assert want and got == want
+    # and the hot key was split
+    from tracelens.operators.skew import plan_chunks
+    assert plan_chunks(tasks, ["job_id", "task_index"], **split).chunks > 5

@@ -19,7 +19,8 @@ joins the members found so far with the 2^k-step pointers, so
 round's result checkpointed to cut lineage.  Events are then assigned to
 the epoch whose end is the first one at or after them (a running minimum
 over a descending sort), and the single-epoch slot aggregation runs per
-(key, epoch).
+(key, epoch).  The per-key running count and both as-of lookups split hot
+keys into time chunks (``skew``), so no key needs a single task.
 """
 
 from __future__ import annotations
@@ -44,7 +45,7 @@ def _limit_micros(limit) -> int:
 
 
 def rule_anomaly(tasks: DataFrame, e1: int, e2: int, e3: int, limit,
-                 keys: Sequence[str] = DEFAULT_KEYS, epoch: str = "single") -> DataFrame:
+                 keys: Sequence[str] = DEFAULT_KEYS, epoch: str = "single", **split) -> DataFrame:
     """J9.  ``limit`` is microseconds or an interval string; ``epoch`` is
     ``"single"`` or ``"repeat"`` (see the module doc).
 
@@ -54,7 +55,7 @@ def rule_anomaly(tasks: DataFrame, e1: int, e2: int, e3: int, limit,
     lim = _limit_micros(limit)
     t = keep_types(ensure_seq(tasks), e1, e2, e3)
     if epoch == "repeat":
-        t = _assign_epochs(t, keys, e1, lim)
+        t = _assign_epochs(t, keys, e1, lim, **split)
         keys = keys + ["_epoch"]
     elif epoch != "single":
         raise ValueError("epoch must be 'single' or 'repeat'")
@@ -72,27 +73,22 @@ def rule_anomaly(tasks: DataFrame, e1: int, e2: int, e3: int, limit,
     return out.drop("_epoch") if epoch == "repeat" else out
 
 
-def _epoch_starts(starts: DataFrame, keys: list[str], lim: int) -> DataFrame:
+def _epoch_starts(starts: DataFrame, keys: list[str], lim: int, plan) -> DataFrame:
     """e1 events (keys, timestamp, event_seq) -> the chain of epoch starts:
     (keys, _idx, timestamp) of the e1 events that open an epoch."""
-    from .skew import running_count
-
     from ..session import ensure_checkpoint_dir
+    from .skew import min_item_after, running_count
 
     ensure_checkpoint_dir(starts.sparkSession)  # the shared folder; set only when missing
-    e = running_count(starts, keys, "_idx")  # 1, 2, ... per key in time order
-    # next(i): first e1 later than t_i + limit (as-of lookup, descending sort)
-    probes = e.select(*keys, (F.col("timestamp") + F.lit(lim)).alias("timestamp"),
-                      F.lit(1).alias("_kind"), F.col("_idx").alias("_src"),
-                      F.lit(None).cast("long").alias("_idx"))
-    items = e.select(*keys, "timestamp", F.lit(0).alias("_kind"),
-                     F.lit(None).cast("long").alias("_src"), "_idx")
-    desc = (Window.partitionBy(*keys).orderBy(F.desc("timestamp"), F.desc("_kind"))
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    nxt = (probes.unionByName(items)
-           .withColumn("_next", F.min("_idx").over(desc))
-           .where(F.col("_kind") == 1)
-           .select(*keys, F.col("_src").alias("_idx"), "_next"))
+    e = running_count(starts, keys, "_idx", plan=plan)  # 1, 2, ... per key in time order
+    # next(i): first e1 strictly later than t_i + limit
+    probes = e.select(*keys, (F.col("timestamp") + F.lit(lim)).alias("_t"), F.lit(False).alias("_item"),
+                      F.col("_idx").alias("_src"), F.lit(None).cast("long").alias("_val"))
+    items = e.select(*keys, F.col("timestamp").alias("_t"), F.lit(True).alias("_item"),
+                     F.lit(None).cast("long").alias("_src"), F.col("_idx").alias("_val"))
+    nxt = (min_item_after(probes.unionByName(items), keys, "_t", "_item", "_val", "_next",
+                          items_first_at_tie=True, plan=plan)
+           .where(~F.col("_item")).select(*keys, F.col("_src").alias("_idx"), "_next"))
     jump = nxt.checkpoint()
     rounds = jump.groupBy(*keys).agg(F.max("_idx").alias("n")).agg(F.max("n")).first()[0] or 0
     members = jump.where(F.col("_idx") == 1).select(*keys, "_idx")
@@ -111,20 +107,20 @@ def _epoch_starts(starts: DataFrame, keys: list[str], lim: int) -> DataFrame:
     return members.join(e.select(*keys, "_idx", "timestamp"), keys + ["_idx"])
 
 
-def _assign_epochs(t: DataFrame, keys: list[str], e1: int, lim: int) -> DataFrame:
+def _assign_epochs(t: DataFrame, keys: list[str], e1: int, lim: int, **split) -> DataFrame:
     """Add ``_epoch`` (the start index of the epoch) to every event that lies
     in a closed epoch; events after the last epoch end are dropped."""
+    from .skew import min_item_after, plan_chunks
+
+    plan = plan_chunks(t, keys, **split)
     starts = _epoch_starts(t.where(F.col("event_type") == e1).select(*keys, "timestamp", "event_seq"),
-                           keys, lim)
-    ends = starts.select(*keys, (F.col("timestamp") + F.lit(lim)).alias("_at"),
-                         F.lit(1).alias("_kind"), F.col("_idx").alias("_end_idx"))
-    ev = t.withColumn("_at", F.col("timestamp")).withColumn("_kind", F.lit(0)) \
-          .withColumn("_end_idx", F.lit(None).cast("long"))
-    both = ev.unionByName(ends, allowMissingColumns=True)
-    # ascending: an event at exactly an epoch end belongs to that epoch, so
-    # at equal times events sort before ends; descending reverses both
-    desc = (Window.partitionBy(*keys).orderBy(F.desc("_at"), F.desc("_kind"))
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    tagged = both.withColumn("_epoch", F.min("_end_idx").over(desc))
-    return (tagged.where((F.col("_kind") == 0) & F.col("_epoch").isNotNull())
-            .drop("_at", "_kind", "_end_idx"))
+                           keys, lim, plan)
+    ends = starts.select(*keys, (F.col("timestamp") + F.lit(lim)).alias("_t"),
+                         F.lit(True).alias("_item"), F.col("_idx").alias("_val"))
+    ev = (t.withColumn("_t", F.col("timestamp")).withColumn("_item", F.lit(False))
+           .withColumn("_val", F.lit(None).cast("long")))
+    # an event at exactly an epoch end belongs to that epoch
+    tagged = min_item_after(ev.unionByName(ends, allowMissingColumns=True), keys, "_t", "_item",
+                            "_val", "_epoch", items_first_at_tie=False, plan=plan)
+    return (tagged.where(~F.col("_item") & F.col("_epoch").isNotNull())
+            .drop("_t", "_item", "_val"))

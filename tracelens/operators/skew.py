@@ -137,3 +137,38 @@ def running_max(df: DataFrame, keys: Sequence[str], value: str, out: str,
     d = d.join(F.broadcast(before), keys + [CHUNK], "left")
     return (d.withColumn(out, F.greatest(F.col("_local"), F.col("_before")))
             .drop("_local", "_before", CHUNK))
+
+
+def min_item_after(df: DataFrame, keys: Sequence[str], t: str, is_item: str, value: str,
+                   out: str, items_first_at_tie: bool, plan: ChunkPlan | None = None,
+                   **split) -> DataFrame:
+    """For every row, the smallest ``value`` among the *item* rows
+    (``is_item`` true) of the same key that come after it in time.
+
+    At equal ``t`` an item counts as "after" unless ``items_first_at_tie``
+    (then only strictly later items count).  Computed per (key, chunk) with
+    a running minimum over a descending sort; the rest comes from later
+    chunks through a suffix minimum over a one-row-per-hot-chunk summary.
+    """
+    keys = list(keys)
+    if plan is None:
+        d, hot = add_chunks(df, keys, ts=t, **split)
+    else:
+        d, hot = apply_chunks(df, plan, ts=t), plan.chunks
+    # descending order: at equal t the rows that are "after" come first
+    tie = F.col(is_item).cast("int")
+    tie = F.desc(tie) if not items_first_at_tie else F.asc(tie)
+    w = (Window.partitionBy(*keys, CHUNK).orderBy(F.desc(t), tie)
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    d = d.withColumn("_local", F.min(F.when(F.col(is_item), F.col(value))).over(w))
+    if not hot:
+        return d.withColumnRenamed("_local", out).drop(CHUNK)
+    # every hot chunk (with or without items) gets the minimum of the later ones
+    mins = (d.where(F.col(CHUNK) > 0).groupBy(*keys, CHUNK)
+            .agg(F.min(F.when(F.col(is_item), F.col(value))).alias("_cmin")))
+    later = mins.select(*keys, CHUNK, F.min("_cmin").over(
+        Window.partitionBy(*keys).orderBy(F.desc(CHUNK))
+        .rowsBetween(Window.unboundedPreceding, -1)).alias("_later"))
+    d = d.join(F.broadcast(later), keys + [CHUNK], "left")
+    return (d.withColumn(out, F.coalesce(F.col("_local"), F.col("_later")))
+            .drop("_local", "_later", CHUNK))
