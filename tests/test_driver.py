@@ -51,3 +51,18 @@ def test_query_matches_oracle(spark, duck, name):
     ocols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(ocols)
     assert _rows(df.columns, df.collect()) == _rows(ocols, res.fetchall())
+
+
+@pytest.mark.parametrize("tz", ["America/Los_Angeles", "Asia/Kolkata"])
+def test_results_do_not_depend_on_session_time_zone(spark, duck, tz):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", tz)
+    try:
+        for name in ("task_statistics_per_machine", "job_scheduling_latency", "invariant_anomaly",
+                     "busy_machines"):
+            df = E.queries()[name](spark, SF)
+            res = duck.execute(E.oracle_sql()[name])
+            ocols = [d[0] for d in res.description]
+            assert _rows(df.columns, df.collect()) == _rows(ocols, res.fetchall()), name
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -38,11 +38,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _micros(spark: SparkSession, ts: str) -> F.Column:
-    # ts is TIMESTAMP_NTZ (wall clock).  The cast interprets it in the session
-    # zone; to_utc_timestamp undoes that, so the result is independent of
+    # ts is TIMESTAMP_NTZ (a wall clock without zone).  The difference to
+    # the NTZ epoch involves no time zone, so the result does not depend on
     # spark.sql.session.timeZone.
-    tz = spark.conf.get("spark.sql.session.timeZone", "UTC")
-    return F.unix_micros(F.to_utc_timestamp(F.col(ts).cast("timestamp"), tz))
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_diff("MICROSECOND", epoch, F.col(ts))
 
 
 def _event_code(col: str) -> F.Column:

@@ -20,9 +20,22 @@ from ..sources.tables import job_events_from_events, task_events_from_events
 from . import processors as P
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def ensure_rocksdb(spark: SparkSession) -> None:
+    """transformWithState keeps several state variables per key, which only
+    the RocksDB state store supports; select it when the session uses
+    another provider (a runtime SQL setting, read when a query starts)."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if spark.conf.get(key, None) != ROCKSDB:
+        spark.conf.set(key, ROCKSDB)
+
+
 def _tws(grouped, df: DataFrame, proc, schema, time_mode: str, **kw) -> DataFrame:
     """``transformWithStateInPandas`` in append mode (processors are pickled
     by value, see ``processors``)."""
+    ensure_rocksdb(df.sparkSession)
     return grouped.transformWithStateInPandas(proc, schema, "Append", time_mode, **kw)
 
 EVENTS_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
