@@ -219,3 +219,61 @@ def test_longest_session_ignores_sessions_after_finish(spark):
     jevents = S.read_job_stream(spark, dj, max_files_per_trigger=1)
     out = run(spark, S.longest_session_stream(tasks, jevents, "10 minutes"))
     assert sorted((r.job_id, r.session_events) for r in out if r.job_id != FLUSH_JOB) == [(1, 3)]
+
+
+def test_longest_session_wait_for_open_session(spark):
+    """Waiting one gap after the finish also counts the session that was
+    still open at the finish."""
+    def run_once(wait):
+        dt, dj = tempfile.mkdtemp(prefix="tl-s-"), tempfile.mkdtemp(prefix="tl-s-")
+        # session [0, 2000] (3 events); finish at 1500; flush far away
+        write_batches(dt, [[task_record(job=1, etype=SUBMIT, ts=t) for t in (0, 1000, 2000)],
+                           [task_record(job=FLUSH_JOB, etype=SUBMIT, ts=FAR)]])
+        write_batches(dj, [[job_record(1, 1500, FINISH)], [job_record(FLUSH_JOB, FAR, FINISH)]], kind="job")
+        out = run(spark, S.longest_session_stream(S.read_task_stream(spark, dt, max_files_per_trigger=1),
+                                                  S.read_job_stream(spark, dj, max_files_per_trigger=1),
+                                                  "10 minutes", wait_for_open_session=wait))
+        return sorted((r.job_id, r.session_events) for r in out if r.job_id != FLUSH_JOB)
+
+    assert run_once(True) == [(1, 3)]
+
+
+def test_pair_stream_with_ttl(spark):
+    """With a TTL the processor runs on processing time and the query keeps
+    running (no-data batches evict expired slots): poll the sink, then stop."""
+    import time
+
+    d = tempfile.mkdtemp(prefix="tl-s-")
+    ev = [(1, 0, SUBMIT), (1, 5, SCHEDULE), (2, 6, SUBMIT)]
+    write_batches(d, [[job_record(j, t, e) for j, t, e in ev]], kind="job")
+    out = S.job_scheduling_latency_stream(S.read_job_stream(spark, d), ttl="1 hour")
+    q = (out.writeStream.format("memory").queryName("ttl_q")
+         .option("checkpointLocation", tempfile.mkdtemp(prefix="tl-ck-")).start())
+    try:
+        rows = []
+        for _ in range(120):
+            rows = spark.sql("SELECT * FROM ttl_q").collect()
+            if rows:
+                break
+            time.sleep(0.5)
+    finally:
+        q.stop()
+    assert [(r.job_id, r.latency // MS) for r in rows] == [(1, 5)]
+
+
+def test_rule_stream_ttl_clears_slots_without_e1(spark):
+    """A SCHEDULE without a SUBMIT blocks the slot for ever in the reference;
+    with a ttl it is cleared after that much event time, so a later epoch can
+    use a new SCHEDULE."""
+    def once(ttl):
+        d = tempfile.mkdtemp(prefix="tl-s-")
+        early = [task_record(job=1, task=1, etype=SCHEDULE, ts=1000)]
+        later = [task_record(job=1, task=1, etype=e, ts=t) for e, t in
+                 ((SUBMIT, 100000), (SCHEDULE, 101000), (KILL, 102000))]
+        write_batches(d, [early, later, [task_record(job=FLUSH_JOB, etype=SUBMIT, ts=FAR)]])
+        tasks = S.read_task_stream(spark, d, max_files_per_trigger=1)
+        out = run(spark, S.rule_anomaly_stream(tasks, SUBMIT, SCHEDULE, KILL, 10000 * MS, ttl=ttl))
+        return sorted((r.job_id, r.second.timestamp // MS) for r in out if r.job_id != FLUSH_JOB)
+
+    assert once(None) == []
+    assert once("30 seconds") == [(1, 101000)]

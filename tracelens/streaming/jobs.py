@@ -93,6 +93,10 @@ def job_stream(spark: SparkSession, path: str, delay: str = "0 seconds",
 
 # ---------------------------------------------------------------- J1, T1
 
+def _ttl_ms(ttl) -> int | None:
+    return None if ttl is None else max(1, interval_micros(ttl) // 1000)
+
+
 def job_event_count_stream(jobs: DataFrame) -> DataFrame:
     """One row per event with the job's running count (append)."""
     schema = "job_id long, timestamp long, event_seq long, event_count long"
@@ -101,10 +105,11 @@ def job_event_count_stream(jobs: DataFrame) -> DataFrame:
 
 
 def pair_stream(df: DataFrame, keys, type_a: int, type_b: int, repeat: str = "latest",
-                carry=(), event_time: bool = False) -> DataFrame:
+                carry=(), event_time: bool = False, ttl: str | int | None = None) -> DataFrame:
     """T1 stream: alternating pairs per key (append).  ``event_time=True``
     adds the closing event's ``event_time`` and declares it the output's
-    event-time column, so a later stateful operator keeps the watermark."""
+    event-time column, so a later stateful operator keeps the watermark.
+    ``ttl`` (interval or microseconds) drops slots untouched that long."""
     keys, carry = list(keys), [c for c in carry if c not in keys]
     fields = [df.schema[k] for k in keys] + [
         T.StructField("timestamp", T.LongType()), T.StructField("event_seq", T.LongType()),
@@ -112,21 +117,24 @@ def pair_stream(df: DataFrame, keys, type_a: int, type_b: int, repeat: str = "la
         T.StructField("partner_timestamp", T.LongType()), T.StructField("partner_seq", T.LongType()),
         T.StructField("duration", T.LongType())]
     src = keep_types(df, type_a, type_b).select(*keys, "timestamp", "event_seq", "event_type", *carry)
-    proc = P.PairMatcher(keys, type_a, type_b, repeat, carry, event_time)
+    proc = P.PairMatcher(keys, type_a, type_b, repeat, carry, event_time, _ttl_ms(ttl))
     if not event_time:
-        return _tws(src.groupBy(*keys), src, proc, T.StructType(fields), "None")
+        # state TTL runs on processing time
+        mode = "ProcessingTime" if ttl is not None else "None"
+        return _tws(src.groupBy(*keys), src, proc, T.StructType(fields), mode)
     fields.append(T.StructField(EVENT_TIME, T.TimestampType()))
     return _tws(src.groupBy(*keys), src, proc, T.StructType(fields), "EventTime",
                 eventTimeColumnName=EVENT_TIME)
 
 
-def job_scheduling_latency_stream(jobs: DataFrame, repeat: str = "latest") -> DataFrame:
-    p = pair_stream(jobs, ["job_id"], SUBMIT, SCHEDULE, repeat)
+def job_scheduling_latency_stream(jobs: DataFrame, repeat: str = "latest", ttl=None) -> DataFrame:
+    p = pair_stream(jobs, ["job_id"], SUBMIT, SCHEDULE, repeat, ttl=ttl)
     return p.select("job_id", "timestamp", "event_seq", F.col("duration").alias("latency"))
 
 
-def task_duration_stream(tasks: DataFrame, type_a: int = SUBMIT, type_b: int = FINISH) -> DataFrame:
-    return pair_stream(tasks, ["job_id", "task_index"], type_a, type_b, carry=["priority"])
+def task_duration_stream(tasks: DataFrame, type_a: int = SUBMIT, type_b: int = FINISH,
+                         ttl=None) -> DataFrame:
+    return pair_stream(tasks, ["job_id", "task_index"], type_a, type_b, carry=["priority"], ttl=ttl)
 
 
 def max_task_completion_stream(tasks: DataFrame) -> DataFrame:
@@ -177,10 +185,12 @@ def busy_machines_stream(tasks: DataFrame, length: str = "15 minutes", slide: st
 
 # ---------------------------------------------------------------- J8
 
-def longest_session_stream(tasks: DataFrame, jobs: DataFrame, gap: str = "10 minutes") -> DataFrame:
+def longest_session_stream(tasks: DataFrame, jobs: DataFrame, gap: str = "10 minutes",
+                           wait_for_open_session: bool = False) -> DataFrame:
     """Closed sessions and FINISH events meet in one processor per job;
     the first FINISH arms an event-time timer that emits the longest
-    session seen when it fires."""
+    session seen when it fires (just after the finish, or one gap later with
+    ``wait_for_open_session``)."""
     s = (keep_types(tasks, SUBMIT).groupBy("job_id", F.session_window(EVENT_TIME, gap).alias("s"))
          .agg(F.count(F.lit(1)).alias("session_events")))
     sessions = s.select("job_id", F.window_time("s").alias(EVENT_TIME),
@@ -191,7 +201,8 @@ def longest_session_stream(tasks: DataFrame, jobs: DataFrame, gap: str = "10 min
                                           F.lit("f").alias("kind"),
                                           F.lit(None).cast("long").alias("session_events"))
     both = sessions.unionByName(fin)
-    return _tws(both.groupBy("job_id"), both, P.LongestSession(), "job_id long, session_events long",
+    wait = interval_micros(gap) if wait_for_open_session else 0
+    return _tws(both.groupBy("job_id"), both, P.LongestSession(wait), "job_id long, session_events long",
                 "EventTime")
 
 
@@ -201,15 +212,17 @@ SLOT_SCHEMA = P.SLOT_SCHEMA
 
 
 def rule_anomaly_stream(tasks: DataFrame, e1: int, e2: int, e3: int, limit,
-                        keys=("job_id", "task_index")) -> DataFrame:
-    """J9 / J10 (repeat epochs, event time)."""
+                        keys=("job_id", "task_index"), ttl=None) -> DataFrame:
+    """J9 / J10 (repeat epochs, event time).  ``ttl`` (event time) clears
+    slots that wait longer than that for an e1 (they would block forever)."""
     keys = list(keys)
     cols = [f.name for f in SLOT_SCHEMA.fields]
     flat = [tasks.schema[k] for k in keys] + [
         T.StructField(f"{s}_{f.name}", f.dataType) for s in ("first", "second", "third")
         for f in SLOT_SCHEMA.fields]
     src = keep_types(tasks, e1, e2, e3).select(*dict.fromkeys(keys + cols + [EVENT_TIME]))
-    proc = P.FlatSequenceRule(keys, e1, e2, e3, interval_micros(limit), cols)
+    proc = P.FlatSequenceRule(keys, e1, e2, e3, interval_micros(limit), cols,
+                              None if ttl is None else interval_micros(ttl))
     out = _tws(src.groupBy(*keys), src, proc, T.StructType(flat), "EventTime")
     return out.select(*keys, *[F.struct(*[F.col(f"{s}_{c}").alias(c) for c in cols]).alias(s)
                                for s in ("first", "second", "third")])

@@ -69,12 +69,14 @@ class PairMatcher(StatefulProcessor):
     ``carry`` columns come from the closing event."""
 
     def __init__(self, keys, type_a: int, type_b: int, repeat: str = "latest", carry=(),
-                 event_time: bool = False):
+                 event_time: bool = False, ttl_ms: int | None = None):
         self.keys, self.types, self.repeat, self.carry = list(keys), (type_a, type_b), repeat, list(carry)
-        self.event_time = event_time
+        self.event_time, self.ttl_ms = event_time, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.slot = handle.getValueState("slot", "type int, ts long, seq long")
+        # ttl_ms: a slot that is not touched for that long (processing time)
+        # is dropped -- bounds the state of keys that never close a pair
+        self.slot = handle.getValueState("slot", "type int, ts long, seq long", self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         df = _sorted(rows)
@@ -123,18 +125,21 @@ class SequenceRule(StatefulProcessor):
     arrives (that event then opens the next epoch).  On close the triple is
     emitted when t1 < t2 < t3 and t3 - t1 <= limit, and the slots reset.
     Without an e1 the slots stay filled (and block later events of their
-    type), as in the reference.
+    type), as in the reference -- unless ``ttl_us`` is set: then slots that
+    wait longer than that (event time) for an e1 are cleared.
     """
 
-    def __init__(self, keys, e1: int, e2: int, e3: int, limit_us: int, columns):
+    def __init__(self, keys, e1: int, e2: int, e3: int, limit_us: int, columns,
+                 ttl_us: int | None = None):
         self.keys, self.order, self.limit = list(keys), (e1, e2, e3), int(limit_us)
-        self.columns = list(columns)
+        self.columns, self.ttl_us = list(columns), ttl_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.slot_cols = SLOT_COLUMNS
         self.slots = [handle.getValueState(f"slot{i}", SLOT_SCHEMA) for i in range(3)]
         self.deadline = handle.getValueState("deadline", "d long")
+        self.expiry = handle.getValueState("expiry", "e long")  # ttl end (microseconds)
 
     def _load(self):
         return [s.get() if s.exists() else None for s in self.slots]
@@ -159,6 +164,12 @@ class SequenceRule(StatefulProcessor):
             d = self.deadline.get()[0]
             self.handle.deleteTimer(_timer_ms(d))
             self.deadline.clear()
+        self._disarm_expiry()
+
+    def _disarm_expiry(self):
+        if self.expiry.exists():
+            self.handle.deleteTimer(_timer_ms(self.expiry.get()[0]))
+            self.expiry.clear()
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         df = _sorted(rows)
@@ -167,6 +178,9 @@ class SequenceRule(StatefulProcessor):
         out = []
         for r in df.to_dict("records"):
             ts = int(r["timestamp"])
+            if deadline is None and self.expiry.exists() and ts > self.expiry.get()[0]:
+                self._reset()  # the slots waited longer than the ttl for an e1
+                vals = [None, None, None]
             if deadline is not None and ts > deadline:
                 rec = self._emit(key, vals)
                 if rec:
@@ -182,15 +196,22 @@ class SequenceRule(StatefulProcessor):
                         deadline = ts + self.limit
                         self.deadline.update((deadline,))
                         self.handle.registerTimer(_timer_ms(deadline))
+                        self._disarm_expiry()
+                    elif deadline is None and self.ttl_us and not self.expiry.exists():
+                        self.expiry.update((ts + self.ttl_us,))
+                        self.handle.registerTimer(_timer_ms(ts + self.ttl_us))
                     break
         if out:
             yield pd.DataFrame(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        at = expiredTimerInfo.getExpiryTimeInMs()
+        if (self.expiry.exists() and _timer_ms(self.expiry.get()[0]) == at
+                and not self.deadline.exists()):
+            self._reset()  # slots waited too long for an e1
+            return
         rec = self._emit(key, self._load())
-        for s in self.slots:
-            s.clear()
-        self.deadline.clear()
+        self._reset()
         if rec:
             yield pd.DataFrame([rec])
 
@@ -201,8 +222,14 @@ class SequenceRule(StatefulProcessor):
 class LongestSession(StatefulProcessor):
     """J8 stream: input is the union of closed sessions (``kind='s'``,
     ``session_events``) and FINISH job events (``kind='f'``).  The first
-    FINISH arms a timer just after its time; when it fires the largest
-    session seen so far is emitted and the job's state is cleared."""
+    FINISH arms a timer just after its time (reference behaviour), or one
+    gap later with ``wait_us`` = gap (``wait_for_open_session``: a session
+    whose last event is at or before the finish has closed by then); when it
+    fires the largest session seen so far is emitted and the job's state is
+    cleared."""
+
+    def __init__(self, wait_us: int = 0):
+        self.wait_us = int(wait_us)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -224,7 +251,7 @@ class LongestSession(StatefulProcessor):
         if len(f) and not self.finish.exists():
             t = int(f["timestamp"].iloc[0])
             self.finish.update((t,))
-            self.handle.registerTimer(_timer_ms(t))
+            self.handle.registerTimer(_timer_ms(t + self.wait_us))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         best = self.best.get()[0] if self.best.exists() else None
