@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.time import instant_micros, interval_micros, interval_string
-from ..schema import EVENT_TIME, SCHEDULE, SUBMIT
+from ..schema import EVENT_TIME, SCHEDULE, SUBMIT, ensure_event_time
 from .filters import keep_types, schedule_with_cpu
 from .pairs import pair_events
 from .skew import plan_chunks
@@ -75,9 +75,7 @@ def invariant_anomaly(tasks: DataFrame, training_end, keys: Sequence[str] = ("jo
 def window_means(tasks: DataFrame, length: str, slide: str, by: str = "machine_id") -> DataFrame:
     """Mean CPU limit of SCHEDULE events (with a positive limit) per key and
     sliding window.  Output: by, window_end (microseconds), current_avg."""
-    t = schedule_with_cpu(tasks)
-    if EVENT_TIME not in t.columns:
-        t = t.withColumn(EVENT_TIME, F.timestamp_micros("timestamp"))
+    t = ensure_event_time(schedule_with_cpu(tasks))
     a = (t.groupBy(by, F.window(EVENT_TIME, _iv(length), _iv(slide)).alias("w"))
          .agg(F.avg("max_cpu").alias("current_avg")))
     return a.select(by, F.unix_micros(F.col("w.end")).alias("window_end"), "current_avg")

@@ -20,17 +20,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.time import interval_micros
-from ..schema import EVENT_TIME, FINISH, SUBMIT, ensure_seq
+from ..schema import EVENT_TIME, FINISH, SUBMIT, ensure_event_time, ensure_seq
 from .filters import keep_types
 from .skew import CHUNK, add_chunks
 
 
-def _time(df: DataFrame) -> DataFrame:
-    if EVENT_TIME in df.columns:
-        return df
-    return df.withColumn(EVENT_TIME, F.timestamp_micros("timestamp"))
-
-
 def job_sessions(tasks: DataFrame, gap: str = "10 minutes", **split) -> DataFrame:
     """Sessions of SUBMIT task events per job (the bounds Spark's
     ``session_window`` gives: start = first event, end = last event + gap).
@@ -52,7 +46,7 @@ def job_sessions(tasks: DataFrame, gap: str = "10 minutes", **split) -> DataFram
 def job_sessions_windowed(tasks: DataFrame, gap: str = "10 minutes") -> DataFrame:
     """The same sessions through Spark's ``session_window`` (the form the
     streaming job uses); a job's events are merged in one task."""
-    t = keep_types(_time(tasks), SUBMIT)
+    t = keep_types(ensure_event_time(tasks), SUBMIT)
     s = (t.groupBy("job_id", F.session_window(EVENT_TIME, gap).alias("s"))
          .agg(F.count(F.lit(1)).alias("session_events")))
     return s.select("job_id",

@@ -12,16 +12,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schema import EVENT_TIME, FAIL, FINISH, KILL, SCHEDULE
+from ..schema import EVENT_TIME, FAIL, FINISH, KILL, SCHEDULE, ensure_event_time
 from .filters import keep_types
 
 
-def _time(df: DataFrame) -> DataFrame:
-    if EVENT_TIME in df.columns:
-        return df
-    return df.withColumn(EVENT_TIME, F.timestamp_micros("timestamp"))
-
-
 def task_statistics(tasks: DataFrame, window: str = "1 minute",
                     by: str | list[str] | None = None) -> DataFrame:
     """J5 (global) and J6 (``by="machine_id"``).
@@ -31,7 +25,7 @@ def task_statistics(tasks: DataFrame, window: str = "1 minute",
     as killed.
     """
     keys = [] if by is None else ([by] if isinstance(by, str) else list(by))
-    t = keep_types(_time(tasks), FAIL, FINISH, KILL)
+    t = keep_types(ensure_event_time(tasks), FAIL, FINISH, KILL)
     et = F.col("event_type")
     out = (t.groupBy(F.window(EVENT_TIME, window).alias("w"), *keys)
            .agg(F.count_if(et == FINISH).alias("finished"),
@@ -48,7 +42,7 @@ def busy_machines(tasks: DataFrame, length: str = "15 minutes", slide: str = "5
 
     Output: window_end, busy_machines.
     """
-    t = keep_types(_time(tasks), SCHEDULE)
+    t = keep_types(ensure_event_time(tasks), SCHEDULE)
     per_machine = (t.groupBy("machine_id", F.window(EVENT_TIME, length, slide).alias("w"))
                    .agg(F.count(F.lit(1)).alias("n")))
     busy = per_machine.where(F.col("n") >= threshold)

@@ -92,6 +92,11 @@ def with_event_time(df, ts: str = TS, out: str = EVENT_TIME):
     return df.withColumn(out, F.timestamp_micros(F.col(ts)))
 
 
+def ensure_event_time(df, ts: str = TS, out: str = EVENT_TIME):
+    """``with_event_time`` unless the column is already there."""
+    return df if out in df.columns else with_event_time(df, ts, out)
+
+
 def ensure_seq(df, seq: str = SEQ):
     """Give rows without a sequence column a stable tie break.
 
