@@ -137,3 +137,21 @@ def test_invariant_anomaly(spark):
     tasks = make_tasks(spark, rows)
     out = anomaly.invariant_anomaly(tasks, 10000 * MS).orderBy("timestamp").collect()
     assert [(r.priority, r.duration // MS) for r in out] == [(1, 8000), (1, 7000), (1, 1000)]
+
+
+def test_pane_and_expand_sliding_windows_agree(spark):
+    import random
+
+    rnd = random.Random(5)
+    rows = [dict(machine=rnd.randrange(6), etype=SCHEDULE, ts=rnd.randrange(0, 3_600_000),
+                 max_cpu=rnd.random()) for _ in range(800)]
+    tasks = make_tasks(spark, rows)
+    for length, slide in (("15 minutes", "1 minute"), ("10 minutes", "4 minutes"), ("7 minutes", "7 minutes")):
+        a = windows.sliding_sums(tasks, "machine_id", length, slide, value="max_cpu", panes=True)
+        b = windows.sliding_sums(tasks, "machine_id", length, slide, value="max_cpu", panes=False)
+        norm = lambda df: sorted((r.machine_id, r.window_start, r.window_end, r.n, round(r.total, 9))
+                                 for r in df.collect())
+        assert norm(a) == norm(b) and len(norm(a)) > 10, (length, slide)
+    x = windows.busy_machines(tasks, "15 minutes", "1 minute", threshold=10, panes=True)
+    y = windows.busy_machines(tasks, "15 minutes", "1 minute", threshold=10, panes=False)
+    assert sorted(tuple(r) for r in x.collect()) == sorted(tuple(r) for r in y.collect())

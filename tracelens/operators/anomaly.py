@@ -21,11 +21,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.time import instant_micros, interval_micros, interval_string
-from ..schema import EVENT_TIME, SCHEDULE, SUBMIT, ensure_event_time
+from ..functions.time import instant_micros, interval_micros
+from ..schema import SCHEDULE, SUBMIT
 from .filters import keep_types, schedule_with_cpu
 from .pairs import pair_events
 from .skew import plan_chunks
+from .windows import sliding_sums
 
 # Largest bounds table that is broadcast; above it the join shuffles.
 MAX_BROADCAST_BOUNDS = 100_000
@@ -72,22 +73,18 @@ def invariant_anomaly(tasks: DataFrame, training_end, keys: Sequence[str] = ("jo
             .select("priority", *keys, "timestamp", "event_seq", "duration"))
 
 
-def window_means(tasks: DataFrame, length: str, slide: str, by: str = "machine_id") -> DataFrame:
+def window_means(tasks: DataFrame, length: str, slide: str, by: str = "machine_id",
+                 panes: str | bool = "auto") -> DataFrame:
     """Mean CPU limit of SCHEDULE events (with a positive limit) per key and
-    sliding window.  Output: by, window_end (microseconds), current_avg."""
-    t = ensure_event_time(schedule_with_cpu(tasks))
-    a = (t.groupBy(by, F.window(EVENT_TIME, _iv(length), _iv(slide)).alias("w"))
-         .agg(F.avg("max_cpu").alias("current_avg")))
-    return a.select(by, F.unix_micros(F.col("w.end")).alias("window_end"), "current_avg")
-
-
-def _iv(x) -> str:
-    return x if isinstance(x, str) else interval_string(interval_micros(x))
+    sliding window.  Output: by, window_end (microseconds), current_avg.
+    (Pane-based for large length/slide ratios, see ``windows.sliding_sums``.)"""
+    s = sliding_sums(schedule_with_cpu(tasks), by, length, slide, value="max_cpu", panes=panes)
+    return s.select(by, "window_end", (F.col("total") / F.col("n")).alias("current_avg"))
 
 
 def time_series_anomaly(tasks: DataFrame, length="5 seconds", slide="2 seconds",
                         windows: int = 3, diff: float = 0.3,
-                        by: str = "machine_id") -> DataFrame:
+                        by: str = "machine_id", panes: str | bool = "auto") -> DataFrame:
     """J12.  A window is reported when it and the ``windows - 1`` windows
     before it (one slide apart each) all exist and
     ``2 * |cur - mov| / (cur + mov) > diff``, where ``mov`` is the mean of
@@ -98,7 +95,7 @@ def time_series_anomaly(tasks: DataFrame, length="5 seconds", slide="2 seconds",
     if windows < 1:
         raise ValueError("windows must be >= 1")
     step = interval_micros(slide)
-    a = window_means(tasks, length, slide, by)
+    a = window_means(tasks, length, slide, by, panes)
     w = Window.partitionBy(by).orderBy("window_end")
     frame = w.rowsBetween(-(windows - 1), Window.currentRow)
     m = a.select(by, "window_end", "current_avg",

@@ -45,6 +45,13 @@ def busy_machines(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  threshold=10)
 
 
+def busy_machines_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J7 with 1-day windows sliding by 1 hour (24 windows per event: the
+    pane-based plan)."""
+    return windows.busy_machines(task_events(spark, sf_dir, types=(SCHEDULE,)), length="1 day",
+                                 slide="1 hour", threshold=5)
+
+
 def job_event_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rolling.job_event_count(job_events(spark, sf_dir))
 
@@ -190,6 +197,7 @@ QUERIES: dict[str, Query] = {
     "task_statistics_global": task_statistics_global,
     "filter_task_events": filter_task_events,
     "busy_machines": busy_machines,
+    "busy_machines_hourly": busy_machines_hourly,
     "job_event_count": job_event_count,
     "job_scheduling_latency": job_scheduling_latency,
     "job_scheduling_latency_first": job_scheduling_latency_first,

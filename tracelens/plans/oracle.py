@@ -310,3 +310,17 @@ GROUP BY 1, 2
 """
 
 ORACLE["task_statistics_from_trace_files"] = ORACLE["task_statistics_per_machine"]
+
+HOUR = 3_600_000_000
+
+ORACLE["busy_machines_hourly"] = _with(T, f"""
+per_machine AS (
+  SELECT machine_id, ("timestamp" // {HOUR}) * {HOUR} - o.k * {HOUR} + {DAY} AS window_end, count(*) AS n
+  FROM t, (SELECT range AS k FROM range(0, 24)) o
+  WHERE event_type = 1
+  GROUP BY 1, 2
+)""") + """
+SELECT window_end, count(*) AS busy_machines
+FROM per_machine WHERE n >= 5
+GROUP BY 1
+"""
