@@ -69,3 +69,28 @@ def checkpoint_path(spark: SparkSession, name: str) -> str:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
 
+
+
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Settings for a large cluster run, from the input size and the number
+    of executor cores.
+
+    The shuffle starts with enough partitions that each holds about
+    ``target_partition_bytes`` of input (never fewer than twice the cores);
+    AQE then merges small ones and splits skewed join partitions.  Scan
+    splits stay at 128 MB.  Apply with ``SparkSession.builder.config(...)``
+    or ``spark.conf.set`` before building the queries.
+    """
+    parts = max(2 * total_cores, -(-int(input_bytes) // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(128 << 20),
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    }
