@@ -71,22 +71,26 @@ def checkpoint_path(spark: SparkSession, name: str) -> str:
 
 
 
-def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+def cluster_conf(input_bytes: int, total_cores: int, bytes_per_partition: int = 1 << 30,
+                 max_partitions: int = 100_000) -> dict:
     """Settings for a large cluster run, from the input size and the number
     of executor cores.
 
-    The shuffle starts with enough partitions that each holds about
-    ``target_partition_bytes`` of input (never fewer than twice the cores);
-    AQE then merges small ones and splits skewed join partitions.  Scan
-    splits stay at 128 MB.  Apply with ``SparkSession.builder.config(...)``
-    or ``spark.conf.set`` before building the queries.
+    Shuffles start with about one partition per ``bytes_per_partition`` of
+    input (at least twice the cores, at most ``max_partitions``: map x reduce
+    blocks must stay manageable); most shuffles here carry partial
+    aggregates, far less than the input, and AQE merges partitions down to
+    its 256 MB advisory size and splits skewed join partitions.  Scan splits
+    stay at 128 MB.  Apply with ``SparkSession.builder.config(...)`` or
+    ``spark.conf.set`` before building the queries.
     """
-    parts = max(2 * total_cores, -(-int(input_bytes) // target_partition_bytes))
+    parts = -(-int(input_bytes) // bytes_per_partition)
+    parts = min(max_partitions, max(2 * total_cores, parts))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.files.maxPartitionBytes": str(128 << 20),
         "spark.sql.session.timeZone": "UTC",
