@@ -15,11 +15,10 @@ from pyspark.sql import types as T
 from ..functions.time import interval_micros
 from ..operators import windows as W
 from ..operators.filters import keep_types, schedule_with_cpu
-from ..schema import EVENT_TIME, FINISH, SCHEDULE, SUBMIT, TASK_SCHEMA
+from ..schema import EVENT_TIME, FINISH, JOB_SCHEMA, SCHEDULE, SUBMIT, TASK_SCHEMA
 from ..sources.tables import job_events_from_events, task_events_from_events
 from . import processors as P
 
-
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -38,6 +37,7 @@ def _tws(grouped, df: DataFrame, proc, schema, time_mode: str, **kw) -> DataFram
     ensure_rocksdb(df.sparkSession)
     return grouped.transformWithStateInPandas(proc, schema, "Append", time_mode, **kw)
 
+
 EVENTS_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 
 
@@ -68,12 +68,14 @@ def read_task_stream(spark: SparkSession, path: str, delay: str = "0 seconds",
     return with_watermark(r.parquet(path), delay)
 
 
+JOB_STREAM_SCHEMA = T.StructType(JOB_SCHEMA.fields + [T.StructField("event_seq", T.LongType())])
+
+
 def read_job_stream(spark: SparkSession, path: str, delay: str = "0 seconds",
                     max_files_per_trigger: int | None = None) -> DataFrame:
-    from ..schema import JOB_SCHEMA
-
-    schema = T.StructType(JOB_SCHEMA.fields + [T.StructField("event_seq", T.LongType())])
-    r = spark.readStream.schema(schema)
+    """A folder of parquet files with job-event columns (and event_seq) as
+    a watermarked stream."""
+    r = spark.readStream.schema(JOB_STREAM_SCHEMA)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return with_watermark(r.parquet(path), delay)
