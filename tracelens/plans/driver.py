@@ -140,9 +140,17 @@ def _stream_to_table(spark: SparkSession, out: DataFrame, name: str) -> DataFram
     offsets, state and output under the shared checkpoint folder, and
     return the written table (read back distributed, not collected)."""
     base = checkpoint_path(spark, f"driver-{name}-{uuid.uuid4().hex}")
-    q = (out.writeStream.format("parquet").option("path", f"{base}/out")
-         .option("checkpointLocation", f"{base}/ck").outputMode("append")
-         .trigger(availableNow=True).start())
+    # state partitions = cluster parallelism (fixed in the checkpoint at the
+    # first batch; the session setting is copied when the query starts)
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(old), spark.sparkContext.defaultParallelism)))
+    try:
+        q = (out.writeStream.format("parquet").option("path", f"{base}/out")
+             .option("checkpointLocation", f"{base}/ck").outputMode("append")
+             .trigger(availableNow=True).start())
+    finally:
+        spark.conf.set(key, old)
     q.awaitTermination()
     return spark.read.parquet(f"{base}/out")
 
