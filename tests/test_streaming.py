@@ -277,3 +277,28 @@ def test_rule_stream_ttl_clears_slots_without_e1(spark):
 
     assert once(None) == []
     assert once("30 seconds") == [(1, 101000)]
+
+
+def test_compact_update_mode_forms(spark):
+    d = tempfile.mkdtemp(prefix="tl-s-")
+    ev = [(42, 0, 1, SUBMIT, 0), (42, 0, 1, FINISH, 1), (42, 0, 1, SUBMIT, 2), (42, 7, 3, SUBMIT, 3),
+          (42, 7, 3, FINISH, 6), (42, 0, 1, FINISH, 12), (42, 1, 1, SUBMIT, 13), (42, 1, 1, FINISH, 33),
+          (23, 9, 4, SUBMIT, 35), (23, 9, 4, SUBMIT, 63), (23, 9, 4, FINISH, 75)]
+    rows = [task_record(job=j, task=k, priority=p, etype=e, ts=t) for j, k, p, e, t in ev]
+    write_batches(d, _chunks(rows, 4))
+    tasks = S.read_task_stream(spark, d, max_files_per_trigger=1)
+    out = run(spark, S.max_task_completion_stream(tasks, running=False), mode="update")
+    final = {}
+    for r in out:  # update mode: the last row per priority is the current maximum
+        final[r.priority] = max(final.get(r.priority, 0), r.max_duration // MS)
+    assert final == {1: 20, 3: 3, 4: 12}
+
+    dj = tempfile.mkdtemp(prefix="tl-s-")
+    jev = [(1, 0), (2, 1), (1, 2), (3, 3), (3, 4), (1, 5)]
+    write_batches(dj, _chunks([job_record(j, t, SUBMIT) for j, t in jev], 2), kind="job")
+    counts = run(spark, S.job_event_count_stream(S.read_job_stream(spark, dj, max_files_per_trigger=1),
+                                                 compact=True), mode="update")
+    last = {}
+    for r in counts:
+        last[r.job_id] = max(last.get(r.job_id, 0), r.event_count)
+    assert last == {1: 3, 2: 1, 3: 2}

@@ -99,8 +99,12 @@ def _ttl_ms(ttl) -> int | None:
     return None if ttl is None else max(1, interval_micros(ttl) // 1000)
 
 
-def job_event_count_stream(jobs: DataFrame) -> DataFrame:
-    """One row per event with the job's running count (append)."""
+def job_event_count_stream(jobs: DataFrame, compact: bool = False) -> DataFrame:
+    """One row per event with the job's running count (append sink).
+    ``compact=True``: one row per job and micro-batch with the count so far
+    (a streaming aggregation for an ``update`` sink; partial aggregation)."""
+    if compact:
+        return jobs.groupBy("job_id").agg(F.count(F.lit(1)).alias("event_count"))
     schema = "job_id long, timestamp long, event_seq long, event_count long"
     src = jobs.select("job_id", "timestamp", "event_seq")
     return _tws(src.groupBy("job_id"), src, P.RunningCount("job_id"), schema, "None")
@@ -139,8 +143,14 @@ def task_duration_stream(tasks: DataFrame, type_a: int = SUBMIT, type_b: int = F
     return pair_stream(tasks, ["job_id", "task_index"], type_a, type_b, carry=["priority"], ttl=ttl)
 
 
-def max_task_completion_stream(tasks: DataFrame) -> DataFrame:
-    """Running maximum duration per priority, one row per completed task."""
+def max_task_completion_stream(tasks: DataFrame, running: bool = True) -> DataFrame:
+    """Running maximum duration per priority, one row per completed task
+    (append sink).  ``running=False``: one row per priority and micro-batch
+    with the maximum so far (an aggregation after the pair processor, for an
+    ``update`` sink)."""
+    if not running:
+        d = task_duration_stream(tasks, SUBMIT, FINISH)
+        return d.groupBy("priority").agg(F.max("duration").alias("max_duration"))
     d = task_duration_stream(tasks, SUBMIT, FINISH).select("priority", "timestamp", "event_seq",
                                                            "duration")
     return _tws(d.groupBy("priority"), d, P.RunningMax(),
