@@ -99,3 +99,19 @@ def test_event_type_names(spark):
     df = spark.range(10).select(event_type_name("id").alias("n"))
     names = [r.n for r in df.collect()]
     assert names[:3] == ["SUBMIT", "SCHEDULE", "EVICT"] and names[9] is None
+
+
+def test_kafka_wiring_reports_missing_connector(spark):
+    from tracelens.sources import kafka
+
+    tasks = make_tasks(spark, [dict(job=1, task=0, ts=1, etype=SUBMIT)])
+    try:
+        spark.read.format("kafka").option("kafka.bootstrap.servers", "localhost:1").option(
+            "subscribe", "t").load()
+        pytest.skip("Kafka connector present")
+    except Exception:  # noqa: BLE001
+        pass
+    with pytest.raises(kafka.KafkaUnavailable):
+        kafka.read_task_topic(spark, "localhost:1", kafka.FILTERED_TOPIC, stream=False)
+    with pytest.raises(kafka.KafkaUnavailable):
+        kafka.export_filtered_tasks(tasks, "localhost:1")
