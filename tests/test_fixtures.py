@@ -88,6 +88,9 @@ def test_longest_session_per_job(spark):
                              dict(job=2, ts=1332000, etype=FINISH), dict(job=3, ts=9000000, etype=FINISH)])
     out = sessions.longest_session_per_job(tasks, jobs, "10 minutes").collect()
     assert sorted((r.job_id, r.session_events) for r in out) == [(1, 5), (2, 2), (3, 5)]
+    b = sessions.longest_session_per_job(tasks, jobs, "10 minutes", with_bounds=True).collect()
+    assert sorted((r.job_id, r.session_start // MS, r.session_end // MS, r.session_events) for r in b) == [
+        (1, 640000, 1259000, 5), (2, 30000, 642000, 2), (3, 1200, 617400, 5)]
 
 
 def test_longest_session_needs_finish(spark):

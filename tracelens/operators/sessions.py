@@ -84,12 +84,21 @@ def session_ids(df: DataFrame, keys, gap_us: int, **split) -> DataFrame:
 
 
 def longest_session_per_job(tasks: DataFrame, jobs: DataFrame,
-                            gap: str = "10 minutes", **split) -> DataFrame:
+                            gap: str = "10 minutes", with_bounds: bool = False,
+                            **split) -> DataFrame:
     """(job_id, session_events) of the session with most events, for
-    every job that has a FINISH event and at least one SUBMIT session."""
+    every job that has a FINISH event and at least one SUBMIT session.
+    ``with_bounds``: also session_start / session_end of that session (the
+    earliest one when several have the most events -- the first maximum)."""
+    finished = keep_types(jobs, FINISH).select("job_id")
+    if with_bounds:
+        s = job_sessions(tasks, gap, **split)
+        best = s.groupBy("job_id").agg(F.max_by(
+            F.struct("session_start", "session_end", "session_events"),
+            F.struct(F.col("session_events"), -F.col("session_start"))).alias("b"))
+        return best.join(finished, "job_id", "left_semi").select("job_id", "b.*")
     t = ensure_seq(keep_types(tasks, SUBMIT)).select("job_id", "timestamp", "event_seq")
     ids = session_ids(t, ["job_id"], interval_micros(gap), **split)
     per_session = ids.groupBy("job_id", "_sid").agg(F.count(F.lit(1)).alias("n"))
     longest = per_session.groupBy("job_id").agg(F.max("n").alias("session_events"))
-    finished = keep_types(jobs, FINISH).select("job_id")
     return longest.join(finished, "job_id", "left_semi")

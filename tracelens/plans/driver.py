@@ -79,6 +79,12 @@ def longest_session_per_job(spark: SparkSession, sf_dir: str) -> DataFrame:
                                             job_events(spark, sf_dir, types=(FINISH,)), gap="3 days")
 
 
+def longest_session_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sessions.longest_session_per_job(task_events(spark, sf_dir, types=(SUBMIT,)),
+                                            job_events(spark, sf_dir, types=(FINISH,)), gap="3 days",
+                                            with_bounds=True)
+
+
 RULE = dict(e1=SUBMIT, e2=SCHEDULE, e3=KILL, limit="5 days")
 RULE_TYPES = (SUBMIT, SCHEDULE, KILL)
 
@@ -212,6 +218,7 @@ QUERIES: dict[str, Query] = {
     "max_task_completion": max_task_completion,
     "max_task_completion_running": max_task_completion_running,
     "longest_session_per_job": longest_session_per_job,
+    "longest_session_bounds": longest_session_bounds,
     "rule_anomaly_single": rule_anomaly_single,
     "rule_anomaly_repeat": rule_anomaly_repeat,
     "invariant_anomaly": invariant_anomaly,

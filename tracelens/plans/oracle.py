@@ -324,3 +324,28 @@ SELECT window_end, count(*) AS busy_machines
 FROM per_machine WHERE n >= 5
 GROUP BY 1
 """
+
+ORACLE["longest_session_bounds"] = _with(T, f"""
+s AS (
+  SELECT job_id, "timestamp", event_seq,
+         CASE WHEN "timestamp" - lag("timestamp") OVER (PARTITION BY job_id ORDER BY "timestamp", event_seq)
+                   > {3 * DAY} THEN 1 ELSE 0 END AS brk
+  FROM t WHERE event_type = 0
+)""", """
+s2 AS (
+  SELECT job_id, "timestamp", sum(brk) OVER (PARTITION BY job_id ORDER BY "timestamp", event_seq
+                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid
+  FROM s
+)""", f"""
+c AS (
+  SELECT job_id, min("timestamp") AS session_start, max("timestamp") + {3 * DAY} AS session_end,
+         count(*) AS session_events
+  FROM s2 GROUP BY job_id, sid
+)""", """
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY job_id ORDER BY session_events DESC, session_start) AS rn
+  FROM c
+)""") + """
+SELECT job_id, session_start, session_end, session_events FROM r
+WHERE rn = 1 AND job_id IN (SELECT job_id FROM t WHERE event_type = 4)
+"""
