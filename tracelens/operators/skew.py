@@ -1,8 +1,9 @@
 """Hot-key splitting for the per-key sequential operators.
 
-Running counts, running maxima and the pair matcher walk each key's events
-in order, so a plain ``Window.partitionBy(key)`` puts a key that holds a
-third of the data into one task.  Here:
+Running counts and maxima, the pair matcher, session numbering and the
+as-of lookups of repeated rule epochs walk each key's events in order, so a
+plain ``Window.partitionBy(key)`` puts a key that holds a third of the data
+into one task.  Here:
 
 1. A statistics pass (``groupBy(key)`` with map-side partial counts) finds
    keys with more than ``hot_key_rows`` events; only their (key, first
