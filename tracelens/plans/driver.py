@@ -1,7 +1,9 @@
 """Driver queries: each takes (spark, sf_dir) and runs one operator of the
 library over the whole ``events`` table at that scale.  Parameters are the
 day-scale ones of the test-data contract (the table spans 30 days with
-about ten hours between two events of one user).
+about ten hours between two events of one user).  ``types=`` / ``until=``
+on the adapter push the operator's own type and time filters into the
+Parquet scan; the operators filter again, so results never depend on it.
 """
 
 from __future__ import annotations
@@ -12,8 +14,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import anomaly, filters, pairs, patterns, rolling, sessions, windows
 from ..functions import codec
+from ..operators import anomaly, filters, pairs, patterns, rolling, sessions, windows
 from ..schema import FAIL, FINISH, KILL, SCHEDULE, SUBMIT
 from ..session import checkpoint_path
 from ..sources.tables import job_events, job_events_from_events, task_events, task_events_from_events
@@ -41,8 +43,7 @@ def filter_task_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def busy_machines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.busy_machines(task_events(spark, sf_dir, types=(SCHEDULE,)), length="3 days",
-                                 slide="1 day",
-                                 threshold=10)
+                                 slide="1 day", threshold=10)
 
 
 def busy_machines_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
