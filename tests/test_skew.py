@@ -126,3 +126,21 @@ def test_rule_repeat_split_equals_state_machine(spark):
     # and the hot key was split
     from tracelens.operators.skew import plan_chunks
     assert plan_chunks(tasks, ["job_id", "task_index"], **split).chunks > 5
+
+
+def test_chunks_are_balanced_for_bursty_keys(spark):
+    rnd = random.Random(12)
+    rows = [dict(job=0, ts=rnd.randrange(0, 100_000), etype=0) for _ in range(900)]
+    rows += [dict(job=0, ts=rnd.randrange(100_000, 1_000_000), etype=1) for _ in range(100)]
+    rows += [dict(job=k, ts=rnd.randrange(0, 1_000_000), etype=0) for k in range(1, 5) for _ in range(20)]
+    tasks = make_tasks(spark, rows, ms=False)
+    d, n = skew.add_chunks(tasks, ["job_id"], hot_key_rows=100, chunk_rows=50)
+    sizes = [r["count"] for r in d.where("job_id = 0").groupBy("_chunk").count().collect()]
+    assert n > 0 and len(sizes) >= 10 and max(sizes) <= 150, sorted(sizes)
+    assert d.where("job_id <> 0 AND _chunk <> 0").count() == 0
+    # and results stay exact on such a key
+    ev = sorted([(r["job"], r["ts"], r["etype"]) for r in rows], key=lambda x: x[1])
+    tasks2 = make_tasks(spark, [dict(job=k, ts=t, etype=e) for k, t, e in ev], ms=False)
+    got = {(r.job_id, r.event_seq, r.partner_seq) for r in
+           pair_events(tasks2, ["job_id"], 0, 1, hot_key_rows=100, chunk_rows=50).collect()}
+    assert got == state_machine([(k, i, e) for i, (k, t, e) in enumerate(ev)])

@@ -9,9 +9,11 @@ into one task.  Here:
    keys with more than ``hot_key_rows`` events; only their (key, first
    time, bucket width) rows reach the driver, never the data.  The list is
    bounded: at most ``max_chunks`` chunks in total.
-2. Each hot key is cut into time buckets of about ``chunk_rows`` events
+2. Each hot key is cut into chunks of about ``chunk_rows`` events
    (``_chunk`` >= 1, contiguous in (timestamp, event_seq) order; equal
-   timestamps stay together).  Other keys keep ``_chunk = 0``.
+   timestamps stay together): FINE time buckets per chunk are counted and
+   the chunk borders placed by cumulative count, so uneven event rates
+   still give even chunks.  Other keys keep ``_chunk = 0``.
 3. The operator runs per (key, _chunk) -- the hot key is now spread over
    many tasks -- and a per-chunk summary (one row per hot chunk, size known
    from step 1) carries state across chunk borders through a prefix over
@@ -40,11 +42,24 @@ CHUNK = "_chunk"
 
 
 class ChunkPlan:
-    """Hot keys with their first time and bucket width (a small local
-    relation, broadcast when applied) and the number of hot chunks."""
+    """Hot keys with their first time, fine-bucket width and fine-bucket
+    count (``frame``: a small local relation), the (key, fine bucket) ->
+    chunk table (``lookup``: at most FINE x the chunk budget rows) and the
+    number of hot chunks."""
 
-    def __init__(self, keys, frame: DataFrame | None, chunks: int):
-        self.keys, self.frame, self.chunks = list(keys), frame, chunks
+    def __init__(self, keys, frame: DataFrame | None, lookup: DataFrame | None, chunks: int):
+        self.keys, self.frame, self.lookup, self.chunks = list(keys), frame, lookup, chunks
+
+
+# Fine time buckets per planned chunk; chunk borders fall on fine-bucket
+# borders chosen by cumulative counts, so a key whose events are unevenly
+# spread in time still gets chunks of about ``chunk_rows`` events.
+FINE = 8
+
+
+def _fine_bucket(ts):
+    f = F.floor((F.col(ts) - F.col("_lo")) / F.col("_fw")).cast("long")
+    return F.least(F.greatest(f, F.lit(0)), F.col("_nf") - 1)
 
 
 def plan_chunks(df: DataFrame, keys: Sequence[str], hot_key_rows: int | None = HOT_KEY_ROWS,
@@ -52,10 +67,11 @@ def plan_chunks(df: DataFrame, keys: Sequence[str], hot_key_rows: int | None = H
                 ts: str = "timestamp") -> ChunkPlan:
     """Find hot keys of ``df`` (any frame with the keys and ``ts``; it may be
     a cheaper stand-in for the rows that will be split -- the plan only
-    steers where work runs, never what it computes)."""
+    steers where work runs, never what it computes) and place their chunk
+    borders by event counts."""
     keys = list(keys)
     if hot_key_rows is None:
-        return ChunkPlan(keys, None, 0)
+        return ChunkPlan(keys, None, None, 0)
     stats = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(ts).alias("_lo"),
                                    F.max(ts).alias("_hi"))
              .where(F.col("_n") > hot_key_rows))
@@ -68,22 +84,39 @@ def plan_chunks(df: DataFrame, keys: Sequence[str], hot_key_rows: int | None = H
         if n_chunks > budget:
             break
         budget -= n_chunks
-        width = max(1, -(-(r["_hi"] - r["_lo"] + 1) // n_chunks))
-        rows.append(tuple(r[k] for k in keys) + (r["_lo"], width))
+        n_fine = FINE * n_chunks
+        width = max(1, -(-(r["_hi"] - r["_lo"] + 1) // n_fine))
+        rows.append(tuple(r[k] for k in keys) + (r["_lo"], width, n_fine))
     if not rows:
-        return ChunkPlan(keys, None, 0)
+        return ChunkPlan(keys, None, None, 0)
     schema = T.StructType([df.schema[k] for k in keys] + [
-        T.StructField("_lo", T.LongType()), T.StructField("_width", T.LongType())])
-    return ChunkPlan(keys, df.sparkSession.createDataFrame(rows, schema), max_chunks - budget)
+        T.StructField("_lo", T.LongType()), T.StructField("_fw", T.LongType()),
+        T.StructField("_nf", T.LongType())])
+    spark = df.sparkSession
+    hot = spark.createDataFrame(rows, schema)
+    counts = (df.join(F.broadcast(hot), keys).select(*keys, _fine_bucket(ts).alias("_f"))
+              .groupBy(*keys, "_f").agg(F.count(F.lit(1)).alias("_c")))
+    dense = hot.select(*keys, F.explode(F.sequence(F.lit(0).cast("long"), F.col("_nf") - 1)).alias("_f"))
+    t = dense.join(counts, keys + ["_f"], "left")
+    before = F.coalesce(F.sum(F.coalesce(F.col("_c"), F.lit(0))).over(
+        Window.partitionBy(*keys).orderBy("_f").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    lookup = t.select(*keys, "_f", (F.floor(before / F.lit(chunk_rows)).cast("long") + 1).alias(CHUNK))
+    from ..session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)  # the shared folder; set only when missing
+    # at most FINE x max_chunks rows; checkpointed so applying the plan does
+    # not recompute the statistics
+    return ChunkPlan(keys, hot, lookup.checkpoint(), max_chunks - budget)
 
 
 def apply_chunks(df: DataFrame, plan: ChunkPlan, ts: str = "timestamp") -> DataFrame:
     if plan.frame is None:
         return df.withColumn(CHUNK, F.lit(0).cast("long"))
-    out = df.join(F.broadcast(plan.frame), plan.keys, "left")
-    chunk = F.when(F.col("_width").isNull(), F.lit(0).cast("long")).otherwise(
-        F.greatest(F.floor((F.col(ts) - F.col("_lo")) / F.col("_width")).cast("long") + 1, F.lit(1)))
-    return out.withColumn(CHUNK, chunk).drop("_lo", "_width")
+    d = df.join(F.broadcast(plan.frame), plan.keys, "left")
+    d = d.withColumn("_f", F.when(F.col("_fw").isNotNull(), _fine_bucket(ts)))
+    d = d.join(F.broadcast(plan.lookup), plan.keys + ["_f"], "left")
+    return (d.withColumn(CHUNK, F.coalesce(F.col(CHUNK), F.lit(0).cast("long")))
+            .drop("_lo", "_fw", "_nf", "_f"))
 
 
 def add_chunks(df: DataFrame, keys: Sequence[str], hot_key_rows: int | None = HOT_KEY_ROWS,
