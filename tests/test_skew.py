@@ -144,3 +144,12 @@ def test_chunks_are_balanced_for_bursty_keys(spark):
     got = {(r.job_id, r.event_seq, r.partner_seq) for r in
            pair_events(tasks2, ["job_id"], 0, 1, hot_key_rows=100, chunk_rows=50).collect()}
     assert got == state_machine([(k, i, e) for i, (k, t, e) in enumerate(ev)])
+
+
+def test_key_larger_than_the_chunk_budget_is_still_split(spark):
+    rows = [dict(job=0, ts=i, etype=i % 2) for i in range(600)] + [dict(job=1, ts=i, etype=0) for i in range(5)]
+    tasks = make_tasks(spark, rows, ms=False)
+    # needs 600 / 10 = 60 chunks but the budget is 12: it gets 12 larger chunks
+    d, n = skew.add_chunks(tasks, ["job_id"], hot_key_rows=50, chunk_rows=10, max_chunks=12)
+    sizes = [r["count"] for r in d.where("job_id = 0").groupBy("_chunk").count().collect()]
+    assert n == 12 and len(sizes) >= 8 and max(sizes) <= 120, sorted(sizes)

@@ -80,9 +80,11 @@ def plan_chunks(df: DataFrame, keys: Sequence[str], hot_key_rows: int | None = H
     cand = stats.orderBy(F.desc("_n")).limit(max_chunks).collect()
     rows, budget = [], max_chunks
     for r in cand:
-        n_chunks = max(1, -(-r["_n"] // chunk_rows))
-        if n_chunks > budget:
-            break
+        if budget < 2:
+            break  # the rest stay whole (correct, only less spread)
+        # a key that needs more chunks than are left gets the rest: larger
+        # chunks, but still spread over many tasks
+        n_chunks = min(budget, max(2, -(-r["_n"] // chunk_rows)))
         budget -= n_chunks
         n_fine = FINE * n_chunks
         width = max(1, -(-(r["_hi"] - r["_lo"] + 1) // n_fine))
