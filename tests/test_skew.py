@@ -153,3 +153,29 @@ def test_key_larger_than_the_chunk_budget_is_still_split(spark):
     d, n = skew.add_chunks(tasks, ["job_id"], hot_key_rows=50, chunk_rows=10, max_chunks=12)
     sizes = [r["count"] for r in d.where("job_id = 0").groupBy("_chunk").count().collect()]
     assert n == 12 and len(sizes) >= 8 and max(sizes) <= 120, sorted(sizes)
+
+
+def test_one_timestamp_flood_is_cut_by_sequence(spark):
+    # 600 events of key 0 at one timestamp (plus a few others): only the
+    # event_seq order can split them
+    rnd = random.Random(3)
+    ev = [(0, 1000, rnd.choice((0, 1))) for _ in range(600)]
+    ev += [(0, t, rnd.choice((0, 1))) for t in range(2000, 2100)]
+    ev += [(k, t, 0) for k in range(1, 4) for t in range(10)]
+    ev.sort(key=lambda x: x[1])
+    tasks = make_tasks(spark, [dict(job=k, ts=t, etype=e) for k, t, e in ev], ms=False)
+    split = dict(hot_key_rows=50, chunk_rows=40)
+    d, n = skew.add_chunks(tasks, ["job_id"], **split)
+    sizes = [r["count"] for r in d.where("job_id = 0").groupBy("_chunk").count().collect()]
+    assert max(sizes) <= 120 and len(sizes) >= 8, sorted(sizes)
+    got = {(r.job_id, r.event_seq, r.partner_seq) for r in
+           pair_events(tasks, ["job_id"], 0, 1, repeat="first", **split).collect()}
+    assert got == state_machine([(k, i, e) for i, (k, t, e) in enumerate(ev)], "first")
+    from conftest import make_jobs
+
+    jobs = make_jobs(spark, [dict(job=k, ts=t, etype=e) for k, t, e in ev], ms=False)
+    counts = {(r.job_id, r.event_seq): r.event_count for r in job_event_count(jobs, **split).collect()}
+    seen = {}
+    for i, (k, _, _) in enumerate(ev):
+        seen[k] = seen.get(k, 0) + 1
+        assert counts[(k, i)] == seen[k]

@@ -112,7 +112,9 @@ def _assign_epochs(t: DataFrame, keys: list[str], e1: int, lim: int, **split) ->
     in a closed epoch; events after the last epoch end are dropped."""
     from .skew import min_item_after, plan_chunks
 
-    plan = plan_chunks(t, keys, **split)
+    # at equal times the as-of lookups decide by kind, not by event_seq, so
+    # one timestamp must stay in one chunk
+    plan = plan_chunks(t, keys, split_ties=False, **split)
     starts = _epoch_starts(t.where(F.col("event_type") == e1).select(*keys, "timestamp", "event_seq"),
                            keys, lim, plan)
     ends = starts.select(*keys, (F.col("timestamp") + F.lit(lim)).alias("_t"),

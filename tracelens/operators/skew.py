@@ -42,13 +42,19 @@ CHUNK = "_chunk"
 
 
 class ChunkPlan:
-    """Hot keys with their first time, fine-bucket width and fine-bucket
-    count (``frame``: a small local relation), the (key, fine bucket) ->
-    chunk table (``lookup``: at most FINE x the chunk budget rows) and the
-    number of hot chunks."""
+    """Where hot keys are cut.
 
-    def __init__(self, keys, frame: DataFrame | None, lookup: DataFrame | None, chunks: int):
+    ``frame``: hot keys with first time, fine-bucket width and count (a
+    small local relation); ``params``: fine buckets that hold more than
+    ``chunk_rows`` events at one single timestamp, with the ``event_seq``
+    range they are cut in (local, small); ``lookup``: (key, fine bucket,
+    sub-bucket) -> chunk, at most FINE x (chunk budget + tie chunks) rows;
+    ``chunks``: number of hot chunks planned."""
+
+    def __init__(self, keys, frame=None, lookup=None, chunks: int = 0, params=None,
+                 seq: str | None = None):
         self.keys, self.frame, self.lookup, self.chunks = list(keys), frame, lookup, chunks
+        self.params, self.seq = params, seq
 
 
 # Fine time buckets per planned chunk; chunk borders fall on fine-bucket
@@ -62,16 +68,28 @@ def _fine_bucket(ts):
     return F.least(F.greatest(f, F.lit(0)), F.col("_nf") - 1)
 
 
+def _sub_bucket(seq):
+    s = F.floor((F.col(seq) - F.col("_smin")) / F.col("_sw")).cast("long")
+    return F.least(F.greatest(s, F.lit(0)), F.col("_ns") - 1)
+
+
 def plan_chunks(df: DataFrame, keys: Sequence[str], hot_key_rows: int | None = HOT_KEY_ROWS,
                 chunk_rows: int = CHUNK_ROWS, max_chunks: int = MAX_CHUNKS,
-                ts: str = "timestamp") -> ChunkPlan:
+                ts: str = "timestamp", seq: str = "event_seq",
+                split_ties: bool = True) -> ChunkPlan:
     """Find hot keys of ``df`` (any frame with the keys and ``ts``; it may be
     a cheaper stand-in for the rows that will be split -- the plan only
     steers where work runs, never what it computes) and place their chunk
-    borders by event counts."""
+    borders by event counts.
+
+    ``split_ties``: a fine bucket with more than ``chunk_rows`` events all at
+    one timestamp (a flood) is cut further by ``seq`` -- within one
+    timestamp the order is ``seq`` alone, so the chunks stay contiguous.
+    Operators whose ties have their own meaning (as-of lookups) pass False.
+    """
     keys = list(keys)
     if hot_key_rows is None:
-        return ChunkPlan(keys, None, None, 0)
+        return ChunkPlan(keys)
     stats = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(ts).alias("_lo"),
                                    F.max(ts).alias("_hi"))
              .where(F.col("_n") > hot_key_rows))
@@ -90,25 +108,60 @@ def plan_chunks(df: DataFrame, keys: Sequence[str], hot_key_rows: int | None = H
         width = max(1, -(-(r["_hi"] - r["_lo"] + 1) // n_fine))
         rows.append(tuple(r[k] for k in keys) + (r["_lo"], width, n_fine))
     if not rows:
-        return ChunkPlan(keys, None, None, 0)
+        return ChunkPlan(keys)
     schema = T.StructType([df.schema[k] for k in keys] + [
         T.StructField("_lo", T.LongType()), T.StructField("_fw", T.LongType()),
         T.StructField("_nf", T.LongType())])
     spark = df.sparkSession
     hot = spark.createDataFrame(rows, schema)
-    counts = (df.join(F.broadcast(hot), keys).select(*keys, _fine_bucket(ts).alias("_f"))
-              .groupBy(*keys, "_f").agg(F.count(F.lit(1)).alias("_c")))
+    ties = split_ties and seq in df.columns
+    with_f = df.join(F.broadcast(hot), keys).withColumn("_f", _fine_bucket(ts))
+    bucket_aggs = [F.count(F.lit(1)).alias("_c")]
+    if ties:
+        bucket_aggs += [F.min(ts).alias("_tmin"), F.max(ts).alias("_tmax"),
+                        F.min(seq).alias("_smin"), F.max(seq).alias("_smax")]
+    counts = with_f.groupBy(*keys, "_f").agg(*bucket_aggs)
+
+    params = None
+    if ties:
+        flood = counts.where((F.col("_c") > chunk_rows) & (F.col("_tmin") == F.col("_tmax")))
+        found = flood.limit(max_chunks + 1).collect()[:max_chunks]
+        if found:
+            prow = []
+            for r in found:
+                n_sub = FINE * -(-r["_c"] // chunk_rows)
+                sw = max(1, -(-(r["_smax"] - r["_smin"] + 1) // n_sub))
+                prow.append(tuple(r[k] for k in keys) + (r["_f"], r["_smin"], sw, n_sub))
+            pschema = T.StructType([df.schema[k] for k in keys] + [
+                T.StructField("_f", T.LongType()), T.StructField("_smin", T.LongType()),
+                T.StructField("_sw", T.LongType()), T.StructField("_ns", T.LongType())])
+            params = spark.createDataFrame(prow, pschema)
+
     dense = hot.select(*keys, F.explode(F.sequence(F.lit(0).cast("long"), F.col("_nf") - 1)).alias("_f"))
-    t = dense.join(counts, keys + ["_f"], "left")
+    if params is None:
+        dense = dense.withColumn("_s", F.lit(0).cast("long"))
+        cnt = counts.select(*keys, "_f", F.lit(0).cast("long").alias("_s"), "_c")
+    else:
+        dense = (dense.join(F.broadcast(params.select(*keys, "_f", "_ns")), keys + ["_f"], "left")
+                 .select(*keys, "_f", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                           F.coalesce(F.col("_ns"), F.lit(1)) - 1)).alias("_s")))
+        sub = (with_f.join(F.broadcast(params), keys + ["_f"])
+               .groupBy(*keys, "_f", _sub_bucket(seq).alias("_s")).agg(F.count(F.lit(1)).alias("_c")))
+        flat = (counts.join(F.broadcast(params.select(*keys, "_f")), keys + ["_f"], "left_anti")
+                .select(*keys, "_f", F.lit(0).cast("long").alias("_s"), "_c"))
+        cnt = flat.unionByName(sub)
+    t = dense.join(cnt, keys + ["_f", "_s"], "left")
     before = F.coalesce(F.sum(F.coalesce(F.col("_c"), F.lit(0))).over(
-        Window.partitionBy(*keys).orderBy("_f").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    lookup = t.select(*keys, "_f", (F.floor(before / F.lit(chunk_rows)).cast("long") + 1).alias(CHUNK))
+        Window.partitionBy(*keys).orderBy("_f", "_s").rowsBetween(Window.unboundedPreceding, -1)),
+        F.lit(0))
+    lookup = t.select(*keys, "_f", "_s", (F.floor(before / F.lit(chunk_rows)).cast("long") + 1).alias(CHUNK))
     from ..session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(spark)  # the shared folder; set only when missing
-    # at most FINE x max_chunks rows; checkpointed so applying the plan does
-    # not recompute the statistics
-    return ChunkPlan(keys, hot, lookup.checkpoint(), max_chunks - budget)
+    # bounded (see ChunkPlan); checkpointed so applying the plan does not
+    # recompute the statistics
+    return ChunkPlan(keys, hot, lookup.checkpoint(), max_chunks - budget, params,
+                     seq if params is not None else None)
 
 
 def apply_chunks(df: DataFrame, plan: ChunkPlan, ts: str = "timestamp") -> DataFrame:
@@ -116,19 +169,27 @@ def apply_chunks(df: DataFrame, plan: ChunkPlan, ts: str = "timestamp") -> DataF
         return df.withColumn(CHUNK, F.lit(0).cast("long"))
     d = df.join(F.broadcast(plan.frame), plan.keys, "left")
     d = d.withColumn("_f", F.when(F.col("_fw").isNotNull(), _fine_bucket(ts)))
-    d = d.join(F.broadcast(plan.lookup), plan.keys + ["_f"], "left")
+    if plan.params is not None:
+        if plan.seq not in df.columns:
+            raise ValueError(f"this chunk plan cuts ties by {plan.seq!r}, which the frame lacks")
+        d = d.join(F.broadcast(plan.params), plan.keys + ["_f"], "left")
+        d = d.withColumn("_s", F.when(F.col("_sw").isNotNull(), _sub_bucket(plan.seq))
+                         .otherwise(F.lit(0).cast("long"))).drop("_smin", "_sw", "_ns")
+    else:
+        d = d.withColumn("_s", F.lit(0).cast("long"))
+    d = d.join(F.broadcast(plan.lookup), plan.keys + ["_f", "_s"], "left")
     return (d.withColumn(CHUNK, F.coalesce(F.col(CHUNK), F.lit(0).cast("long")))
-            .drop("_lo", "_fw", "_nf", "_f"))
+            .drop("_lo", "_fw", "_nf", "_f", "_s"))
 
 
 def add_chunks(df: DataFrame, keys: Sequence[str], hot_key_rows: int | None = HOT_KEY_ROWS,
                chunk_rows: int = CHUNK_ROWS, max_chunks: int = MAX_CHUNKS,
                ts: str = "timestamp", plan: ChunkPlan | None = None,
-               plan_from: DataFrame | None = None) -> tuple[DataFrame, int]:
+               plan_from: DataFrame | None = None, split_ties: bool = True) -> tuple[DataFrame, int]:
     """Add ``_chunk``; return (frame, number of hot chunks)."""
     if plan is None:
         plan = plan_chunks(df if plan_from is None else plan_from, keys, hot_key_rows,
-                           chunk_rows, max_chunks, ts)
+                           chunk_rows, max_chunks, ts, split_ties=split_ties)
     return apply_chunks(df, plan, ts), plan.chunks
 
 
@@ -188,7 +249,7 @@ def min_item_after(df: DataFrame, keys: Sequence[str], t: str, is_item: str, val
     """
     keys = list(keys)
     if plan is None:
-        d, hot = add_chunks(df, keys, ts=t, **split)
+        d, hot = add_chunks(df, keys, ts=t, split_ties=False, **split)
     else:
         d, hot = apply_chunks(df, plan, ts=t), plan.chunks
     # descending order: at equal t the rows that are "after" come first
