@@ -121,9 +121,15 @@ def plan_chunks(df: DataFrame, keys: Sequence[str], hot_key_rows: int | None = H
         bucket_aggs += [F.min(ts).alias("_tmin"), F.max(ts).alias("_tmax"),
                         F.min(seq).alias("_smin"), F.max(seq).alias("_smax")]
     counts = with_f.groupBy(*keys, "_f").agg(*bucket_aggs)
+    from ..session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)  # the shared folder; set only when missing
 
     params = None
     if ties:
+        # read twice below (flood check, chunk table): one row per fine
+        # bucket, at most FINE x the chunk budget -- computed once
+        counts = counts.checkpoint()
         flood = counts.where((F.col("_c") > chunk_rows) & (F.col("_tmin") == F.col("_tmax")))
         found = flood.limit(max_chunks + 1).collect()[:max_chunks]
         if found:
@@ -155,9 +161,6 @@ def plan_chunks(df: DataFrame, keys: Sequence[str], hot_key_rows: int | None = H
         Window.partitionBy(*keys).orderBy("_f", "_s").rowsBetween(Window.unboundedPreceding, -1)),
         F.lit(0))
     lookup = t.select(*keys, "_f", "_s", (F.floor(before / F.lit(chunk_rows)).cast("long") + 1).alias(CHUNK))
-    from ..session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(spark)  # the shared folder; set only when missing
     # bounded (see ChunkPlan); checkpointed so applying the plan does not
     # recompute the statistics
     return ChunkPlan(keys, hot, lookup.checkpoint(), max_chunks - budget, params,
