@@ -84,3 +84,27 @@ def test_batch_result_ignores_row_order(spark):
     ra = sorted(tuple(r) for r in pair_events(a, ["job_id"], 0, 1).collect())
     rb = sorted(tuple(r) for r in pair_events(b, ["job_id"], 0, 1).collect())
     assert ra == rb and len(ra) > 100
+
+
+def test_stream_matcher_over_batches_equals_state_machine():
+    """The processor's vectorised matcher, with the slot carried from one
+    micro-batch to the next, against the state machine."""
+    import numpy as np
+
+    from tracelens.streaming.processors import match_pairs
+
+    rnd = random.Random(1)
+    for _ in range(2000):
+        repeat = rnd.choice(["latest", "first"])
+        n = rnd.randint(1, 14)
+        ev = [(0, i, rnd.choice((0, 1))) for i in range(n)]
+        cuts = sorted(rnd.sample(range(1, n), k=min(n - 1, rnd.randint(0, 3)))) if n > 1 else []
+        slot, got, prev = None, set(), 0
+        for c in cuts + [n]:
+            part = ev[prev:c]
+            prev = c
+            typ = np.array([e for _, _, e in part])
+            ts = np.array([t for _, t, _ in part])
+            at, partner, (_, all_ts, _), slot = match_pairs(typ, ts, ts.copy(), slot, repeat)
+            got |= {(0, int(all_ts[i]), int(all_ts[partner[i]])) for i in at}
+        assert got == state_machine(ev, repeat), (repeat, ev, cuts)

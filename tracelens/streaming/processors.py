@@ -11,6 +11,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import types as T
@@ -63,10 +64,55 @@ class RunningCount(StatefulProcessor):
         pass
 
 
+def match_pairs(typ, ts, seq, slot, repeat: str = "latest"):
+    """One key's alternating pairs over sorted arrays, vectorised.
+
+    ``slot`` is the stored (type, ts, seq) or None.  A full slot is the
+    state after one row from an empty slot, so it is prepended as a virtual
+    first row and the closed form of the batch matcher applies: run r is
+    entered with a full slot iff ``(r - 1 - j)`` is even, ``j`` the last
+    earlier run of length >= 2 (or -1).  Returns (emitting row indexes,
+    partner indexes -- both into the arrays with the virtual row --, the
+    arrays, and the slot after the batch).
+    """
+    if slot is not None:
+        typ = np.concatenate([[slot[0]], typ])
+        ts = np.concatenate([[slot[1]], ts])
+        seq = np.concatenate([[slot[2]], seq])
+    n = len(typ)
+    idx = np.arange(n)
+    chg = np.ones(n, dtype=bool)
+    chg[1:] = typ[1:] != typ[:-1]
+    run = np.cumsum(chg)
+    longest = np.maximum.accumulate(np.where(~chg, run, 0))
+    before = np.concatenate([[0], longest[:-1]])
+    j = np.where(before > 0, before, -1)
+    is_open = ((run - 1 - j) % 2) == 0
+    emit = chg & is_open
+    if repeat == "latest":
+        partner = idx - 1
+        filler_last = idx  # the slot always holds the run's newest row
+    else:
+        prev_emit = np.concatenate([[False], emit[:-1]])
+        fill = ~emit & (chg | (prev_emit & ~chg))
+        filler_last = np.maximum.accumulate(np.where(fill, idx, -1))
+        partner = np.concatenate([[-1], filler_last[:-1]])
+    # slot after the batch: empty when the last run was entered full and is
+    # one row long, else that run's type with its filler (first) / last row
+    start = int(np.flatnonzero(chg)[-1])
+    if is_open[start] and start == n - 1:
+        after = None
+    else:
+        k = n - 1 if repeat == "latest" else int(filler_last[-1])
+        after = (int(typ[k]), int(ts[k]), int(seq[k]))
+    return np.flatnonzero(emit), partner, (typ, ts, seq), after
+
+
 class PairMatcher(StatefulProcessor):
     """T1 stream: one slot per key; same type replaces (``latest``) or is
     ignored (``first``); the other type emits the pair and empties the slot.
-    ``carry`` columns come from the closing event."""
+    ``carry`` columns come from the closing event.  Each micro-batch of a
+    key is matched at once by ``match_pairs`` (numpy, no per-row Python)."""
 
     def __init__(self, keys, type_a: int, type_b: int, repeat: str = "latest", carry=(),
                  event_time: bool = False, ttl_ms: int | None = None):
@@ -80,37 +126,36 @@ class PairMatcher(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         df = _sorted(rows)
+        if df.empty:
+            return
+        df = df[df["event_type"].isin(self.types)]
         if df.empty:
             return
         slot = self.slot.get() if self.slot.exists() else None
-        out = []
-        for r in df.itertuples(index=False):
-            typ = int(r.event_type)
-            if typ not in self.types:
-                continue
-            if slot is None:
-                slot = (typ, int(r.timestamp), int(r.event_seq))
-            elif slot[0] == typ:
-                if self.repeat == "latest":
-                    slot = (typ, int(r.timestamp), int(r.event_seq))
-            else:
-                rec = {k: v for k, v in zip(self.keys, key)}
-                rec.update(timestamp=int(r.timestamp), event_seq=int(r.event_seq), event_type=typ)
-                for c in self.carry:
-                    rec[c] = getattr(r, c)
-                rec.update(partner_timestamp=slot[1], partner_seq=slot[2],
-                           duration=abs(int(r.timestamp) - slot[1]))
-                out.append(rec)
-                slot = None
-        if slot is None:
+        offset = 1 if slot is not None else 0
+        rows_at, partner, (typ, ts, seq), after = match_pairs(
+            df["event_type"].to_numpy(dtype="int64"), df["timestamp"].to_numpy(dtype="int64"),
+            df["event_seq"].to_numpy(dtype="int64"), slot, self.repeat)
+        if after is None:
             self.slot.clear()
         else:
-            self.slot.update(slot)
-        if out:
-            res = pd.DataFrame(out)
-            if self.event_time:
-                res["event_time"] = pd.to_datetime(res["timestamp"], unit="us", utc=True)
-            yield res
+            self.slot.update(after)
+        if not len(rows_at):
+            return
+        src = df.iloc[rows_at - offset]
+        p = partner[rows_at]
+        out = pd.DataFrame({k: [v] * len(rows_at) for k, v in zip(self.keys, key)})
+        out["timestamp"] = ts[rows_at]
+        out["event_seq"] = seq[rows_at]
+        out["event_type"] = typ[rows_at].astype("int32")
+        for c in self.carry:
+            out[c] = src[c].to_numpy()
+        out["partner_timestamp"] = ts[p]
+        out["partner_seq"] = seq[p]
+        out["duration"] = np.abs(ts[rows_at] - ts[p])
+        if self.event_time:
+            out["event_time"] = pd.to_datetime(out["timestamp"], unit="us", utc=True)
+        yield out
 
     def close(self) -> None:
         pass
