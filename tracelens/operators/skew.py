@@ -48,7 +48,7 @@ class ChunkPlan:
     small local relation); ``params``: fine buckets that hold more than
     ``chunk_rows`` events at one single timestamp, with the ``event_seq``
     range they are cut in (local, small); ``lookup``: (key, fine bucket,
-    sub-bucket) -> chunk, at most FINE x (chunk budget + tie chunks) rows;
+    sub-bucket) -> chunk, at most FINE x 2 x the chunk budget rows;
     ``chunks``: number of hot chunks planned."""
 
     def __init__(self, keys, frame=None, lookup=None, chunks: int = 0, params=None,
@@ -131,13 +131,19 @@ def plan_chunks(df: DataFrame, keys: Sequence[str], hot_key_rows: int | None = H
         # bucket, at most FINE x the chunk budget -- computed once
         counts = counts.checkpoint()
         flood = counts.where((F.col("_c") > chunk_rows) & (F.col("_tmin") == F.col("_tmax")))
-        found = flood.limit(max_chunks + 1).collect()[:max_chunks]
-        if found:
-            prow = []
-            for r in found:
-                n_sub = FINE * -(-r["_c"] // chunk_rows)
-                sw = max(1, -(-(r["_smax"] - r["_smin"] + 1) // n_sub))
-                prow.append(tuple(r[k] for k in keys) + (r["_f"], r["_smin"], sw, n_sub))
+        # largest floods first, within their own budget of max_chunks chunks,
+        # so the lookup table stays at most FINE x 2 x max_chunks rows
+        found = flood.orderBy(F.desc("_c")).limit(max_chunks).collect()
+        prow, tie_budget = [], max_chunks
+        for r in found:
+            if tie_budget < 2:
+                break
+            n_tie = min(tie_budget, -(-r["_c"] // chunk_rows))
+            tie_budget -= n_tie
+            n_sub = FINE * n_tie
+            sw = max(1, -(-(r["_smax"] - r["_smin"] + 1) // n_sub))
+            prow.append(tuple(r[k] for k in keys) + (r["_f"], r["_smin"], sw, n_sub))
+        if prow:
             pschema = T.StructType([df.schema[k] for k in keys] + [
                 T.StructField("_f", T.LongType()), T.StructField("_smin", T.LongType()),
                 T.StructField("_sw", T.LongType()), T.StructField("_ns", T.LongType())])
