@@ -115,3 +115,22 @@ def test_kafka_wiring_reports_missing_connector(spark):
         kafka.read_task_topic(spark, "localhost:1", kafka.FILTERED_TOPIC, stream=False)
     with pytest.raises(kafka.KafkaUnavailable):
         kafka.export_filtered_tasks(tasks, "localhost:1")
+
+
+def test_command_line_runs_a_job(tmp_path):
+    import subprocess
+    import sys as _sys
+
+    d = _write([f"{t * 1000000},,7,0,{m},{e},u,1,1" for m, e, t in
+                ((1, 4, 10), (2, 4, 11), (1, 3, 40), (3, 5, 70))])
+    out = str(tmp_path / "stats")
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    r = subprocess.run([_sys.executable, "-m", "tracelens", "task-statistics", "--tasks", d,
+                        "--by", "machine_id", "--out", out, "--local", "2"],
+                       capture_output=True, text=True, cwd=repo, timeout=300)
+    assert r.returncode == 0, r.stderr[-2000:]
+    import pyarrow.parquet as pq
+
+    rows = pq.read_table(out).to_pylist()
+    assert sorted((x["window_start"] // 60_000_000, x["machine_id"], x["finished"], x["failed"], x["killed"])
+                  for x in rows) == [(0, 1, 1, 1, 0), (0, 2, 1, 0, 0), (1, 3, 0, 0, 1)]
