@@ -51,8 +51,15 @@ def _args(argv):
     return p.parse_args(argv)
 
 
+JOBS = ("task-statistics", "busy-machines", "longest-session", "job-event-count",
+        "scheduling-latency", "max-task-completion", "filter-tasks", "rule-anomaly",
+        "invariant-anomaly", "time-series-anomaly")
+
+
 def run(argv=None) -> int:
     a = _args(sys.argv[1:] if argv is None else argv)
+    if a.job not in JOBS:
+        raise SystemExit(f"unknown job {a.job!r}; one of: {', '.join(JOBS)}")
     from pyspark.sql import SparkSession
 
     from .operators import anomaly, filters, pairs, patterns, rolling, sessions, windows
@@ -91,8 +98,6 @@ def run(argv=None) -> int:
         "time-series-anomaly": lambda: anomaly.time_series_anomaly(
             tasks(), a.length or "5 seconds", a.slide or "2 seconds", a.windows, a.diff),
     }
-    if a.job not in jobs_table:
-        raise SystemExit(f"unknown job {a.job!r}; one of: {', '.join(jobs_table)}")
     df = jobs_table[a.job]()
     if a.out:
         df.write.mode("overwrite").parquet(a.out)
