@@ -134,3 +134,24 @@ def test_command_line_runs_a_job(tmp_path):
     rows = pq.read_table(out).to_pylist()
     assert sorted((x["window_start"] // 60_000_000, x["machine_id"], x["finished"], x["failed"], x["killed"])
                   for x in rows) == [(0, 1, 1, 1, 0), (0, 2, 1, 0, 0), (1, 3, 0, 0, 1)]
+
+
+@pytest.mark.parametrize("job,extra", [
+    ("longest-session", ["--gap", "10 minutes"]),
+    ("rule-anomaly", ["--e1", "0", "--e2", "1", "--e3", "5", "--limit", "10 seconds", "--epoch", "repeat"]),
+    ("scheduling-latency", ["--repeat", "first"]),
+])
+def test_command_line_jobs_run(job, extra):
+    import subprocess
+    import sys as _sys
+
+    tasks = _write([f"{t * 1000},,{j},0,1,{e},u,1,1" for j, e, t in
+                    ((1, 0, 5000), (1, 1, 9000), (1, 5, 12000), (2, 0, 1000))])
+    jobs = _write([f"{t * 1000},,{j},{e},u,0,n,l" for j, e, t in
+                   ((1, 0, 100), (1, 1, 900), (1, 4, 20000), (2, 0, 200))])
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    r = subprocess.run([_sys.executable, "-m", "tracelens", job, "--tasks", tasks, "--jobs", jobs,
+                        "--local", "2", "--show", "5", *extra],
+                       capture_output=True, text=True, cwd=repo, timeout=300)
+    assert r.returncode == 0, r.stderr[-2000:]
+    assert "+" in r.stdout  # a table was shown
