@@ -302,3 +302,23 @@ def test_compact_update_mode_forms(spark):
     for r in counts:
         last[r.job_id] = max(last.get(r.job_id, 0), r.event_count)
     assert last == {1: 3, 2: 1, 3: 2}
+
+
+def test_stream_pairs_random_batches_equal_state_machine(spark):
+    import random
+
+    from test_pairs_random import state_machine
+
+    rnd = random.Random(2)
+    ev, t = [], 0
+    for _ in range(600):
+        t += rnd.randint(1, 4)
+        ev.append((rnd.choice((0, 0, 1, 2, 3)), t, rnd.choice((0, 1))))
+    d = tempfile.mkdtemp(prefix="tl-s-")
+    rows = [job_record(k, t, e, ms=False) for k, t, e in ev]
+    write_batches(d, _chunks(rows, 57), kind="job")
+    for repeat in ("latest", "first"):
+        out = run(spark, S.job_scheduling_latency_stream(
+            S.read_job_stream(spark, d, max_files_per_trigger=1), repeat=repeat))
+        got = {(r.job_id, r.timestamp, r.timestamp - r.latency) for r in out}
+        assert got == state_machine(ev, repeat), repeat
