@@ -22,9 +22,14 @@ import argparse
 import sys
 
 
+JOBS = ("task-statistics", "busy-machines", "longest-session", "job-event-count",
+        "scheduling-latency", "max-task-completion", "filter-tasks", "rule-anomaly",
+        "invariant-anomaly", "time-series-anomaly")
+
+
 def _args(argv):
     p = argparse.ArgumentParser(prog="python -m tracelens")
-    p.add_argument("job")
+    p.add_argument("job", choices=JOBS)
     p.add_argument("--tasks")
     p.add_argument("--jobs")
     p.add_argument("--out")
@@ -51,15 +56,8 @@ def _args(argv):
     return p.parse_args(argv)
 
 
-JOBS = ("task-statistics", "busy-machines", "longest-session", "job-event-count",
-        "scheduling-latency", "max-task-completion", "filter-tasks", "rule-anomaly",
-        "invariant-anomaly", "time-series-anomaly")
-
-
 def run(argv=None) -> int:
     a = _args(sys.argv[1:] if argv is None else argv)
-    if a.job not in JOBS:
-        raise SystemExit(f"unknown job {a.job!r}; one of: {', '.join(JOBS)}")
     from pyspark.sql import SparkSession
 
     from .operators import anomaly, filters, pairs, patterns, rolling, sessions, windows
