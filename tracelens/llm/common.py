@@ -184,7 +184,8 @@ def unpack(raw: bytes, dtype) -> np.ndarray:
 
 # --- buckets --------------------------------------------------------------
 
-def bucketed(df: DataFrame, id_col: str, text_col: str, bucket_bytes: int = BUCKET_BYTES) -> tuple[DataFrame, dict]:
+def bucketed(df: DataFrame, id_col: str, text_col: str, bucket_bytes: int = BUCKET_BYTES,
+             extra: list[str] | None = None) -> tuple[DataFrame, dict]:
     """(bucket, id, text) rows and the totals; buckets hold about
     ``bucket_bytes`` of text each.  Copies of one id spread by their text."""
     total = df.agg(F.count(F.lit(1)).alias("n"),
@@ -192,7 +193,7 @@ def bucketed(df: DataFrame, id_col: str, text_col: str, bucket_bytes: int = BUCK
     # a document costs its arrays besides its text
     n = max(1, math.ceil((total["b"] + 64 * total["n"]) / bucket_bytes))
     out = df.select(F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(n)).cast("int").alias("bucket"),
-                    F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+                    F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), *(extra or []))
     return out, {"rows": total["n"], "bytes": int(total["b"]), "buckets": n}
 
 
