@@ -182,6 +182,12 @@ def unpack(raw: bytes, dtype) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(dtype).ravel()
 
 
+def release() -> None:
+    """Gives memory that Arrow holds for reuse back to the system; called
+    between groups, as executors share their memory with the JVM."""
+    pa.default_memory_pool().release_unused()
+
+
 # --- buckets --------------------------------------------------------------
 
 def bucketed(df: DataFrame, id_col: str, text_col: str, bucket_bytes: int = BUCKET_BYTES,

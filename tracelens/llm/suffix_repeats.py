@@ -24,12 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (bucketed, by_limits, hashed_words, inside_document, mix, pack, table, unpack,
+from .common import (bucketed, by_limits, hashed_words, inside_document, mix, pack, release, table,
+                     unpack,
                      window_hashes)
 
 DEPTH = 13
 #: Paths that one group (one task's memory) holds.
-GROUP_PATHS = 2_000_000
+GROUP_PATHS = 1_000_000
 #: Prefix lengths in words, before the whole depth; cells that prefixes of one
 #: length are counted in.
 PREFIXES = (1, 2, 4)
@@ -80,14 +81,15 @@ def count_prefixes(docs: DataFrame, depth: int) -> np.ndarray:
 
 def assign_groups(counts: np.ndarray, limit: int) -> tuple[np.ndarray, int]:
     """(group of each prefix cell or -1, number of groups).  Cells of at most
-    ``limit`` paths share groups, round robin from the largest; the other
-    paths use a longer prefix, in the end the whole path over all groups."""
+    ``limit`` paths share groups, dealt forth and back from the largest; the
+    other paths use a longer prefix, in the end the whole path over all groups."""
     groups = max(1, math.ceil(int(counts[0].sum()) / limit))
     out = np.full(counts.shape, -1, np.int64)
     for i in range(len(counts)):
         small = np.flatnonzero((counts[i] > 0) & (counts[i] <= limit))
         order = small[np.argsort(-counts[i][small], kind="stable")]
-        out[i, order] = np.arange(len(order)) % groups
+        lap, at = np.divmod(np.arange(len(order)), groups)
+        out[i, order] = np.where(lap % 2, groups - 1 - at, at)
     return out, groups
 
 
@@ -105,6 +107,7 @@ def repeats(docs: DataFrame, depth: int = DEPTH, group_paths: int = GROUP_PATHS)
     plan, groups = assign_groups(count_prefixes(docs, depth), group_paths)
 
     def send(key, t):
+        release()
         ids = t["id"].fill_null(LAST).to_numpy()
         words, _, paths, doc, start = path_hashes(t["text"], depth)
         group = path_groups(words, start, paths, plan, groups)
@@ -127,24 +130,25 @@ def repeats(docs: DataFrame, depth: int = DEPTH, group_paths: int = GROUP_PATHS)
                          "span": pa.array(hi, pa.binary())})
 
     def meet(key, t):
-        parts = [unpack(x.as_py(), np.uint64) for x in t["paths"]]
-        sizes = np.array([len(p) for p in parts])
-        paths = np.concatenate(parts)
-        del parts
-        low = np.concatenate([unpack(x.as_py(), np.int64) for x in t["low"]])
-        high = low + np.concatenate([unpack(x.as_py(), np.int64) for x in t["span"]])
-        sender = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        release()
+        names, sizes = t["bucket"].to_numpy(), t["paths"].combine_chunks()
+        sizes = np.array([len(x.as_buffer()) // 8 for x in sizes])
+        paths = np.concatenate([unpack(x.as_buffer(), np.uint64) for x in t["paths"]])
+        low = np.concatenate([unpack(x.as_buffer(), np.int64) for x in t["low"]])
         # leaves in order: equal neighbours hang below one deep node
         order = np.argsort(paths, kind="stable")
         ranked = paths[order]
         first = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
-        least = np.repeat(np.minimum.reduceat(low[order], first), np.diff(np.r_[first, len(ranked)]))
-        back = high[order] > least
-        order, least = order[back], least[back]
-        keep = np.argsort(order, kind="stable")  # by sender, then path
-        order, least = order[keep], least[keep]
-        names = t["bucket"].to_numpy()
-        rows = [(int(names[s]), pack(paths[order[a:b]]), pack(least[a:b])) for s, a, b in by_limits(sender[order])]
+        del ranked
+        least = np.empty(len(low), np.int64)
+        least[order] = np.repeat(np.minimum.reduceat(low[order], first), np.diff(np.r_[first, len(low)]))
+        del order, first
+        low += np.concatenate([unpack(x.as_buffer(), np.int64) for x in t["span"]])
+        back = np.flatnonzero(low > least)  # in order of sender and path
+        del low
+        paths, least = paths[back], least[back]
+        sender = np.searchsorted(np.cumsum(sizes), back, side="right")
+        rows = [(int(names[s]), pack(paths[a:b]), pack(least[a:b])) for s, a, b in by_limits(sender)]
         k, p, lo = zip(*rows) if rows else ((), (), ())
         return pa.table({"bucket": pa.array(k, pa.int32()), "paths": pa.array(p, pa.binary()),
                          "low": pa.array(lo, pa.binary())})
@@ -186,6 +190,7 @@ def remove_repeats(df: DataFrame, id_col: str, text_col: str, depth: int = DEPTH
     docs, _ = bucketed(df, id_col, text_col)
 
     def finish(key, t, hits):
+        release()
         ids = t["id"].fill_null(LAST).to_numpy()
         gone, before = covered_words(t["text"], ids, hits, depth)
         n, removed, spans, kept = [], [], [], []
