@@ -183,9 +183,14 @@ def unpack(raw: bytes, dtype) -> np.ndarray:
 
 
 def release() -> None:
-    """Gives memory that Arrow holds for reuse back to the system; called
-    between groups, as executors share their memory with the JVM."""
+    """Gives memory that Arrow and the C library hold for reuse back to the
+    system; called between groups, as workers share it with the JVM."""
+    import ctypes
+
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 # --- buckets --------------------------------------------------------------

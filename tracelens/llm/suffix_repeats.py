@@ -29,6 +29,8 @@ from .common import (bucketed, by_limits, hashed_words, inside_document, mix, pa
                      window_hashes)
 
 DEPTH = 13
+#: Text bytes of one bucket of documents.
+BUCKET_BYTES = 4 << 20
 #: Paths that one group (one task's memory) holds.
 GROUP_PATHS = 1_000_000
 #: Prefix lengths in words, before the whole depth; cells that prefixes of one
@@ -100,6 +102,26 @@ def path_groups(words: np.ndarray, start: np.ndarray, paths: np.ndarray, plan: n
     return np.where(out < 0, (mix(paths) % np.uint64(groups)).astype(np.int64), out)
 
 
+def pack_ids(ids: np.ndarray) -> bytes:
+    """Ids in 4 bytes each where they fit."""
+    return pack(ids.astype(np.uint32) if ids.min() >= 0 and ids.max() < 1 << 32 else ids)
+
+
+def unpack_ids(raw, n: int) -> np.ndarray:
+    return unpack(raw, np.uint32 if len(raw) == 4 * n else np.int64).astype(np.int64)
+
+
+def pack_spans(spans: np.ndarray) -> bytes:
+    """Places and values of the numbers that are not zero, which are few."""
+    at = np.flatnonzero(spans)
+    return pack(np.r_[at, spans[at]])
+
+
+def unpack_spans(raw) -> tuple[np.ndarray, np.ndarray]:
+    both = unpack(raw, np.int64)
+    return both[:len(both) // 2], both[len(both) // 2:]
+
+
 def repeats(docs: DataFrame, depth: int = DEPTH, group_paths: int = GROUP_PATHS) -> DataFrame:
     """(bucket, data) rows for ``docs`` (bucket, id, text): the paths of each
     bucket that also start in a document with a smaller id than the largest
@@ -122,7 +144,7 @@ def repeats(docs: DataFrame, depth: int = DEPTH, group_paths: int = GROUP_PATHS)
         first = np.flatnonzero(np.r_[True, (paths[1:] != paths[:-1]) | (group[1:] != group[:-1])])
         last = np.r_[first[1:], len(paths)] - 1
         group, paths, low, high = group[first], paths[first], holder[first], holder[last]
-        rows = [(int(g), key[0].as_py(), pack(paths[a:b]), pack(low[a:b]), pack(high[a:b] - low[a:b]))
+        rows = [(int(g), key[0].as_py(), pack(paths[a:b]), pack_ids(low[a:b]), pack_spans(high[a:b] - low[a:b]))
                 for g, a, b in by_limits(group)]
         g, k, p, lo, hi = zip(*rows)
         return pa.table({"group": pa.array(g, pa.int64()), "bucket": pa.array(k, pa.int32()),
@@ -134,7 +156,7 @@ def repeats(docs: DataFrame, depth: int = DEPTH, group_paths: int = GROUP_PATHS)
         names, sizes = t["bucket"].to_numpy(), t["paths"].combine_chunks()
         sizes = np.array([len(x.as_buffer()) // 8 for x in sizes])
         paths = np.concatenate([unpack(x.as_buffer(), np.uint64) for x in t["paths"]])
-        low = np.concatenate([unpack(x.as_buffer(), np.int64) for x in t["low"]])
+        low = np.concatenate([unpack_ids(x.as_buffer(), n) for x, n in zip(t["low"], sizes)])
         # leaves in order: equal neighbours hang below one deep node
         order = np.argsort(paths, kind="stable")
         ranked = paths[order]
@@ -143,7 +165,9 @@ def repeats(docs: DataFrame, depth: int = DEPTH, group_paths: int = GROUP_PATHS)
         least = np.empty(len(low), np.int64)
         least[order] = np.repeat(np.minimum.reduceat(low[order], first), np.diff(np.r_[first, len(low)]))
         del order, first
-        low += np.concatenate([unpack(x.as_buffer(), np.int64) for x in t["span"]])
+        for x, at in zip(t["span"], np.cumsum(sizes) - sizes):
+            place, span = unpack_spans(x.as_buffer())
+            low[at + place] += span
         back = np.flatnonzero(low > least)  # in order of sender and path
         del low
         paths, least = paths[back], least[back]
@@ -187,7 +211,7 @@ def remove_repeats(df: DataFrame, id_col: str, text_col: str, depth: int = DEPTH
     take words from each other.  An empty table gives no rows.  Other columns
     are ignored.
     """
-    docs, _ = bucketed(df, id_col, text_col)
+    docs, _ = bucketed(df, id_col, text_col, BUCKET_BYTES)
 
     def finish(key, t, hits):
         release()
