@@ -9,10 +9,10 @@ the octave that a multiplicity ends in is split into halves.  Points are made
 in order of time up to a bound that fills all registers, doubled where not.
 
 Signatures are banded; the members of a band's bucket are compared with the
-bucket's smallest member, and members of different classes that meet in a
-bucket are compared in full, so no pair that shares a bucket is lost, while
-the pairs inside one class are never written out.  Every link is verified on
-the exact multisets.
+bucket's smallest member; members of different classes that still meet in a
+bucket are compared in full, in blocks inside tasks.  So no link between
+classes is lost, and no pairs of a group are written out.  Every link is
+verified on the exact multisets.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import blocks, checkpointed, hashed_words, mix, random_words, table, utf8, window_hashes
-from .graph import components
+from .graph import components, lowest
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -226,13 +226,9 @@ def near_duplicates(df: DataFrame, id_col: str, text_col: str, words: int = WORD
     shared = checkpointed(crowd.join(sizes, "bucket").select("bucket", "id", "lead"))
     tested = links = component = None
     open_rows = shared
-    for r in range(leader_rounds + 1):
-        if r < leader_rounds:
-            # the members outside their bucket's earlier classes meet its next leader
-            pairs = open_rows.where("id > lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
-        else:
-            # what still meets across classes is compared in full
-            pairs = cross_class_pairs(with_classes(shared.select("bucket", "id"), component))
+    for r in range(leader_rounds):
+        # the members outside their bucket's earlier classes meet its next leader
+        pairs = open_rows.where("id > lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = checkpointed(pairs)
@@ -248,6 +244,12 @@ def near_duplicates(df: DataFrame, id_col: str, text_col: str, words: int = WORD
                     .where(F.col("class") != F.coalesce("lead_class", "lead")).select("bucket", "id"))
             nexts = left.groupBy("bucket").agg(F.min("id").alias("lead"))
             open_rows = checkpointed(left.join(nexts, "bucket").select("bucket", "id", "lead"))
+    if component is not None:
+        # what still meets across classes is compared in full
+        more = checkpointed(cross_class_links(with_classes(shared.select("bucket", "id"), component), docs, words,
+                                              similarity))
+        if more.take(1):
+            component = checkpointed(components(links.union(more)))
     named = rep.select("fp", F.col("rep").alias("class_id"))
     if component is not None:
         named = (rep.join(component, rep["rep"] == component["node"], "left")
@@ -262,16 +264,97 @@ def with_classes(rows: DataFrame, component: DataFrame) -> DataFrame:
             .withColumn("class", F.coalesce("component", "id")).drop("component"))
 
 
-def cross_class_pairs(rows: DataFrame) -> DataFrame:
-    """(a, b), a < b: members of one bucket in different classes."""
-    per = rows.groupBy("bucket", "class").agg(F.count(F.lit(1)).alias("n"))
-    main = per.groupBy("bucket").agg(F.max(F.struct("n", "class")).alias("m"), F.count(F.lit(1)).alias("classes"))
-    main = main.where("classes > 1").select("bucket", F.col("m.class").alias("main"))
-    rows = rows.join(main, "bucket")
-    minor = rows.where("class != main").select("bucket", F.col("id").alias("x"), F.col("class").alias("cx"))
-    met = minor.join(rows.select("bucket", F.col("id").alias("y"), F.col("class").alias("cy"), "main"), "bucket")
-    met = met.where("cx != cy AND (cy = main OR x < y)")
-    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+def meeting_units(rows: DataFrame, block: int) -> DataFrame:
+    """(unit, kind, id, class, main, x_blocks, y_blocks) of (bucket, id,
+    class) rows: where documents of different classes still meet.
+
+    A unit is a bucket, or a cluster of documents that buckets connect,
+    whichever means fewer texts to move: its documents outside the main class
+    go in x blocks, all its documents in y blocks, every x meets every y.
+    """
+    per = rows.groupBy("bucket", "class").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("low"))
+    per = per.groupBy("bucket").agg(F.sum("n").alias("n"), F.max(F.struct("n", "class")).alias("main"),
+                                    F.count(F.lit(1)).alias("classes"), F.min("low").alias("lead"))
+    per = per.where("classes > 1").select("bucket", "lead", "n", "main")
+    rows = checkpointed(rows.join(per.select("bucket", "lead"), "bucket"))
+    cluster = checkpointed(components(rows.select(F.col("id").alias("a"), F.col("lead").alias("b")).distinct()))
+    rows = rows.join(cluster.select(F.col("node").alias("id"), F.col("component").alias("cluster")), "id")
+
+    def costs(df):
+        minor = F.col("n") - F.col("main.n")
+        x, y = F.ceil(minor / block), F.ceil(F.col("n") / block)
+        return df.select("*", F.col("main.class").alias("main_class"), x.cast("int").alias("x_blocks"),
+                         y.cast("int").alias("y_blocks"), (F.col("n") * x + minor * y).alias("cost"))
+
+    in_bucket = costs(per).join(cluster.select(F.col("node").alias("lead"), F.col("component").alias("cluster")), "lead")
+    members = rows.select("cluster", "id", "class").distinct()
+    whole = members.groupBy("cluster", "class").agg(F.count(F.lit(1)).alias("n"))
+    whole = costs(whole.groupBy("cluster").agg(F.sum("n").alias("n"), F.max(F.struct("n", "class")).alias("main")))
+    split = in_bucket.groupBy("cluster").agg(F.sum("cost").alias("split_cost"))
+    whole = whole.join(split, "cluster").withColumn("together", F.col("cost") <= F.col("split_cost"))
+    sizes = ["main_class", "x_blocks", "y_blocks"]
+    one = members.join(whole.where("together").select("cluster", *sizes), "cluster").select(
+        F.col("cluster").alias("unit"), F.lit(0).alias("kind"), "id", "class", *sizes)
+    apart = in_bucket.join(whole.where("NOT together").select("cluster"), "cluster", "left_semi")
+    many = rows.join(apart.select("bucket", *sizes), "bucket").select(
+        F.col("bucket").alias("unit"), F.lit(1).alias("kind"), "id", "class", *sizes)
+    return one.union(many)
+
+
+def cross_class_links(rows: DataFrame, docs: DataFrame, words: int, similarity: float, block: int = 256) -> DataFrame:
+    """(a, b) links that connect what any link between documents of different
+    classes in one bucket connects.  Texts meet in blocks inside tasks; no
+    pairs are written out."""
+    units = checkpointed(meeting_units(rows, block))
+    ids = units.select("id").distinct()
+    texts = (docs.join(ids, "id", "left_semi").groupBy("id", F.xxhash64("text").alias("h"))
+             .agg(F.first("text").alias("text")).drop("h"))
+    units = units.join(texts, "id")
+    every = (units.withColumn("y", F.pmod(F.xxhash64("id"), F.col("y_blocks")))
+             .withColumn("x", F.explode(F.sequence(F.lit(0).cast("long"), F.col("x_blocks").cast("long") - 1))))
+    minor = (units.where("class != main_class").withColumn("x", F.pmod(F.xxhash64("id"), F.col("x_blocks")))
+             .withColumn("y", F.explode(F.sequence(F.lit(0).cast("long"), F.col("y_blocks").cast("long") - 1))))
+    cols = ["unit", "kind", "x", "y", "id", "class", "text"]
+    met = (every.select(*cols, F.lit(False).alias("minor")).union(minor.select(*cols, F.lit(True).alias("minor"))))
+
+    def meet(key, t):
+        ids, kinds, minor = t["id"].to_numpy(), t["class"].to_numpy(), t["minor"].to_numpy(zero_copy_only=False)
+        doc, shingle, count = shingles(t["text"].combine_chunks(), words)
+        size = np.bincount(doc, count, len(ids))
+        # a shingle seen n times is n elements; only elements of several texts can be shared
+        doc = np.repeat(doc, count)
+        nth = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
+        with np.errstate(over="ignore"):
+            element = mix(np.repeat(shingle, count) + nth.astype(np.uint64) * STEP)
+        _, element, copies = np.unique(element, return_inverse=True, return_counts=True)
+        several = copies[element] > 1
+        doc, element = doc[several], element[several]
+        if len(element):
+            _, element = np.unique(element, return_inverse=True)
+        left, right = np.flatnonzero(minor), np.flatnonzero(~minor)
+        row = np.empty(len(ids), np.int64)
+        row[left], row[right] = np.arange(len(left)), np.arange(len(right))
+        order = np.argsort(element, kind="stable")
+        doc, element = doc[order], element[order]
+        shared = np.zeros((len(left), len(right)), np.float32)
+        for first in range(0, int(element[-1]) + 1 if len(element) else 0, 8192):
+            a, b = np.searchsorted(element, [first, first + 8192])
+            d, e = doc[a:b], element[a:b] - first
+            x, y = np.zeros((len(left), 8192), np.float32), np.zeros((len(right), 8192), np.float32)
+            m = minor[d]
+            x[row[d[m]], e[m]] = 1
+            y[row[d[~m]], e[~m]] = 1
+            shared += x @ y.T
+        total = size[left][:, None] + size[right][None] - shared
+        ok = (shared >= (similarity - 1e-12) * total) & (kinds[left][:, None] != kinds[right][None]) & (total > 0)
+        i, j = np.nonzero(ok)
+        # at most one edge per text keeps what they connect
+        names, at = np.unique(np.r_[ids[left][i], ids[right][j]], return_inverse=True)
+        low = lowest(at[:len(i)], at[len(i):], len(names))
+        own = np.flatnonzero(low != np.arange(len(names)))
+        return pa.table({"a": pa.array(names[low[own]], pa.int64()), "b": pa.array(names[own], pa.int64())})
+
+    return met.groupBy("unit", "kind", "x", "y").applyInArrow(meet, "a long, b long").distinct()
 
 
 def op2_bagminhash(spark, sf_dir):

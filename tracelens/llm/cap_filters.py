@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import checkpointed, table
-from .graph import components
+from .graph import components, lowest
 from .vectors import cosines, matrix, unit, usable
 
 SIMILARITY = 0.93
@@ -163,20 +163,6 @@ def linked_vectors(df: DataFrame, id_col: str, vector_col: str, label_col: str,
     return out.select("id", "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def lowest(p: np.ndarray, q: np.ndarray, n: int) -> np.ndarray:
-    """Smallest node reachable over the edges (p, q), of each node."""
-    low = np.arange(n)
-    while True:
-        m = np.minimum(low[p], low[q])
-        new = low.copy()
-        np.minimum.at(new, p, m)
-        np.minimum.at(new, q, m)
-        new = new[new]
-        if (new == low).all():
-            return low
-        low = new
-
-
 def spanning(p: np.ndarray, q: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """At most n edges that connect what the edges (p, q) connect."""
     low = lowest(p, q, n)

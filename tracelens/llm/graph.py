@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,3 +45,17 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     low = e.groupBy("u").agg(F.min("v").alias("m"))
     return (nodes.join(low, nodes["node"] == low["u"], "left")
             .select("node", F.coalesce("m", "node").alias("component")))
+
+
+def lowest(p: np.ndarray, q: np.ndarray, n: int) -> np.ndarray:
+    """Smallest node reachable over the edges (p, q), of each node."""
+    low = np.arange(n)
+    while True:
+        m = np.minimum(low[p], low[q])
+        new = low.copy()
+        np.minimum.at(new, p, m)
+        np.minimum.at(new, q, m)
+        new = new[new]
+        if (new == low).all():
+            return low
+        low = new

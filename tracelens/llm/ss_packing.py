@@ -10,7 +10,9 @@ is made.
 from __future__ import annotations
 
 import math
+import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +26,7 @@ from .common import table
 GROUP_PIECES = 50_000
 SEQUENCE = 4096
 #: Distinct words whose ids a Python worker keeps.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 500_000
 
 #: Fixed values of the vocabulary file: its split pattern and special tokens.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -35,7 +37,6 @@ def newer_letters():
     letters or numbers and Python's own, older ones leave unassigned; the
     tokenizers library may see them either way."""
     import sys
-    import unicodedata
 
     import regex
 
@@ -47,60 +48,58 @@ def newer_letters():
 class WordTokens:
     """Ids of a text under a lower-casing word-level BPE file, word by word:
     words are found with the file's own pattern and each distinct word is
-    encoded once by the tokenizers library."""
+    encoded once by the tokenizers library.  Rare texts, with special tokens
+    or characters that Unicode versions class differently, are encoded whole
+    by the library."""
 
     def __init__(self, path: str):
+        import os
+
         import regex
+
+        # Spark runs a worker per core; more threads would only add memory
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, normalizers
 
-        self.tok, self.whole = Tokenizer.from_file(path), Tokenizer.from_file(path)
-        self.special = {t.content: i for i, t in self.tok.get_added_tokens_decoder().items()}
-        self.cut = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True))
-                                 + ")") if self.special else None
-        self.tok.normalizer = normalizers.Sequence([])
+        self.tok = Tokenizer.from_file(path)
+        self.normalizer, self.none = self.tok.normalizer, normalizers.Sequence([])
+        self.tok.normalizer = self.none
+        special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        self.special = regex.compile("|".join(map(regex.escape, special))).search if special else None
         self.find = regex.compile(WORD_PATTERN).findall
         self.ids: dict[str, bytes] = {}
         self.newer = newer_letters()
 
     def words(self, text: str) -> list[str]:
-        import unicodedata
-
         if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # no final-sigma rule
+            if not unicodedata.is_normalized("NFC", text):
+                text = unicodedata.normalize("NFC", text)
+            text = text.replace("Σ", "σ")  # lower() has a final-sigma rule, the library has none
         return self.find(text.lower())
 
-    def learn(self, words: set) -> None:
+    def whole(self, text: str) -> bytes:
+        self.tok.normalizer = self.normalizer
+        ids = self.tok.encode(text, add_special_tokens=False).ids
+        self.tok.normalizer = self.none
+        return np.array(ids, "<u4").tobytes()
+
+    def learn(self, words: set[str]) -> None:
         if len(self.ids) > CACHE_WORDS:
             self.ids.clear()
-            return
-        new = [w for w in words if w not in self.ids]
-        if new:
-            for w, e in zip(new, self.tok.encode_batch(new, add_special_tokens=False)):
-                self.ids[w] = np.array(e.ids, "<u4").tobytes()
+        new = list(words.difference(self.ids))
+        for i in range(0, len(new), 2000):
+            part = new[i:i + 2000]
+            for w, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False)):
+                self.ids[w] = array("I", e.ids).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        parts = []
-        for t in texts:
-            if not t.isascii() and self.newer(t):  # rare: the library decides itself
-                parts.append([np.array(self.whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes()])
-            elif self.cut is not None and "<|" in t and self.cut.search(t):
-                parts.append([self.words(p) if i % 2 == 0 else np.uint32(self.special[p]).tobytes()
-                              for i, p in enumerate(self.cut.split(t))])
-            else:
-                parts.append(self.words(t))
-        need = {w for p in parts for x in p for w in (x if isinstance(x, list) else (x,)) if isinstance(w, str)}
-        self.learn(need)
-        if not need <= self.ids.keys():  # the cache was just emptied
-            self.learn(need)
+        rare = {i for i, t in enumerate(texts)
+                if "<|" in t and self.special and self.special(t) or not t.isascii() and self.newer(t)}
+        parts = [() if i in rare else self.words(t) for i, t in enumerate(texts)]
+        self.learn(set().union(*parts))
         get = self.ids.__getitem__
-        out = []
-        for p in parts:
-            if p and not isinstance(p[0], str):
-                out.append(b"".join(b"".join(map(get, x)) if isinstance(x, list) else x for x in p))
-            else:
-                out.append(b"".join(map(get, p)))
-        return out
+        return [self.whole(t) if i in rare else b"".join(map(get, p)) for i, (t, p) in enumerate(zip(texts, parts))]
 
 
 _LOADED: dict[str, WordTokens] = {}

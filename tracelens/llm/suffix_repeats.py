@@ -4,7 +4,7 @@ The suffixes of all documents are split by their first words into groups that
 fit a worker's memory: the prefix is one word where few suffixes begin with
 it, else two, four or the whole depth of the tree.  A group holds the subtree
 of its prefixes cut at ``depth`` words; each root-to-node path of that depth
-is kept as a 64-bit fingerprint with the smallest and largest document of the
+is kept as a 56-bit fingerprint beside its group with the smallest and largest document of the
 bucket of documents that it comes from.  Equal paths of two documents are a
 deep internal node, a repeat of ``depth`` words; runs of such repeats that
 follow each other in a document are its maximal repeats.
@@ -33,6 +33,10 @@ DEPTH = 13
 BUCKET_BYTES = 4 << 20
 #: Paths that one group (one task's memory) holds.
 GROUP_PATHS = 1_000_000
+#: Bytes of a path's fingerprint; the group, chosen by other hashes and one of
+#: a number that grows with the data, adds to them.
+PATH_BYTES = 7
+PATH_MASK = np.uint64((1 << 8 * PATH_BYTES) - 1)
 #: Prefix lengths in words, before the whole depth; cells that prefixes of one
 #: length are counted in.
 PREFIXES = (1, 2, 4)
@@ -48,7 +52,7 @@ def path_hashes(array, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     paths = window_hashes(words, depth, 5)
     start = np.flatnonzero(inside_document(before, depth))
     doc = np.searchsorted(before, start, side="right") - 1
-    return words, before, paths[start], doc, start
+    return words, before, paths[start] & PATH_MASK, doc, start
 
 
 def prefix_cells(words: np.ndarray, start: np.ndarray) -> list[np.ndarray]:
@@ -111,6 +115,10 @@ def unpack_ids(raw, n: int) -> np.ndarray:
     return unpack(raw, np.uint32 if len(raw) == 4 * n else np.int64).astype(np.int64)
 
 
+def unpack_paths(raw) -> np.ndarray:
+    return unpack(bytes(raw) + bytes(len(raw) // PATH_BYTES), np.uint64)
+
+
 def pack_spans(spans: np.ndarray) -> bytes:
     """Places and values of the numbers that are not zero, which are few."""
     at = np.flatnonzero(spans)
@@ -144,7 +152,7 @@ def repeats(docs: DataFrame, depth: int = DEPTH, group_paths: int = GROUP_PATHS)
         first = np.flatnonzero(np.r_[True, (paths[1:] != paths[:-1]) | (group[1:] != group[:-1])])
         last = np.r_[first[1:], len(paths)] - 1
         group, paths, low, high = group[first], paths[first], holder[first], holder[last]
-        rows = [(int(g), key[0].as_py(), pack(paths[a:b]), pack_ids(low[a:b]), pack_spans(high[a:b] - low[a:b]))
+        rows = [(int(g), key[0].as_py(), pack(paths[a:b])[:PATH_BYTES * (b - a)], pack_ids(low[a:b]), pack_spans(high[a:b] - low[a:b]))
                 for g, a, b in by_limits(group)]
         g, k, p, lo, hi = zip(*rows)
         return pa.table({"group": pa.array(g, pa.int64()), "bucket": pa.array(k, pa.int32()),
@@ -154,8 +162,8 @@ def repeats(docs: DataFrame, depth: int = DEPTH, group_paths: int = GROUP_PATHS)
     def meet(key, t):
         release()
         names, sizes = t["bucket"].to_numpy(), t["paths"].combine_chunks()
-        sizes = np.array([len(x.as_buffer()) // 8 for x in sizes])
-        paths = np.concatenate([unpack(x.as_buffer(), np.uint64) for x in t["paths"]])
+        sizes = np.array([len(x.as_buffer()) // PATH_BYTES for x in sizes])
+        paths = np.concatenate([unpack_paths(x.as_buffer()) for x in t["paths"]])
         low = np.concatenate([unpack_ids(x.as_buffer(), n) for x, n in zip(t["low"], sizes)])
         # leaves in order: equal neighbours hang below one deep node
         order = np.argsort(paths, kind="stable")
@@ -172,7 +180,7 @@ def repeats(docs: DataFrame, depth: int = DEPTH, group_paths: int = GROUP_PATHS)
         del low
         paths, least = paths[back], least[back]
         sender = np.searchsorted(np.cumsum(sizes), back, side="right")
-        rows = [(int(names[s]), pack(paths[a:b]), pack(least[a:b])) for s, a, b in by_limits(sender)]
+        rows = [(int(names[s]), pack(paths[a:b])[:PATH_BYTES * (b - a)], pack(least[a:b])) for s, a, b in by_limits(sender)]
         k, p, lo = zip(*rows) if rows else ((), (), ())
         return pa.table({"bucket": pa.array(k, pa.int32()), "paths": pa.array(p, pa.binary()),
                          "low": pa.array(lo, pa.binary())})
@@ -186,7 +194,7 @@ def covered_words(texts, ids: np.ndarray, hits: pa.Table, depth: int) -> tuple[n
     words, before, paths, doc, start = path_hashes(texts, depth)
     cover = np.zeros(len(words) + 1, np.int64)
     if hits.num_rows and len(paths):
-        known = np.concatenate([unpack(x.as_py(), np.uint64) for x in hits["paths"]])
+        known = np.concatenate([unpack_paths(x.as_buffer()) for x in hits["paths"]])
         low = np.concatenate([unpack(x.as_py(), np.int64) for x in hits["low"]])
         order = np.argsort(known)
         known, low = known[order], low[order]
