@@ -28,8 +28,8 @@ SEQUENCE = 4096
 #: Distinct words whose ids a Python worker keeps.
 CACHE_WORDS = 500_000
 
-#: Fixed values of the vocabulary file: its split pattern and special tokens.
-WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Characters that Python splits at and the library does not.
+NOT_WHITE = "\x1c\x1d\x1e\x1f"
 
 
 def newer_letters():
@@ -46,11 +46,11 @@ def newer_letters():
 
 
 class WordTokens:
-    """Ids of a text under a lower-casing word-level BPE file, word by word:
-    words are found with the file's own pattern and each distinct word is
-    encoded once by the tokenizers library.  Rare texts, with special tokens
-    or characters that Unicode versions class differently, are encoded whole
-    by the library."""
+    """Ids of a text under a lower-casing word-level BPE file, piece by piece:
+    no word of the file's pattern spans white space, so each distinct piece
+    between white space is encoded once by the tokenizers library and kept.
+    Rare texts, with special tokens or characters that Unicode versions class
+    differently, are encoded whole by the library."""
 
     def __init__(self, path: str):
         import os
@@ -66,7 +66,6 @@ class WordTokens:
         self.tok.normalizer = self.none
         special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.special = regex.compile("|".join(map(regex.escape, special))).search if special else None
-        self.find = regex.compile(WORD_PATTERN).findall
         self.ids: dict[str, bytes] = {}
         self.newer = newer_letters()
 
@@ -75,7 +74,7 @@ class WordTokens:
             if not unicodedata.is_normalized("NFC", text):
                 text = unicodedata.normalize("NFC", text)
             text = text.replace("Σ", "σ")  # lower() has a final-sigma rule, the library has none
-        return self.find(text.lower())
+        return text.lower().split()
 
     def whole(self, text: str) -> bytes:
         self.tok.normalizer = self.normalizer
@@ -95,7 +94,8 @@ class WordTokens:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         rare = {i for i, t in enumerate(texts)
-                if "<|" in t and self.special and self.special(t) or not t.isascii() and self.newer(t)}
+                if "<|" in t and self.special and self.special(t) or not t.isascii() and self.newer(t)
+                or any(c in t for c in NOT_WHITE)}
         parts = [() if i in rare else self.words(t) for i, t in enumerate(texts)]
         self.learn(set().union(*parts))
         get = self.ids.__getitem__
