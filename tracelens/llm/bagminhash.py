@@ -9,7 +9,7 @@ the octave that a multiplicity ends in is split into halves.  Points are made
 in order of time up to a bound that fills all registers, doubled where not.
 
 Signatures are banded; the members of a band's bucket are compared with the
-bucket's smallest member; members of different classes that still meet in a
+bucket's smallest members; members of different classes that still meet in a
 bucket are compared in full, in blocks inside tasks.  So no link between
 classes is lost, and no pairs of a group are written out.  Every link is
 verified on the exact multisets.
@@ -183,10 +183,9 @@ def document_buckets(docs: DataFrame, words: int, bands: int, rows: int) -> Data
     return docs.select("id", "text").mapInArrow(run, "id long, fp binary, buckets array<long>")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, words: int, similarity: float) -> DataFrame:
-    """(a, b) of the pairs whose similarity reaches the bound.  Only texts in
-    pairs are shuffled; Spark splits the joins' skewed sides (a leader with
-    many partners is one key)."""
+def verified(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """(a, b) of the pairs whose similarity reaches the bound.  Spark splits
+    the joins' skewed sides (a leader with many partners is one key)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -197,9 +196,6 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int, similarity: float) -
                 s = weighted_jaccard(part["ta"].combine_chunks(), part["tb"].combine_chunks(), words)
                 yield from part.select(["a", "b"]).filter(pa.array(s >= similarity - 1e-12)).to_batches()
 
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    texts = (docs.join(ids, "id", "left_semi").groupBy("id", F.xxhash64("text").alias("h"))
-             .agg(F.first("text").alias("text")))
     sides = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
     sides = sides.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
     return sides.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long").distinct()
@@ -224,29 +220,29 @@ def near_duplicates(df: DataFrame, id_col: str, text_col: str, words: int = WORD
     crowd = crowd.select("id", F.explode("buckets").alias("bucket")).distinct()
     sizes = crowd.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("lead")).where("n > 1")
     shared = checkpointed(crowd.join(sizes, "bucket").select("bucket", "id", "lead"))
+    # the texts that meet others, once each
+    texts = checkpointed(docs.join(shared.select("id").distinct(), "id", "left_semi")
+                         .groupBy("id", F.xxhash64("text").alias("h")).agg(F.first("text").alias("text"))
+                         .select("id", "text"))
     tested = links = component = None
-    open_rows = shared
-    for r in range(leader_rounds):
-        # the members outside their bucket's earlier classes meet its next leader
-        pairs = open_rows.where("id > lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
+    for _ in range(leader_rounds):
+        # each document meets the smallest leader of its buckets that is not in its class
+        pairs = shared.where("id > lead").select(F.col("lead").alias("a"), F.col("id").alias("b"))
         if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = checkpointed(pairs)
+            lead = component.select(F.col("node").alias("lead"), F.col("component").alias("lead_class"))
+            pairs = (with_classes(shared.where("id > lead"), component).join(lead, "lead", "left")
+                     .where(F.col("class") != F.coalesce("lead_class", "lead"))
+                     .select(F.col("lead").alias("a"), F.col("id").alias("b")).join(tested, ["a", "b"], "left_anti"))
+        pairs = checkpointed(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
         if not pairs.take(1):
             break
-        found = checkpointed(verified(pairs, docs, words, similarity))
+        found = checkpointed(verified(pairs, texts, words, similarity))
         tested = pairs if tested is None else tested.union(pairs)
         links = found if links is None else links.union(found)
         component = checkpointed(components(links))
-        if r < leader_rounds - 1:
-            lead = component.select(F.col("node").alias("lead"), F.col("component").alias("lead_class"))
-            left = (with_classes(open_rows, component).join(lead, "lead", "left")
-                    .where(F.col("class") != F.coalesce("lead_class", "lead")).select("bucket", "id"))
-            nexts = left.groupBy("bucket").agg(F.min("id").alias("lead"))
-            open_rows = checkpointed(left.join(nexts, "bucket").select("bucket", "id", "lead"))
     if component is not None:
         # what still meets across classes is compared in full
-        more = checkpointed(cross_class_links(with_classes(shared.select("bucket", "id"), component), docs, words,
+        more = checkpointed(cross_class_links(with_classes(shared.select("bucket", "id"), component), texts, words,
                                               similarity))
         if more.take(1):
             component = checkpointed(components(links.union(more)))
@@ -301,15 +297,11 @@ def meeting_units(rows: DataFrame, block: int) -> DataFrame:
     return one.union(many)
 
 
-def cross_class_links(rows: DataFrame, docs: DataFrame, words: int, similarity: float, block: int = 256) -> DataFrame:
+def cross_class_links(rows: DataFrame, texts: DataFrame, words: int, similarity: float, block: int = 256) -> DataFrame:
     """(a, b) links that connect what any link between documents of different
     classes in one bucket connects.  Texts meet in blocks inside tasks; no
     pairs are written out."""
-    units = checkpointed(meeting_units(rows, block))
-    ids = units.select("id").distinct()
-    texts = (docs.join(ids, "id", "left_semi").groupBy("id", F.xxhash64("text").alias("h"))
-             .agg(F.first("text").alias("text")).drop("h"))
-    units = units.join(texts, "id")
+    units = meeting_units(rows, block).join(texts, "id")
     every = (units.withColumn("y", F.pmod(F.xxhash64("id"), F.col("y_blocks")))
              .withColumn("x", F.explode(F.sequence(F.lit(0).cast("long"), F.col("x_blocks").cast("long") - 1))))
     minor = (units.where("class != main_class").withColumn("x", F.pmod(F.xxhash64("id"), F.col("x_blocks")))
