@@ -28,6 +28,8 @@ SEQUENCE = 4096
 #: Distinct words whose ids a Python worker keeps.
 CACHE_WORDS = 500_000
 
+#: Fixed value of the vocabulary file: the pattern that splits a text.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Characters that Python splits at and the library does not.
 NOT_WHITE = "\x1c\x1d\x1e\x1f"
 
@@ -47,8 +49,9 @@ def newer_letters():
 
 class WordTokens:
     """Ids of a text under a lower-casing word-level BPE file, piece by piece:
-    no word of the file's pattern spans white space, so each distinct piece
-    between white space is encoded once by the tokenizers library and kept.
+    no word of the file's pattern spans white space, so the ids of each distinct
+    piece between white space are kept, and those of each distinct word, which
+    the tokenizers library encodes once.
     Rare texts, with special tokens or characters that Unicode versions class
     differently, are encoded whole by the library."""
 
@@ -66,7 +69,9 @@ class WordTokens:
         self.tok.normalizer = self.none
         special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.special = regex.compile("|".join(map(regex.escape, special))).search if special else None
-        self.ids: dict[str, bytes] = {}
+        self.find = regex.compile(WORD_PATTERN).findall
+        self.ids: dict[str, bytes] = {}  # of pieces
+        self.word_ids: dict[str, bytes] = {}
         self.newer = newer_letters()
 
     def words(self, text: str) -> list[str]:
@@ -82,14 +87,20 @@ class WordTokens:
         self.tok.normalizer = self.none
         return np.array(ids, "<u4").tobytes()
 
-    def learn(self, words: set[str]) -> None:
+    def learn(self, pieces: set[str]) -> None:
         if len(self.ids) > CACHE_WORDS:
             self.ids.clear()
-        new = list(words.difference(self.ids))
+        if len(self.word_ids) > CACHE_WORDS:
+            self.word_ids.clear()
+        split = {p: self.find(p) for p in pieces.difference(self.ids)}
+        new = list(set().union(*split.values()).difference(self.word_ids))
         for i in range(0, len(new), 2000):
             part = new[i:i + 2000]
             for w, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False)):
-                self.ids[w] = array("I", e.ids).tobytes()
+                self.word_ids[w] = array("I", e.ids).tobytes()
+        get = self.word_ids.__getitem__
+        for p, words in split.items():
+            self.ids[p] = get(words[0]) if len(words) == 1 else b"".join(map(get, words))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
