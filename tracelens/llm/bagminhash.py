@@ -297,7 +297,7 @@ def meeting_units(rows: DataFrame, block: int) -> DataFrame:
     return one.union(many)
 
 
-def cross_class_links(rows: DataFrame, texts: DataFrame, words: int, similarity: float, block: int = 256) -> DataFrame:
+def cross_class_links(rows: DataFrame, texts: DataFrame, words: int, similarity: float, block: int = 1024) -> DataFrame:
     """(a, b) links that connect what any link between documents of different
     classes in one bucket connects.  Texts meet in blocks inside tasks; no
     pairs are written out."""
