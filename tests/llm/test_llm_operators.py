@@ -196,7 +196,8 @@ def test_toxicity_edges_and_signal(spark, odd, empty):
     from tracelens.llm.zstd_toxicity import score_toxicity, train_distance
 
     # clean texts of the table, every other one with marked words put in
-    texts = [r["text"] for r in docs_of(spark).orderBy("doc_id").collect() if len(words(r["text"])) > 30]
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id")
+    texts = [r["text"] for r in table.collect() if len(words(r["text"])) > 30]
     rows = []
     for i, t in enumerate(texts):
         w = t.split()
@@ -209,9 +210,10 @@ def test_toxicity_edges_and_signal(spark, odd, empty):
     s = model.start().scores([t for _, t in rows[half:]] + [""])
     y = np.array([y for y, _ in rows[half:]])
     pairs = s[:-1][y == 1][:, None] > s[:-1][y == 0][None]
-    assert pairs.mean() > 0.9 and 0 <= s[-1] <= 1
+    assert pairs.mean() > 0.9 and s[-1] == 0
     assert score_toxicity(odd, "text", model, "s").where("s BETWEEN 0 AND 1").count() == odd.count()
     assert score_toxicity(empty, "text", model, "s").count() == 0
+    assert score_toxicity(odd, "text", model, "s").where("doc_id IN (0, 1, 2) AND s = 0").count() == 3
     assert train_distance([]).start().scores(["x"])[0] < 0.5
 
 

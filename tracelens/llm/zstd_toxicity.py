@@ -32,7 +32,7 @@ WINDOW_WORDS = 6
 LEVEL = 3
 #: Bytes of the dictionaries' shared part and of each label's own part.
 SHARED_BYTES, OWN_BYTES = 600, 2048
-#: Begins every window and both dictionaries: one long match, so that even a
+#: Begins every window and ends both dictionaries: one long match, so that even a
 #: short window is stored compressed and each further match shows in its length.
 HEAD = bytes(range(128, 192))
 #: Characters of a longer word or gap that stay in one window.
@@ -147,8 +147,10 @@ class Distance:
         if not texts:
             return np.empty(0)
         mean, scale, w = self.model
-        x = (self.features(texts) - mean) / scale
-        return 1 / (1 + np.exp(-np.clip(x @ w[1:] + w[0], -30, 30)))
+        f = self.features(texts)
+        x = (f - mean) / scale
+        s = 1 / (1 + np.exp(-np.clip(x @ w[1:] + w[0], -30, 30)))
+        return np.where([bool(t.strip()) for t in texts], s, 0.0)
 
 
 def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 25, ridge: float = 1.0) -> np.ndarray:
@@ -179,9 +181,13 @@ def train_distance(rows: list[tuple[int, str]], prior: float | None = None, leve
     a, b = [t for y, t in half if y == 1], [t for y, t in half if y == 0]
     shared = shared_content([t for _, t in half][::3], SHARED_BYTES)
     parts = [typical_segments(own, other, OWN_BYTES).encode() for own, other in ((b, a), (a, b))]
+    # three copies, each one byte further modulo three: not every position is
+    # indexed, but one in three is, so every segment's begin is in one copy
+    parts = [(p + b" " * ((1 - len(p)) % 3)) * 3 for p in parts]
     most = max(map(len, parts))
-    # equal lengths keep the shared part at the same distance in both
-    model = Distance(tuple(HEAD + shared + b" " * (most - len(p)) + p for p in parts), level, ())
+    # equal lengths keep the shared part at the same distance in both; the
+    # last bytes of a dictionary are not indexed, so no segment may stand there
+    model = Distance(tuple(shared + b" " * (most - len(p)) + p + HEAD for p in parts), level, ())
     model.start()
     use = rest if len({y for y, _ in rest}) == 2 else rows
     x, y = model.features([t for _, t in use]), np.array([y for y, _ in use], float)
@@ -212,7 +218,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str, text_col: st
 def score_toxicity(df: DataFrame, text_col: str, model: Distance, out_col: str) -> DataFrame:
     """df with ``out_col``, the toxicity (0 to 1) of each row's whole text.
 
-    A null or empty text gets the score of a text without windows.  Every row
+    A null or empty text, or one of white space, gets 0.  Every row
     is judged on its own; other columns pass unchanged; an empty table stays
     empty.
     """
