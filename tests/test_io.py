@@ -70,7 +70,9 @@ def test_job_reader(spark):
         "3000,,7,1,alice,2,name,",           # trailing empty dropped -> 7 tokens: error
         "4000,,8,1,bob,0,n,l",
     ])
-    df = trace_files.read_job_events(spark, d)
+    df = trace_files.read_job_events(spark, d, mode="DROPMALFORMED")
+    with pytest.raises(Exception):  # the default
+        trace_files.read_job_events(spark, d).collect()
     assert sorted(r.timestamp for r in df.collect()) == [1000, 4000]
 
 

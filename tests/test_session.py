@@ -26,5 +26,8 @@ def test_entry_module_loads_by_path(spark):
     spec = importlib.util.spec_from_file_location("entry_by_path", os.path.join(REPO, "__spark_entry__.py"))
     mod = importlib.util.module_from_spec(spec)
     spec.loader.exec_module(mod)
-    assert set(mod.queries()) == set(mod.oracle_sql())
+    from tracelens.plans.driver import QUERIES
+
+    # every query of the event library has its SQL; the llm queries may have none
+    assert set(QUERIES) <= set(mod.oracle_sql()) <= set(mod.queries())
     assert mod.entry(spark).count() > 0

@@ -35,7 +35,7 @@ def _args(argv):
     p.add_argument("--out")
     p.add_argument("--show", type=int, default=20)
     p.add_argument("--local", type=int, default=0)
-    p.add_argument("--mode", default="DROPMALFORMED")
+    p.add_argument("--mode", default="FAILFAST")
     p.add_argument("--window", default="1 minute")
     p.add_argument("--by")
     p.add_argument("--length")

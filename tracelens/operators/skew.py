@@ -69,7 +69,9 @@ def _fine_bucket(ts):
 
 
 def _sub_bucket(seq):
-    s = F.floor((F.col(seq) - F.col("_smin")) / F.col("_sw")).cast("long")
+    # a hashed event_seq spans the whole long range: the difference needs more
+    ahead = F.col(seq).cast("decimal(20,0)") - F.col("_smin").cast("decimal(20,0)")
+    s = F.floor(ahead / F.col("_sw").cast("decimal(20,0)")).cast("long")
     return F.least(F.greatest(s, F.lit(0)), F.col("_ns") - 1)
 
 

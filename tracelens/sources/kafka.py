@@ -46,8 +46,9 @@ def read_task_topic(spark: SparkSession, servers: str, topic: str, fmt: str = "j
     except Exception as e:  # noqa: BLE001
         _check(e)
     df = codec.decode(raw, fmt, keep=("partition", "offset"))
-    # partition/offset order is the arrival order: the tie break
-    df = df.withColumn("event_seq", F.col("offset")).drop("partition", "offset")
+    # the tie break: unique over partitions, in offset order inside one
+    seq = F.shiftleft(F.col("partition").cast("long"), 48).bitwiseOR(F.col("offset"))
+    df = df.withColumn("event_seq", seq).drop("partition", "offset")
     return df.withColumn(EVENT_TIME, F.timestamp_micros("timestamp"))
 
 

@@ -180,13 +180,13 @@ def _finish(df: DataFrame, with_time: bool) -> DataFrame:
     return df
 
 
-def read_task_events(spark: SparkSession, path: str, mode: str = "DROPMALFORMED",
+def read_task_events(spark: SparkSession, path: str, mode: str = "FAILFAST",
                      with_time: bool = True) -> DataFrame:
     """A directory (or glob) of task-event files, gzipped or plain."""
     return _finish(apply_mode(parse_task_files(spark, path), mode), with_time)
 
 
-def read_job_events(spark: SparkSession, path: str, mode: str = "DROPMALFORMED",
+def read_job_events(spark: SparkSession, path: str, mode: str = "FAILFAST",
                     with_time: bool = True) -> DataFrame:
     """A directory (or glob) of job-event files."""
     return _finish(apply_mode(parse_job_files(spark, path), mode), with_time)
@@ -218,7 +218,7 @@ def bad_records(parsed: DataFrame) -> DataFrame:
 
 
 def stream_task_events(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
-                       mode: str = "DROPMALFORMED") -> DataFrame:
+                       mode: str = "FAILFAST") -> DataFrame:
     """S1 as a stream: new files in ``path`` become micro-batches."""
     parsed = parse_task_files(spark, path, stream=True, max_files_per_trigger=max_files_per_trigger)
     df = ensure_seq(apply_mode(parsed, mode))
@@ -226,7 +226,7 @@ def stream_task_events(spark: SparkSession, path: str, max_files_per_trigger: in
 
 
 def stream_job_events(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
-                      mode: str = "DROPMALFORMED") -> DataFrame:
+                      mode: str = "FAILFAST") -> DataFrame:
     parsed = parse_job_files(spark, path, stream=True, max_files_per_trigger=max_files_per_trigger)
     df = ensure_seq(apply_mode(parsed, mode))
     return df.withColumn(EVENT_TIME, F.timestamp_micros("timestamp"))
