@@ -30,6 +30,8 @@ CACHE_WORDS = 500_000
 
 #: Fixed value of the vocabulary file: the pattern that splits a text.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Fixed value of the vocabulary file: the ending of a word's last token.
+WORD_END = "</w>"
 #: Characters that Python splits at and the library does not.
 NOT_WHITE = "\x1c\x1d\x1e\x1f"
 
@@ -51,7 +53,7 @@ class WordTokens:
     """Ids of a text under a lower-casing word-level BPE file, piece by piece:
     no word of the file's pattern spans white space, so the ids of each distinct
     piece between white space are kept, and those of each distinct word, which
-    the tokenizers library encodes once.
+    the tokenizers library encodes once, many in a call.
     Rare texts, with special tokens or characters that Unicode versions class
     differently, are encoded whole by the library."""
 
@@ -70,6 +72,9 @@ class WordTokens:
         special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.special = regex.compile("|".join(map(regex.escape, special))).search if special else None
         self.find = regex.compile(WORD_PATTERN).findall
+        vocab = self.tok.get_vocab()
+        self.last = np.zeros(max(vocab.values()) + 1, bool)  # ids that end a word
+        self.last[[i for t, i in vocab.items() if t.endswith(WORD_END)]] = True
         self.ids: dict[str, bytes] = {}  # of pieces
         self.word_ids: dict[str, bytes] = {}
         self.newer = newer_letters()
@@ -92,16 +97,29 @@ class WordTokens:
             self.ids.clear()
         if len(self.word_ids) > CACHE_WORDS:
             self.word_ids.clear()
-        split = {p: self.find(p) for p in pieces.difference(self.ids)}
+        # the pattern takes a run of letters whole
+        split = {p: (p,) if p.isascii() and p.isalpha() else self.find(p) for p in pieces.difference(self.ids)}
         new = list(set().union(*split.values()).difference(self.word_ids))
         for i in range(0, len(new), 2000):
-            part = new[i:i + 2000]
-            for w, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False)):
-                self.word_ids[w] = array("I", e.ids).tobytes()
+            self.learn_words(new[i:i + 2000])
         get = self.word_ids.__getitem__
         for p, words in split.items():
             self.ids[p] = get(words[0]) if len(words) == 1 else b"".join(map(get, words))
 
+    def learn_words(self, words: list[str]) -> None:
+        """Keeps the ids of each word: all are encoded as one text and cut
+        after the ids that end a word."""
+        ids = np.array(self.tok.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) != len(words):  # a word's ending is not in the vocabulary
+            for w, e in zip(words, self.tok.encode_batch_fast(words, add_special_tokens=False)):
+                self.word_ids[w] = array("I", e.ids).tobytes()
+            return
+        raw, at = ids.tobytes(), 0
+        for w, end in zip(words, (4 * ends).tolist()):
+            self.word_ids[w] = raw[at:end]
+            at = end
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         rare = {i for i, t in enumerate(texts)
