@@ -54,15 +54,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Removes from texts the passages that an earlier document holds; the
     other columns stay, n_chars follows the text."""
-    cleaned = remove_repeats(docs, "doc_id", "text").where("n_removed > 0")
-    cleaned = cleaned.groupBy(F.col("id").alias("doc_id"), F.xxhash64("text").alias("_h")).agg(
-        F.first("kept_text").alias("_kept"))
-    out = docs.withColumn("_h", F.xxhash64("text")).join(cleaned, ["doc_id", "_h"], "left")
-    out = out.withColumn("text", F.coalesce("_kept", "text"))
+    cleaned = remove_repeats(docs, "doc_id", "text", carry=True)
+    columns = {c: F.col(f"row.`{c}`") for c in docs.columns if c != "text"}
+    columns["text"] = F.col("kept_text")
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_kept").isNull(), F.col("n_chars"))
-                             .otherwise(F.length("_kept").cast(docs.schema["n_chars"].dataType)))
-    return out.select(docs.columns)
+        columns["n_chars"] = (F.when(F.col("n_removed") > 0, F.length("kept_text").cast(docs.schema["n_chars"].dataType))
+                              .otherwise(columns["n_chars"]))
+    return cleaned.select(*(columns[c].alias(c) for c in docs.columns))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import (bucketed, by_limits, hashed_words, inside_document, mix, pack, release, table,
                      unpack,
@@ -206,7 +207,7 @@ def covered_words(texts, ids: np.ndarray, hits: pa.Table, depth: int) -> tuple[n
 
 
 def remove_repeats(df: DataFrame, id_col: str, text_col: str, depth: int = DEPTH,
-                   group_paths: int = GROUP_PATHS) -> DataFrame:
+                   group_paths: int = GROUP_PATHS, carry: bool = False) -> DataFrame:
     """(id, text, n_words, n_removed, spans, kept_text) of each row of df.
 
     Words are runs of bytes other than space, \\t, \\n, \\v, \\f and \\r.  A
@@ -216,10 +217,13 @@ def remove_repeats(df: DataFrame, id_col: str, text_col: str, depth: int = DEPTH
     ``kept_text`` is the text itself if nothing goes, else the kept words
     joined by one space; null or empty texts have no words.  Rows with equal
     ids count as one document's; null ids come after all others and never
-    take words from each other.  An empty table gives no rows.  Other columns
-    are ignored.
+    take words from each other.  An empty table gives no rows.  With ``carry``
+    a struct ``row`` holds the columns of df but the text, so that they need
+    no second shuffle; without it other columns are ignored.
     """
-    docs, _ = bucketed(df, id_col, text_col, BUCKET_BYTES)
+    others = [c for c in df.columns if c != text_col]
+    carried = [F.struct(*(F.col(f"`{c}`") for c in others)).alias("row")] if carry else []
+    docs, _ = bucketed(df, id_col, text_col, BUCKET_BYTES, carried)
 
     def finish(key, t, hits):
         release()
@@ -238,14 +242,18 @@ def remove_repeats(df: DataFrame, id_col: str, text_col: str, depth: int = DEPTH
             spans.append([{"start": int(a), "words": int(b - a)} for a, b in zip(edge[::2], edge[1::2])])
             words = text.encode().split()
             kept.append(b" ".join([words[i] for i in np.flatnonzero(~g)]).decode())
-        return pa.table({"id": t["id"], "text": t["text"], "n_words": pa.array(n, pa.int64()),
-                         "n_removed": pa.array(removed, pa.int64()),
-                         "spans": pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("words", pa.int64())]))),
-                         "kept_text": pa.array(kept, pa.string())})
-
+        out = pa.table({"id": t["id"], "text": t["text"], "n_words": pa.array(n, pa.int64()),
+                        "n_removed": pa.array(removed, pa.int64()),
+                        "spans": pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("words", pa.int64())]))),
+                        "kept_text": pa.array(kept, pa.string())})
+        return out.append_column("row", t["row"]) if carry else out
+
+    schema = StructType.fromDDL("id long, text string, n_words long, n_removed long, "
+                                "spans array<struct<start:long,words:long>>, kept_text string")
+    if carry:
+        schema = schema.add(docs.schema["row"])
     return docs.groupBy("bucket").cogroup(repeats(docs, depth, group_paths).groupBy("bucket")).applyInArrow(
-        finish, "id long, text string, n_words long, n_removed long, "
-                "spans array<struct<start:long,words:long>>, kept_text string")
+        finish, schema)
 
 
 def kept_digest(df: DataFrame) -> DataFrame:
