@@ -75,8 +75,7 @@ class WordTokens:
         vocab = self.tok.get_vocab()
         self.last = np.zeros(max(vocab.values()) + 1, bool)  # ids that end a word
         self.last[[i for t, i in vocab.items() if t.endswith(WORD_END)]] = True
-        self.ids: dict[str, bytes] = {}  # of pieces
-        self.word_ids: dict[str, bytes] = {}
+        self.ids: dict[str, bytes] = {}  # of pieces and their words
         self.newer = newer_letters()
 
     def words(self, text: str) -> list[str]:
@@ -95,16 +94,16 @@ class WordTokens:
     def learn(self, pieces: set[str]) -> None:
         if len(self.ids) > CACHE_WORDS:
             self.ids.clear()
-        if len(self.word_ids) > CACHE_WORDS:
-            self.word_ids.clear()
+        pieces = pieces.difference(self.ids)
         # the pattern takes a run of letters whole
-        split = {p: (p,) if p.isascii() and p.isalpha() else self.find(p) for p in pieces.difference(self.ids)}
-        new = list(set().union(*split.values()).difference(self.word_ids))
+        split = {p: self.find(p) for p in pieces if not (p.isascii() and p.isalpha())}
+        new = list(pieces.difference(split).union(set().union(*split.values()).difference(self.ids)))
         for i in range(0, len(new), 2000):
             self.learn_words(new[i:i + 2000])
-        get = self.word_ids.__getitem__
+        get = self.ids.__getitem__
         for p, words in split.items():
-            self.ids[p] = get(words[0]) if len(words) == 1 else b"".join(map(get, words))
+            if len(words) != 1:
+                self.ids[p] = b"".join(map(get, words))
 
     def learn_words(self, words: list[str]) -> None:
         """Keeps the ids of each word: all are encoded as one text and cut
@@ -113,11 +112,11 @@ class WordTokens:
         ends = np.flatnonzero(self.last[ids]) + 1
         if len(ends) != len(words):  # a word's ending is not in the vocabulary
             for w, e in zip(words, self.tok.encode_batch_fast(words, add_special_tokens=False)):
-                self.word_ids[w] = array("I", e.ids).tobytes()
+                self.ids[w] = array("I", e.ids).tobytes()
             return
         raw, at = ids.tobytes(), 0
         for w, end in zip(words, (4 * ends).tolist()):
-            self.word_ids[w] = raw[at:end]
+            self.ids[w] = raw[at:end]
             at = end
 
     def encode(self, texts: list[str]) -> list[bytes]:
