@@ -25,8 +25,8 @@ from .common import table
 #: Pieces packed in one task.
 GROUP_PIECES = 50_000
 SEQUENCE = 4096
-#: Distinct words whose ids a Python worker keeps.
-CACHE_WORDS = 500_000
+#: Distinct words, and pieces of several, whose ids a Python worker keeps.
+CACHE_WORDS = 1_000_000
 
 #: Fixed value of the vocabulary file: the pattern that splits a text.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
