@@ -359,3 +359,15 @@ def test_pipeline_stages(spark, odd):
         docs = spark.createDataFrame(out.collect(), docs.schema)
         assert 0 < docs.count() <= before
     assert P.STAGES[-1][1](spark, docs, SF).select("doc_id").distinct().count() == docs.count()
+
+
+def test_components_over_several_parts(spark, monkeypatch):
+    from tracelens.llm import graph
+
+    monkeypatch.setattr(graph, "TASK_EDGES", 8)
+    rng = np.random.default_rng(5)
+    edges = [(int(a), int(b)) for a, b in rng.integers(0, 60, (45, 2))]
+    low = graph.lowest(np.array([a for a, _ in edges]), np.array([b for _, b in edges]), 60)
+    out = {r["node"]: r["component"] for r in graph.components(
+        spark.createDataFrame(edges + [(None, 3)], "a long, b long").repartition(4)).collect()}
+    assert out == {n: int(low[n]) for e in edges for n in e}
