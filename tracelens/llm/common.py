@@ -98,8 +98,9 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word's bytes (multilinear, then mixed)."""
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 1) -> np.ndarray:
+    """A 64-bit hash of each word's bytes (multilinear, then mixed); another
+    ``seed`` gives independent weights."""
     if not len(starts):
         return np.empty(0, np.uint64)
     lengths = ends - starts
@@ -107,9 +108,10 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     place = np.arange(int(lengths.sum()), dtype=np.int64) - np.repeat(first, lengths)
     chars = data[NOT_SPACE[data]]
     longest = int(lengths.max())
-    weights = _PLACE if longest <= len(_PLACE) else random_words(longest, 2)
+    byte = _BYTE if seed == 1 else random_words(256, seed)
+    weights = _PLACE if seed == 1 and longest <= len(_PLACE) else random_words(longest, seed + 1)
     with np.errstate(over="ignore"):
-        sums = np.add.reduceat(_BYTE[chars] * weights[place], first)
+        sums = np.add.reduceat(byte[chars] * weights[place], first)
         return mix(sums + lengths.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -124,7 +126,7 @@ def blocks(offsets: np.ndarray, size: int = BLOCK_BYTES):
         i = j
 
 
-def hashed_words(array, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+def hashed_words(array, lower: bool = False, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
     """(word hashes, words before each document) of a text column."""
     data, offsets = utf8(array)
     hashes, counts = [], [np.zeros(1, np.int64)]
@@ -134,7 +136,7 @@ def hashed_words(array, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
         if lower:
             part = ASCII_LOWER[part]
         s, e, before = word_spans(part, offsets[i:j + 1] - offsets[i])
-        hashes.append(word_hashes(part, s, e))
+        hashes.append(word_hashes(part, s, e, seed))
         counts.append(before[1:] + done)
         done += len(s)
     return (np.concatenate(hashes) if hashes else np.empty(0, np.uint64), np.concatenate(counts))
