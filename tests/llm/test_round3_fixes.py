@@ -75,3 +75,26 @@ def test_repeats_by_every_prefix_length(spark):
         want[i] = (len(w), sum(gone), hashlib.sha256(kept.encode()).hexdigest())
     got = kept_digest(remove_repeats(df, "doc_id", "text", group_paths=5)).collect()
     assert {r["id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got} == want
+
+
+def test_language_model_learns_from_all_documents(spark):
+    """What the first documents (by hash) do not hold is learned too."""
+    from tracelens.llm.gru_lm import score_documents
+
+    first = [r["id"] for r in spark.range(200).orderBy(F.xxhash64("id"), "id").limit(2).collect()]
+    names, rng = [f"w{k}q" for k in range(8)], np.random.default_rng(2)
+    rows = [(i, " ".join(rng.choice(names, 300) if i in first else [names[(i + k) % 8] for k in range(300)])) for i in range(200)]
+    df = spark.createDataFrame(rows + [(999, rows[next(i for i in range(200) if i not in first)][1])], "id long, text string")
+    got = score_documents(df, "id", "text", F.col("id") != 999, train_docs=2).where("id = 999").first()
+    assert got["score"] > 0.6 * got["base_score"]
+
+
+def test_long_training_texts_are_cut_not_skipped(spark, monkeypatch):
+    from tracelens.llm import gru_lm as G
+
+    monkeypatch.setattr(G, "TRAIN_WORDS", 100)
+    df = spark.createDataFrame([(1, "a " * 500, True), (2, "b " * 10, True), (3, "c " * 500, True)], "id long, text string, train boolean")
+    assert [(len(h), whole) for h, _, whole in G.training_sample(df, 500)] == [(45, False), (10, True), (45, False)]
+    seq, marks = G.with_ends(np.full(1000, 5), np.array([0, 990, 1000]))
+    seen, fresh, target = G.stream_lanes(seq, marks, 256)
+    assert (target >= 0).sum() == 1002 and fresh.sum() == 2
