@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.skipif(not os.path.exists(SF), reason="driver tables not present")
 def test_bench_prints_one_json_line():
     env = dict(os.environ, BENCH_SF_DIR=SF, BENCH_CPUS="2", BENCH_RUNS="1")
-    out = subprocess.run([sys.executable, os.path.join(REPO, "bench.py"), "--no-stream", "--no-scaling"],
+    out = subprocess.run([sys.executable, os.path.join(REPO, "bench.py"), "--no-stream", "--no-scaling", "--no-corpus"],
                          capture_output=True, text=True, env=env, timeout=900, cwd=REPO)
     assert out.returncode == 0, out.stderr[-2000:]
     lines = [ln for ln in out.stdout.splitlines() if ln.strip()]

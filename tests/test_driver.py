@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from tracelens.plans.driver import QUERIES
+from tracelens.plans.oracle import ORACLE
 
 SF = "/root/testdata/sf0.001"
 
@@ -40,14 +42,15 @@ def test_entry(spark):
 
 def test_every_query_has_an_oracle():
     assert set(E.oracle_sql()) <= set(E.queries())
-    missing = set(E.queries()) - set(E.oracle_sql())
+    assert QUERIES.items() <= E.queries().items()
+    missing = set(QUERIES) - set(ORACLE)
     assert not missing, missing
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
-    df = E.queries()[name](spark, SF)
-    res = duck.execute(E.oracle_sql()[name])
+    df = QUERIES[name](spark, SF)
+    res = duck.execute(ORACLE[name])
     ocols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(ocols)
     assert _rows(df.columns, df.collect()) == _rows(ocols, res.fetchall())
@@ -60,8 +63,8 @@ def test_results_do_not_depend_on_session_time_zone(spark, duck, tz):
     try:
         for name in ("task_statistics_per_machine", "job_scheduling_latency", "invariant_anomaly",
                      "busy_machines"):
-            df = E.queries()[name](spark, SF)
-            res = duck.execute(E.oracle_sql()[name])
+            df = QUERIES[name](spark, SF)
+            res = duck.execute(ORACLE[name])
             ocols = [d[0] for d in res.description]
             assert _rows(df.columns, df.collect()) == _rows(ocols, res.fetchall()), name
     finally:

@@ -7,7 +7,7 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
+from tracelens.plans.driver import QUERIES
 
 SF = "/root/testdata/sf0.01"
 pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="driver tables not present")
@@ -15,14 +15,14 @@ pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="driver tables no
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
                 "FlatMapCoGroupsInPandas", "PythonUDF")
 
-BATCH = [n for n in E.queries() if not n.endswith("_stream") and n != "task_statistics_from_trace_files"]
+BATCH = [n for n in QUERIES if not n.endswith("_stream") and n != "task_statistics_from_trace_files"]
 
 
 def _plan(spark, name):
     old = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.adaptive.enabled", "false")  # the static plan
     try:
-        return E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+        return QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", old)
 
