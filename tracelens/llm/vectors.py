@@ -17,6 +17,14 @@ def usable(vector: str) -> Column:
                       & F.exists(e, lambda x: x != 0), F.lit(False))
 
 
+def usable_or_zero(vector: str) -> Column:
+    """True for a vector that is not null or empty and whose components are
+    all finite; the zero vector is one."""
+    e = F.col(vector)
+    return F.coalesce(e.isNotNull() & (F.size(e) > 0)
+                      & F.forall(e, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), F.lit(False))
+
+
 def matrix(lists) -> np.ndarray:
     """(rows, length) doubles of a list column of equal lengths."""
     if isinstance(lists, pa.ChunkedArray):
