@@ -258,3 +258,27 @@ def test_code_edges(spark, tmp_path, monkeypatch):
     assert books is None and out.count() == 0
     with pytest.raises(Exception, match="too large"):
         L.compress_vectors(spark.createDataFrame([(1, [1e9] * 8, 1)], df.schema), "vec_id", "embedding")
+
+
+# --- op6: held-out labels of the tables ------------------------------------
+
+def test_toxicity_on_held_out_labels():
+    from tracelens.llm.zstd_toxicity import train_distance
+
+    rows = duckdb.sql("""SELECT d.doc_id, l.toxic, d.text FROM '/root/testdata/sf0.1/documents.parquet' d
+                         JOIN '/root/testdata/sf0.1/labels.parquet' l USING (doc_id)
+                         WHERE d.text IS NOT NULL ORDER BY hash(d.doc_id)""").fetchall()
+    held = [zlib.crc32(str(i).encode()) % 5 == 0 for i, _, _ in rows]
+    train = [r[1:] for r, h in zip(rows, held) if not h]
+    test = [r[1:] for r, h in zip(rows, held) if h]
+    model = train_distance([r for r in train if r[0]] + [r for r in train if not r[0]][:1500]).start()
+    s, y = model.scores([t for _, t in test]), np.array([v for v, _ in test])
+    assert (s[y == 1] >= 0.5).mean() >= 0.8 and (s[y == 0] >= 0.5).mean() <= 0.04
+
+
+def test_best_cut_lies_between_values():
+    from tracelens.llm.zstd_toxicity import best_cut
+
+    assert best_cut(np.array([1.0, 2, 3, 4]), np.array([0.0, 0, 1, 1])) == 2.5
+    assert best_cut(np.array([1.0, 1, 1]), np.array([1.0, 0, 0])) > 1  # ties stay together
+    assert best_cut(np.array([5.0, 1]), np.array([0.0, 1])) > 5  # nothing worth catching

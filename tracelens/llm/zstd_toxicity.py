@@ -8,7 +8,8 @@ ordinary one measure its toxicity.  A calibrated logistic function of the
 savings (windows over thresholds, largest savings) is the score.
 
 Training reads at most ``docs_per_label`` texts of each label, the smallest
-by a hash of their id; everything else covers all windows of all texts.
+by a hash of their id, and for the shared part at most SHARED_SAMPLES of their
+windows, spread evenly; everything else covers all windows of all texts.
 """
 
 from __future__ import annotations
@@ -20,7 +21,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import held_out, table
@@ -28,10 +28,14 @@ from .ss_packing import text_blocks
 
 #: Labelled texts of each label that training reads.
 DOCS_PER_LABEL = 1500
-WINDOW_WORDS = 6
-LEVEL = 3
+WINDOW_WORDS = 3
+#: Matches from three bytes on, chosen by their price (strategy 7): a stem of
+#: four letters already shortens its window.  Small tables, as windows are short.
+PARSE = {"window_log": 14, "hash_log": 12, "chain_log": 12, "search_log": 4, "min_match": 3, "target_length": 32,
+         "strategy": 7}
 #: Bytes of the dictionaries' shared part and of each label's own part.
 SHARED_BYTES, OWN_BYTES = 600, 2048
+SHARED_SAMPLES = 60_000
 #: Begins every window and ends both dictionaries: one long match, so that even a
 #: short window is stored compressed and each further match shows in its length.
 HEAD = bytes(range(128, 192))
@@ -39,9 +43,12 @@ HEAD = bytes(range(128, 192))
 WINDOW_CHARS = 400
 PUNCTUATION = ".,;:!?'()[]*#%&$" + '"'
 #: z score from which a segment is typical of a label.
-LEAST_Z = 6.0
+LEAST_Z = 4.5
 #: Savings in bytes from which a window counts.
 THRESHOLDS = (1, 2, 3, 4, 6)
+#: What catching a share of the ordinary texts costs, in shares of the toxic
+#: ones, where the calibration places the score 0.5.
+FALSE_COST = 3.0
 
 
 def windows(text: str, words: int = WINDOW_WORDS) -> list[bytes]:
@@ -97,7 +104,8 @@ def typical_segments(own: list[str], other: list[str], size: int) -> str:
 def shared_content(texts: list[str], size: int) -> bytes:
     import zstandard
 
-    samples = [w[len(HEAD):] for t in texts for w in windows(t, 8)][:60_000]
+    samples = [w[len(HEAD):] for t in texts for w in windows(t, 8)]
+    samples = samples[::max(1, -(-len(samples) // SHARED_SAMPLES))]
     try:
         return zstandard.train_dictionary(size, samples).as_bytes()[-size:]
     except zstandard.ZstdError:  # too few samples for the trainer
@@ -108,21 +116,21 @@ class Distance:
     """Compressors with the ordinary and the toxic dictionary, and the
     calibrated score."""
 
-    def __init__(self, dictionaries: tuple[bytes, bytes], level: int, model: tuple):
-        self.dictionaries, self.level, self.model = dictionaries, level, model
+    def __init__(self, dictionaries: tuple[bytes, bytes], model: tuple):
+        self.dictionaries, self.model = dictionaries, model
 
     def parts(self) -> tuple:
-        return self.dictionaries, self.level, self.model
+        return self.dictionaries, self.model
 
     def start(self) -> "Distance":
         import zstandard as z
 
+        how = z.ZstdCompressionParameters(**PARSE, write_content_size=False, write_checksum=False, write_dict_id=False)
         self.compressors = []
         for raw in self.dictionaries:
             d = z.ZstdCompressionDict(raw, dict_type=z.DICT_TYPE_RAWCONTENT)
-            d.precompute_compress(level=self.level)
-            self.compressors.append(z.ZstdCompressor(level=self.level, dict_data=d, write_content_size=False,
-                                                     write_checksum=False, write_dict_id=False))
+            d.precompute_compress(compression_params=how)
+            self.compressors.append(z.ZstdCompressor(dict_data=d, compression_params=how))
         return self
 
     def savings(self, parts: list[bytes]) -> np.ndarray:
@@ -164,9 +172,24 @@ def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 25, ridge: float = 1.0)
     return w
 
 
-def train_distance(rows: list[tuple[int, str]], prior: float | None = None, level: int = LEVEL) -> Distance:
-    """A model from (label, text) rows; ``prior``: the share of label 1 in
-    the population (None: as in rows).  Copies count once."""
+def best_cut(x: np.ndarray, y: np.ndarray) -> float:
+    """The value between two neighbours of ``x`` above which the share of
+    label 1 less FALSE_COST times the share of label 0 is largest (ties: the
+    largest value)."""
+    order = np.argsort(-x, kind="stable")
+    caught = np.cumsum(y[order]) / max(1, y.sum())
+    wrong = np.cumsum(1 - y[order]) / max(1, (1 - y).sum())
+    gain = np.r_[0.0, caught - FALSE_COST * wrong]
+    ordered = np.r_[x[order][0] + 2.0, x[order], x[order][-1] - 2.0]
+    gain[1:-1][ordered[1:-2] == ordered[2:-1]] = -np.inf  # no cut between equals
+    k = int(gain.argmax())
+    return float(ordered[k] + ordered[k + 1]) / 2
+
+
+def train_distance(rows: list[tuple[int, str]]) -> Distance:
+    """A model from (label, text) rows.  Copies count once.  The dictionaries
+    come from two thirds of the rows; the other third sets the weights, and
+    the bias such that 0.5 is the best cut (``best_cut``)."""
     rows = sorted(set(rows))
     toxic = [t for y, t in rows if y == 1]
     ordinary = [t for y, t in rows if y == 0]
@@ -174,8 +197,8 @@ def train_distance(rows: list[tuple[int, str]], prior: float | None = None, leve
     if not toxic or not ordinary:
         w = np.zeros(size + 1)
         w[0] = 5.0 if toxic else -5.0
-        return Distance((b" ", b" "), level, (np.zeros(size), np.ones(size), w))
-    # dictionaries and calibration use different halves
+        return Distance((b" ", b" "), (np.zeros(size), np.ones(size), w))
+    # dictionaries and calibration use different parts
     half = [(y, t) for i, (y, t) in enumerate(rows) if i % 3]
     rest = [(y, t) for i, (y, t) in enumerate(rows) if not i % 3]
     a, b = [t for y, t in half if y == 1], [t for y, t in half if y == 0]
@@ -187,16 +210,15 @@ def train_distance(rows: list[tuple[int, str]], prior: float | None = None, leve
     most = max(map(len, parts))
     # equal lengths keep the shared part at the same distance in both; the
     # last bytes of a dictionary are not indexed, so no segment may stand there
-    model = Distance(tuple(shared + b" " * (most - len(p)) + p + HEAD for p in parts), level, ())
+    model = Distance(tuple(shared + b" " * (most - len(p)) + p + HEAD for p in parts), ())
     model.start()
     use = rest if len({y for y, _ in rest}) == 2 else rows
     x, y = model.features([t for _, t in use]), np.array([y for y, _ in use], float)
     mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
-    w = logistic((x - mean) / scale, y)
-    if prior:
-        have = y.mean()
-        w[0] += math.log(prior / (1 - prior)) - math.log(have / (1 - have))
-    return Distance(model.dictionaries, level, (mean, scale, w))
+    x = (x - mean) / scale
+    w = logistic(x, y)
+    w[0] -= best_cut(x @ w[1:] + w[0], y)
+    return Distance(model.dictionaries, (mean, scale, w))
 
 
 def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str,
@@ -205,22 +227,22 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str, text_col: st
     with several labels has the largest)."""
     marks = (labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
              .groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("y")))
-    order = W.partitionBy("y").orderBy(F.xxhash64("id"), "id")
-    counts = {r["y"]: r["count"] for r in marks.groupBy("y").count().collect()}
-    picked = {r["id"]: r["y"] for r in marks.withColumn("i", F.row_number().over(order))
-              .where(F.col("i") <= docs_per_label).select("id", "y").collect()}
+    picked = {}
+    for y in (0, 1):  # a top-n by label: no task holds all rows of one
+        smallest = marks.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(docs_per_label)
+        picked.update({r["id"]: y for r in smallest.select("id").collect()})
     texts = (docs.where(F.col(id_col).isin(list(picked)) & F.col(text_col).isNotNull())
              .groupBy(F.col(id_col).alias("id")).agg(F.min(text_col).alias("text")).collect())
-    share = counts.get(1, 0) / max(1, sum(counts.values()))
-    return train_distance([(picked[r["id"]], r["text"]) for r in texts], share if 0 < share < 1 else None)
+    return train_distance([(picked[r["id"]], r["text"]) for r in texts])
 
 
 def score_toxicity(df: DataFrame, text_col: str, model: Distance, out_col: str) -> DataFrame:
     """df with ``out_col``, the toxicity (0 to 1) of each row's whole text.
 
-    A null or empty text, or one of white space, gets 0.  Every row
-    is judged on its own; other columns pass unchanged; an empty table stays
-    empty.
+    A null or empty text, or one of white space, gets 0.  A text of any length
+    is judged by all its windows, equal texts get equal scores.  Every row
+    is judged on its own; other columns pass unchanged (one named ``out_col``
+    is replaced); an empty table stays empty.
     """
     sent = df.sparkSession.sparkContext.broadcast(model.parts())
 
