@@ -27,21 +27,31 @@ from tracelens.session import checkpoint_path
 LEAST_LANGUAGE = 0.3
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, longer if a column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects texts without a letter (null, empty) and those whose best
     language has less than LEAST_LANGUAGE of the words.  Learns from the
     documents that hold a language, a quarter of the ids held out."""
     model = train_langid(docs.where(~held_out("doc_id", 4, 2)), "doc_id", "text", "lang")
-    out = predict_language(docs, "text", model, "_language")
-    keep = (F.col("_language.lang") != "und") & (F.col("_language.score") >= LEAST_LANGUAGE)
-    return out.where(keep).drop("_language")
+    name = free_name(docs, "_language")
+    out = predict_language(docs, "text", model, name)
+    keep = (F.col(f"{name}.lang") != "und") & (F.col(f"{name}.score") >= LEAST_LANGUAGE)
+    return out.where(keep).drop(name)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects texts whose toxicity score is 0.5 or more."""
     labels = table(spark, sf_dir, "labels").where(~held_out("doc_id", 5, 0))
     model = train_toxicity(docs, labels, "doc_id", "text", "toxic")
-    return score_toxicity(docs, "text", model, "_toxicity").where("_toxicity < 0.5").drop("_toxicity")
+    name = free_name(docs, "_toxicity")
+    return score_toxicity(docs, "text", model, name).where(F.col(name) < 0.5).drop(name)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
