@@ -99,60 +99,88 @@ def _ttl_ms(ttl) -> int | None:
     return None if ttl is None else max(1, interval_micros(ttl) // 1000)
 
 
-def job_event_count_stream(jobs: DataFrame, compact: bool = False) -> DataFrame:
+def _ordered(order: str) -> bool:
+    if order not in ("event", "arrival"):
+        raise ValueError("order must be 'event' or 'arrival'")
+    return order == "event"
+
+
+def job_event_count_stream(jobs: DataFrame, compact: bool = False, order: str = "event") -> DataFrame:
     """One row per event with the job's running count (append sink).
+
+    ``order="event"``: counted in (timestamp, event_seq) order, a row when
+    the watermark has passed it; ``"arrival"``: as the rows come, at once.
     ``compact=True``: one row per job and micro-batch with the count so far
     (a streaming aggregation for an ``update`` sink; partial aggregation)."""
     if compact:
         return jobs.groupBy("job_id").agg(F.count(F.lit(1)).alias("event_count"))
+    ordered = _ordered(order)
     schema = "job_id long, timestamp long, event_seq long, event_count long"
-    src = jobs.select("job_id", "timestamp", "event_seq")
-    return _tws(src.groupBy("job_id"), src, P.RunningCount("job_id"), schema, "None")
+    src = jobs.select("job_id", "timestamp", "event_seq", *[EVENT_TIME] * ordered)
+    return _tws(src.groupBy("job_id"), src, P.RunningCount("job_id", ordered), schema,
+                "EventTime" if ordered else "None")
 
 
 def pair_stream(df: DataFrame, keys, type_a: int, type_b: int, repeat: str = "latest",
-                carry=(), event_time: bool = False, ttl: str | int | None = None) -> DataFrame:
-    """T1 stream: alternating pairs per key (append).  ``event_time=True``
-    adds the closing event's ``event_time`` and declares it the output's
-    event-time column, so a later stateful operator keeps the watermark.
-    ``ttl`` (interval or microseconds) drops slots untouched that long."""
+                carry=(), event_time: bool = False, ttl: str | int | None = None,
+                order: str | None = None) -> DataFrame:
+    """T1 stream: alternating pairs per key (append).
+
+    ``order="event"`` (default): each key's events are matched in (timestamp,
+    event_seq) order, a pair comes out when the watermark has passed its
+    closing event.  ``"arrival"``: matched as they come, at once.
+    ``event_time=True`` adds an ``event_time`` and declares it the output's
+    event-time column, so a later stateful operator keeps the watermark: the
+    closing event's time, in event order just past the watermark by which the pair
+    is certain.
+    ``ttl`` (interval or microseconds) drops slots untouched that long in
+    processing time, and so goes with order of arrival (its default order)."""
+    order = order or ("event" if ttl is None else "arrival")
+    ordered = _ordered(order)
+    if ordered and ttl is not None:
+        raise ValueError("ttl runs on processing time: it needs order='arrival'")
     keys, carry = list(keys), [c for c in carry if c not in keys]
+    kept = [df.schema[c] for c in carry]
     fields = [df.schema[k] for k in keys] + [
         T.StructField("timestamp", T.LongType()), T.StructField("event_seq", T.LongType()),
-        T.StructField("event_type", T.IntegerType())] + [df.schema[c] for c in carry] + [
+        T.StructField("event_type", T.IntegerType())] + kept + [
         T.StructField("partner_timestamp", T.LongType()), T.StructField("partner_seq", T.LongType()),
         T.StructField("duration", T.LongType())]
-    src = keep_types(df, type_a, type_b).select(*keys, "timestamp", "event_seq", "event_type", *carry)
-    proc = P.PairMatcher(keys, type_a, type_b, repeat, carry, event_time, _ttl_ms(ttl))
+    src = keep_types(df, type_a, type_b).select(*keys, "timestamp", "event_seq", "event_type", *carry,
+                                                *[EVENT_TIME] * ordered)
+    proc = P.PairMatcher(keys, type_a, type_b, repeat, kept, event_time, _ttl_ms(ttl), ordered)
     if not event_time:
         # state TTL runs on processing time
-        mode = "ProcessingTime" if ttl is not None else "None"
+        mode = "EventTime" if ordered else "ProcessingTime" if ttl is not None else "None"
         return _tws(src.groupBy(*keys), src, proc, T.StructType(fields), mode)
     fields.append(T.StructField(EVENT_TIME, T.TimestampType()))
     return _tws(src.groupBy(*keys), src, proc, T.StructType(fields), "EventTime",
                 eventTimeColumnName=EVENT_TIME)
 
 
-def job_scheduling_latency_stream(jobs: DataFrame, repeat: str = "latest", ttl=None) -> DataFrame:
-    p = pair_stream(jobs, ["job_id"], SUBMIT, SCHEDULE, repeat, ttl=ttl)
+def job_scheduling_latency_stream(jobs: DataFrame, repeat: str = "latest", ttl=None,
+                                  order: str | None = None) -> DataFrame:
+    p = pair_stream(jobs, ["job_id"], SUBMIT, SCHEDULE, repeat, ttl=ttl, order=order)
     return p.select("job_id", "timestamp", "event_seq", F.col("duration").alias("latency"))
 
 
 def task_duration_stream(tasks: DataFrame, type_a: int = SUBMIT, type_b: int = FINISH,
-                         ttl=None) -> DataFrame:
-    return pair_stream(tasks, ["job_id", "task_index"], type_a, type_b, carry=["priority"], ttl=ttl)
+                         ttl=None, order: str | None = None) -> DataFrame:
+    return pair_stream(tasks, ["job_id", "task_index"], type_a, type_b, carry=["priority"], ttl=ttl, order=order)
 
 
-def max_task_completion_stream(tasks: DataFrame, running: bool = True) -> DataFrame:
+def max_task_completion_stream(tasks: DataFrame, running: bool = True, order: str | None = None) -> DataFrame:
     """Running maximum duration per priority, one row per completed task
-    (append sink).  ``running=False``: one row per priority and micro-batch
+    (append sink).  In event order every micro-batch brings the pairs closed
+    between two watermarks, all of them, so ordering them within the batch orders the
+    whole.  ``running=False``: one row per priority and micro-batch
     with the maximum so far (an aggregation after the pair processor, for an
     ``update`` sink)."""
     if not running:
-        d = task_duration_stream(tasks, SUBMIT, FINISH)
+        d = task_duration_stream(tasks, SUBMIT, FINISH, order=order)
         return d.groupBy("priority").agg(F.max("duration").alias("max_duration"))
-    d = task_duration_stream(tasks, SUBMIT, FINISH).select("priority", "timestamp", "event_seq",
-                                                           "duration")
+    d = task_duration_stream(tasks, SUBMIT, FINISH, order=order).select("priority", "timestamp", "event_seq",
+                                                                        "duration")
     return _tws(d.groupBy("priority"), d, P.RunningMax(),
                 "priority int, timestamp long, event_seq long, max_duration long", "None")
 
@@ -233,8 +261,7 @@ def rule_anomaly_stream(tasks: DataFrame, e1: int, e2: int, e3: int, limit,
         T.StructField(f"{s}_{f.name}", f.dataType) for s in ("first", "second", "third")
         for f in SLOT_SCHEMA.fields]
     src = keep_types(tasks, e1, e2, e3).select(*dict.fromkeys(keys + cols + [EVENT_TIME]))
-    proc = P.FlatSequenceRule(keys, e1, e2, e3, interval_micros(limit), cols,
-                              None if ttl is None else interval_micros(ttl))
+    proc = P.SequenceRule(keys, e1, e2, e3, interval_micros(limit), None if ttl is None else interval_micros(ttl))
     out = _tws(src.groupBy(*keys), src, proc, T.StructType(flat), "EventTime")
     return out.select(*keys, *[F.struct(*[F.col(f"{s}_{c}").alias(c) for c in cols]).alias(s)
                                for s in ("first", "second", "third")])

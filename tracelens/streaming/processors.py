@@ -37,33 +37,136 @@ def _timer_ms(micros: int) -> int:
     return micros // 1000 + 1
 
 
-class RunningCount(StatefulProcessor):
-    """J1 stream: one output row per input event with the running count."""
+def _tuples(df: pd.DataFrame, schema: T.StructType) -> list[tuple]:
+    """The rows of ``df`` as state records; missing values are None."""
+    whole = (T.LongType, T.IntegerType)
+    columns = []
+    for f in schema.fields:
+        c = df[f.name]
+        if not c.isna().any():
+            columns.append(c.astype("int64").tolist() if isinstance(f.dataType, whole) else c.tolist())
+        else:
+            plain = int if isinstance(f.dataType, whole) else lambda v: v
+            columns.append([None if pd.isna(v) else plain(v) for v in c])
+    return list(zip(*columns))
 
-    def __init__(self, key: str = "job_id"):
-        self.key = key
+
+class Ordered(StatefulProcessor):
+    """Base of the processors that walk a key's rows in event-time order.
+
+    Rows wait in a list state until the watermark has passed them: from then
+    on no earlier row of the key can come.  One event-time timer a key stands
+    at the earliest waiting row, or at ``due()`` if that is earlier.  When it fires, all
+    rows that the watermark has passed are taken out, ordered by (timestamp,
+    event_seq) and given to ``advance`` at once, with one write of the
+    rest.  The result does not depend on the order of arrival within the
+    watermark's delay nor on the cut into micro-batches; a key holds
+    the rows of that delay.
+
+    ``ordered=False``: rows are given to ``advance`` as they come, ordered
+    within one micro-batch only.
+    """
+
+    def __init__(self, buffer: T.StructType, ordered: bool = True):
+        self.buffer, self.ordered = buffer, ordered
+        names = [f.name for f in buffer.fields]
+        self.at = {n: i for i, n in enumerate(names)}
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.count = handle.getValueState("count", "n long")
+        self.handle = handle
+        if self.ordered:
+            self.waiting = handle.getListState("waiting", self.buffer)
+            self.wake = handle.getValueState("wake", "ms long")
+        self.open(handle)
+
+    def open(self, handle: StatefulProcessorHandle) -> None:
+        """Creates the operator's own state."""
+
+    def advance(self, key, rows: list[tuple], upto: int | None) -> Iterator[pd.DataFrame]:
+        """Takes a key's next rows in order; all rows before ``upto``
+        (microseconds; None without a watermark) have come."""
+        raise NotImplementedError
+
+    def due(self) -> int | None:
+        """Microseconds after which ``advance`` is wanted without a row."""
+        return None
+
+    def numbers(self, rows: list[tuple], name: str) -> np.ndarray:
+        i = self.at[name]
+        return np.fromiter((r[i] for r in rows), np.int64, len(rows))
+
+    def _order(self, rows: list[tuple]) -> list[tuple]:
+        t, q = self.at["timestamp"], self.at["event_seq"]
+        return sorted(rows, key=lambda r: (r[t], r[q]))
+
+    def _wake_after(self, micros: int) -> None:
+        ms = _timer_ms(micros)
+        now = self.wake.get()[0] if self.wake.exists() else None
+        if now is None or ms < now:
+            if now is not None:
+                self.handle.deleteTimer(now)
+            self.handle.registerTimer(ms)
+            self.wake.update((ms,))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        df = _sorted(rows)
-        if df.empty:
+        frames = (f for f in rows if len(f))
+        if not self.ordered:
+            rows = [r for f in frames for r in _tuples(f, self.buffer)]
+            if rows:
+                yield from self.advance(key, self._order(rows), None)
             return
-        base = self.count.get()[0] if self.count.exists() else 0
-        out = pd.DataFrame({
-            self.key: df[self.key].values,
-            "timestamp": df["timestamp"].values,
-            "event_seq": df["event_seq"].values,
-            "event_count": base + pd.RangeIndex(1, len(df) + 1).values,
-        })
-        self.count.update((int(base + len(df)),))
-        yield out
+        first = None
+        for f in frames:
+            self.waiting.appendList(_tuples(f, self.buffer))
+            t = int(f["timestamp"].min())
+            first = t if first is None else min(first, t)
+        if first is not None:
+            self._wake_after(first)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        upto = timerValues.getCurrentWatermarkInMs() * 1000
+        t = self.at["timestamp"]
+        rows = list(self.waiting.get()) if self.waiting.exists() else []
+        ready = [r for r in rows if r[t] < upto]
+        later = [r for r in rows if r[t] >= upto]
+        if ready and later:
+            self.waiting.put(later)
+        elif ready:
+            self.waiting.clear()
+        self.wake.clear()
+        yield from self.advance(key, self._order(ready), upto)
+        wanted = [x for x in (min((r[t] for r in later), default=None), self.due()) if x is not None]
+        if wanted:
+            self._wake_after(min(wanted))
 
     def close(self) -> None:
         pass
 
 
+_ORDER_FIELDS = [T.StructField("timestamp", T.LongType()), T.StructField("event_seq", T.LongType())]
+
+
+class RunningCount(Ordered):
+    """J1 stream: one output row per input event with the running count."""
+
+    def __init__(self, key: str = "job_id", ordered: bool = True):
+        super().__init__(T.StructType(_ORDER_FIELDS), ordered)
+        self.key = key
+
+    def open(self, handle: StatefulProcessorHandle) -> None:
+        self.count = handle.getValueState("count", "n long")
+
+    def advance(self, key, rows, upto) -> Iterator[pd.DataFrame]:
+        if not rows:
+            return
+        base = self.count.get()[0] if self.count.exists() else 0
+        self.count.update((base + len(rows),))
+        yield pd.DataFrame({
+            self.key: [key[0]] * len(rows), "timestamp": self.numbers(rows, "timestamp"),
+            "event_seq": self.numbers(rows, "event_seq"),
+            "event_count": np.arange(base + 1, base + len(rows) + 1)})
+
+
 def match_pairs(typ, ts, seq, slot, repeat: str = "latest"):
     """One key's alternating pairs over sorted arrays, vectorised.
 
@@ -108,161 +211,148 @@ def match_pairs(typ, ts, seq, slot, repeat: str = "latest"):
     return np.flatnonzero(emit), partner, (typ, ts, seq), after
 
 
-class PairMatcher(StatefulProcessor):
+class PairMatcher(Ordered):
     """T1 stream: one slot per key; same type replaces (``latest``) or is
     ignored (``first``); the other type emits the pair and empties the slot.
-    ``carry`` columns come from the closing event.  Each micro-batch of a
-    key is matched at once by ``match_pairs`` (numpy, no per-row Python)."""
+    ``carry`` columns come from the closing event.  The rows of a key that
+    come at once are matched at once by ``match_pairs`` (numpy)."""
 
-    def __init__(self, keys, type_a: int, type_b: int, repeat: str = "latest", carry=(),
-                 event_time: bool = False, ttl_ms: int | None = None):
-        self.keys, self.types, self.repeat, self.carry = list(keys), (type_a, type_b), repeat, list(carry)
-        self.event_time, self.ttl_ms = event_time, ttl_ms
+    def __init__(self, keys, type_a: int, type_b: int, repeat: str = "latest", carry: list | None = None,
+                 event_time: bool = False, ttl_ms: int | None = None, ordered: bool = True):
+        carry = list(carry or [])
+        super().__init__(T.StructType(_ORDER_FIELDS + [T.StructField("event_type", T.IntegerType())] + carry), ordered)
+        self.keys, self.types, self.repeat = list(keys), (type_a, type_b), repeat
+        self.carry, self.event_time, self.ttl_ms = [f.name for f in carry], event_time, ttl_ms
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
+    def open(self, handle: StatefulProcessorHandle) -> None:
         # ttl_ms: a slot that is not touched for that long (processing time)
         # is dropped -- bounds the state of keys that never close a pair
         self.slot = handle.getValueState("slot", "type int, ts long, seq long", self.ttl_ms)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        df = _sorted(rows)
-        if df.empty:
-            return
-        df = df[df["event_type"].isin(self.types)]
-        if df.empty:
+    def advance(self, key, rows, upto) -> Iterator[pd.DataFrame]:
+        rows = [r for r in rows if r[self.at["event_type"]] in self.types]
+        if not rows:
             return
         slot = self.slot.get() if self.slot.exists() else None
         offset = 1 if slot is not None else 0
         rows_at, partner, (typ, ts, seq), after = match_pairs(
-            df["event_type"].to_numpy(dtype="int64"), df["timestamp"].to_numpy(dtype="int64"),
-            df["event_seq"].to_numpy(dtype="int64"), slot, self.repeat)
+            self.numbers(rows, "event_type"), self.numbers(rows, "timestamp"), self.numbers(rows, "event_seq"),
+            slot, self.repeat)
         if after is None:
             self.slot.clear()
         else:
             self.slot.update(after)
         if not len(rows_at):
             return
-        src = df.iloc[rows_at - offset]
         p = partner[rows_at]
         out = pd.DataFrame({k: [v] * len(rows_at) for k, v in zip(self.keys, key)})
         out["timestamp"] = ts[rows_at]
         out["event_seq"] = seq[rows_at]
         out["event_type"] = typ[rows_at].astype("int32")
         for c in self.carry:
-            out[c] = src[c].to_numpy()
+            out[c] = [rows[i - offset][self.at[c]] for i in rows_at]
         out["partner_timestamp"] = ts[p]
         out["partner_seq"] = seq[p]
         out["duration"] = np.abs(ts[rows_at] - ts[p])
         if self.event_time:
-            out["event_time"] = pd.to_datetime(out["timestamp"], unit="us", utc=True)
+            # a row for a later operator must lie past the watermark: its event
+            # time is the first moment at which the pair is certain
+            certain = out["timestamp"] if upto is None else [upto + 1000] * len(out)
+            out["event_time"] = pd.to_datetime(certain, unit="us", utc=True)
         yield out
 
-    def close(self) -> None:
-        pass
 
-
-class SequenceRule(StatefulProcessor):
+class SequenceRule(Ordered):
     """T2 stream (repeat epochs, event time).
 
     The first event of each of e1, e2, e3 since the last reset fills a slot;
-    the first e1 arms a timer at t(e1) + limit.  The epoch closes when the
-    watermark passes that time, or earlier when a later event of the key
-    arrives (that event then opens the next epoch).  On close the triple is
+    the first e1 opens an epoch that ends at t(e1) + limit.  It closes with
+    the first later event of the key, which may open the next one, or when the
+    watermark passes its end.  On close the triple is
     emitted when t1 < t2 < t3 and t3 - t1 <= limit, and the slots reset.
     Without an e1 the slots stay filled (and block later events of their
     type), as in the reference -- unless ``ttl_us`` is set: then slots that
     wait longer than that (event time) for an e1 are cleared.
+
+    A key's rows are cut into epochs by binary search on their times; the
+    loop takes a step for each epoch, not for each row.
     """
 
-    def __init__(self, keys, e1: int, e2: int, e3: int, limit_us: int, columns,
-                 ttl_us: int | None = None):
-        self.keys, self.order, self.limit = list(keys), (e1, e2, e3), int(limit_us)
-        self.columns, self.ttl_us = list(columns), ttl_us
+    def __init__(self, keys, e1: int, e2: int, e3: int, limit_us: int, ttl_us: int | None = None):
+        super().__init__(SLOT_SCHEMA, True)
+        self.keys, self.order, self.limit, self.ttl_us = list(keys), (e1, e2, e3), int(limit_us), ttl_us
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.slot_cols = SLOT_COLUMNS
+    def open(self, handle: StatefulProcessorHandle) -> None:
         self.slots = [handle.getValueState(f"slot{i}", SLOT_SCHEMA) for i in range(3)]
-        self.deadline = handle.getValueState("deadline", "d long")
-        self.expiry = handle.getValueState("expiry", "e long")  # ttl end (microseconds)
 
-    def _load(self):
-        return [s.get() if s.exists() else None for s in self.slots]
-
-    def _emit(self, key, vals):
-        a, b, c = vals
-        if a is None or b is None or c is None:
+    def due(self) -> int | None:
+        slots = [s.get() if s.exists() else None for s in self.slots]
+        end = self._end(slots)
+        return end
+
+    def _end(self, slots) -> int | None:
+        """Last moment of the slots: the epoch's end, or without an e1 the
+        end of their ttl."""
+        t = self.at["timestamp"]
+        if slots[0] is not None:
+            return slots[0][t] + self.limit
+        filled = [s[t] for s in slots[1:] if s is not None]
+        return min(filled) + self.ttl_us if filled and self.ttl_us else None
+
+    def _triple(self, key, slots) -> dict | None:
+        if None in slots:
             return None
-        i = self.slot_cols.index("timestamp")
-        t1, t2, t3 = a[i], b[i], c[i]
-        if t1 < t2 < t3 and t3 - t1 <= self.limit:
-            rec = {k: v for k, v in zip(self.keys, key)}
-            for name, v in zip(("first", "second", "third"), vals):
-                rec[name] = dict(zip(self.slot_cols, v))
-            return rec
-        return None
-
-    def _reset(self):
-        for s in self.slots:
-            s.clear()
-        if self.deadline.exists():
-            d = self.deadline.get()[0]
-            self.handle.deleteTimer(_timer_ms(d))
-            self.deadline.clear()
-        self._disarm_expiry()
-
-    def _disarm_expiry(self):
-        if self.expiry.exists():
-            self.handle.deleteTimer(_timer_ms(self.expiry.get()[0]))
-            self.expiry.clear()
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        df = _sorted(rows)
-        vals = self._load()
-        deadline = self.deadline.get()[0] if self.deadline.exists() else None
-        out = []
-        for r in df.to_dict("records"):
-            ts = int(r["timestamp"])
-            if deadline is None and self.expiry.exists() and ts > self.expiry.get()[0]:
-                self._reset()  # the slots waited longer than the ttl for an e1
-                vals = [None, None, None]
-            if deadline is not None and ts > deadline:
-                rec = self._emit(key, vals)
-                if rec:
-                    out.append(rec)
-                self._reset()
-                vals, deadline = [None, None, None], None
-            typ = r["event_type"]
-            for i, e in enumerate(self.order):
-                if typ == e and vals[i] is None:
-                    vals[i] = tuple(r.get(c) for c in self.slot_cols)
-                    self.slots[i].update(vals[i])
-                    if i == 0:
-                        deadline = ts + self.limit
-                        self.deadline.update((deadline,))
-                        self.handle.registerTimer(_timer_ms(deadline))
-                        self._disarm_expiry()
-                    elif deadline is None and self.ttl_us and not self.expiry.exists():
-                        self.expiry.update((ts + self.ttl_us,))
-                        self.handle.registerTimer(_timer_ms(ts + self.ttl_us))
-                    break
+        t1, t2, t3 = (s[self.at["timestamp"]] for s in slots)
+        if not (t1 < t2 < t3 and t3 - t1 <= self.limit):
+            return None
+        rec = dict(zip(self.keys, key))
+        for name, slot in zip(("first", "second", "third"), slots):
+            rec.update((f"{name}_{c}", v) for c, v in zip(SLOT_COLUMNS, slot))
+        return rec
+
+    def advance(self, key, rows, upto) -> Iterator[pd.DataFrame]:
+        before = [s.get() if s.exists() else None for s in self.slots]
+        slots, out, at, n = list(before), [], 0, len(rows)
+        ts, typ = self.numbers(rows, "timestamp"), self.numbers(rows, "event_type")
+        places = [np.flatnonzero(typ == e) for e in self.order]
+
+        def fill(i: int, begin: int, stop: int) -> None:
+            k = int(np.searchsorted(places[i], begin))
+            if slots[i] is None and k < len(places[i]) and places[i][k] < stop:
+                slots[i] = rows[places[i][k]]
+
+        while True:
+            # rows up to ``stop`` see the slots; an e1 among them opens an epoch
+            end = self._end(slots)
+            stop = n if end is None else int(np.searchsorted(ts, end, "right"))
+            if slots[0] is None:
+                k = int(np.searchsorted(places[0], at))
+                start = int(places[0][k]) if k < len(places[0]) else n
+                for i in (1, 2):
+                    fill(i, at, min(start, stop))
+                end = self._end(slots)  # a slot just filled may have a ttl
+                stop = n if end is None else int(np.searchsorted(ts, end, "right"))
+                if start < stop:
+                    slots[0], at = rows[start], start + 1
+                    continue
+            else:
+                for i in (1, 2):
+                    fill(i, at, stop)
+            at = max(at, stop)
+            if at >= n and (end is None or upto is None or end >= upto):
+                break
+            rec = self._triple(key, slots)
+            if rec:
+                out.append(rec)
+            slots = [None, None, None]
+        for state, old, new in zip(self.slots, before, slots):
+            if new is None and old is not None:
+                state.clear()
+            elif new is not None and new != old:
+                state.update(new)
         if out:
             yield pd.DataFrame(out)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        at = expiredTimerInfo.getExpiryTimeInMs()
-        if (self.expiry.exists() and _timer_ms(self.expiry.get()[0]) == at
-                and not self.deadline.exists()):
-            self._reset()  # slots waited too long for an e1
-            return
-        rec = self._emit(key, self._load())
-        self._reset()
-        if rec:
-            yield pd.DataFrame([rec])
-
-    def close(self) -> None:
-        pass
-
 
 class LongestSession(StatefulProcessor):
     """J8 stream: input is the union of closed sessions (``kind='s'``,
@@ -441,20 +531,6 @@ class InvariantCheck(StatefulProcessor):
         pass
 
 
-class FlatSequenceRule(SequenceRule):
-    """SequenceRule with the three event structs flattened for Arrow."""
-
-    def _emit(self, key, vals):
-        rec = super()._emit(key, vals)
-        if rec is None:
-            return None
-        flat = {k: rec[k] for k in self.keys}
-        for s in ("first", "second", "third"):
-            for c, v in rec[s].items():
-                flat[f"{s}_{c}"] = v
-        return flat
-
-
 # Processors travel to Python workers by value, so neither the executors'
 # workers nor the driver-side state-schema runner need this package on
 # their path.
