@@ -18,7 +18,7 @@ from ..functions import codec
 from ..operators import anomaly, filters, pairs, patterns, rolling, sessions, windows
 from ..schema import FAIL, FINISH, KILL, SCHEDULE, SUBMIT
 from ..session import checkpoint_path
-from ..sources.tables import job_events, job_events_from_events, task_events, task_events_from_events
+from ..sources.tables import DRIVER_EVENT_CODES, job_events, job_events_from_events, task_events, task_events_from_events
 from ..streaming import jobs as S
 
 TERMINAL = (FAIL, FINISH, KILL)
@@ -142,43 +142,123 @@ def task_event_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _roundtrip(spark, sf_dir, "text")
 
 
-def _stream_to_table(spark: SparkSession, out: DataFrame, name: str) -> DataFrame:
-    """Run a streaming job over everything available (availableNow), with
-    offsets, state and output under the shared checkpoint folder, and
-    return the written table (read back distributed, not collected)."""
-    base = checkpoint_path(spark, f"driver-{name}-{uuid.uuid4().hex}")
-    # state partitions = cluster parallelism (fixed in the checkpoint at the
-    # first batch; the session setting is copied when the query starts)
+#: The registered streams get the events as they would arrive: up to a slice
+#: late, one slice after the other; rows of one slice span two of them.
+SLICE_DAYS = 3
+DELAY = f"{2 * SLICE_DAYS} days"
+#: Ends a bounded stream: rows whose time no event reaches move the watermark
+#: past all events; they themselves stay behind it and give no output.
+FLUSH_TIME = "2200-01-01 00:00:00"
+
+
+class Arrivals:
+    """The ``events`` table dealt into slices by time of arrival, which lies up
+    to one slice behind the event's own (by a hash of its id); ``feed`` appends
+    slices to the folder that a stream reads, oldest first."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = spark
+        base = checkpoint_path(spark, f"driver-arrivals-{uuid.uuid4().hex}")
+        self.staged = f"{base}/staged"
+        ev = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+        span = SLICE_DAYS * 86_400_000_000
+        behind = F.pmod(F.xxhash64("event_id"), F.lit(span))
+        at = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts"))
+        ev.withColumn("_slice", F.floor((at + behind) / span)).write.partitionBy("_slice").parquet(self.staged)
+        dealt = spark.read.parquet(self.staged)
+        self.slices = sorted(r[0] for r in dealt.select("_slice").distinct().collect())  # one per SLICE_DAYS
+        self.files = max(1, -(-len(dealt.inputFiles()) // max(1, len(self.slices))))
+
+    def feed(self, folder: str, slices: list[int], flush: bool) -> None:
+        for i in slices:
+            rows = self.spark.read.schema(S.EVENTS_SCHEMA).parquet(f"{self.staged}/_slice={i}")
+            rows.write.mode("append").parquet(folder)
+        if flush:
+            last = self.spark.range(1).select(F.explode(F.array(*map(F.lit, DRIVER_EVENT_CODES))).alias("event_type"))
+            last = last.select(F.lit(-1).cast("long").alias("event_id"), F.lit(FLUSH_TIME).cast("timestamp_ntz").alias("ts"),
+                               F.lit(-1).cast("long").alias("user_id"), "event_type", F.lit(1.0).alias("value"),
+                               F.lit("").alias("props"))
+            last.coalesce(1).write.mode("append").parquet(folder)
+
+
+def _run_stream(spark: SparkSession, build: Callable[[DataFrame], DataFrame], folder: str, files: int, base: str) -> None:
+    """Runs the stream over what ``folder`` holds, from where the checkpoint
+    under ``base`` ended, and waits for its end."""
+    # a session of its own: the number of state partitions (the cluster's
+    # cores, fixed in the checkpoint at the first batch) is no one else's setting
+    own = spark.newSession()
     key = "spark.sql.shuffle.partitions"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(min(int(old), spark.sparkContext.defaultParallelism)))
-    try:
-        q = (out.writeStream.format("parquet").option("path", f"{base}/out")
-             .option("checkpointLocation", f"{base}/ck").outputMode("append")
-             .trigger(availableNow=True).start())
-    finally:
-        spark.conf.set(key, old)
+    own.conf.set(key, str(min(int(spark.conf.get(key)), spark.sparkContext.defaultParallelism)))
+    q = (build(S.read_events_stream(own, folder, files)).writeStream.format("parquet").option("path", f"{base}/out")
+         .option("checkpointLocation", f"{base}/ck").outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
+
+
+def _streamed(spark: SparkSession, sf_dir: str, build: Callable[[DataFrame], DataFrame], stops: int = 0) -> DataFrame:
+    """The output of a streaming job over the whole table in slices of
+    arrival, read back from the shared checkpoint folder.  ``stops``: how often the job
+    is stopped on the way and restarted from its checkpoint."""
+    arrivals = Arrivals(spark, sf_dir)
+    base = checkpoint_path(spark, f"driver-stream-{uuid.uuid4().hex}")
+    n = len(arrivals.slices)
+    cuts = [n * k // (stops + 1) for k in range(stops + 2)]
+    for k in range(stops + 1):
+        arrivals.feed(f"{base}/feed", arrivals.slices[cuts[k]:cuts[k + 1]], flush=k == stops)
+        _run_stream(spark, build, f"{base}/feed", arrivals.files, base)
     return spark.read.parquet(f"{base}/out")
 
 
-def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.read_events_stream(spark, f"{sf_dir.rstrip('/')}/events*.parquet")
+def _task_stream(ev: DataFrame) -> DataFrame:
+    return S.with_watermark(task_events_from_events(ev.sparkSession, ev), DELAY)
+
+
+def _job_stream(ev: DataFrame) -> DataFrame:
+    return S.with_watermark(job_events_from_events(ev.sparkSession, ev), DELAY)
 
 
 def job_event_count_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    jobs = S.with_watermark(job_events_from_events(spark, _events_stream(spark, sf_dir)))
-    return _stream_to_table(spark, S.job_event_count_stream(jobs), "job_event_count")
+    return _streamed(spark, sf_dir, lambda ev: S.job_event_count_stream(_job_stream(ev)))
 
 
 def job_scheduling_latency_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    jobs = S.with_watermark(job_events_from_events(spark, _events_stream(spark, sf_dir)))
-    return _stream_to_table(spark, S.job_scheduling_latency_stream(jobs), "job_scheduling_latency")
+    return _streamed(spark, sf_dir, lambda ev: S.job_scheduling_latency_stream(_job_stream(ev)))
 
 
 def max_task_completion_running_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tasks = S.with_watermark(task_events_from_events(spark, _events_stream(spark, sf_dir)))
-    return _stream_to_table(spark, S.max_task_completion_stream(tasks), "max_task_completion")
+    return _streamed(spark, sf_dir, lambda ev: S.max_task_completion_stream(_task_stream(ev)))
+
+
+def rule_anomaly_repeat_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stopped twice on the way, with rows waiting in state, and
+    restarted from its checkpoint."""
+    def build(ev):
+        r = S.rule_anomaly_stream(_task_stream(ev), **RULE)
+        return r.select("job_id", "task_index",
+                        *[F.col(f"{s}.{c}").alias(f"{s}_{c.replace('event_', '')}")
+                          for s in ("first", "second", "third") for c in ("timestamp", "event_seq")])
+
+    return _streamed(spark, sf_dir, build, stops=2)
+
+
+def task_statistics_per_machine_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _streamed(spark, sf_dir, lambda ev: S.task_statistics_stream(_task_stream(ev), "1 day", "machine_id"))
+
+
+def busy_machines_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _streamed(spark, sf_dir, lambda ev: S.busy_machines_stream(_task_stream(ev), "3 days", "1 day", 10))
+
+
+def invariant_anomaly_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _streamed(spark, sf_dir, lambda ev: S.invariant_anomaly_stream(_task_stream(ev), TRAINING_END))
+
+
+def time_series_anomaly_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def build(ev):
+        r = S.time_series_anomaly_stream(_task_stream(ev), "3 days", "1 day", 3, 0.3)
+        return r.select("machine_id", "window_end", F.round("current_avg", 6).alias("current_avg"),
+                        F.round("moving_avg", 6).alias("moving_avg"))
+
+    return _streamed(spark, sf_dir, build)
 
 
 def job_scheduling_latency_directed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -233,4 +313,9 @@ QUERIES: dict[str, Query] = {
     "job_event_count_stream": job_event_count_stream,
     "job_scheduling_latency_stream": job_scheduling_latency_stream,
     "max_task_completion_running_stream": max_task_completion_running_stream,
+    "rule_anomaly_repeat_stream": rule_anomaly_repeat_stream,
+    "task_statistics_per_machine_stream": task_statistics_per_machine_stream,
+    "busy_machines_stream": busy_machines_stream,
+    "invariant_anomaly_stream": invariant_anomaly_stream,
+    "time_series_anomaly_stream": time_series_anomaly_stream,
 }

@@ -278,6 +278,9 @@ WHERE a.event_type = 0 AND a.rn = 1
 ORACLE["job_event_count_stream"] = ORACLE["job_event_count"]
 ORACLE["job_scheduling_latency_stream"] = ORACLE["job_scheduling_latency"]
 ORACLE["max_task_completion_running_stream"] = ORACLE["max_task_completion_running"]
+for _name in ("rule_anomaly_repeat", "task_statistics_per_machine", "busy_machines", "invariant_anomaly",
+              "time_series_anomaly"):
+    ORACLE[f"{_name}_stream"] = ORACLE[_name]
 
 ORACLE["job_scheduling_latency_directed"] = "WITH RECURSIVE " + T.strip() + "," + _pairs(
     "p", ["job_id"], 0, 1, "latest", [], directed=True) + """
