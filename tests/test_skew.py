@@ -4,6 +4,7 @@ thresholds force splitting; one key holds a third of all events."""
 import random
 
 from conftest import make_tasks
+from pyspark.sql import functions as F
 from test_pairs_random import state_machine
 
 from tracelens.operators import skew
@@ -179,3 +180,33 @@ def test_one_timestamp_flood_is_cut_by_sequence(spark):
     for i, (k, _, _) in enumerate(ev):
         seen[k] = seen.get(k, 0) + 1
         assert counts[(k, i)] == seen[k]
+
+
+def test_sketch_names_every_hot_key(spark, monkeypatch):
+    """Few tracked keys, many cold ones: the hot ones are named, and nearly
+    none of the others; the plan is that of exact counts."""
+    from tracelens.operators import skew
+
+    df = spark.range(200_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).when(F.col("id") % 20 == 1, F.lit(-2))
+        .otherwise(F.col("id")).cast("long").alias("k"),
+        F.col("id").alias("timestamp"), F.col("id").alias("event_seq"))
+    monkeypatch.setattr(skew, "SKETCH_ITEMS", 512)
+    named = {r[0] for r in skew.frequent_hashes(df, ["k"], 5000).collect()}
+    hot = {r[0] for r in spark.createDataFrame([(-1,), (-2,)], "k long").select(F.xxhash64("k")).collect()}
+    assert hot <= named and len(named) <= 4
+    plan = skew.plan_chunks(df, ["k"], hot_key_rows=5000, chunk_rows=1000)
+    assert {r["k"] for r in plan.frame.collect()} == {-1, -2}
+
+
+def test_chunk_budget_is_shared(spark):
+    """More hot keys than the budget serves whole: all are cut."""
+    from tracelens.operators import skew
+
+    df = spark.range(8000).select((F.col("id") % 8).alias("k"), F.col("id").alias("timestamp"),
+                                  F.col("id").alias("event_seq"))
+    plan = skew.plan_chunks(df, ["k"], hot_key_rows=100, chunk_rows=10, max_chunks=80)
+    assert plan.frame.count() == 8 and plan.chunks <= 80
+    out = skew.running_count(df, ["k"], "n", hot_key_rows=100, chunk_rows=10, max_chunks=80)
+    want = df.groupBy("k").count().collect()
+    assert {(r["k"], r["n"]) for r in out.groupBy("k").agg(F.max("n").alias("n")).collect()} == {tuple(r) for r in want}

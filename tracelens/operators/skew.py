@@ -5,10 +5,12 @@ as-of lookups of repeated rule epochs walk each key's events in order, so a
 plain ``Window.partitionBy(key)`` puts a key that holds a third of the data
 into one task.  Here:
 
-1. A statistics pass (``groupBy(key)`` with map-side partial counts) finds
-   keys with more than ``hot_key_rows`` events; only their (key, first
+1. A frequent-items sketch (``approx_top_k`` over key hashes, merged from one
+   sketch a partition) names the keys that may have more than
+   ``hot_key_rows`` events; only their rows are counted exactly, so no
+   statistic is shuffled for the other keys.  Only the hot keys' (key, first
    time, bucket width) rows reach the driver, never the data.  The list is
-   bounded: at most ``max_chunks`` chunks in total.
+   bounded: at most ``max_chunks`` chunks in total, shared in proportion.
 2. Each hot key is cut into chunks of about ``chunk_rows`` events
    (``_chunk`` >= 1, contiguous in (timestamp, event_seq) order; equal
    timestamps stay together): FINE time buckets per chunk are counted and
@@ -33,6 +35,11 @@ from pyspark.sql import types as T
 
 # Keys with more events than this are split (per-task sort stays small).
 HOT_KEY_ROWS = 2_000_000
+# Sketches (by key hash) and the keys that each tracks.  A key is surely named
+# if it has more than about 5 / SKETCH_ITEMS of its sketch's events; one that is
+# not stays whole, which costs time, not results.
+SKETCHES = 64
+SKETCH_ITEMS = 10_000
 # Target events per chunk of a hot key.
 CHUNK_ROWS = 1_000_000
 # Bound on the number of chunks (= rows of every broadcast summary).
@@ -75,6 +82,17 @@ def _sub_bucket(seq):
     return F.least(F.greatest(s, F.lit(0)), F.col("_ns") - 1)
 
 
+def frequent_hashes(df: DataFrame, keys: Sequence[str], least: int) -> DataFrame:
+    """(_h): hashes of the keys that may have more than ``least`` rows of
+    ``df``, at most SKETCHES x SKETCH_ITEMS.  Counts from the sketches are
+    never too small for a key that they name."""
+    h = df.select(F.xxhash64(*keys).alias("_h"))
+    top = (h.groupBy(F.pmod("_h", F.lit(SKETCHES)).alias("_part"))
+           .agg(F.expr(f"approx_top_k(_h, {SKETCH_ITEMS}, {SKETCH_ITEMS})").alias("_top")))
+    return (top.select(F.explode(F.filter("_top", lambda t: t["count"] > least)).alias("_t"))
+            .select(F.col("_t.item").alias("_h")))
+
+
 def plan_chunks(df: DataFrame, keys: Sequence[str], hot_key_rows: int | None = HOT_KEY_ROWS,
                 chunk_rows: int = CHUNK_ROWS, max_chunks: int = MAX_CHUNKS,
                 ts: str = "timestamp", seq: str = "event_seq",
@@ -92,19 +110,18 @@ def plan_chunks(df: DataFrame, keys: Sequence[str], hot_key_rows: int | None = H
     keys = list(keys)
     if hot_key_rows is None:
         return ChunkPlan(keys)
-    stats = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(ts).alias("_lo"),
-                                   F.max(ts).alias("_hi"))
+    stats = (df.join(F.broadcast(frequent_hashes(df, keys, hot_key_rows)), F.xxhash64(*keys) == F.col("_h"), "left_semi")
+             .groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(ts).alias("_lo"), F.max(ts).alias("_hi"))
              .where(F.col("_n") > hot_key_rows))
     # a hot key has more than hot_key_rows events, so there are at most
     # total / hot_key_rows of them; take the largest within the chunk budget
-    cand = stats.orderBy(F.desc("_n")).limit(max_chunks).collect()
+    cand = stats.orderBy(F.desc("_n")).limit(max_chunks // 2).collect()
+    wanted = [max(2, -(-r["_n"] // chunk_rows)) for r in cand]
+    # beyond the budget every key gets its share of it: larger chunks for all
+    share = min(1.0, max_chunks / max(1, sum(wanted)))
     rows, budget = [], max_chunks
-    for r in cand:
-        if budget < 2:
-            break  # the rest stay whole (correct, only less spread)
-        # a key that needs more chunks than are left gets the rest: larger
-        # chunks, but still spread over many tasks
-        n_chunks = min(budget, max(2, -(-r["_n"] // chunk_rows)))
+    for r, n_chunks in zip(cand, wanted):
+        n_chunks = max(2, int(n_chunks * share))
         budget -= n_chunks
         n_fine = FINE * n_chunks
         width = max(1, -(-(r["_hi"] - r["_lo"] + 1) // n_fine))

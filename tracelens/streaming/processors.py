@@ -401,47 +401,40 @@ class LongestSession(StatefulProcessor):
 
 
 class MovingAverageCheck(StatefulProcessor):
-    """J12 stream: window means per machine arrive as windows close; a timer
-    at end + (N-1) * slide checks that N consecutive means exist and applies
-    the relative-difference test.  Means older than the frame are dropped."""
+    """J12 stream: window means per machine arrive as windows close, in order
+    of their ends (a micro-batch brings all windows that closed between two
+    watermarks).  The last ``windows - 1`` means stay in one value state;
+    each new mean is checked as it arrives against the frame that it completes: if
+    the frame's means follow each other by one slide, the relative-difference test
+    applies.  No timer; the state never exceeds the frame."""
 
     def __init__(self, windows: int, slide_us: int, diff: float, by: str = "machine_id"):
         self.n, self.slide, self.diff, self.by = windows, slide_us, diff, by
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.means = handle.getMapState("means", "end long", "avg double")
-        self.pending = handle.getMapState("pending", "timer long", "frame_end long")
+        self.ring = handle.getValueState("ring", "ends array<long>, means array<double>")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        yield from ()
-        for pdf in rows:
-            for end, avg in zip(pdf["window_end"], pdf["current_avg"]):
-                self.means.updateValue((int(end),), (float(avg),))
-                frame_end = int(end) + (self.n - 1) * self.slide
-                timer = -(-frame_end // 1000)  # first ms at or after the frame end
-                self.pending.updateValue((timer,), (frame_end,))
-                self.handle.registerTimer(timer)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        timer = expiredTimerInfo.getExpiryTimeInMs()
-        if not self.pending.containsKey((timer,)):
+        frames = [f for f in rows if len(f)]
+        if not frames:
             return
-        last = self.pending.getValue((timer,))[0]
-        self.pending.removeKey((timer,))
-        ends = [last - i * self.slide for i in range(self.n)]
-        vals = [self.means.getValue((e,)) if self.means.containsKey((e,)) else None for e in ends]
-        # means at or before the frame's first end can no longer be needed
-        for (e,) in list(self.means.keys()):
-            if e <= last - (self.n - 1) * self.slide:
-                self.means.removeKey((e,))
-        if any(v is None for v in vals):
+        new = pd.concat(frames).sort_values("window_end")
+        ends, means = self.ring.get() if self.ring.exists() else ([], [])
+        ends = np.r_[np.array(ends, np.int64), new["window_end"].to_numpy(np.int64)]
+        means = np.r_[np.array(means, float), new["current_avg"].to_numpy(float)]
+        back = self.n - 1
+        keep = max(0, len(ends) - back)
+        self.ring.update((ends[keep:].tolist(), means[keep:].tolist()))
+        if len(ends) <= back:
             return
-        cur = vals[0][0]
-        mov = sum(v[0] for v in vals) / self.n
-        if 2 * abs(cur - mov) / (cur + mov) > self.diff:
-            yield pd.DataFrame({self.by: [key[0]], "window_end": [last],
-                                "current_avg": [cur], "moving_avg": [mov]})
+        last, cur = ends[back:], means[back:]
+        # ends are distinct multiples of the slide: a whole frame spans n - 1 slides
+        whole = last - ends[:len(last)] == back * self.slide
+        mov = np.lib.stride_tricks.sliding_window_view(means, self.n).mean(axis=1)
+        hit = whole & (2 * np.abs(cur - mov) / (cur + mov) > self.diff)
+        if hit.any():
+            yield pd.DataFrame({self.by: [key[0]] * int(hit.sum()), "window_end": last[hit],
+                                "current_avg": cur[hit], "moving_avg": mov[hit]})
 
     def close(self) -> None:
         pass
