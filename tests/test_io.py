@@ -157,3 +157,27 @@ def test_command_line_jobs_run(job, extra):
                        capture_output=True, text=True, cwd=repo, timeout=300)
     assert r.returncode == 0, r.stderr[-2000:]
     assert "+" in r.stdout  # a table was shown
+
+
+def test_wire_modes_and_dead_letters(spark, tmp_path):
+    from tracelens.functions import codec
+    from tracelens.sources.trace_files import split_rejects
+
+    good = ("1,2,3,4,SUBMIT,u,1,2,0.5,0.0,0.0,false", "1,2,3,4,KILL,u,1,2,0.5,0.0,0.0,true,info")
+    bad = ("", "1,2,3,4,SUBMIT,u,1,2,0.5,0.0,0.0", "1,2,3,4,NOTHING,u,1,2,0.5,0.0,0.0,false",
+           "1,2,3,,SUBMIT,u,1,2,0.5,0.0,0.0,false", "1,2,3,4,SUBMIT,u,1,2,x,0.0,0.0,false", None)
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(good + bad)], "i int, value string")
+    out = codec.decode(df, "text", keep=("i",), mode="PERMISSIVE")
+    rows, rejects, counts = split_rejects(out, f"{tmp_path}/split")
+    assert counts == {"accepted": 2, "rejected": 6}
+    assert sorted(r["i"] for r in rows.collect()) == [0, 1] and "_corrupt_record" not in rows.columns
+    assert {r["i"]: r["_corrupt_record"] for r in rejects.collect()} == {i: v or "" for i, v in enumerate(bad, 2)}
+    assert codec.decode(df, "text", mode="DROPMALFORMED").count() == 2
+    with pytest.raises(Exception, match="Invalid event record"):
+        codec.decode(df, "text").collect()
+    js = ['{"jobId":1,"taskIndex":2,"timestamp":3,"eventType":"SUBMIT","schedulingClass":1,"priority":2}',
+          '{"jobId":1,"taskIndex":2,"timestamp":"no","eventType":"SUBMIT","schedulingClass":1,"priority":2}',
+          "{", "[]", "", None, '{"jobId":1}']
+    got = codec.decode(spark.createDataFrame([(v,) for v in js], "value string"), mode="PERMISSIVE").collect()
+    assert [r["_corrupt_record"] is None for r in got] == [True] + [False] * 6
+    assert (got[0]["machine_id"], got[0]["max_cpu"], got[0]["different_machine"]) == (-1, 0.0, False)

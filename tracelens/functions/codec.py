@@ -97,7 +97,8 @@ def to_text_value(df: DataFrame) -> Column:
 
 
 def from_text_value(value: Column | str) -> list[Column]:
-    """Comma separated line -> task columns.  Needs 12 fields or more."""
+    """Comma separated line -> task columns; a field that is no number of its
+    type is NULL."""
     value = F.col(value) if isinstance(value, str) else value
     tok = F.split(value.cast("string"), ",", -1)
 
@@ -105,17 +106,17 @@ def from_text_value(value: Column | str) -> list[Column]:
         return F.get(tok, i)
 
     by_col = {
-        "job_id": at(0).cast("long"),
-        "task_index": at(1).cast("int"),
-        "timestamp": at(2).cast("long"),
-        "machine_id": at(3).cast("long"),
+        "job_id": at(0).try_cast("long"),
+        "task_index": at(1).try_cast("int"),
+        "timestamp": at(2).try_cast("long"),
+        "machine_id": at(3).try_cast("long"),
         "event_type": event_type_code(at(4)),
         "username": at(5),
-        "scheduling_class": at(6).cast("int"),
-        "priority": at(7).cast("int"),
-        "max_cpu": at(8).cast("double"),
-        "max_ram": at(9).cast("double"),
-        "max_disk": at(10).cast("double"),
+        "scheduling_class": at(6).try_cast("int"),
+        "priority": at(7).try_cast("int"),
+        "max_cpu": at(8).try_cast("double"),
+        "max_ram": at(9).try_cast("double"),
+        "max_disk": at(10).try_cast("double"),
         "different_machine": F.lower(F.trim(at(11))) == "true",
         "missing_info": F.coalesce(at(12), F.lit("")),
     }
@@ -123,8 +124,9 @@ def from_text_value(value: Column | str) -> list[Column]:
 
 
 def text_token_count(value: Column | str) -> Column:
+    """Fields of a line, without empty ones at its end."""
     value = F.col(value) if isinstance(value, str) else value
-    return F.size(F.split(value.cast("string"), ",", -1))
+    return F.size(F.split(F.regexp_replace(value.cast("string"), ",+$", ""), ",", -1))
 
 
 def encode(df: DataFrame, fmt: str = "json", key: str | None = "job_id") -> DataFrame:
@@ -136,10 +138,32 @@ def encode(df: DataFrame, fmt: str = "json", key: str | None = "job_id") -> Data
     return df.select(*cols)
 
 
+#: Fields that a record must hold (JSON has defaults for the others).
+REQUIRED = {"json": ("job_id", "task_index", "timestamp", "event_type", "scheduling_class", "priority")}
+REQUIRED["text"] = (*REQUIRED["json"], "machine_id", "max_cpu", "max_ram", "max_disk")
+TEXT_FIELDS = 12
+
+
 def decode(df: DataFrame, fmt: str = "json", value: str = "value",
-           keep: tuple[str, ...] = ()) -> DataFrame:
-    """(value) strings -> task events; ``keep`` columns are passed through."""
+           keep: tuple[str, ...] = (), mode: str = "FAILFAST") -> DataFrame:
+    """(value) strings -> task events; ``keep`` columns are passed through.
+
+    A value is bad if it is null, no JSON object, has fewer than 12 text
+    fields, or if a required field is missing or no number or event name.
+    ``mode`` as in the file readers: FAILFAST ends the job, DROPMALFORMED leaves
+    bad values out, PERMISSIVE keeps them with ``_corrupt_record``, the value
+    (empty for a null one)."""
+    from ..sources.trace_files import apply_mode
+
+    raw = F.col(value).cast("string").alias("_raw")
     if fmt == "json":
-        parsed = df.select(*keep, parse_json(value).alias("_rec"))
-        return parsed.select(*keep, *json_fields("_rec"))
-    return df.select(*keep, *from_text_value(value))
+        parsed = df.select(*keep, raw, parse_json(value).alias("_rec"))
+        rows = parsed.select(*keep, *json_fields("_rec"), "_raw")
+        bad = F.lit(False)
+    else:
+        rows = df.select(*keep, *from_text_value(value), raw, text_token_count(value).alias("_n"))
+        bad = F.col("_n").isNull() | (F.col("_n") < TEXT_FIELDS)
+    for c in REQUIRED[fmt]:
+        bad = bad | F.col(c).isNull()
+    corrupt = F.when(bad, F.coalesce("_raw", F.lit(""))).alias("_corrupt_record")
+    return apply_mode(rows.select(*keep, *TASK_COLUMNS, corrupt), mode)

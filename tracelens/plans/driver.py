@@ -275,6 +275,46 @@ def cpu_window_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select("machine_id", "window_end", F.round("current_avg", 6).alias("current_avg"))
 
 
+def _spoilt(value: F.Column) -> F.Column:
+    """Some values made bad by event id: cut short, or with a letter before
+    every number of the record's beginning."""
+    n = F.col("event_seq")
+    return (F.when(n % 7 == 0, F.substring_index(value, ",", 5))
+            .when(n % 11 == 0, F.concat(F.lit("x"), value)).otherwise(value).alias("value"))
+
+
+def dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good and bad trace lines of tasks and jobs and wire
+    values of tasks, each read once and split into accepted rows and rejects."""
+    from ..sources import trace_files
+
+    tasks, jobs = task_events(spark, sf_dir), job_events(spark, sf_dir)
+    line = F.concat_ws(",", "timestamp", F.lit(""), "job_id", "task_index", "machine_id", "event_type", F.lit("u"),
+                       "scheduling_class", "priority", "max_cpu")
+    job_line = F.concat_ws(",", "timestamp", F.lit(""), "job_id", "event_type", F.lit("u"), "scheduling_class",
+                           F.lit("name"), F.lit("logical"))
+    keep = ("event_seq",)
+    parsed = {
+        "task_line": trace_files.parse_task_lines(tasks.select("event_seq", _spoilt(line)), keep=keep),
+        "job_line": trace_files.parse_job_lines(jobs.select("event_seq", _spoilt(job_line)), keep=keep),
+        "json": codec.decode(tasks.select("event_seq", _spoilt(codec.to_json_value(tasks))), "json", keep=keep,
+                             mode="PERMISSIVE"),
+        "text": codec.decode(tasks.select("event_seq", _spoilt(codec.to_text_value(tasks))), "text", keep=keep,
+                             mode="PERMISSIVE"),
+    }
+    base = checkpoint_path(spark, f"driver-dead-letters-{uuid.uuid4().hex}")
+    out = None
+    for name, rows in parsed.items():
+        good, rejects, counts = trace_files.split_rejects(rows, f"{base}/{name}")
+        total = F.lit(counts["rejected"]).cast("long").alias("all_rejected")
+        for part, accepted in ((good, True), (rejects, False)):
+            part = part.select(F.lit(name).alias("source"), "event_seq", F.lit(accepted).alias("accepted"),
+                               *[(F.col(c) if accepted else F.lit(None)).cast("long").alias(c)
+                                 for c in ("timestamp", "job_id", "event_type")], total)
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
 def task_statistics_from_trace_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table written out as gzipped trace lines (one folder under the
     shared checkpoint dir), read back through the trace-file reader (S1-S3),
@@ -310,6 +350,7 @@ QUERIES: dict[str, Query] = {
     "task_sessions": task_sessions,
     "cpu_window_means": cpu_window_means,
     "task_statistics_from_trace_files": task_statistics_from_trace_files,
+    "dead_letters": dead_letters,
     "job_event_count_stream": job_event_count_stream,
     "job_scheduling_latency_stream": job_scheduling_latency_stream,
     "max_task_completion_running_stream": max_task_completion_running_stream,

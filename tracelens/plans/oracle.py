@@ -233,6 +233,15 @@ FROM t
 ORACLE["task_event_json"] = _WIRE
 ORACLE["task_event_text"] = _WIRE
 
+ORACLE["dead_letters"] = _with(T, """
+d AS (SELECT source, event_seq, event_seq % 7 <> 0 AND event_seq % 11 <> 0 AS accepted, "timestamp", job_id, event_type
+      FROM t, (SELECT unnest(['task_line', 'job_line', 'json', 'text']) AS source))""") + """
+SELECT source, event_seq, accepted, CASE WHEN accepted THEN "timestamp" END AS "timestamp",
+       CASE WHEN accepted THEN job_id END AS job_id, CAST(CASE WHEN accepted THEN event_type END AS BIGINT) AS event_type,
+       count(*) FILTER (WHERE NOT accepted) OVER (PARTITION BY source) AS all_rejected
+FROM d
+"""
+
 ORACLE["rule_anomaly_repeat"] = "WITH RECURSIVE " + T.strip() + f""",
 e AS (SELECT job_id, task_index, "timestamp", event_seq, event_type FROM t WHERE event_type IN (0, 1, 5)),
 s1 AS (SELECT job_id, task_index, "timestamp" AS ts FROM e WHERE event_type = 0),

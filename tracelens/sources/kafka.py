@@ -45,7 +45,7 @@ def read_task_topic(spark: SparkSession, servers: str, topic: str, fmt: str = "j
         raw = r.load()
     except Exception as e:  # noqa: BLE001
         _check(e)
-    df = codec.decode(raw, fmt, keep=("partition", "offset"))
+    df = codec.decode(raw, fmt, keep=("partition", "offset"), mode="FAILFAST")
     # the tie break: unique over partitions, in offset order inside one
     seq = F.shiftleft(F.col("partition").cast("long"), 48).bitwiseOR(F.col("offset"))
     df = df.withColumn("event_seq", seq).drop("partition", "offset")

@@ -24,8 +24,9 @@ restart with every micro-batch).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schema import EVENT_TIME, JOB_COLUMNS, TASK_COLUMNS, ensure_seq
 
@@ -108,20 +109,20 @@ def _job_columns(fields: list[Column], n: Column, raw: Column) -> list[Column]:
     return [cols[c].alias(c) for c in JOB_COLUMNS] + [F.when(bad, raw).alias("_corrupt_record")]
 
 
-def parse_task_lines(lines: DataFrame, value: str = "value") -> DataFrame:
-    """Text lines (a string column, e.g. a Kafka value) -> task columns +
+def parse_task_lines(lines: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Text lines (a string column, e.g. a Kafka value) -> ``keep`` columns, task columns +
     ``_corrupt_record``.  Files are better read with ``read_task_events``,
     which lets the CSV scan tokenize each line once."""
     tok = _tokens(F.col(value))
     fields = [F.get(tok, i) for i in range(TASK_WIDTH)]
-    return lines.select(*_task_columns(fields, F.size(tok), F.col(value)))
+    return lines.select(*keep, *_task_columns(fields, F.size(tok), F.col(value)))
 
 
-def parse_job_lines(lines: DataFrame, value: str = "value") -> DataFrame:
-    """Text lines -> job columns + ``_corrupt_record``."""
+def parse_job_lines(lines: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Text lines -> ``keep`` columns, job columns + ``_corrupt_record``."""
     tok = _tokens(F.col(value))
     fields = [F.get(tok, i) for i in range(JOB_WIDTH + 1)]
-    return lines.select(*_job_columns(fields, F.size(tok), F.col(value)))
+    return lines.select(*keep, *_job_columns(fields, F.size(tok), F.col(value)))
 
 
 def _csv(reader, path: str, width: int) -> DataFrame:
@@ -217,6 +218,21 @@ def bad_records(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("_corrupt_record").isNotNull()).select("_corrupt_record")
 
 
+def split_rejects(parsed: DataFrame, path: str) -> tuple[DataFrame, DataFrame, dict]:
+    """A dead-letter output: one scan of a PERMISSIVE read (files or wire
+    values) writes good rows and rejects under ``path``, a new folder that the cluster
+    shares.  Returns the good rows, the rejects (with ``_corrupt_record``
+    and the columns that the read kept), and the numbers of both."""
+    bad = F.col("_corrupt_record").isNotNull()
+    seen = Observation()
+    counted = parsed.observe(seen, F.count_if(~bad).alias("accepted"), F.count_if(bad).alias("rejected"))
+    counted.withColumn("_rejected", bad).write.partitionBy("_rejected").parquet(path)
+    both = parsed.sparkSession.read.schema(
+        T.StructType([*parsed.schema.fields, T.StructField("_rejected", T.BooleanType())])).parquet(path)
+    good = both.where("NOT _rejected").drop("_rejected", "_corrupt_record")
+    return good, both.where("_rejected").drop("_rejected"), dict(seen.get)
+
+
 def stream_task_events(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
                        mode: str = "FAILFAST") -> DataFrame:
     """S1 as a stream: new files in ``path`` become micro-batches."""
