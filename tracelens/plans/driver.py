@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import codec
 from ..operators import anomaly, filters, pairs, patterns, rolling, sessions, windows
@@ -181,17 +182,20 @@ class Arrivals:
             last.coalesce(1).write.mode("append").parquet(folder)
 
 
-def _run_stream(spark: SparkSession, build: Callable[[DataFrame], DataFrame], folder: str, files: int, base: str) -> None:
+def _run_stream(spark: SparkSession, build: Callable[[DataFrame], DataFrame], folder: str, files: int,
+                base: str) -> T.StructType:
     """Runs the stream over what ``folder`` holds, from where the checkpoint
-    under ``base`` ended, and waits for its end."""
+    under ``base`` ended, waits for its end and returns its schema."""
     # a session of its own: the number of state partitions (the cluster's
     # cores, fixed in the checkpoint at the first batch) is no one else's setting
     own = spark.newSession()
     key = "spark.sql.shuffle.partitions"
     own.conf.set(key, str(min(int(spark.conf.get(key)), spark.sparkContext.defaultParallelism)))
-    q = (build(S.read_events_stream(own, folder, files)).writeStream.format("parquet").option("path", f"{base}/out")
+    out = build(S.read_events_stream(own, folder, files))
+    q = (out.writeStream.format("parquet").option("path", f"{base}/out")
          .option("checkpointLocation", f"{base}/ck").outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
+    return out.schema
 
 
 def _streamed(spark: SparkSession, sf_dir: str, build: Callable[[DataFrame], DataFrame], stops: int = 0) -> DataFrame:
@@ -204,8 +208,8 @@ def _streamed(spark: SparkSession, sf_dir: str, build: Callable[[DataFrame], Dat
     cuts = [n * k // (stops + 1) for k in range(stops + 2)]
     for k in range(stops + 1):
         arrivals.feed(f"{base}/feed", arrivals.slices[cuts[k]:cuts[k + 1]], flush=k == stops)
-        _run_stream(spark, build, f"{base}/feed", arrivals.files, base)
-    return spark.read.parquet(f"{base}/out")
+        schema = _run_stream(spark, build, f"{base}/feed", arrivals.files, base)
+    return spark.read.schema(schema).parquet(f"{base}/out")
 
 
 def _task_stream(ev: DataFrame) -> DataFrame:
