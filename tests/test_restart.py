@@ -74,6 +74,12 @@ def _start(spark, src, sink, ck):
     q.awaitTermination()
 
 
+def _state(spark, checkpoint, name):
+    """Keys that hold a value of a state variable, by the state data source."""
+    return (spark.read.format("statestore").option("stateVarName", name).load(checkpoint)
+            .select("key").distinct().count())
+
+
 def _result(spark, sink):
     return sorted((r.job_id, r.first.timestamp, r.second.timestamp, r.third.timestamp)
                   for r in spark.read.parquet(sink).collect() if r.job_id < 10**6)
@@ -91,8 +97,12 @@ def test_restart_from_checkpoint(spark):
     half = len(batches) // 2
     seq = write_batches(f"{base}/part", batches[:half])
     _start(spark, f"{base}/part", f"{base}/out_part", f"{base}/ck_part")
+    # it stopped in the middle: rows wait in state, some slots are filled
+    assert _state(spark, f"{base}/ck_part", "waiting") > 0 and _state(spark, f"{base}/ck_part", "slot0") > 0
     write_batches(f"{base}/part", batches[half:] + [_flush()], start_seq=seq, start_index=half)
     _start(spark, f"{base}/part", f"{base}/out_part", f"{base}/ck_part")
+    # only the flush row is left waiting, as in the run without a stop
+    assert _state(spark, f"{base}/ck_part", "waiting") == _state(spark, f"{base}/ck_all", "waiting") == 1
     once, twice = _result(spark, f"{base}/out_all"), _result(spark, f"{base}/out_part")
     assert once and once == twice
     assert set(once) == {(k, a * 1000, b * 1000, c * 1000)
