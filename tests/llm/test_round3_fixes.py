@@ -98,3 +98,39 @@ def test_long_training_texts_are_cut_not_skipped(spark, monkeypatch):
     seq, marks = G.with_ends(np.full(1000, 5), np.array([0, 990, 1000]))
     seen, fresh, target = G.stream_lanes(seq, marks, 256)
     assert (target >= 0).sum() == 1002 and fresh.sum() == 2
+
+
+def test_pair_marginals_match_enumeration():
+    """Expected label pairs against all label sequences of short chains."""
+    import itertools
+
+    from tracelens.llm.crf_langid import chain_marginals
+
+    rng = np.random.default_rng(5)
+    for n in (1, 2, 6):
+        e, trans = rng.random((n, 3)) + 0.05, rng.random((3, 3)) + 0.05
+        starts = np.zeros(n, bool)
+        starts[0] = True
+        want = np.zeros((n - 1, 3, 3))
+        whole = 0.0
+        for ys in itertools.product(range(3), repeat=n):
+            w = np.prod([e[t, y] for t, y in enumerate(ys)]) * np.prod([trans[a, b] for a, b in zip(ys, ys[1:])])
+            whole += w
+            for t, (a, b) in enumerate(zip(ys, ys[1:])):
+                want[t, a, b] += w
+        p, got = chain_marginals(e, starts, trans, pairs=True)
+        assert np.allclose(got, want / whole)
+        assert np.allclose(p, chain_marginals(e, starts, trans))
+
+
+def test_word_runs_cover_the_whole_text():
+    from tracelens.llm.crf_langid import word_runs
+
+    rng = np.random.default_rng(2)
+    words = [str(i) for i in range(10_000)]
+    short = word_runs(words[:120], 150, rng)
+    assert [w for r in short for w in r] == words[:120]
+    runs = word_runs(words, 150, rng)
+    assert sum(map(len, runs)) == 150 and any(int(r[0]) > 5000 for r in runs)
+    assert all(int(r[-1]) - int(r[0]) == len(r) - 1 for r in runs)
+    assert word_runs([], 150, rng) == []

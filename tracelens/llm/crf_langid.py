@@ -8,8 +8,10 @@ have learned transition weights.  A text's language is the one with the
 largest mean word probability, which is also its score.
 
 Training takes at most ``docs_per_label`` labelled texts per language, the
-smallest by a hash of their id, and mixes their words to code-switched
-sequences.  The learned weights are small and travel with the task.
+smallest by a hash of their id, and of each at most ``words_per_doc`` words in
+runs drawn from its whole length (both documented bounds of the learning
+sample), and mixes the runs to code-switched sequences.  The learned weights
+are small and travel with the task.  Prediction reads every word of a text.
 """
 
 from __future__ import annotations
@@ -26,7 +28,8 @@ from pyspark.sql import functions as F
 from .common import held_out, mix, random_words, table
 from .ss_packing import text_blocks
 
-#: Labelled texts per language that training reads, and words of each.
+#: Labelled texts per language that training reads, and words learned of each,
+#: in runs drawn from the whole text.
 DOCS_PER_LABEL = 120
 WORDS_PER_DOC = 150
 #: Feature slots of the weight table.
@@ -90,8 +93,10 @@ def feature_sums(cols: np.ndarray, owner: np.ndarray, words: int, weights: np.nd
     return np.stack([np.bincount(owner, weights[cols, y], words) for y in range(weights.shape[1])], axis=1)
 
 
-def chain_marginals(emit: np.ndarray, starts: np.ndarray, trans: np.ndarray) -> np.ndarray:
-    """Posterior label probabilities of every word.
+def chain_marginals(emit: np.ndarray, starts: np.ndarray, trans: np.ndarray, pairs: bool = False):
+    """Posterior label probabilities of every word; with ``pairs`` also those
+    of every label pair of a word and the next one, (words - 1, labels,
+    labels), which have no meaning where the next word is a start.
 
     emit: (words, labels) positive factors; starts: True at the first word of
     a text; trans: (labels, labels) positive factors.  All texts form one
@@ -101,7 +106,7 @@ def chain_marginals(emit: np.ndarray, starts: np.ndarray, trans: np.ndarray) ->
     """
     n, k = emit.shape
     if not n:
-        return emit
+        return (emit, np.empty((0, k, k))) if pairs else emit
     size = max(1, int(np.sqrt(n / 4)))
     count = -(-n // size)
     total = count * size
@@ -147,7 +152,32 @@ def chain_marginals(emit: np.ndarray, starts: np.ndarray, trans: np.ndarray) ->
         v = v / v.sum()
     beta = np.einsum("btjk,bk->btj", bwd, beta_out)
     p = (alpha * beta).reshape(total, k)[:n]
-    return p / p.sum(axis=1, keepdims=True)
+    p = p / p.sum(axis=1, keepdims=True)
+    if not pairs:
+        return p
+    before = alpha.reshape(total, k)[:n - 1]
+    after = (e * beta).reshape(total, k)[1:n]
+    both = before[:, :, None] * trans * after[:, None, :]
+    return p, both / np.maximum(both.sum(axis=(1, 2), keepdims=True), 1e-300)
+
+
+def word_runs(words: list[str], limit: int, rng: np.random.Generator) -> list[list[str]]:
+    """A text's words in runs of 5 to 40; of a text of more than ``limit``
+    words, randomly drawn runs of about that many words."""
+    cuts = [0]
+    while cuts[-1] < len(words):
+        cuts.append(min(len(words), cuts[-1] + int(rng.integers(5, 41))))
+    runs = list(zip(cuts, cuts[1:]))
+    if len(words) > limit:
+        drawn, room = [], limit
+        for r in rng.permutation(len(runs)):
+            a, b = runs[r]
+            drawn.append((a, min(b, a + room)))
+            room -= drawn[-1][1] - a
+            if not room:
+                break
+        runs = sorted(drawn)
+    return [words[a:b] for a, b in runs]
 
 
 class Crf:
@@ -212,10 +242,10 @@ def train_crf(rows: list[tuple[str, str]], words_per_doc: int = WORDS_PER_DOC, r
     if not k:
         return Crf(["und"], {}, np.zeros((SLOTS + 1, 1)), np.zeros((1, 1)))
     rng = np.random.default_rng(seed)
-    texts = [(labels.index(lab), words_of(t)[:words_per_doc]) for lab, t in rows]
+    texts = [(labels.index(lab), word_runs(words_of(t), words_per_doc, rng)) for lab, t in rows]
     seen = [{} for _ in labels]
-    for y, ws in texts:
-        for w in set(ws):
+    for y, cut in texts:
+        for w in {w for ws in cut for w in ws}:
             seen[y][w] = seen[y].get(w, 0) + 1
     lexicon: dict[str, int] = {}
     for y in range(k):
@@ -223,13 +253,7 @@ def train_crf(rows: list[tuple[str, str]], words_per_doc: int = WORDS_PER_DOC, r
         for w, c in seen[y].items():
             if c >= max(2, 0.05 * docs):
                 lexicon[w] = lexicon.get(w, 0) | 1 << y
-    runs = []
-    for y, ws in texts:  # code-switched: runs of 5 to 40 words of one text
-        i = 0
-        while i < len(ws):
-            n = int(rng.integers(5, 41))
-            runs.append((y, ws[i:i + n]))
-            i += n
+    runs = [(y, ws) for y, cut in texts for ws in cut]  # code-switched below
     order = rng.permutation(len(runs))
     flat = [w for r in order for w in runs[r][1]]
     gold = np.array([runs[r][0] for r in order for _ in runs[r][1]], np.int64)
@@ -248,16 +272,13 @@ def train_crf(rows: list[tuple[str, str]], words_per_doc: int = WORDS_PER_DOC, r
     for _ in range(rounds):
         s = feature_sums(cols, owner, len(vocab), weights)
         e = np.exp(s - s.max(axis=1, keepdims=True))[ids] + 1e-12
-        p = chain_marginals(e, starts, np.exp(trans))
+        p, pair = chain_marginals(e, starts, np.exp(trans), pairs=True)
         diff = onehot - p
         word_grad = np.stack([np.bincount(ids, diff[:, y], len(vocab)) for y in range(k)], axis=1)
         g = np.stack([np.bincount(cols, word_grad[owner, y], SLOTS + k) for y in range(k)], axis=1)
         g = g / len(flat) - 1e-6 * weights
-        # expected label pairs from the two words' marginals and the transition
-        pair = p[:-1, :, None] * np.exp(trans) * p[1:, None, :] / np.maximum(e[1:, None, :], 1e-300) * e[1:, None, :]
-        pair = pair[inner] / pair[inner].sum(axis=(1, 2), keepdims=True)
         real = onehot[:-1][inner].T @ onehot[1:][inner]
-        t = (real - pair.sum(axis=0)) / len(flat) - 1e-4 * trans
+        t = (real - pair[inner].sum(axis=0)) / len(flat) - 1e-4 * trans
         gw += g * g
         gt += t * t
         weights += 0.5 * g / np.sqrt(gw)
@@ -289,7 +310,9 @@ def predict_language(df: DataFrame, text_col: str, model: Crf, out_col: str) ->
     """df with a struct ``out_col`` (lang, score) of each row's whole text.
 
     A null or empty text, or one without a letter, is ``und`` with score 0.
-    Every row is judged on its own (equal rows alike); other columns pass
+    Very long texts are read whole; of a word of over 2 * WORD_CHARS letters
+    its features see the first and last WORD_CHARS.  At a tie the label that
+    sorts first wins.  Every row is judged on its own (equal rows alike); other columns pass
     unchanged; an empty table stays empty.
     """
     shape = "struct<lang:string,score:double>"
