@@ -134,3 +134,34 @@ def test_word_runs_cover_the_whole_text():
     assert sum(map(len, runs)) == 150 and any(int(r[0]) > 5000 for r in runs)
     assert all(int(r[-1]) - int(r[0]) == len(r) - 1 for r in runs)
     assert word_runs([], 150, rng) == []
+
+
+def test_vp_ties_among_rescaled_copies(spark):
+    """Rescaled copies of one vector tie, up to rounding, at any number of them."""
+    from tracelens.llm.vectors import cosines
+    from tracelens.llm.vp_trees import build_tree, nearest, ranked
+    from tracelens.llm.vectors import unit
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(3000, 16)).astype(np.float32)
+    copies = rng.permutation(3000)[:400]
+    x[copies] = (x[copies[0]] * rng.uniform(0.1, 9, 400).astype(np.float32)[:, None]).astype(np.float32)
+    x = x.astype(np.float64)
+    ids = rng.permutation(3000)
+    _, first, same = np.unique(x, axis=0, return_index=True, return_inverse=True)
+    owner = np.sort(same.ravel())
+    tree = {**build_tree(unit(x[first])), "original": x[first], "owner": owner,
+            "ids": ids[np.argsort(same.ravel(), kind="stable")]}
+    ask = np.concatenate([copies[:8], rng.permutation(3000)[:40]])
+    who, got, score = ranked(tree, ids[ask], x[ask], 5)
+    for r, a in enumerate(ask):
+        c = cosines(np.repeat(x[a][None], 3000, axis=0), x)
+        order = [i for i in np.lexsort((ids, -c)) if i != a][:5]
+        assert list(got[who == r]) == list(ids[order])
+        assert np.array_equal(score[who == r], c[order])
+    # one id that holds most of the near vectors counts once
+    rows = [(i, [1.0, i / 1000]) for i in range(30)] + [(0, [1.0, 0.0001 * j]) for j in range(1, 40)]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    out = nearest(df, "id", "v", F.col("id") == 1, k=5).orderBy("rank").collect()
+    assert len({r["id"] for r in out}) == 5 and 1 not in {r["id"] for r in out}
+    assert [r["rank"] for r in out] == [1, 2, 3, 4, 5]

@@ -5,14 +5,16 @@ that of the cosine.  A tree node holds a vantage point and the range of its
 distances to either half of its points.  A search skips a half when the
 triangle inequality shows that it is farther than the best found so far; the
 shown distance is multiplied by ``factor`` first, so a factor above one skips
-more and a factor of one is exact.  Every row is indexed.
+more and a factor of one is exact.  Every row is indexed.  A first walk finds
+each query's k-th distance, a second one every point within rounding of it;
+these are ranked by their cosines and ids, so no tie is lost.
 """
 
 from __future__ import annotations
 
 import io
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +27,8 @@ from .vectors import cosines, matrix, unit, usable
 
 #: Vectors of one tree, of one leaf, and queries of one block.
 SHARD_VECTORS, LEAF, BLOCK = 4096, 64, 512
-#: Distances closer than this may be rounding.
-SLACK = 1e-9
+#: Pairs whose cosines are computed at once.
+PAIRS = 1 << 16
 
 
 def build_tree(x: np.ndarray, seed: int = 1) -> dict[str, np.ndarray]:
@@ -67,31 +69,27 @@ def chords(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0, 2 - 2 * (q @ x.T)))
 
 
-def search_tree(tree: dict, q: np.ndarray, k: int, factor: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
-    """(distances, points) of the k nearest points of each unit query row,
-    inf and -1 where there are fewer.  All queries walk down together; a
+def rounding(dims: int) -> float:
+    """No chord of two unit vectors is computed farther than this from its
+    true length (the square root of the error of its square)."""
+    return math.sqrt(4 * np.finfo(np.float64).eps * (dims + 8))
+
+
+def walk(tree: dict, q: np.ndarray, limit: Callable[[np.ndarray], np.ndarray],
+         see: Callable[[np.ndarray, np.ndarray, np.ndarray], None], factor: float) -> None:
+    """Show ``see`` (query rows, distances, points) of every point that can lie
+    within ``limit`` of a unit query row.  All queries walk down together; a
     node is entered by those that cannot skip it."""
-    best = np.full((len(q), k), np.inf)
-    point = np.full((len(q), k), -1)
     x, order = tree["x"], tree["order"]
-
-    def offer(rows, d, ids):
-        all_d = np.concatenate([best[rows], d], axis=1)
-        all_p = np.concatenate([point[rows], np.broadcast_to(ids, d.shape)], axis=1)
-        top = np.argpartition(all_d, k - 1, axis=1)[:, :k]
-        best[rows] = np.take_along_axis(all_d, top, axis=1)
-        point[rows] = np.take_along_axis(all_p, top, axis=1)
+    slack = 4 * rounding(x.shape[1]) if len(x) else 0.0
 
     def visit(i, rows):
         a, b = tree["begin"][i], tree["end"][i]
         if tree["left"][i] < 0:
-            d = chords(q[rows], x[order[a:b]])
-            near = d.min(axis=1) <= best[rows].max(axis=1)
-            if near.any():
-                offer(rows[near], d[near], order[a:b])
+            see(rows, chords(q[rows], x[order[a:b]]), order[a:b])
             return
         d = chords(q[rows], x[order[a]][None])
-        offer(rows, d, order[a:a + 1])
+        see(rows, d, order[a:a + 1])
         d = d[:, 0]
         lo1, hi1, lo2, hi2 = tree["spans"][i]
         sides = [(tree["left"][i], lo1, hi1), (tree["right"][i], lo2, hi2)]
@@ -99,15 +97,86 @@ def search_tree(tree: dict, q: np.ndarray, k: int, factor: float = 1.0) -> tuple
             sides.reverse()
         for child, lo, hi in sides:
             away = np.maximum(0, np.maximum(lo - d, d - hi))
-            go = away * factor <= best[rows].max(axis=1) + SLACK
+            go = away * factor <= limit(rows) + slack
             if go.any():
                 visit(child, rows[go])
 
     if len(q) and len(x):
         visit(0, np.arange(len(q)))
+
+
+def search_tree(tree: dict, q: np.ndarray, k: int, factor: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
+    """(distances, points) of the k nearest points of each unit query row,
+    inf and -1 where there are fewer."""
+    best = np.full((len(q), k), np.inf)
+    point = np.full((len(q), k), -1)
+
+    def offer(rows, d, ids):
+        near = d.min(axis=1) <= best[rows].max(axis=1)
+        if not near.any():
+            return
+        rows, d = rows[near], d[near]
+        all_d = np.concatenate([best[rows], d], axis=1)
+        all_p = np.concatenate([point[rows], np.broadcast_to(ids, d.shape)], axis=1)
+        top = np.argpartition(all_d, k - 1, axis=1)[:, :k]
+        best[rows] = np.take_along_axis(all_d, top, axis=1)
+        point[rows] = np.take_along_axis(all_p, top, axis=1)
+
+    walk(tree, q, lambda rows: best[rows].max(axis=1), offer, factor)
     return best, point
 
 
+def within_tree(tree: dict, q: np.ndarray, radius: np.ndarray, factor: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
+    """(query row, point) of all points not farther than each query's radius."""
+    found = [(np.empty(0, np.int64), np.empty(0, np.int64))]
+
+    def take(rows, d, ids):
+        r, c = np.nonzero(d <= radius[rows, None])
+        found.append((rows[r], ids[c]))
+
+    walk(tree, q, lambda rows: radius[rows], take, factor)
+    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+
+
+def ranked(tree: dict, ask: np.ndarray, q: np.ndarray, k: int,
+           factor: float = 1.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query row, id, cosine) of the k nearest ids of each query, its own id
+    left out, ties to the smaller id.  ``tree`` holds the original vectors and
+    the ids that share each."""
+    points, asked = len(tree["x"]), unit(q)
+    slack = 4 * rounding(q.shape[1])
+    out = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
+    todo, depth = np.arange(len(ask)), k + 1  # one more for the query itself
+    while len(todo):
+        depth = min(depth, points)
+        radius = search_tree(tree, asked[todo], depth, factor)[0].max(axis=1) + slack
+        row, p = within_tree(tree, asked[todo], radius, factor)
+        # each found vector stands for its rows
+        a = np.searchsorted(tree["owner"], p)
+        n = np.searchsorted(tree["owner"], p, side="right") - a
+        at = np.repeat(a - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        who, p, ids = todo[np.repeat(row, n)], np.repeat(p, n), tree["ids"][at]
+        other = ids != ask[who]
+        who, p, ids = who[other], p[other], ids[other]
+        score = np.concatenate([np.empty(0), *(cosines(q[who[i:i + PAIRS]], tree["original"][p[i:i + PAIRS]])
+                                               for i in range(0, len(who), PAIRS))])
+        # an id of several vectors counts once, by its nearest
+        sort = np.lexsort((-score, ids, who))
+        who, ids, score = who[sort], ids[sort], score[sort]
+        new = np.ones(len(who), bool)
+        new[1:] = (who[1:] != who[:-1]) | (ids[1:] != ids[:-1])
+        who, ids, score = who[new], ids[new], score[new]
+        sort = np.lexsort((ids, -score, who))
+        who, ids, score = who[sort], ids[sort], score[sort]
+        place = np.arange(len(who)) - np.searchsorted(who, who)
+        short = todo[np.bincount(who, minlength=len(ask))[todo] < k] if depth < points else todo[:0]
+        keep = (place < k) & ~np.isin(who, short)
+        out.append((who[keep], ids[keep], score[keep]))
+        # ids repeated over vectors left fewer than k: look deeper
+        todo, depth = short, 2 * depth
+    return tuple(np.concatenate(c) for c in zip(*out))
+
+
 def nearest(df: DataFrame, id_col: str, vector_col: str, queries: Column, k: int = 5, factor: float = 1.0,
             shard_vectors: int = SHARD_VECTORS) -> DataFrame:
     """(query_id, rank, id, score): the k rows of largest cosine to each row
@@ -154,25 +223,9 @@ def nearest(df: DataFrame, id_col: str, vector_col: str, queries: Column, k: int
                     tree = {name: f[name] for name in f.files}
                 ask = np.array(r["ids"])
                 q = np.frombuffer(r["vectors"]).reshape(len(ask), -1)
-                # one more for the query itself, some for rounding among equals
-                _, point = search_tree(tree, unit(q), min(k + 5, len(tree["x"])), factor)
-                who, what = np.nonzero(point >= 0)
-                p = point[who, what]
-                # each found vector stands for its rows
-                by = np.argsort(tree["owner"], kind="stable")
-                a = np.searchsorted(tree["owner"][by], p)
-                b = np.searchsorted(tree["owner"][by], p, side="right")
-                who, p = np.repeat(who, b - a), np.repeat(p, b - a)
-                at = np.repeat(a, b - a) + np.arange(len(p)) - np.repeat(np.cumsum(b - a) - (b - a), b - a)
-                ids = tree["ids"][by][at]
-                score = cosines(q[who], tree["original"][p])
-                ok = ids != ask[who]
-                who, ids, score = who[ok], ids[ok], score[ok]
-                sort = np.lexsort((ids, -score, who))
-                who, ids, score = who[sort], ids[sort], score[sort]
-                top = np.arange(len(who)) - np.searchsorted(who, who) < k
-                yield pa.RecordBatch.from_arrays([pa.array(ask[who[top]], pa.int64()), pa.array(ids[top], pa.int64()),
-                                                  pa.array(score[top])], ["query_id", "id", "score"])
+                who, ids, score = ranked(tree, ask, q, k, factor)
+                yield pa.RecordBatch.from_arrays([pa.array(ask[who], pa.int64()), pa.array(ids, pa.int64()),
+                                                  pa.array(score)], ["query_id", "id", "score"])
 
     shard = F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard")
     trees = rows.select("id", "v", "length", shard).groupBy("length", "shard").applyInArrow(
