@@ -13,10 +13,13 @@ per map task.
 after the previous epoch opens an epoch that ends at t(e1) + limit; the
 slots are the first event of each type inside the epoch.  The epoch starts
 form a forward chain over the e1 events (``next(i)`` = first e1 later than
-``t_i + limit``).  Chain membership is found by pointer doubling: round k
-joins the members found so far with the 2^k-step pointers, so
-``ceil(log2(max e1 per key))`` rounds of joins find the whole chain, each
-round's result checkpointed to cut lineage.  Events are then assigned to
+``t_i + limit``).  An e1 more than the limit after the one before it opens
+an epoch in any case, so each key falls into segments at such gaps, found
+from the pointers alone (``next(i) = i + 1``); only pointers inside a
+segment are followed, by doubling: round k joins the members found so far
+with the 2^k-step pointers and drops those that leave their segment, until
+none is left (log2 of the epochs of the densest segment, often no round at
+all), each round's result checkpointed to cut lineage.  Events are then assigned to
 the epoch whose end is the first one at or after them (a running minimum
 over a descending sort), and the single-epoch slot aggregation runs per
 (key, epoch).  The per-key running count and both as-of lookups split hot
@@ -88,23 +91,26 @@ def _epoch_starts(starts: DataFrame, keys: list[str], lim: int, plan) -> DataFra
                      F.lit(None).cast("long").alias("_src"), F.col("_idx").alias("_val"))
     nxt = (min_item_after(probes.unionByName(items), keys, "_t", "_item", "_val", "_next",
                           items_first_at_tie=True, plan=plan)
-           .where(~F.col("_item")).select(*keys, F.col("_src").alias("_idx"), "_next"))
-    jump = nxt.checkpoint()
-    rounds = jump.groupBy(*keys).agg(F.max("_idx").alias("n")).agg(F.max("n")).first()[0] or 0
-    members = jump.where(F.col("_idx") == 1).select(*keys, "_idx")
-    step = 1
-    while step < rounds:
-        found = (members.join(jump, keys + ["_idx"]).where(F.col("_next").isNotNull())
-                 .select(*keys, F.col("_next").alias("_idx")))
+           .where(~F.col("_item")).select(*keys, F.col("_src").alias("_idx"), "_next", "_t"))
+    nxt = nxt.checkpoint()
+    # a segment begins where the e1 before lies more than the limit back; its
+    # first e1 opens an epoch whatever came before
+    heads = (nxt.where(F.col("_idx") == 1).select(*keys, "_idx")
+             .unionByName(nxt.where(F.col("_next") == F.col("_idx") + 1)
+                          .select(*keys, F.col("_next").alias("_idx"))))
+    # pointers inside dense segments; those into the next segment are finished
+    jump = (nxt.where(F.col("_next") > F.col("_idx") + 1).select(*keys, "_idx", "_next")
+            .join(heads.withColumnRenamed("_idx", "_next"), keys + ["_next"], "left_anti")
+            .select(*keys, "_idx", "_next").checkpoint())
+    members = heads
+    while not jump.isEmpty():
+        found = members.join(jump, keys + ["_idx"]).select(*keys, F.col("_next").alias("_idx"))
         members = members.unionByName(found).checkpoint()
-        if step * 2 >= rounds:
-            break  # the doubled pointers would not be used
-        jump = (jump.alias("a").join(jump.alias("b"), [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys]
-                                     + [F.col("a._next") == F.col("b._idx")], "left")
-                .select(*[F.col(f"a.{k}") for k in keys], F.col("a._idx"),
-                        F.col("b._next").alias("_next"))).checkpoint()
-        step *= 2
-    return members.join(e.select(*keys, "_idx", "timestamp"), keys + ["_idx"])
+        # doubled pointers; those that leave their segment are dropped
+        onward = jump.withColumnsRenamed({"_idx": "_mid", "_next": "_far"})
+        jump = (jump.withColumnRenamed("_next", "_mid").join(onward, keys + ["_mid"])
+                .select(*keys, "_idx", F.col("_far").alias("_next")).checkpoint())
+    return members.join(nxt.select(*keys, "_idx", (F.col("_t") - F.lit(lim)).alias("timestamp")), keys + ["_idx"])
 
 
 def _assign_epochs(t: DataFrame, keys: list[str], e1: int, lim: int, **split) -> DataFrame:
