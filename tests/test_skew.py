@@ -210,3 +210,27 @@ def test_chunk_budget_is_shared(spark):
     out = skew.running_count(df, ["k"], "n", hot_key_rows=100, chunk_rows=10, max_chunks=80)
     want = df.groupBy("k").count().collect()
     assert {(r["k"], r["n"]) for r in out.groupBy("k").agg(F.max("n").alias("n")).collect()} == {tuple(r) for r in want}
+
+
+def test_epoch_segments_of_dense_and_sparse_keys(spark):
+    """Epoch starts are the chain of a plain walk, over segments of many
+    epochs, gaps of just the limit, ties and keys of one e1."""
+    from tracelens.operators.patterns import _epoch_starts
+    from tracelens.operators.skew import plan_chunks
+
+    lim = 5
+    times = {1: [*range(200), *range(206, 260, 3), 265, 271, 271, 276, 400],
+             2: [7], 3: [0, 6, 12, 18], 4: [0, 5, 10, 15], 5: [3] * 9 + [8, 9] * 4}
+    rows = [(k, t, i) for k, ts in times.items() for i, t in enumerate(sorted(ts))]
+    e = spark.createDataFrame(rows, "job_id long, timestamp long, event_seq long")
+    want = set()
+    for k, ts in times.items():
+        end = None
+        for i, t in enumerate(sorted(ts), 1):
+            if end is None or t > end:
+                want.add((k, i, t))
+                end = t + lim
+    for split in ({"hot_key_rows": None}, {"hot_key_rows": 20, "chunk_rows": 10}):
+        plan = plan_chunks(e, ["job_id"], split_ties=False, **split)
+        got = [(r["job_id"], r["_idx"], r["timestamp"]) for r in _epoch_starts(e, ["job_id"], lim, plan).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
