@@ -165,3 +165,25 @@ def test_vp_ties_among_rescaled_copies(spark):
     out = nearest(df, "id", "v", F.col("id") == 1, k=5).orderBy("rank").collect()
     assert len({r["id"] for r in out}) == 5 and 1 not in {r["id"] for r in out}
     assert [r["rank"] for r in out] == [1, 2, 3, 4, 5]
+
+
+def test_directions_do_not_depend_on_the_matrix():
+    from tracelens.llm import cap_filters as cf
+    from tracelens.llm.vectors import unit
+
+    x = unit(np.random.default_rng(3).normal(size=(300, 24)))
+    words, threshold = cf.filter_plan(3000, 0.93)
+    row, way = cf.decode(x, words, threshold)
+    first, second = cf.code(24, words)
+    g = np.rint(x / cf.GRID) * cf.GRID
+    every = ((g @ first)[:, :, None] + (g @ second)[:, None, :] > threshold).reshape(300, -1)
+    assert (np.nonzero(every)[0] == row).all() and (np.nonzero(every)[1] == way).all()
+    for pick in ([5], [5, 17, 80], list(range(0, 300, 7)), list(range(299, 40, -1))):
+        at, some = cf.decode(x[pick], words, threshold)
+        for k, r in enumerate(pick):
+            assert (some[at == k] == way[row == r]).all()
+
+    p, q = np.triu_indices(40, 1)
+    for cut in (1, words, words * words // 2, words * words):
+        want = (every[p, :cut] & every[q, :cut]).any(axis=1)
+        assert (cf.meet_earlier(x, p, q, cut, words, threshold) == want).all()

@@ -7,10 +7,15 @@ directions whose inner product with it exceeds a threshold; vectors that meet
 in a direction are verified.  Number of directions and threshold follow from
 the number of vectors, so that a pair at the similarity bound is expected to
 share ``COMMON`` directions and the work per vector is least.
+
+Vectors and directions are rounded to grids on which their inner products are
+exact in double precision, so a vector exceeds the same directions in every
+matrix it is decoded in, and a pair's first shared direction is one direction.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 
 import numpy as np
@@ -27,6 +32,8 @@ SIMILARITY = 0.93
 COMMON = 40
 #: Vectors of one block of a crowded direction.
 BLOCK = 1024
+#: Step to which unit vectors and directions are rounded before they are multiplied.
+GRID = 2.0 ** -18
 
 
 def tail(t: float) -> float:
@@ -48,21 +55,52 @@ def filter_plan(n: int, similarity: float, common: int = COMMON) -> tuple[int, f
     return best[1], best[2]
 
 
-def code(length: int, words: int, seed: int = 7) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(rotation, code words of either half) for vectors of a length."""
+@functools.lru_cache(maxsize=16)
+def code(length: int, words: int, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
+    """(length, words) code words of either half, rotated back to the vectors'
+    axes and rounded to GRID."""
     rng = np.random.default_rng([seed, length])
     rotation, _ = np.linalg.qr(rng.normal(size=(length, length)))
     half = length // 2
-    return rotation, rng.normal(size=(words, half)), rng.normal(size=(words, length - half))
+    first, second = rng.normal(size=(words, half)), rng.normal(size=(words, length - half))
+    return (np.rint(rotation[:, :half] @ first.T / GRID) * GRID,
+            np.rint(rotation[:, half:] @ second.T / GRID) * GRID)
+
 
+def decode(x: np.ndarray, words: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """(row, direction) of every direction that a unit row exceeds, ascending.
 
-def decode(x: np.ndarray, words: int, threshold: float) -> np.ndarray:
-    """(rows, words * words) mask of the directions that unit rows exceed."""
-    rotation, first, second = code(x.shape[1], words)
-    y = x @ rotation
-    half = x.shape[1] // 2
-    a, b = y[:, :half] @ first.T, y[:, half:] @ second.T
-    return ((a[:, :, None] + b[:, None, :]) > threshold).reshape(len(x), -1)
+    A row's list is made from the few code words of either half that can reach
+    the threshold with the best word of the other.  Products are whole
+    multiples of GRID squared and sums stay far below 2 ** 53 of them, so no
+    order of summation changes a bit.
+    """
+    first, second = code(x.shape[1], words)
+    x = np.rint(x / GRID) * GRID
+    a, b = x @ first, x @ second
+    some_a = a > threshold - 1e-9 - b.max(axis=1, keepdims=True)
+    some_b = b > threshold - 1e-9 - a.max(axis=1, keepdims=True)
+    rows, ways = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for r in np.flatnonzero(some_a.any(axis=1) & some_b.any(axis=1)):
+        i, j = np.flatnonzero(some_a[r]), np.flatnonzero(some_b[r])
+        over = np.nonzero(a[r, i][:, None] + b[r, j][None, :] > threshold)
+        ways.append(i[over[0]] * words + j[over[1]])
+        rows.append(np.full(len(over[0]), r))
+    return np.concatenate(rows), np.concatenate(ways)
+
+
+def meet_earlier(x: np.ndarray, p: np.ndarray, q: np.ndarray, way: int, words: int, threshold: float) -> np.ndarray:
+    """True for each pair of unit rows (p, q) that shares a direction before way."""
+    ends, at = np.unique(np.concatenate([p, q]), return_inverse=True)
+    row, seen = decode(x[ends], words, threshold)
+    row, seen = row[seen < way], seen[seen < way]
+    _, place, times = np.unique(seen, return_inverse=True, return_counts=True)
+    column = np.cumsum(times > 1) - 1  # a direction of one row is shared by none
+    twice = times[place] > 1
+    bits = np.zeros((len(ends), int((times > 1).sum())), bool)
+    bits[row[twice], column[place[twice]]] = True
+    bits = np.packbits(bits, axis=1)
+    return (bits[at[:len(p)]] & bits[at[len(p):]]).any(axis=1)
 
 
 def linked_vectors(df: DataFrame, id_col: str, vector_col: str, label_col: str, similarity: float = SIMILARITY,
@@ -95,8 +133,7 @@ def linked_vectors(df: DataFrame, id_col: str, vector_col: str, label_col: str,
                 lists, sizes = part.column(1), part.column(1).value_lengths().to_numpy()
                 for size in np.unique(sizes):
                     pick = np.flatnonzero(sizes == size)
-                    mask = decode(unit(matrix(lists.take(pa.array(pick)))), words, threshold)
-                    at, way = np.nonzero(mask)
+                    at, way = decode(unit(matrix(lists.take(pa.array(pick)))), words, threshold)
                     take = pa.array(pick[at])
                     yield pa.RecordBatch.from_arrays(
                         [part.column(0).take(take), lists.take(take), part.column(2).take(take),
@@ -122,7 +159,6 @@ def linked_vectors(df: DataFrame, id_col: str, vector_col: str, label_col: str,
         u = unit(x)
         mine = np.flatnonzero(t["own"].to_numpy() == key[3].as_py())
         theirs = mine if same else np.flatnonzero(t["own"].to_numpy() == key[4].as_py())
-        earlier = np.packbits(decode(u, words, threshold)[:, :way], axis=1)
         links, low = np.zeros(len(rep), np.int64), np.arange(len(rep))
         found = []
         for a in range(0, len(mine), 256):
@@ -134,8 +170,10 @@ def linked_vectors(df: DataFrame, id_col: str, vector_col: str, label_col: str,
             for s in range(0, len(i), 100_000):
                 p, q = i[s:s + 100_000], j[s:s + 100_000]
                 ok = cosines(x[p], x[q]) >= similarity
-                ok[ok] = ~(earlier[p[ok]] & earlier[q[ok]]).any(axis=1) if way else True
                 p, q = p[ok], q[ok]
+                if way and len(p):
+                    new = ~meet_earlier(u, p, q, way, words, threshold)
+                    p, q = p[new], q[new]
                 links += np.bincount(p, copies[q], len(rep)).astype(np.int64)
                 links += np.bincount(q, copies[p], len(rep)).astype(np.int64)
                 if len(p):
