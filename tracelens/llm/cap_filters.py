@@ -34,6 +34,8 @@ COMMON = 40
 BLOCK = 1024
 #: Step to which unit vectors and directions are rounded before they are multiplied.
 GRID = 2.0 ** -18
+#: Seconds that a direction of one label costs as a group, a vector in it, and a pair of vectors.
+GROUP_S, ROW_S, PAIR_S = 2.5e-3, 20e-6, 2e-8
 
 
 def tail(t: float) -> float:
@@ -49,7 +51,7 @@ def filter_plan(n: int, similarity: float, common: int = COMMON) -> tuple[int, f
         both = float((np.exp(-x * x / 2) / math.sqrt(2 * math.pi) * miss * 0.015).sum())
         words = math.ceil(math.sqrt(common / both))
         met = words ** 2 * tail(t)
-        cost = met * (20e-6 + n * tail(t) * 2e-8)
+        cost = met * (ROW_S + n * tail(t) * PAIR_S) + GROUP_S * words ** 2 / max(n, 1)
         if best is None or cost < best[0]:
             best = cost, words, float(t)
     return best[1], best[2]
