@@ -147,6 +147,8 @@ def task_event_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: late, one slice after the other; rows of one slice span two of them.
 SLICE_DAYS = 3
 DELAY = f"{2 * SLICE_DAYS} days"
+#: Events of the whole table for one bucket of keys (some three slices of them wait at once).
+BUCKET_ROWS = 40_000
 #: Ends a bounded stream: rows whose time no event reaches move the watermark
 #: past all events; they themselves stay behind it and give no output.
 FLUSH_TIME = "2200-01-01 00:00:00"
@@ -169,6 +171,7 @@ class Arrivals:
         dealt = spark.read.parquet(self.staged)
         self.slices = sorted(r[0] for r in dealt.select("_slice").distinct().collect())  # one per SLICE_DAYS
         self.files = max(1, -(-len(dealt.inputFiles()) // max(1, len(self.slices))))
+        self.buckets = max(32, -(-dealt.count() // BUCKET_ROWS))
 
     def feed(self, folder: str, slices: list[int], flush: bool) -> None:
         for i in slices:
@@ -182,7 +185,7 @@ class Arrivals:
             last.coalesce(1).write.mode("append").parquet(folder)
 
 
-def _run_stream(spark: SparkSession, build: Callable[[DataFrame], DataFrame], folder: str, files: int,
+def _run_stream(spark: SparkSession, build: Callable[[DataFrame, int], DataFrame], folder: str, arrivals: Arrivals,
                 base: str) -> T.StructType:
     """Runs the stream over what ``folder`` holds, from where the checkpoint
     under ``base`` ended, waits for its end and returns its schema."""
@@ -191,14 +194,14 @@ def _run_stream(spark: SparkSession, build: Callable[[DataFrame], DataFrame], fo
     own = spark.newSession()
     key = "spark.sql.shuffle.partitions"
     own.conf.set(key, str(min(int(spark.conf.get(key)), spark.sparkContext.defaultParallelism)))
-    out = build(S.read_events_stream(own, folder, files))
+    out = build(S.read_events_stream(own, folder, arrivals.files), arrivals.buckets)
     q = (out.writeStream.format("parquet").option("path", f"{base}/out")
          .option("checkpointLocation", f"{base}/ck").outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
     return out.schema
 
 
-def _streamed(spark: SparkSession, sf_dir: str, build: Callable[[DataFrame], DataFrame], stops: int = 0) -> DataFrame:
+def _streamed(spark: SparkSession, sf_dir: str, build: Callable[[DataFrame, int], DataFrame], stops: int = 0) -> DataFrame:
     """The output of a streaming job over the whole table in slices of
     arrival, read back from the shared checkpoint folder.  ``stops``: how often the job
     is stopped on the way and restarted from its checkpoint."""
@@ -208,7 +211,7 @@ def _streamed(spark: SparkSession, sf_dir: str, build: Callable[[DataFrame], Dat
     cuts = [n * k // (stops + 1) for k in range(stops + 2)]
     for k in range(stops + 1):
         arrivals.feed(f"{base}/feed", arrivals.slices[cuts[k]:cuts[k + 1]], flush=k == stops)
-        schema = _run_stream(spark, build, f"{base}/feed", arrivals.files, base)
+        schema = _run_stream(spark, build, f"{base}/feed", arrivals, base)
     return spark.read.schema(schema).parquet(f"{base}/out")
 
 
@@ -221,22 +224,22 @@ def _job_stream(ev: DataFrame) -> DataFrame:
 
 
 def job_event_count_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _streamed(spark, sf_dir, lambda ev: S.job_event_count_stream(_job_stream(ev)))
+    return _streamed(spark, sf_dir, lambda ev, n: S.job_event_count_stream(_job_stream(ev), buckets=n))
 
 
 def job_scheduling_latency_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _streamed(spark, sf_dir, lambda ev: S.job_scheduling_latency_stream(_job_stream(ev)))
+    return _streamed(spark, sf_dir, lambda ev, n: S.job_scheduling_latency_stream(_job_stream(ev), buckets=n))
 
 
 def max_task_completion_running_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _streamed(spark, sf_dir, lambda ev: S.max_task_completion_stream(_task_stream(ev)))
+    return _streamed(spark, sf_dir, lambda ev, n: S.max_task_completion_stream(_task_stream(ev), buckets=n))
 
 
 def rule_anomaly_repeat_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stopped twice on the way, with rows waiting in state, and
     restarted from its checkpoint."""
-    def build(ev):
-        r = S.rule_anomaly_stream(_task_stream(ev), **RULE)
+    def build(ev, n):
+        r = S.rule_anomaly_stream(_task_stream(ev), **RULE, buckets=n)
         return r.select("job_id", "task_index",
                         *[F.col(f"{s}.{c}").alias(f"{s}_{c.replace('event_', '')}")
                           for s in ("first", "second", "third") for c in ("timestamp", "event_seq")])
@@ -245,19 +248,19 @@ def rule_anomaly_repeat_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def task_statistics_per_machine_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _streamed(spark, sf_dir, lambda ev: S.task_statistics_stream(_task_stream(ev), "1 day", "machine_id"))
+    return _streamed(spark, sf_dir, lambda ev, _: S.task_statistics_stream(_task_stream(ev), "1 day", "machine_id"))
 
 
 def busy_machines_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _streamed(spark, sf_dir, lambda ev: S.busy_machines_stream(_task_stream(ev), "3 days", "1 day", 10))
+    return _streamed(spark, sf_dir, lambda ev, _: S.busy_machines_stream(_task_stream(ev), "3 days", "1 day", 10))
 
 
 def invariant_anomaly_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _streamed(spark, sf_dir, lambda ev: S.invariant_anomaly_stream(_task_stream(ev), TRAINING_END))
+    return _streamed(spark, sf_dir, lambda ev, n: S.invariant_anomaly_stream(_task_stream(ev), TRAINING_END, n))
 
 
 def time_series_anomaly_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def build(ev):
+    def build(ev, _):
         r = S.time_series_anomaly_stream(_task_stream(ev), "3 days", "1 day", 3, 0.3)
         return r.select("machine_id", "window_end", F.round("current_avg", 6).alias("current_avg"),
                         F.round("moving_avg", 6).alias("moving_avg"))

@@ -38,6 +38,17 @@ def _tws(grouped, df: DataFrame, proc, schema, time_mode: str, **kw) -> DataFram
     return grouped.transformWithStateInPandas(proc, schema, "Append", time_mode, **kw)
 
 
+#: Buckets of keys that the event-order processors (J1, T1, T2) work on, by default.
+BUCKETS = 256
+
+
+def bucketed(df: DataFrame, keys, buckets: int | None):
+    """``df`` grouped into buckets of keys by a hash.  More buckets: smaller groups
+    and state values, more calls a micro-batch.  A restart from a checkpoint needs
+    the same number."""
+    return df.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets or BUCKETS)).cast("int")).groupBy("_bucket")
+
+
 EVENTS_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 
 
@@ -105,7 +116,8 @@ def _ordered(order: str) -> bool:
     return order == "event"
 
 
-def job_event_count_stream(jobs: DataFrame, compact: bool = False, order: str = "event") -> DataFrame:
+def job_event_count_stream(jobs: DataFrame, compact: bool = False, order: str = "event",
+                           buckets: int | None = None) -> DataFrame:
     """One row per event with the job's running count (append sink).
 
     ``order="event"``: counted in (timestamp, event_seq) order, a row when
@@ -117,13 +129,13 @@ def job_event_count_stream(jobs: DataFrame, compact: bool = False, order: str =
     ordered = _ordered(order)
     schema = "job_id long, timestamp long, event_seq long, event_count long"
     src = jobs.select("job_id", "timestamp", "event_seq", *[EVENT_TIME] * ordered)
-    return _tws(src.groupBy("job_id"), src, P.RunningCount("job_id", ordered), schema,
+    return _tws(bucketed(src, ["job_id"], buckets), src, P.RunningCount(src.schema["job_id"], ordered), schema,
                 "EventTime" if ordered else "None")
 
 
 def pair_stream(df: DataFrame, keys, type_a: int, type_b: int, repeat: str = "latest",
                 carry=(), event_time: bool = False, ttl: str | int | None = None,
-                order: str | None = None) -> DataFrame:
+                order: str | None = None, buckets: int | None = None) -> DataFrame:
     """T1 stream: alternating pairs per key (append).
 
     ``order="event"`` (default): each key's events are matched in (timestamp,
@@ -148,28 +160,31 @@ def pair_stream(df: DataFrame, keys, type_a: int, type_b: int, repeat: str = "la
         T.StructField("duration", T.LongType())]
     src = keep_types(df, type_a, type_b).select(*keys, "timestamp", "event_seq", "event_type", *carry,
                                                 *[EVENT_TIME] * ordered)
-    proc = P.PairMatcher(keys, type_a, type_b, repeat, kept, event_time, _ttl_ms(ttl), ordered)
+    proc = P.PairMatcher([df.schema[k] for k in keys], type_a, type_b, repeat, kept, event_time, _ttl_ms(ttl), ordered)
+    grouped = bucketed(src, keys, buckets)
     if not event_time:
         # state TTL runs on processing time
         mode = "EventTime" if ordered else "ProcessingTime" if ttl is not None else "None"
-        return _tws(src.groupBy(*keys), src, proc, T.StructType(fields), mode)
+        return _tws(grouped, src, proc, T.StructType(fields), mode)
     fields.append(T.StructField(EVENT_TIME, T.TimestampType()))
-    return _tws(src.groupBy(*keys), src, proc, T.StructType(fields), "EventTime",
+    return _tws(grouped, src, proc, T.StructType(fields), "EventTime",
                 eventTimeColumnName=EVENT_TIME)
 
 
 def job_scheduling_latency_stream(jobs: DataFrame, repeat: str = "latest", ttl=None,
-                                  order: str | None = None) -> DataFrame:
-    p = pair_stream(jobs, ["job_id"], SUBMIT, SCHEDULE, repeat, ttl=ttl, order=order)
+                                  order: str | None = None, buckets: int | None = None) -> DataFrame:
+    p = pair_stream(jobs, ["job_id"], SUBMIT, SCHEDULE, repeat, ttl=ttl, order=order, buckets=buckets)
     return p.select("job_id", "timestamp", "event_seq", F.col("duration").alias("latency"))
 
 
 def task_duration_stream(tasks: DataFrame, type_a: int = SUBMIT, type_b: int = FINISH,
-                         ttl=None, order: str | None = None) -> DataFrame:
-    return pair_stream(tasks, ["job_id", "task_index"], type_a, type_b, carry=["priority"], ttl=ttl, order=order)
+                         ttl=None, order: str | None = None, buckets: int | None = None) -> DataFrame:
+    return pair_stream(tasks, ["job_id", "task_index"], type_a, type_b, carry=["priority"], ttl=ttl, order=order,
+                       buckets=buckets)
 
 
-def max_task_completion_stream(tasks: DataFrame, running: bool = True, order: str | None = None) -> DataFrame:
+def max_task_completion_stream(tasks: DataFrame, running: bool = True, order: str | None = None,
+                               buckets: int | None = None) -> DataFrame:
     """Running maximum duration per priority, one row per completed task
     (append sink).  In event order every micro-batch brings the pairs closed
     between two watermarks, all of them, so ordering them within the batch orders the
@@ -177,15 +192,15 @@ def max_task_completion_stream(tasks: DataFrame, running: bool = True, order: st
     with the maximum so far (an aggregation after the pair processor, for an
     ``update`` sink)."""
     if not running:
-        d = task_duration_stream(tasks, SUBMIT, FINISH, order=order)
+        d = task_duration_stream(tasks, SUBMIT, FINISH, order=order, buckets=buckets)
         return d.groupBy("priority").agg(F.max("duration").alias("max_duration"))
-    d = task_duration_stream(tasks, SUBMIT, FINISH, order=order).select("priority", "timestamp", "event_seq",
-                                                                        "duration")
+    d = task_duration_stream(tasks, SUBMIT, FINISH, order=order, buckets=buckets).select(
+        "priority", "timestamp", "event_seq", "duration")
     return _tws(d.groupBy("priority"), d, P.RunningMax(),
                 "priority int, timestamp long, event_seq long, max_duration long", "None")
 
 
-def invariant_anomaly_stream(tasks: DataFrame, training_end) -> DataFrame:
+def invariant_anomaly_stream(tasks: DataFrame, training_end, buckets: int | None = None) -> DataFrame:
     """Pairs per (job, task), then train-then-detect per priority by
     event time (detection rows are held until the watermark passes the
     training end)."""
@@ -193,7 +208,7 @@ def invariant_anomaly_stream(tasks: DataFrame, training_end) -> DataFrame:
 
     end = instant_micros(training_end)
     d = pair_stream(tasks, ["job_id", "task_index"], SUBMIT, SCHEDULE, carry=["priority"],
-                    event_time=True)
+                    event_time=True, buckets=buckets)
     d = d.select("priority", "job_id", "task_index", "timestamp", "event_seq", "duration", EVENT_TIME)
     schema = ("priority int, job_id long, task_index int, timestamp long, event_seq long, "
               "duration long")
@@ -252,7 +267,7 @@ SLOT_SCHEMA = P.SLOT_SCHEMA
 
 
 def rule_anomaly_stream(tasks: DataFrame, e1: int, e2: int, e3: int, limit,
-                        keys=("job_id", "task_index"), ttl=None) -> DataFrame:
+                        keys=("job_id", "task_index"), ttl=None, buckets: int | None = None) -> DataFrame:
     """J9 / J10 (repeat epochs, event time).  ``ttl`` (event time) clears
     slots that wait longer than that for an e1 (they would block forever)."""
     keys = list(keys)
@@ -261,8 +276,9 @@ def rule_anomaly_stream(tasks: DataFrame, e1: int, e2: int, e3: int, limit,
         T.StructField(f"{s}_{f.name}", f.dataType) for s in ("first", "second", "third")
         for f in SLOT_SCHEMA.fields]
     src = keep_types(tasks, e1, e2, e3).select(*dict.fromkeys(keys + cols + [EVENT_TIME]))
-    proc = P.SequenceRule(keys, e1, e2, e3, interval_micros(limit), None if ttl is None else interval_micros(ttl))
-    out = _tws(src.groupBy(*keys), src, proc, T.StructType(flat), "EventTime")
+    proc = P.SequenceRule([tasks.schema[k] for k in keys], e1, e2, e3, interval_micros(limit),
+                          None if ttl is None else interval_micros(ttl))
+    out = _tws(bucketed(src, keys, buckets), src, proc, T.StructType(flat), "EventTime")
     return out.select(*keys, *[F.struct(*[F.col(f"{s}_{c}").alias(c) for c in cols]).alias(s)
                                for s in ("first", "second", "third")])
 

@@ -1,8 +1,8 @@
 """Stateful processors for ``groupBy(...).transformWithStateInPandas``.
 
-Each processor keeps only the per-key state the operator needs (a slot, a
-counter, three slots, a small map of window means) and works on the rows of
-one micro-batch in (timestamp, event_seq) order.  Times are microseconds in
+Each processor keeps only the state that the operator needs (a slot, a
+counter, three slots for each key of a bucket, a small map of window means) and
+works on the rows of one micro-batch in (timestamp, event_seq) order.  Times are microseconds in
 the data; Spark timers and watermarks are milliseconds.
 """
 
@@ -13,8 +13,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..schema import TASK_SCHEMA
@@ -37,67 +39,82 @@ def _timer_ms(micros: int) -> int:
     return micros // 1000 + 1
 
 
-def _tuples(df: pd.DataFrame, schema: T.StructType) -> list[tuple]:
-    """The rows of ``df`` as state records; missing values are None."""
-    whole = (T.LongType, T.IntegerType)
-    columns = []
-    for f in schema.fields:
-        c = df[f.name]
-        if not c.isna().any():
-            columns.append(c.astype("int64").tolist() if isinstance(f.dataType, whole) else c.tolist())
-        else:
-            plain = int if isinstance(f.dataType, whole) else lambda v: v
-            columns.append([None if pd.isna(v) else plain(v) for v in c])
-    return list(zip(*columns))
+def _packed(rows: pa.Table) -> bytes:
+    """A table as one state value (Arrow IPC)."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema) as w:
+        w.write_table(rows)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(value) -> pa.Table:
+    return pa.ipc.open_stream(bytes(value)).read_all()
+
+
+def _codes(rows: pa.Table, keys: list[str]) -> np.ndarray:
+    """The number of each row's key, from 0 in order of appearance."""
+    return rows.select(keys).to_pandas().groupby(keys, sort=False, dropna=False).ngroup().to_numpy()
 
 
 class Ordered(StatefulProcessor):
-    """Base of the processors that walk a key's rows in event-time order.
+    """Base of the processors that walk each key's rows in event-time order.
 
-    Rows wait in a list state until the watermark has passed them: from then
-    on no earlier row of the key can come.  One event-time timer a key stands
-    at the earliest waiting row, or at ``due()`` if that is earlier.  When it fires, all
-    rows that the watermark has passed are taken out, ordered by (timestamp,
-    event_seq) and given to ``advance`` at once, with one write of the
-    rest.  The result does not depend on the order of arrival within the
-    watermark's delay nor on the cut into micro-batches; a key holds
-    the rows of that delay.
+    The group of the processor is a bucket of keys (``jobs.bucketed``), so that a
+    micro-batch costs calls to the state store, timers and frames for each bucket,
+    not for each key; a state value is a table of the bucket's keys or rows (Arrow IPC).
+
+    Rows wait in a list state, one value a micro-batch, until the watermark has
+    passed them: from then on no earlier row of their key can come.  One event-time
+    timer a bucket stands at the earliest waiting row, or at ``due`` if that is
+    earlier.  When it fires, all rows that the watermark has passed are taken out
+    and given to ``advance`` at once, with one write of the rest.  The result does
+    not depend on the order of arrival within the watermark's delay, on the cut
+    into micro-batches nor on the number of buckets; a bucket holds the rows of
+    that delay.
 
     ``ordered=False``: rows are given to ``advance`` as they come, ordered
     within one micro-batch only.
     """
 
-    def __init__(self, buffer: T.StructType, ordered: bool = True):
-        self.buffer, self.ordered = buffer, ordered
-        names = [f.name for f in buffer.fields]
-        self.at = {n: i for i, n in enumerate(names)}
+    def __init__(self, keys: list[T.StructField], buffer: list[T.StructField], ordered: bool = True):
+        self.keys, self.ordered = [f.name for f in keys], ordered
+        fields = {f.name: f for f in [*keys, *buffer]}
+        self.schema = pa.schema([(n, to_arrow_type(f.dataType)) for n, f in fields.items()])
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         if self.ordered:
-            self.waiting = handle.getListState("waiting", self.buffer)
+            self.waiting = handle.getListState("waiting", "rows binary")
             self.wake = handle.getValueState("wake", "ms long")
         self.open(handle)
 
     def open(self, handle: StatefulProcessorHandle) -> None:
         """Creates the operator's own state."""
 
-    def advance(self, key, rows: list[tuple], upto: int | None) -> Iterator[pd.DataFrame]:
-        """Takes a key's next rows in order; all rows before ``upto``
-        (microseconds; None without a watermark) have come."""
+    def advance(self, rows: pa.Table, upto: int | None, now: int) -> Iterator[pd.DataFrame]:
+        """Takes the bucket's next rows (``in_order`` gives their order); all rows
+        before ``upto`` (microseconds; None without a watermark) have come.  Sets
+        ``due``: microseconds after which ``advance`` is wanted without a row.
+        ``now``: processing time in milliseconds."""
         raise NotImplementedError
 
-    def due(self) -> int | None:
-        """Microseconds after which ``advance`` is wanted without a row."""
-        return None
+    def in_order(self, rows: pa.Table, codes: np.ndarray) -> np.ndarray:
+        """Row numbers by key, then (timestamp, event_seq)."""
+        return np.lexsort((rows["event_seq"].to_numpy(), rows["timestamp"].to_numpy(), codes))
+
+    @staticmethod
+    def stored(state) -> pa.Table | None:
+        return _unpacked(state.get()[0]) if state.exists() else None
 
-    def numbers(self, rows: list[tuple], name: str) -> np.ndarray:
-        i = self.at[name]
-        return np.fromiter((r[i] for r in rows), np.int64, len(rows))
+    @staticmethod
+    def store(state, rows: pa.Table) -> None:
+        if len(rows):
+            state.update((_packed(rows),))
+        else:
+            state.clear()
 
-    def _order(self, rows: list[tuple]) -> list[tuple]:
-        t, q = self.at["timestamp"], self.at["event_seq"]
-        return sorted(rows, key=lambda r: (r[t], r[q]))
+    def _table(self, frame: pd.DataFrame) -> pa.Table:
+        return pa.table([pa.array(frame[f.name], f.type, from_pandas=True) for f in self.schema], schema=self.schema)
 
     def _wake_after(self, micros: int) -> None:
         ms = _timer_ms(micros)
@@ -109,33 +126,35 @@ class Ordered(StatefulProcessor):
             self.wake.update((ms,))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        frames = (f for f in rows if len(f))
+        yield from ()  # a generator: every path returns an (empty) iterator
+        tables = [self._table(f) for f in rows if len(f)]
+        if not tables:
+            return
+        new = pa.concat_tables(tables)
         if not self.ordered:
-            rows = [r for f in frames for r in _tuples(f, self.buffer)]
-            if rows:
-                yield from self.advance(key, self._order(rows), None)
+            self.due = None
+            yield from self.advance(new, None, timerValues.getCurrentProcessingTimeInMs())
             return
-        first = None
-        for f in frames:
-            self.waiting.appendList(_tuples(f, self.buffer))
-            t = int(f["timestamp"].min())
-            first = t if first is None else min(first, t)
-        if first is not None:
-            self._wake_after(first)
+        self.waiting.appendValue((_packed(new),))
+        self._wake_after(int(new["timestamp"].to_numpy().min()))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         upto = timerValues.getCurrentWatermarkInMs() * 1000
-        t = self.at["timestamp"]
-        rows = list(self.waiting.get()) if self.waiting.exists() else []
-        ready = [r for r in rows if r[t] < upto]
-        later = [r for r in rows if r[t] >= upto]
-        if ready and later:
-            self.waiting.put(later)
-        elif ready:
-            self.waiting.clear()
+        values = list(self.waiting.get()) if self.waiting.exists() else []
+        rows = pa.concat_tables([_unpacked(v[0]) for v in values]) if values else self.schema.empty_table()
+        ready = rows["timestamp"].to_numpy() < upto
+        later = rows.filter(pa.array(~ready))
+        if len(later) < len(rows):
+            if len(later):
+                self.waiting.put([(_packed(later),)])
+            else:
+                self.waiting.clear()
         self.wake.clear()
-        yield from self.advance(key, self._order(ready), upto)
-        wanted = [x for x in (min((r[t] for r in later), default=None), self.due()) if x is not None]
+        self.due = None
+        yield from self.advance(rows.filter(pa.array(ready)), upto, 0)
+        wanted = [] if self.due is None else [self.due]
+        if len(later):
+            wanted.append(int(later["timestamp"].to_numpy().min()))
         if wanted:
             self._wake_after(min(wanted))
 
@@ -147,50 +166,54 @@ _ORDER_FIELDS = [T.StructField("timestamp", T.LongType()), T.StructField("event_
 
 
 class RunningCount(Ordered):
-    """J1 stream: one output row per input event with the running count."""
+    """J1 stream: one output row per input event with the running count.  The
+    bucket's state is a table of its keys with their counts."""
 
-    def __init__(self, key: str = "job_id", ordered: bool = True):
-        super().__init__(T.StructType(_ORDER_FIELDS), ordered)
-        self.key = key
+    def __init__(self, key: T.StructField, ordered: bool = True):
+        super().__init__([key], _ORDER_FIELDS, ordered)
 
     def open(self, handle: StatefulProcessorHandle) -> None:
-        self.count = handle.getValueState("count", "n long")
+        self.count = handle.getValueState("count", "rows binary")
 
-    def advance(self, key, rows, upto) -> Iterator[pd.DataFrame]:
-        if not rows:
+    def advance(self, rows, upto, now) -> Iterator[pd.DataFrame]:
+        if not len(rows):
             return
-        base = self.count.get()[0] if self.count.exists() else 0
-        self.count.update((base + len(rows),))
-        yield pd.DataFrame({
-            self.key: [key[0]] * len(rows), "timestamp": self.numbers(rows, "timestamp"),
-            "event_seq": self.numbers(rows, "event_seq"),
-            "event_count": np.arange(base + 1, base + len(rows) + 1)})
+        before, new = self.stored(self.count), rows.select(self.keys)
+        known = 0 if before is None else len(before)
+        keys = new if before is None else pa.concat_tables([before.select(self.keys), new])
+        codes = _codes(keys, self.keys)
+        size = np.bincount(codes[known:], minlength=int(codes.max()) + 1)
+        base = np.zeros(len(size), np.int64)
+        if known:
+            base[codes[:known]] = before["n"].to_numpy()
+        order = self.in_order(rows, codes[known:])
+        by_key = codes[known:][order]
+        place = np.arange(len(order)) - (np.cumsum(size) - size)[by_key]
+        first = np.unique(codes, return_index=True)[1]
+        self.store(self.count, keys.take(first).append_column("n", pa.array(base + size)))
+        out = rows.take(order).to_pandas()
+        out["event_count"] = base[by_key] + place + 1
+        yield out
 
 
-def match_pairs(typ, ts, seq, slot, repeat: str = "latest"):
-    """One key's alternating pairs over sorted arrays, vectorised.
-
-    ``slot`` is the stored (type, ts, seq) or None.  A full slot is the
-    state after one row from an empty slot, so it is prepended as a virtual
-    first row and the closed form of the batch matcher applies: run r is
-    entered with a full slot iff ``(r - 1 - j)`` is even, ``j`` the last
-    earlier run of length >= 2 (or -1).  Returns (emitting row indexes,
-    partner indexes -- both into the arrays with the virtual row --, the
-    arrays, and the slot after the batch).
-    """
-    if slot is not None:
-        typ = np.concatenate([[slot[0]], typ])
-        ts = np.concatenate([[slot[1]], ts])
-        seq = np.concatenate([[slot[2]], seq])
+def pairs_by_key(codes, typ, repeat: str = "latest"):
+    """Alternating pairs of many keys, vectorised, over rows sorted by key and
+    order.  Run r of a key is entered with a full slot iff ``(r - 1 - j)`` is
+    even, ``j`` its last earlier run of length >= 2 (or -1).  Returns (emitting
+    rows, partner of each row, last row of each key, the row that is in the
+    slot after it or -1)."""
     n = len(typ)
     idx = np.arange(n)
-    chg = np.ones(n, dtype=bool)
-    chg[1:] = typ[1:] != typ[:-1]
+    fresh = np.ones(n, dtype=bool)  # first row of its key
+    fresh[1:] = codes[1:] != codes[:-1]
+    chg = fresh.copy()
+    chg[1:] |= typ[1:] != typ[:-1]
     run = np.cumsum(chg)
+    base = np.maximum.accumulate(np.where(fresh, run, 0)) - 1  # runs of the keys before
     longest = np.maximum.accumulate(np.where(~chg, run, 0))
-    before = np.concatenate([[0], longest[:-1]])
+    before = np.concatenate([[0], longest[:-1]]) - base
     j = np.where(before > 0, before, -1)
-    is_open = ((run - 1 - j) % 2) == 0
+    is_open = ((run - base - 1 - j) % 2) == 0
     emit = chg & is_open
     if repeat == "latest":
         partner = idx - 1
@@ -200,60 +223,84 @@ def match_pairs(typ, ts, seq, slot, repeat: str = "latest"):
         fill = ~emit & (chg | (prev_emit & ~chg))
         filler_last = np.maximum.accumulate(np.where(fill, idx, -1))
         partner = np.concatenate([[-1], filler_last[:-1]])
-    # slot after the batch: empty when the last run was entered full and is
+    # slot after the rows: empty when the last run was entered full and is
     # one row long, else that run's type with its filler (first) / last row
-    start = int(np.flatnonzero(chg)[-1])
-    if is_open[start] and start == n - 1:
-        after = None
-    else:
-        k = n - 1 if repeat == "latest" else int(filler_last[-1])
-        after = (int(typ[k]), int(ts[k]), int(seq[k]))
-    return np.flatnonzero(emit), partner, (typ, ts, seq), after
+    last = np.flatnonzero(np.concatenate([fresh[1:], [True]]))
+    start = np.maximum.accumulate(np.where(chg, idx, 0))[last]
+    empty = is_open[start] & (start == last)
+    return np.flatnonzero(emit), partner, last, np.where(empty, -1, filler_last[last])
+
+
+def match_pairs(typ, ts, seq, slot, repeat: str = "latest"):
+    """One key's alternating pairs over sorted arrays.
+
+    ``slot`` is the stored (type, ts, seq) or None.  A full slot is the
+    state after one row from an empty slot, so it is prepended as a virtual
+    first row and the closed form of the batch matcher applies
+    (``pairs_by_key``).  Returns (emitting row indexes, partner indexes -- both
+    into the arrays with the virtual row --, the arrays, and the slot after the
+    batch).
+    """
+    if slot is not None:
+        typ = np.concatenate([[slot[0]], typ])
+        ts = np.concatenate([[slot[1]], ts])
+        seq = np.concatenate([[slot[2]], seq])
+    emit, partner, _, after = pairs_by_key(np.zeros(len(typ), np.int64), typ, repeat)
+    k = int(after[0])
+    return emit, partner, (typ, ts, seq), None if k < 0 else (int(typ[k]), int(ts[k]), int(seq[k]))
 
 
 class PairMatcher(Ordered):
     """T1 stream: one slot per key; same type replaces (``latest``) or is
     ignored (``first``); the other type emits the pair and empties the slot.
-    ``carry`` columns come from the closing event.  The rows of a key that
-    come at once are matched at once by ``match_pairs`` (numpy)."""
+    ``carry`` columns come from the closing event.  The bucket's state is a table
+    of its full slots; they go before the new rows as virtual first rows, and all
+    keys are matched at once by ``pairs_by_key`` (numpy)."""
 
-    def __init__(self, keys, type_a: int, type_b: int, repeat: str = "latest", carry: list | None = None,
-                 event_time: bool = False, ttl_ms: int | None = None, ordered: bool = True):
+    def __init__(self, keys: list[T.StructField], type_a: int, type_b: int, repeat: str = "latest",
+                 carry: list | None = None, event_time: bool = False, ttl_ms: int | None = None,
+                 ordered: bool = True):
         carry = list(carry or [])
-        super().__init__(T.StructType(_ORDER_FIELDS + [T.StructField("event_type", T.IntegerType())] + carry), ordered)
-        self.keys, self.types, self.repeat = list(keys), (type_a, type_b), repeat
+        super().__init__(keys, _ORDER_FIELDS + [T.StructField("event_type", T.IntegerType())] + carry, ordered)
+        self.types, self.repeat = (type_a, type_b), repeat
         self.carry, self.event_time, self.ttl_ms = [f.name for f in carry], event_time, ttl_ms
 
     def open(self, handle: StatefulProcessorHandle) -> None:
         # ttl_ms: a slot that is not touched for that long (processing time)
-        # is dropped -- bounds the state of keys that never close a pair
-        self.slot = handle.getValueState("slot", "type int, ts long, seq long", self.ttl_ms)
-
-    def advance(self, key, rows, upto) -> Iterator[pd.DataFrame]:
-        rows = [r for r in rows if r[self.at["event_type"]] in self.types]
-        if not rows:
+        # is dropped -- bounds the state of keys that never close a pair; the
+        # store drops a bucket that no row reaches for that long
+        self.slot = handle.getValueState("slot", "rows binary", self.ttl_ms)
+
+    def advance(self, rows, upto, now) -> Iterator[pd.DataFrame]:
+        typ = rows["event_type"].to_numpy()
+        rows = rows.filter(pa.array((typ == self.types[0]) | (typ == self.types[1])))
+        if not len(rows):
             return
-        slot = self.slot.get() if self.slot.exists() else None
-        offset = 1 if slot is not None else 0
-        rows_at, partner, (typ, ts, seq), after = match_pairs(
-            self.numbers(rows, "event_type"), self.numbers(rows, "timestamp"), self.numbers(rows, "event_seq"),
-            slot, self.repeat)
-        if after is None:
-            self.slot.clear()
-        else:
-            self.slot.update(after)
-        if not len(rows_at):
+        rows = rows.append_column("touched", pa.array(np.full(len(rows), now)))
+        slots = self.stored(self.slot)
+        full = 0
+        if slots is not None:
+            if self.ttl_ms is not None:
+                slots = slots.filter(pa.array(slots["touched"].to_numpy() + self.ttl_ms > now))
+            full, rows = len(slots), pa.concat_tables([slots, rows])
+        codes = _codes(rows, self.keys)
+        order = np.lexsort((rows["event_seq"].to_numpy(), rows["timestamp"].to_numpy(),
+                            np.arange(len(rows)) >= full, codes))
+        rows, codes, came = rows.take(order), codes[order], order >= full
+        emit, partner, last, after = pairs_by_key(codes, rows["event_type"].to_numpy(), self.repeat)
+        kept = rows.take(after[after >= 0])
+        if self.ttl_ms is not None:  # a key's new rows touch its slot
+            touched = np.where(came[last], now, rows["touched"].to_numpy()[last])[after >= 0]
+            kept = kept.set_column(kept.schema.get_field_index("touched"), "touched", pa.array(touched))
+        self.store(self.slot, kept)
+        if not len(emit):
             return
-        p = partner[rows_at]
-        out = pd.DataFrame({k: [v] * len(rows_at) for k, v in zip(self.keys, key)})
-        out["timestamp"] = ts[rows_at]
-        out["event_seq"] = seq[rows_at]
-        out["event_type"] = typ[rows_at].astype("int32")
-        for c in self.carry:
-            out[c] = [rows[i - offset][self.at[c]] for i in rows_at]
+        ts, seq, p = rows["timestamp"].to_numpy(), rows["event_seq"].to_numpy(), partner[emit]
+        names = list(dict.fromkeys([*self.keys, "timestamp", "event_seq", "event_type", *self.carry]))
+        out = rows.select(names).take(emit).to_pandas()
         out["partner_timestamp"] = ts[p]
         out["partner_seq"] = seq[p]
-        out["duration"] = np.abs(ts[rows_at] - ts[p])
+        out["duration"] = np.abs(ts[emit] - ts[p])
         if self.event_time:
             # a row for a later operator must lie past the watermark: its event
             # time is the first moment at which the pair is certain
@@ -274,84 +321,85 @@ class SequenceRule(Ordered):
     type), as in the reference -- unless ``ttl_us`` is set: then slots that
     wait longer than that (event time) for an e1 are cleared.
 
-    A key's rows are cut into epochs by binary search on their times; the
-    loop takes a step for each epoch, not for each row.
+    The bucket's state is, for each of the three slots, a table of the events in
+    it.  The walk holds row numbers only; the rows of state and output are taken
+    from the tables at once.
     """
 
-    def __init__(self, keys, e1: int, e2: int, e3: int, limit_us: int, ttl_us: int | None = None):
-        super().__init__(SLOT_SCHEMA, True)
-        self.keys, self.order, self.limit, self.ttl_us = list(keys), (e1, e2, e3), int(limit_us), ttl_us
+    def __init__(self, keys: list[T.StructField], e1: int, e2: int, e3: int, limit_us: int,
+                 ttl_us: int | None = None):
+        super().__init__(keys, SLOT_SCHEMA.fields, True)
+        self.order, self.limit, self.ttl_us = (e1, e2, e3), int(limit_us), ttl_us
 
     def open(self, handle: StatefulProcessorHandle) -> None:
-        self.slots = [handle.getValueState(f"slot{i}", SLOT_SCHEMA) for i in range(3)]
+        self.slots = [handle.getValueState(f"slot{i}", "rows binary") for i in range(3)]
 
-    def due(self) -> int | None:
-        slots = [s.get() if s.exists() else None for s in self.slots]
-        end = self._end(slots)
-        return end
-
-    def _end(self, slots) -> int | None:
+    def _end(self, ts, slots) -> int | None:
         """Last moment of the slots: the epoch's end, or without an e1 the
         end of their ttl."""
-        t = self.at["timestamp"]
         if slots[0] is not None:
-            return slots[0][t] + self.limit
-        filled = [s[t] for s in slots[1:] if s is not None]
+            return ts[slots[0]] + self.limit
+        filled = [ts[s] for s in slots[1:] if s is not None]
         return min(filled) + self.ttl_us if filled and self.ttl_us else None
 
-    def _triple(self, key, slots) -> dict | None:
-        if None in slots:
-            return None
-        t1, t2, t3 = (s[self.at["timestamp"]] for s in slots)
-        if not (t1 < t2 < t3 and t3 - t1 <= self.limit):
-            return None
-        rec = dict(zip(self.keys, key))
-        for name, slot in zip(("first", "second", "third"), slots):
-            rec.update((f"{name}_{c}", v) for c, v in zip(SLOT_COLUMNS, slot))
-        return rec
-
-    def advance(self, key, rows, upto) -> Iterator[pd.DataFrame]:
-        before = [s.get() if s.exists() else None for s in self.slots]
-        slots, out, at, n = list(before), [], 0, len(rows)
-        ts, typ = self.numbers(rows, "timestamp"), self.numbers(rows, "event_type")
-        places = [np.flatnonzero(typ == e) for e in self.order]
-
-        def fill(i: int, begin: int, stop: int) -> None:
-            k = int(np.searchsorted(places[i], begin))
-            if slots[i] is None and k < len(places[i]) and places[i][k] < stop:
-                slots[i] = rows[places[i][k]]
-
-        while True:
-            # rows up to ``stop`` see the slots; an e1 among them opens an epoch
-            end = self._end(slots)
-            stop = n if end is None else int(np.searchsorted(ts, end, "right"))
-            if slots[0] is None:
-                k = int(np.searchsorted(places[0], at))
-                start = int(places[0][k]) if k < len(places[0]) else n
-                for i in (1, 2):
-                    fill(i, at, min(start, stop))
-                end = self._end(slots)  # a slot just filled may have a ttl
-                stop = n if end is None else int(np.searchsorted(ts, end, "right"))
-                if start < stop:
-                    slots[0], at = rows[start], start + 1
-                    continue
+    def advance(self, rows, upto, now) -> Iterator[pd.DataFrame]:
+        before = [self.stored(s) for s in self.slots]
+        known = [0 if b is None else len(b) for b in before]
+        rows = pa.concat_tables([*(b for b in before if b is not None), rows])
+        if not len(rows):
+            return
+        codes, new = _codes(rows, self.keys), sum(known)
+        order = np.lexsort((rows["event_seq"].to_numpy()[new:], rows["timestamp"].to_numpy()[new:],
+                            codes[new:])) + new
+        key, ts, typ = codes.tolist(), rows["timestamp"].to_pylist(), rows["event_type"].to_pylist()
+        held: dict[int, list] = {}  # key: its three slots (row numbers)
+        at = 0
+        for i, n in enumerate(known):
+            for r in range(at, at + n):
+                held.setdefault(key[r], [None] * 3)[i] = r
+            at += n
+        ends = {k: self._end(ts, s) for k, s in held.items()}
+        found: list[list] = []
+        e1, *others = self.order
+
+        def close(k: int) -> None:
+            s = held.pop(k)
+            if None not in s and ts[s[0]] < ts[s[1]] < ts[s[2]] <= ts[s[0]] + self.limit:
+                found.append(s)
+
+        for r in order.tolist():
+            k = key[r]
+            slots = held.get(k)
+            if slots is not None and ends[k] is not None and ts[r] > ends[k]:
+                close(k)
+                slots = None
+            if slots is None:
+                slots, ends[k] = held.setdefault(k, [None] * 3), None
+            if typ[r] == e1 and slots[0] is None:
+                slots[0] = r
             else:
-                for i in (1, 2):
-                    fill(i, at, stop)
-            at = max(at, stop)
-            if at >= n and (end is None or upto is None or end >= upto):
-                break
-            rec = self._triple(key, slots)
-            if rec:
-                out.append(rec)
-            slots = [None, None, None]
-        for state, old, new in zip(self.slots, before, slots):
-            if new is None and old is not None:
-                state.clear()
-            elif new is not None and new != old:
-                state.update(new)
-        if out:
-            yield pd.DataFrame(out)
+                hit = [i for i, e in enumerate(others, 1) if typ[r] == e and slots[i] is None]
+                for i in hit:
+                    slots[i] = r
+                if not hit or slots[0] is not None:
+                    continue
+            ends[k] = self._end(ts, slots)
+        for k in [k for k in held if ends[k] is not None and upto is not None and ends[k] < upto]:
+            close(k)
+        self.due = min((ends[k] for k in held if ends[k] is not None), default=None)
+        for i, (state, n) in enumerate(zip(self.slots, known)):
+            inside = [s[i] for s in held.values() if s[i] is not None]
+            if n or inside:
+                # the table of a slot is rewritten only when other events are in it
+                begin = sum(known[:i])
+                if len(inside) != n or any(not begin <= r < begin + n for r in inside):
+                    self.store(state, rows.take(np.array(inside, np.int64)))
+        if found:
+            triples = np.array(found)
+            out = rows.select(self.keys).take(triples[:, 0]).to_pandas()
+            parts = [rows.select(SLOT_COLUMNS).take(triples[:, i]).to_pandas().add_prefix(f"{name}_")
+                     for i, name in enumerate(("first", "second", "third"))]
+            yield pd.concat([out, *parts], axis=1)
 
 
 class LongestSession(StatefulProcessor):
