@@ -16,6 +16,7 @@ join bytes across the border before both tokens are complete.
 from __future__ import annotations
 
 import hashlib
+import re
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,6 +32,25 @@ CACHE_WORDS = 500_000
 SPLIT_PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
 
+#: Characters past U+FFFF; ``re`` tests sets that hold none of them by table.
+WIDE = re.compile("[\U00010000-\U0010ffff]").search
+
+
+def narrow_pattern(top: int) -> str:
+    """SPLIT_PATTERN for texts of characters up to ``top`` (U+FFFF at most), with its
+    classes spelt out as ranges, so that ``re`` splits as ``regex`` does."""
+    import regex
+
+    chars = "".join(map(chr, range(top + 1)))
+
+    def ranges(inside: str) -> str:
+        return "".join(f"\\u{m.start():04x}-\\u{m.end() - 1:04x}" for m in regex.finditer(f"[{inside}]+", chars))
+
+    letter, number, space = ranges(r"\p{L}"), ranges(r"\p{N}"), ranges(r"\s")
+    return (f"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{number}]+| ?[^{space}{letter}{number}]+"
+            f"|[{space}]+(?![^{space}])|[{space}]+")
+
+
 def byte_alphabet() -> dict[str, int]:
     """The printable stand-in of each byte in byte-level vocabularies: a
     printable Latin-1 character is itself, the others follow from U+0100."""
@@ -65,14 +85,20 @@ class TrieBpe:
             a, b, ab = vocab[a], vocab[b], vocab[a + b]
             self.rank.setdefault((a, b), r)
             self.made.setdefault(ab, (r, a, b))
-        self.longest = max(map(len, self.id_of))
+        # last three bytes: lengths of the tokens that end in them, longest first
+        lengths: dict[bytes, set[int]] = {}
+        for b in self.id_of:
+            if len(b) > 2:
+                lengths.setdefault(b[-3:], {2, 1}).add(len(b))
+        self.lengths = {b: tuple(sorted(n, reverse=True)) for b, n in lengths.items()}
         self.whole = Tokenizer.from_file(path)
-        self.find = regex.compile(SPLIT_PATTERN).findall
+        self.find_wide = regex.compile(SPLIT_PATTERN).findall
+        self.find_ascii, self.find_narrow = (re.compile(narrow_pattern(t)).findall for t in (0x7F, 0xFFFF))
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.newer = newer_letters()
         self.apart: dict[tuple[int, int], bool] = {}
         self.sound: dict[int, bool] = {}
-        self.words: dict[str, tuple[int, str, bytes]] = {}
+        self.words: dict[str, tuple[str, bytes]] = {}  # word: its ids joined by commas, and their bytes
 
     def stays_apart(self, left: int, right: int) -> bool:
         """Whether merging by rank leaves ``left`` and ``right`` as two tokens.
@@ -124,7 +150,7 @@ class TrieBpe:
 
     def encode_words(self, words: list[bytes]) -> list[list[int]]:
         """Ids of distinct words given in sorted order."""
-        id_of, apart, longest = self.id_of, self.apart, self.longest
+        id_of, apart, lengths = self.id_of, self.apart, self.lengths
         out = []
         last: list[int] = []  # the state of each node on the path
         size: list[int] = []  # its length
@@ -139,7 +165,9 @@ class TrieBpe:
                     keep += 1
             del last[keep:], size[keep:]
             for end in range(keep + 1, n + 1):
-                for k in range(min(end, longest), 0, -1):
+                for k in lengths.get(w[end - 3:end], (2, 1)) if end > 2 else (2, 1):
+                    if k > end:
+                        continue
                     t = id_of.get(w[end - k:end])
                     if t is None:
                         continue
@@ -173,9 +201,13 @@ class TrieBpe:
             self.words.clear()
         if len(self.apart) > 4 * CACHE_WORDS:
             self.apart.clear()
-        new = sorted(w.encode() for w in words if w not in self.words)
+        new = sorted(map(str.encode, words.difference(self.words)))
         for w, ids in zip(new, self.encode_words(new)):
-            self.words[w.decode()] = (len(ids), ",".join(map(str, ids)), self.decode(ids))
+            self.words[w.decode()] = (",".join(map(str, ids)), self.decode(ids))
+
+    def find(self, text: str) -> list[str]:
+        """The words of a text without special tokens."""
+        return (self.find_ascii if text.isascii() else self.find_wide if WIDE(text) else self.find_narrow)(text)
 
     def parts(self, text: str) -> list:
         """The words of a text; an int stands for a special token."""
@@ -190,31 +222,31 @@ class TrieBpe:
         parts = self.parts(text)
         self.learn({p for p in parts if isinstance(p, str)})
         return [int(i) for p in parts
-                for i in ((p,) if isinstance(p, int) else self.words[p][1].split(","))]
+                for i in ((p,) if isinstance(p, int) else self.words[p][0].split(","))]
 
     def digests(self, texts: list[str]) -> list[tuple[int, str, str]]:
         """(ids, sha256 of the ids joined by commas, sha256 of the decoded
         text) of each text."""
         split = [None if not t.isascii() and self.newer(t) else self.parts(t) for t in texts]
-        need = {w for p in split if p for w in p}
-        special = {w for w in need if isinstance(w, int)}
+        need = set().union(*filter(None, split))
+        special = need.intersection(self.special.values())  # a word is a str, a special token an int
         self.learn(need - special)
         known = self.words
         if special:
-            known = known | {i: (1, str(i), self.bytes_of[i]) for i in special}
+            known = known | {i: (str(i), self.bytes_of[i]) for i in special}
         out = []
         for text, p in zip(texts, split):
             if p is None:
                 ids = self.whole.encode(text, add_special_tokens=False).ids
-                got = [(len(ids), ",".join(map(str, ids)), self.decode(ids))] if ids else []
+                joined, raw = ",".join(map(str, ids)), self.decode(ids)
             else:
-                got = [known[w] for w in p]
-            raw = b"".join([g[2] for g in got])
+                got = list(map(known.__getitem__, p))
+                joined, raw = ",".join([g[0] for g in got]), b"".join([g[1] for g in got])
             try:
                 raw.decode()
             except UnicodeDecodeError:  # ids that are no whole characters
                 raw = raw.decode(errors="replace").encode()
-            out.append((sum([g[0] for g in got]), hashlib.sha256(",".join([g[1] for g in got]).encode()).hexdigest(),
+            out.append((joined.count(",") + 1 if joined else 0, hashlib.sha256(joined.encode()).hexdigest(),
                         hashlib.sha256(raw).hexdigest()))
         return out
 
