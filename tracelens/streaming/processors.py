@@ -525,20 +525,23 @@ class InvariantCheck(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.bounds = handle.getValueState("bounds", "lo long, hi long")
-        self.pending = handle.getListState(
-            "pending", "job_id long, task_index int, timestamp long, event_seq long, duration long")
+        # one value a micro-batch: a table of the rows that wait (Arrow IPC)
+        self.pending = handle.getListState("pending", "rows binary")
         self.armed = handle.getValueState("armed", "a boolean")
 
-    def _check(self, priority, recs):
+    def _check(self, rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
         if not self.bounds.exists():
-            return []
+            return
         lo, hi = self.bounds.get()
-        return [dict(zip(self.OUT, (priority,) + tuple(r))) for r in recs if r[4] > hi or r[4] < lo]
+        out = rows[(rows["duration"] > hi) | (rows["duration"] < lo)]
+        if len(out):
+            yield out
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        df = _sorted(rows)
-        if df.empty:
+        frames = [f[self.OUT] for f in rows if len(f)]
+        if not frames:
             return
+        df = pd.concat(frames, ignore_index=True)
         train = df[df["timestamp"] <= self.end]
         if len(train):
             lo, hi = int(train["duration"].min()), int(train["duration"].max())
@@ -547,26 +550,21 @@ class InvariantCheck(StatefulProcessor):
                 lo, hi = min(lo, old[0]), max(hi, old[1])
             self.bounds.update((lo, hi))
         det = df[df["timestamp"] > self.end]
-        recs = [(int(r.job_id), int(r.task_index), int(r.timestamp), int(r.event_seq), int(r.duration))
-                for r in det.itertuples(index=False)]
-        if not recs:
+        if not len(det):
             return
         if timerValues.getCurrentWatermarkInMs() * 1000 > self.end:
-            out = self._check(key[0], recs)
-            if out:
-                yield pd.DataFrame(out, columns=self.OUT)
+            yield from self._check(det)
             return
-        self.pending.appendList(recs)
+        self.pending.appendValue((_packed(pa.Table.from_pandas(det, preserve_index=False)),))
         if not self.armed.exists():
             self.handle.registerTimer(_timer_ms(self.end))
             self.armed.update((True,))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        recs = list(self.pending.get())
+        values = list(self.pending.get())
         self.pending.clear()
-        out = self._check(key[0], recs)
-        if out:
-            yield pd.DataFrame(out, columns=self.OUT)
+        for v in values:
+            yield from self._check(_unpacked(v[0]).to_pandas())
 
     def close(self) -> None:
         pass
