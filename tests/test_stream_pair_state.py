@@ -6,7 +6,7 @@ import tempfile
 
 from streaming_harness import run, task_record, write_batches
 from test_restart import FAR
-from test_stream_buckets import FLUSH_JOB
+from test_stream_buckets import FLUSH_JOB, _job_folder
 
 from tracelens.schema import FINISH, SUBMIT
 from tracelens.streaming import jobs as S
@@ -65,3 +65,11 @@ def test_running_max_of_any_buckets_equals_plain_walk(spark):
     for buckets in (1, 7):
         out = run(spark, S.max_task_completion_stream(_tasks(spark, d), buckets=buckets))
         assert {(r.priority, r.timestamp, r.max_duration) for r in out} == want and len(out) == len(want)
+
+
+def test_scheduling_latency_keeps_state_by_bucket(spark):
+    _, d = _job_folder(flush=False)
+    jobs = S.read_job_stream(spark, d, delay="300 milliseconds", max_files_per_trigger=1)
+    ck = _finished(S.job_scheduling_latency_stream(jobs, buckets=4), tempfile.mkdtemp(prefix="tl-b-out-"))
+    for name, n in _state_groups(spark, ck, 0, ("waiting", "slot")).items():
+        assert 0 < n <= 4, name
