@@ -5,16 +5,16 @@ that of the cosine.  A tree node holds a vantage point and the range of its
 distances to either half of its points.  A search skips a half when the
 triangle inequality shows that it is farther than the best found so far; the
 shown distance is multiplied by ``factor`` first, so a factor above one skips
-more and a factor of one is exact.  Every row is indexed.  A first walk finds
-each query's k-th distance, a second one every point within rounding of it;
-these are ranked by their cosines and ids, so no tie is lost.
+more and a factor of one is exact.  Every row is indexed.  A leaf's points are
+compared in single precision; all that can be among a query's k best within
+its rounding are compared by their cosines in double precision and by their
+ids, so no tie is lost.
 """
 
 from __future__ import annotations
 
-import io
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -25,141 +25,146 @@ from pyspark.sql import functions as F
 from .common import table
 from .vectors import cosines, matrix, unit, usable
 
-#: Vectors of one tree, of one leaf, and queries of one block.
-SHARD_VECTORS, LEAF, BLOCK = 4096, 64, 512
-#: Pairs whose cosines are computed at once.
-PAIRS = 1 << 16
+#: Least vectors of a tree (where there are as many), most points of one leaf, and
+#: queries that walk a tree together.
+SHARD_VECTORS, LEAF, BLOCK = 4096, 512, 8192
+#: Most numbers in the vectors of one tree and in the queries of one task.
+TREE_NUMBERS, ASK_NUMBERS = 1 << 22, 1 << 23
+#: Trees for each core, for even work.
+TREES_A_CORE = 4
+#: Pairs whose cosines are computed at once, and queries of one product with a leaf.
+PAIRS, TILE = 1 << 16, 1024
 
 
 def build_tree(x: np.ndarray, seed: int = 1) -> dict[str, np.ndarray]:
     """Arrays of a vantage-point tree over distinct unit rows.  Node i has
-    points order[begin[i]:end[i]] (the first is its vantage point), children
-    left[i] and right[i] (-1: leaf) and the distances from the vantage point
-    to either child's points as ranges."""
+    points order[begin[i]:end[i]], children left[i] and right[i] (-1: leaf),
+    the vantage point vantage[i] and its distances to either child's points as
+    ranges."""
     rng = np.random.default_rng(seed)
     order = np.arange(len(x))
-    begin, end, left, right, spans = [0], [len(x)], [-1], [-1], [[0.0] * 4]
+    begin, end, left, right, vantage, spans = [0], [len(x)], [-1], [-1], [-1], [[0.0] * 4]
     todo = [0]
     while todo:
         i = todo.pop()
         a, b = begin[i], end[i]
         if b - a <= LEAF:
             continue
-        pick = a + int(rng.integers(b - a))
-        order[[a, pick]] = order[[pick, a]]
-        d = chords(x[order[a]][None], x[order[a + 1:b]])[0]
+        vantage[i] = order[a + int(rng.integers(b - a))]
+        d = chords(x[vantage[i]][None], x[order[a:b]])[0]
         sort = np.argsort(d, kind="stable")
-        order[a + 1:b] = order[a + 1:b][sort]
+        order[a:b] = order[a:b][sort]
         d = d[sort]
         half = len(d) // 2
         spans[i] = [d[0], d[half - 1], d[half], d[-1]]
-        for lo, hi, side in ((a + 1, a + 1 + half, left), (a + 1 + half, b, right)):
+        for lo, hi, side in ((a, a + half, left), (a + half, b, right)):
             side[i] = len(begin)
             todo.append(len(begin))
             begin.append(lo)
             end.append(hi)
             left.append(-1)
             right.append(-1)
+            vantage.append(-1)
             spans.append([0.0] * 4)
     return {"x": x, "order": order, "begin": np.array(begin), "end": np.array(end), "left": np.array(left),
-            "right": np.array(right), "spans": np.array(spans)}
+            "right": np.array(right), "vantage": np.array(vantage), "spans": np.array(spans)}
 
 
 def chords(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0, 2 - 2 * (q @ x.T)))
 
 
+def cosine_rounding(dims: int, dtype: type = np.float64) -> float:
+    """No cosine of two unit vectors, rounded to ``dtype`` and multiplied in
+    it, is farther than this from its true value."""
+    return 2 * float(np.finfo(dtype).eps) * (dims + 8)
+
+
 def rounding(dims: int) -> float:
     """No chord of two unit vectors is computed farther than this from its
     true length (the square root of the error of its square)."""
-    return math.sqrt(4 * np.finfo(np.float64).eps * (dims + 8))
+    return math.sqrt(2 * cosine_rounding(dims))
 
 
 def walk(tree: dict, q: np.ndarray, limit: Callable[[np.ndarray], np.ndarray],
-         see: Callable[[np.ndarray, np.ndarray, np.ndarray], None], factor: float) -> None:
-    """Show ``see`` (query rows, distances, points) of every point that can lie
-    within ``limit`` of a unit query row.  All queries walk down together; a
-    node is entered by those that cannot skip it."""
-    x, order = tree["x"], tree["order"]
+         see: Callable[[np.ndarray, int, int], None], factor: float) -> None:
+    """Show ``see`` (query rows, begin, end) of every leaf that can hold points
+    within ``limit`` of a unit query row.  Each query goes down its nearer
+    halves first, for a limit; then all queries walk down together, and a half
+    is entered by those that cannot skip it."""
+    x = tree["x"]
     slack = 4 * rounding(x.shape[1]) if len(x) else 0.0
+    home = np.full(len(q), -1)
+
+    def sides(i, rows):
+        """The rows' distances to the vantage point; the node's halves."""
+        lo1, hi1, lo2, hi2 = tree["spans"][i]
+        return (chords(q[rows], x[tree["vantage"][i]][None])[:, 0],
+                ((tree["left"][i], lo1, hi1), (tree["right"][i], lo2, hi2)))
+
+    def show(i, rows):
+        if len(rows):
+            see(rows, int(tree["begin"][i]), int(tree["end"][i]))
+
+    def descend(i, rows):
+        if tree["left"][i] < 0:
+            home[rows] = i
+            show(i, rows)
+            return
+        d, ((left, _, hi), (right, lo, _)) = sides(i, rows)
+        nearer = d <= (hi + lo) / 2
+        for child, go in ((left, nearer), (right, ~nearer)):
+            if go.any():
+                descend(child, rows[go])
 
     def visit(i, rows):
-        a, b = tree["begin"][i], tree["end"][i]
         if tree["left"][i] < 0:
-            see(rows, chords(q[rows], x[order[a:b]]), order[a:b])
+            show(i, rows[home[rows] != i])
             return
-        d = chords(q[rows], x[order[a]][None])
-        see(rows, d, order[a:a + 1])
-        d = d[:, 0]
-        lo1, hi1, lo2, hi2 = tree["spans"][i]
-        sides = [(tree["left"][i], lo1, hi1), (tree["right"][i], lo2, hi2)]
-        if (d > (hi1 + lo2) / 2).mean() > 0.5:
-            sides.reverse()
-        for child, lo, hi in sides:
+        d, halves = sides(i, rows)
+        for child, lo, hi in halves:
             away = np.maximum(0, np.maximum(lo - d, d - hi))
             go = away * factor <= limit(rows) + slack
             if go.any():
                 visit(child, rows[go])
 
     if len(q) and len(x):
+        descend(0, np.arange(len(q)))
         visit(0, np.arange(len(q)))
 
 
-def search_tree(tree: dict, q: np.ndarray, k: int, factor: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
-    """(distances, points) of the k nearest points of each unit query row,
-    inf and -1 where there are fewer."""
-    best = np.full((len(q), k), np.inf)
-    point = np.full((len(q), k), -1)
-
-    def offer(rows, d, ids):
-        near = d.min(axis=1) <= best[rows].max(axis=1)
-        if not near.any():
-            return
-        rows, d = rows[near], d[near]
-        all_d = np.concatenate([best[rows], d], axis=1)
-        all_p = np.concatenate([point[rows], np.broadcast_to(ids, d.shape)], axis=1)
-        top = np.argpartition(all_d, k - 1, axis=1)[:, :k]
-        best[rows] = np.take_along_axis(all_d, top, axis=1)
-        point[rows] = np.take_along_axis(all_p, top, axis=1)
-
-    walk(tree, q, lambda rows: best[rows].max(axis=1), offer, factor)
-    return best, point
-
-
-def within_tree(tree: dict, q: np.ndarray, radius: np.ndarray, factor: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
-    """(query row, point) of all points not farther than each query's radius."""
-    found = [(np.empty(0, np.int64), np.empty(0, np.int64))]
-
-    def take(rows, d, ids):
-        r, c = np.nonzero(d <= radius[rows, None])
-        found.append((rows[r], ids[c]))
-
-    walk(tree, q, lambda rows: radius[rows], take, factor)
-    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
-
-
 def ranked(tree: dict, ask: np.ndarray, q: np.ndarray, k: int,
            factor: float = 1.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query row, id, cosine) of the k nearest ids of each query, its own id
     left out, ties to the smaller id.  ``tree`` holds the original vectors and
     the ids that share each."""
-    points, asked = len(tree["x"]), unit(q)
-    slack = 4 * rounding(q.shape[1])
-    out = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
-    todo, depth = np.arange(len(ask)), k + 1  # one more for the query itself
-    while len(todo):
-        depth = min(depth, points)
-        radius = search_tree(tree, asked[todo], depth, factor)[0].max(axis=1) + slack
-        row, p = within_tree(tree, asked[todo], radius, factor)
-        # each found vector stands for its rows
-        a = np.searchsorted(tree["owner"], p)
-        n = np.searchsorted(tree["owner"], p, side="right") - a
-        at = np.repeat(a - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        who, p, ids = todo[np.repeat(row, n)], np.repeat(p, n), tree["ids"][at]
+    x, order, original = tree["x"], tree["order"], tree["original"]
+    asked, points = unit(q), x[order].astype(np.float32)
+    single = asked.astype(np.float32)
+    near, names = np.full((len(ask), k), -np.inf), np.zeros((len(ask), k), np.int64)
+    owned = np.searchsorted(tree["owner"], np.arange(len(x) + 1))
+
+    def floor(rows, dtype):
+        """What a cosine computed in ``dtype`` has at least, if its pair can
+        be among the k best."""
+        least = (near[rows, -1] - 2 * cosine_rounding(q.shape[1], dtype)).astype(dtype)
+        return np.nextafter(least, dtype(-np.inf))[:, None]
+
+    def offer(rows, p):
+        """Rank original vectors p for query rows."""
+        score = cosines(q[rows], original[p])
+        good = score >= near[rows, -1]
+        rows, p, score = rows[good], p[good], score[good]
+        # each vector stands for its ids
+        n = owned[p + 1] - owned[p]
+        who, score = np.repeat(rows, n), np.repeat(score, n)
+        ids = tree["ids"][np.repeat(owned[p] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
         other = ids != ask[who]
-        who, p, ids = who[other], p[other], ids[other]
-        score = np.concatenate([np.empty(0), *(cosines(q[who[i:i + PAIRS]], tree["original"][p[i:i + PAIRS]])
-                                               for i in range(0, len(who), PAIRS))])
+        changed = np.unique(who[other])
+        had, place = np.nonzero(near[changed] > -np.inf)
+        who, ids, score = (np.concatenate(c) for c in (
+            (who[other], changed[had]), (ids[other], names[changed[had], place]),
+            (score[other], near[changed[had], place])))
         # an id of several vectors counts once, by its nearest
         sort = np.lexsort((-score, ids, who))
         who, ids, score = who[sort], ids[sort], score[sort]
@@ -169,12 +174,54 @@ def ranked(tree: dict, ask: np.ndarray, q: np.ndarray, k: int,
         sort = np.lexsort((ids, -score, who))
         who, ids, score = who[sort], ids[sort], score[sort]
         place = np.arange(len(who)) - np.searchsorted(who, who)
-        short = todo[np.bincount(who, minlength=len(ask))[todo] < k] if depth < points else todo[:0]
-        keep = (place < k) & ~np.isin(who, short)
-        out.append((who[keep], ids[keep], score[keep]))
-        # ids repeated over vectors left fewer than k: look deeper
-        todo, depth = short, 2 * depth
-    return tuple(np.concatenate(c) for c in zip(*out))
+        best = place < k
+        near[who[best], place[best]] = score[best]
+        names[who[best], place[best]] = ids[best]
+
+    def see(rows, a, b):
+        for i in range(0, len(rows), TILE):
+            some = rows[i:i + TILE]
+            c = single[some] @ points[a:b].T
+            # queries with fewer than k so far: their nearest of the leaf first, for a limit
+            few, depth = np.flatnonzero(near[some, -1] == -np.inf), k + 1
+            while len(few) and depth < b - a:
+                top = np.argpartition(c[few], b - a - depth, axis=1)[:, b - a - depth:]
+                row, p = np.repeat(few, depth), top.ravel()
+                for j in range(0, len(row), PAIRS):
+                    offer(some[row[j:j + PAIRS]], order[a + p[j:j + PAIRS]])
+                c[row, p] = -np.inf  # done
+                # ids repeated over vectors left fewer than k: look deeper
+                few, depth = few[near[some[few], -1] == -np.inf], 2 * depth
+            at = np.flatnonzero(c >= floor(some, np.float32))
+            if len(at) > c.size // 16:  # too close for single precision
+                at = np.flatnonzero(asked[some] @ x[order[a:b]].T >= floor(some, np.float64))
+            for j in range(0, len(at), PAIRS):
+                row, p = np.divmod(at[j:j + PAIRS], b - a)
+                offer(some[row], order[a + p])
+
+    walk(tree, asked, lambda rows: np.sqrt(np.maximum(0, 2 - 2 * near[rows, -1])), see, factor)
+    row, place = np.nonzero(near > -np.inf)
+    return row, names[row, place], near[row, place]
+
+
+def shard_tree(ids: np.ndarray, x: np.ndarray, k: int) -> dict[str, np.ndarray]:
+    """Tree over the distinct rows of x with the k + 1 smallest ids of each."""
+    _, first, same = np.unique(x, axis=0, return_index=True, return_inverse=True)
+    same = same.ravel()
+    sort = np.lexsort((ids, same))
+    same, ids = same[sort], ids[sort]
+    new = np.ones(len(ids), bool)
+    new[1:] = (same[1:] != same[:-1]) | (ids[1:] != ids[:-1])
+    same, ids = same[new], ids[new]
+    keep = np.arange(len(same)) - np.searchsorted(same, same) <= k
+    return {"original": x[first], "ids": ids[keep], "owner": same[keep], **build_tree(unit(x[first]))}
+
+
+def layout(rows: int, numbers: int, asked: int, cores: int, shard_vectors: int = SHARD_VECTORS) -> tuple[int, int]:
+    """Trees for a table of so many rows and numbers in their vectors, and
+    blocks of queries for so many numbers in theirs."""
+    return (max(1, math.ceil(numbers / TREE_NUMBERS), min(math.ceil(rows / shard_vectors), TREES_A_CORE * cores)),
+            max(1, math.ceil(asked / ASK_NUMBERS)))
 
 
 def nearest(df: DataFrame, id_col: str, vector_col: str, queries: Column, k: int = 5, factor: float = 1.0,
@@ -188,54 +235,47 @@ def nearest(df: DataFrame, id_col: str, vector_col: str, queries: Column, k: int
     repeat an id: the id is one point of each of its distinct vectors, never
     its own neighbour.  A null id takes no part.  Equal vectors count once in
     a tree with their k + 1 smallest ids.  An empty table gives no rows.
+
+    A task has one tree and the queries that walk it.  Trees grow with the
+    table up to ``TREE_NUMBERS``, so that queries are sent to few of them.
     """
-    rows = (df.where(F.col(id_col).isNotNull() & usable(vector_col))
-            .select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"),
-                    F.coalesce(queries, F.lit(False)).alias("asks"), F.size(vector_col).alias("length")).distinct())
-    n = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if("asks").alias("q")).first()
-    shards = max(1, math.ceil(n["n"] / shard_vectors))
-    asked = max(1, math.ceil(n["q"] / BLOCK))
-
-    def build(key, t):
-        t = t.sort_by("id")
-        ids = t["id"].to_numpy()
-        x = matrix(t["v"])
-        _, first, same = np.unique(x, axis=0, return_index=True, return_inverse=True)
-        # the k + 1 smallest ids of each distinct vector
-        same = same.ravel()
-        sort = np.lexsort((ids, same))
-        rank = np.arange(len(sort)) - np.searchsorted(same[sort], same[sort])
-        keep = sort[rank <= k]
-        out = io.BytesIO()
-        np.savez(out, original=x[first], ids=ids[keep], owner=same[keep], **build_tree(unit(x[first])))
-        return pa.table({"length": pa.array([key[0].as_py()], pa.int32()), "shard": pa.array([key[1].as_py()], pa.int32()),
-                         "tree": pa.array([out.getvalue()], pa.binary())})
-
-    def block(key, t):
-        return pa.table({"length": pa.array([key[0].as_py()], pa.int32()),
-                         "ids": pa.array([t["id"].to_pylist()], pa.list_(pa.int64())),
-                         "vectors": pa.array([matrix(t["v"]).tobytes()], pa.binary())})
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in batch.to_pylist():
-                with np.load(io.BytesIO(r["tree"])) as f:
-                    tree = {name: f[name] for name in f.files}
-                ask = np.array(r["ids"])
-                q = np.frombuffer(r["vectors"]).reshape(len(ask), -1)
-                who, ids, score = ranked(tree, ask, q, k, factor)
-                yield pa.RecordBatch.from_arrays([pa.array(ask[who], pa.int64()), pa.array(ids, pa.int64()),
-                                                  pa.array(score)], ["query_id", "id", "score"])
-
-    shard = F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard")
-    trees = rows.select("id", "v", "length", shard).groupBy("length", "shard").applyInArrow(
-        build, "length int, shard int, tree binary")
-    part = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(asked)).cast("int").alias("block")
-    asks = rows.where("asks").select("id", "v", "length", part).groupBy("length", "block").applyInArrow(
-        block, "length int, ids array<long>, vectors binary")
-    asks = asks.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    found = (trees.join(asks, ["length", "shard"]).select("tree", "ids", "vectors")
-             .mapInArrow(search, "query_id long, id long, score double")
+    def part(rows):
+        return (rows.where(F.col(id_col).isNotNull()).where(usable(vector_col))
+                .select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"), F.size(vector_col).alias("length")))
+
+    numbers = F.greatest(F.size(vector_col), F.lit(0)).cast("long")
+    n = df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(numbers), F.lit(0)).alias("numbers"),
+               F.coalesce(F.sum(F.when(queries, numbers)), F.lit(0)).alias("asked")).first()
+    shards, blocks = layout(n["rows"], n["numbers"], n["asked"], df.sparkSession.sparkContext.defaultParallelism,
+                            shard_vectors)
+
+    def search(points: pa.Table, asks: pa.Table) -> pa.Table:
+        found = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
+        if len(points) and len(asks):
+            tree = shard_tree(points["id"].to_numpy(), matrix(points["v"]), k)
+            for i in range(0, len(asks), BLOCK):
+                some = asks.slice(i, BLOCK)
+                ask = some["id"].to_numpy()
+                who, ids, score = ranked(tree, ask, matrix(some["v"]), k, factor)
+                found.append((ask[who], ids, score))
+        return pa.table([np.concatenate(c) for c in zip(*found)], ["query_id", "id", "score"])
+
+    def all_of(count):
+        return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+
+    def one_of(count, seed):
+        return F.pmod(F.xxhash64("id", "v", F.lit(seed)), F.lit(count)).cast("int")
+
+    # so many partitions that few hold two cells
+    cell, tasks = ["length", "shard", "block"], 4 * shards * blocks
+    # a row that repeats meets its copies in its shard
+    points = (part(df).select("id", "v", "length", one_of(shards, 0).alias("shard"), all_of(blocks).alias("block"))
+              .repartition(tasks, *cell).distinct())
+    asks = (part(df.where(queries)).distinct()
+            .select("id", "v", "length", one_of(blocks, 1).alias("block"), all_of(shards).alias("shard"))
+            .repartition(tasks, *cell))
+    found = (points.groupBy(*cell).cogroup(asks.groupBy(*cell))
+             .applyInArrow(search, "query_id long, id long, score double")
              .groupBy("query_id", "id").agg(F.max("score").alias("score")))
     best = W.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select(
