@@ -31,7 +31,7 @@ SHARD_VECTORS, LEAF, BLOCK = 4096, 512, 8192
 #: Most numbers in the vectors of one tree and in the queries of one task.
 TREE_NUMBERS, ASK_NUMBERS = 1 << 22, 1 << 23
 #: Trees for each core, for even work.
-TREES_A_CORE = 4
+TREES_A_CORE = 2
 #: Pairs whose cosines are computed at once, and queries of one product with a leaf.
 PAIRS, TILE = 1 << 16, 1024
 
@@ -148,7 +148,7 @@ def ranked(tree: dict, ask: np.ndarray, q: np.ndarray, k: int,
         """What a cosine computed in ``dtype`` has at least, if its pair can
         be among the k best."""
         least = (near[rows, -1] - 2 * cosine_rounding(q.shape[1], dtype)).astype(dtype)
-        return np.nextafter(least, dtype(-np.inf))[:, None]
+        return np.nextafter(least, dtype(-np.inf))
 
     def offer(rows, p):
         """Rank original vectors p for query rows."""
@@ -159,7 +159,7 @@ def ranked(tree: dict, ask: np.ndarray, q: np.ndarray, k: int,
         n = owned[p + 1] - owned[p]
         who, score = np.repeat(rows, n), np.repeat(score, n)
         ids = tree["ids"][np.repeat(owned[p] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
-        other = ids != ask[who]
+        other = (ids != ask[who]) & ((score > near[who, -1]) | (ids < names[who, -1]))
         changed = np.unique(who[other])
         had, place = np.nonzero(near[changed] > -np.inf)
         who, ids, score = (np.concatenate(c) for c in (
@@ -178,7 +178,24 @@ def ranked(tree: dict, ask: np.ndarray, q: np.ndarray, k: int,
         near[who[best], place[best]] = score[best]
         names[who[best], place[best]] = ids[best]
 
+    def hits(c, least, most):
+        """Rows and columns of the cosines that reach their row's least;
+        none if there are more than ``most``."""
+        row = np.flatnonzero(c.max(axis=1) >= least)
+        reach = c[row] >= least[row, None]
+        if np.count_nonzero(reach) > most:
+            return None
+        at, col = np.divmod(np.flatnonzero(reach), c.shape[1])
+        return row[at], col
+
     def see(rows, a, b):
+        held, many = [], 0
+
+        def rank_held():
+            at, p = (np.concatenate(h) for h in zip(*held))
+            for j in range(0, len(at), PAIRS):
+                offer(at[j:j + PAIRS], order[a + p[j:j + PAIRS]])
+
         for i in range(0, len(rows), TILE):
             some = rows[i:i + TILE]
             c = single[some] @ points[a:b].T
@@ -192,12 +209,15 @@ def ranked(tree: dict, ask: np.ndarray, q: np.ndarray, k: int,
                 c[row, p] = -np.inf  # done
                 # ids repeated over vectors left fewer than k: look deeper
                 few, depth = few[near[some[few], -1] == -np.inf], 2 * depth
-            at = np.flatnonzero(c >= floor(some, np.float32))
-            if len(at) > c.size // 16:  # too close for single precision
-                at = np.flatnonzero(asked[some] @ x[order[a:b]].T >= floor(some, np.float64))
-            for j in range(0, len(at), PAIRS):
-                row, p = np.divmod(at[j:j + PAIRS], b - a)
-                offer(some[row], order[a + p])
+            found = hits(c, floor(some, np.float32), c.size // 16)
+            if found is None:  # too close for single precision
+                found = hits(asked[some] @ x[order[a:b]].T, floor(some, np.float64), c.size)
+            row, p = found
+            held.append((some[row], p))
+            many += len(row)
+            if many > PAIRS or i + TILE >= len(rows):
+                rank_held()
+                held, many = [], 0
 
     walk(tree, asked, lambda rows: np.sqrt(np.maximum(0, 2 - 2 * near[rows, -1])), see, factor)
     row, place = np.nonzero(near > -np.inf)
