@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import release, table
 from .vectors import cosines, matrix, unit, usable
 
 #: Least vectors of a tree (where there are as many), most points of one leaf, and
@@ -32,15 +32,16 @@ SHARD_VECTORS, LEAF, BLOCK = 4096, 512, 8192
 TREE_NUMBERS, ASK_NUMBERS = 1 << 22, 1 << 23
 #: Trees for each core, for even work.
 TREES_A_CORE = 2
-#: Pairs whose cosines are computed at once, and queries of one product with a leaf.
-PAIRS, TILE = 1 << 16, 1024
+#: Pairs whose cosines are computed at once, queries of one product with a leaf, and
+#: vectors that are copied at once.
+PAIRS, TILE, PART = 1 << 16, 1024, 8192
 
 
 def build_tree(x: np.ndarray, seed: int = 1) -> dict[str, np.ndarray]:
     """Arrays of a vantage-point tree over distinct unit rows.  Node i has
     points order[begin[i]:end[i]], children left[i] and right[i] (-1: leaf),
     the vantage point vantage[i] and its distances to either child's points as
-    ranges."""
+    ranges.  points: the rows in that order, in single precision."""
     rng = np.random.default_rng(seed)
     order = np.arange(len(x))
     begin, end, left, right, vantage, spans = [0], [len(x)], [-1], [-1], [-1], [[0.0] * 4]
@@ -51,7 +52,7 @@ def build_tree(x: np.ndarray, seed: int = 1) -> dict[str, np.ndarray]:
         if b - a <= LEAF:
             continue
         vantage[i] = order[a + int(rng.integers(b - a))]
-        d = chords(x[vantage[i]][None], x[order[a:b]])[0]
+        d = np.concatenate([chords(x[vantage[i]][None], x[order[j:min(b, j + PART)]])[0] for j in range(a, b, PART)])
         sort = np.argsort(d, kind="stable")
         order[a:b] = order[a:b][sort]
         d = d[sort]
@@ -66,7 +67,10 @@ def build_tree(x: np.ndarray, seed: int = 1) -> dict[str, np.ndarray]:
             right.append(-1)
             vantage.append(-1)
             spans.append([0.0] * 4)
-    return {"x": x, "order": order, "begin": np.array(begin), "end": np.array(end), "left": np.array(left),
+    points = np.empty(x.shape, np.float32)
+    for i in range(0, len(x), PART):
+        points[i:i + PART] = x[order[i:i + PART]]
+    return {"x": x, "order": order, "points": points, "begin": np.array(begin), "end": np.array(end), "left": np.array(left),
             "right": np.array(right), "vantage": np.array(vantage), "spans": np.array(spans)}
 
 
@@ -138,8 +142,8 @@ def ranked(tree: dict, ask: np.ndarray, q: np.ndarray, k: int,
     """(query row, id, cosine) of the k nearest ids of each query, its own id
     left out, ties to the smaller id.  ``tree`` holds the original vectors and
     the ids that share each."""
-    x, order, original = tree["x"], tree["order"], tree["original"]
-    asked, points = unit(q), x[order].astype(np.float32)
+    x, order, points, original = tree["x"], tree["order"], tree["points"], tree["original"]
+    asked = unit(q)
     single = asked.astype(np.float32)
     near, names = np.full((len(ask), k), -np.inf), np.zeros((len(ask), k), np.int64)
     owned = np.searchsorted(tree["owner"], np.arange(len(x) + 1))
@@ -226,15 +230,19 @@ def ranked(tree: dict, ask: np.ndarray, q: np.ndarray, k: int,
 
 def shard_tree(ids: np.ndarray, x: np.ndarray, k: int) -> dict[str, np.ndarray]:
     """Tree over the distinct rows of x with the k + 1 smallest ids of each."""
-    _, first, same = np.unique(x, axis=0, return_index=True, return_inverse=True)
-    same = same.ravel()
+    first, same = np.unique(x, axis=0, return_index=True, return_inverse=True)[1:]
+    original, same = x[first], same.ravel()
+    del x
+    one = np.empty_like(original)
+    for i in range(0, len(one), PART):
+        one[i:i + PART] = unit(original[i:i + PART])
     sort = np.lexsort((ids, same))
     same, ids = same[sort], ids[sort]
     new = np.ones(len(ids), bool)
     new[1:] = (same[1:] != same[:-1]) | (ids[1:] != ids[:-1])
     same, ids = same[new], ids[new]
     keep = np.arange(len(same)) - np.searchsorted(same, same) <= k
-    return {"original": x[first], "ids": ids[keep], "owner": same[keep], **build_tree(unit(x[first]))}
+    return {"original": original, "ids": ids[keep], "owner": same[keep], **build_tree(one)}
 
 
 def layout(rows: int, numbers: int, asked: int, cores: int, shard_vectors: int = SHARD_VECTORS) -> tuple[int, int]:
@@ -278,6 +286,8 @@ def nearest(df: DataFrame, id_col: str, vector_col: str, queries: Column, k: int
                 ask = some["id"].to_numpy()
                 who, ids, score = ranked(tree, ask, matrix(some["v"]), k, factor)
                 found.append((ask[who], ids, score))
+            del tree
+            release()
         return pa.table([np.concatenate(c) for c in zip(*found)], ["query_id", "id", "score"])
 
     def all_of(count):
